@@ -5,6 +5,6 @@ from types import ModuleType
 
 def load() -> ModuleType:
     """Import every module that registers queries and return the registry."""
-    from acadmetric.catalog import registry, reports  # noqa: F401
+    from acadmetric.catalog import governance, registry, relational, reports, scalars, windows  # noqa: F401
 
     return registry
