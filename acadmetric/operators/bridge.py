@@ -43,10 +43,11 @@ def distinct_items(links: DataFrame, items: DataFrame, member: str, group: str,
     An item counts once per group however many of its members the group has.
     Members that are large on both sides ("hubs") are counted by sets of hubs,
     all others by distinct (group, item) pairs; the second part skips the pairs
-    the first one has counted. The result is exact either way.
+    the first one has counted. The result is exact either way, also when a
+    link or an item is listed twice.
     """
-    links = links.select(group, member).distinct()
-    items = items.select(member, item).distinct()
+    links = links.select(group, member)
+    items = items.select(member, item)
     hubs = _find_hubs(links, items, member, wide_member, hub_pairs)
     if not hubs:
         return _pair_counts(links.join(items, member), group, item)

@@ -11,6 +11,7 @@ from acadmetric.plans.intermediate import paths_by_area
 from acadmetric.plans.parts import (
     Tables, authors_per_program, known_authorships, outputs_per_program, programs_in_areas,
     programs_with_area_name, rows_per_program)
+from acadmetric.session import written
 
 _WIDE = "decimal(38,0)"
 
@@ -28,6 +29,8 @@ def productive_programs(t: Tables) -> DataFrame:
         .join(known, "co_seq_programa", "left_semi")
         .withColumn("ratio", scaled_ratio(F.col("qt_prod"), F.col("qt_doc")))
     )
+    # Read twice below; without the written copy the bridge would be joined twice.
+    base = written(base, "productivity")
     # ratio > mean(ratio), compared as whole numbers: ratio * n > sum(ratio).
     mean = base.agg(F.sum("ratio").alias("s"), F.count("*").alias("n"))
     return base.filter(F.col("ratio") * mean.select(_wide("n")).scalar() > mean.select("s").scalar())
@@ -48,7 +51,7 @@ def graduates_above_area_mean(t: Tables, limit: int = 25) -> DataFrame:
     """Programs with more graduates than the mean of their own area; programs without graduates do not enter it."""
     counts = t["tb_egresso"].groupBy("co_seq_programa").agg(
         F.count("co_seq_egresso").alias("qt_egressos"), F.count("*").alias("rows"))
-    placed = counts.join(programs_with_area_name(t), "co_seq_programa")
+    placed = written(counts.join(programs_with_area_name(t), "co_seq_programa"), "graduates")
     means = placed.groupBy("co_seq_area").agg(F.sum("rows").alias("s"), F.count("*").alias("n"))
     return (
         placed.join(means, "co_seq_area")
@@ -65,6 +68,7 @@ def score_percentiles(t: Tables, limit: int = 25) -> DataFrame:
         F.count("co_seq_parecer").alias("qt_pareceres"), F.sum("vl_nota").alias("s"), F.count("vl_nota").alias("k"))
     placed = sums.join(programs_with_area_name(t), "co_seq_programa").withColumn(
         "mean", scaled_ratio(F.col("s") * 100, F.col("k")))
+    placed = written(placed, "scores")
     best = top_values(placed, "mean", ["co_seq_area"], limit)
     below = F.col("total") - F.col("above") - F.col("peers")
     share = F.when(F.col("total") == 1, 0.0).otherwise(half_up(below, F.col("total") - 1, 2))
@@ -105,22 +109,23 @@ def outputs_per_author(t: Tables) -> DataFrame:
     return known_authorships(t).groupBy("co_seq_docente").agg(F.count("*").alias("qt_producoes"))
 
 
-def star_cut(t: Tables) -> DataFrame:
-    """One row ``cut``: interpolated 90th percentile of the authorships per faculty.
+def star_authors(t: Tables) -> DataFrame:
+    """Faculty ids whose number of known outputs reaches the 90th percentile of authorships per faculty.
 
-    Faculty are first counted by their number of outputs, so the exact
-    percentile holds one entry per different number.
+    The percentile is the interpolated one over all authorships. Faculty are
+    first counted by their number of authorships, so the exact percentile
+    holds one entry per different number.
     """
-    per_author = t["rt_producao_docente"].groupBy("co_seq_docente").agg(F.count("*").alias("c"))
-    spread = per_author.groupBy("c").agg(F.count("*").alias("n"))
-    return spread.agg(F.percentile("c", F.lit(0.9), F.col("n")).alias("cut"))
-
-
-def star_authors(t: Tables) -> DataFrame:
-    known = t["tb_docente"].select("co_seq_docente")
+    outputs = t["tb_producao_cientifica"].select("co_seq_producao", F.lit(1).alias("known"))
+    pairs = t["rt_producao_docente"].select("co_seq_producao", "co_seq_docente")
+    per_author = pairs.join(outputs, "co_seq_producao", "left").groupBy("co_seq_docente").agg(
+        F.count("*").alias("c"), F.count("known").alias("qt_producoes"))
+    per_author = written(per_author, "authors")
+    cut = per_author.groupBy("c").agg(F.count("*").alias("n")).agg(F.percentile("c", F.lit(0.9), F.col("n")))
     return (
-        outputs_per_author(t).filter(F.col("qt_producoes") >= star_cut(t).scalar())
-        .join(known, "co_seq_docente", "left_semi")
+        per_author.filter((F.col("qt_producoes") > 0) & (F.col("qt_producoes") >= cut.scalar()))
+        .join(t["tb_docente"].select("co_seq_docente"), "co_seq_docente", "left_semi")
+        .select("co_seq_docente", "qt_producoes")
     )
 
 
@@ -320,6 +325,7 @@ def output_quartiles(t: Tables, limit: int = 25) -> DataFrame:
         outputs_per_program(t).join(grades, "co_seq_programa")
         .join(t["tb_programa"].select("co_seq_programa", "nm_programa"), "co_seq_programa")
     )
+    base = written(base, "quartiles")
     rows = base.agg(F.count("*")).scalar()
     order = [F.desc("qt_prod"), F.asc("co_seq_programa")]
     top = base.orderBy(*order).limit(limit)
@@ -478,6 +484,7 @@ def top_decile_indicators(t: Tables, limit: int = 30) -> DataFrame:
         .join(t["tb_programa"].select("co_seq_programa", "nm_programa"), "co_seq_programa")
         .select("tp_indicador", "nm_programa", "vl_indicador")
     )
+    rows = written(rows, "last-year")
     known = rows.filter(F.col("vl_indicador").isNotNull())
     # Nulls sort last in the ascending distribution, so they are the top of it.
     missing = rows.groupBy("tp_indicador").agg(

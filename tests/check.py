@@ -35,7 +35,7 @@ def _rows(names: list[str], rows) -> list[tuple]:
     return sorted(plain, key=lambda r: tuple((v is None, str(v)) for v in r))
 
 
-def compare(df, db: duckdb.DuckDBPyConnection, sql: str | None) -> str:
+def compare(df, db: duckdb.DuckDBPyConnection, sql: str | None, allow_empty: bool = False) -> str:
     """Empty when equal, else what differs."""
     table = df.toArrow()
     if sql is None:
@@ -49,7 +49,7 @@ def compare(df, db: duckdb.DuckDBPyConnection, sql: str | None) -> str:
     want_rows = _rows(want.column_names, zip(*[c.to_pylist() for c in want.columns]))
     if len(got_rows) != len(want_rows):
         return f"{len(got_rows)} rows != {len(want_rows)}"
-    if not got_rows:
+    if not got_rows and not allow_empty:
         return "no rows on either side"
     for got, expected in zip(got_rows, want_rows):
         if got != expected:
