@@ -145,7 +145,7 @@ def event_changes(events: DataFrame) -> DataFrame:
     op = F.when(F.col("event_id") % 3 == 0, "INSERT").when(F.col("event_id") % 3 == 1, "UPDATE").otherwise("DELETE")
     row = F.struct("event_id", "user_id", "event_type", F.nullif(F.col("value"), F.lit(0.0)).alias("value"), "ts")
     return events.select(
-        op.alias("op"), F.when(op != "INSERT", row).alias("before"), F.when(op != "DELETE", row).alias("after"),
+        F.col("event_id").alias("change_id"), op.alias("op"), F.when(op != "INSERT", row).alias("before"), F.when(op != "DELETE", row).alias("after"),
         F.col("ts").alias("changed_at"))
 
 

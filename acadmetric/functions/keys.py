@@ -54,8 +54,11 @@ def skewed_draw(u: Column, size: Column, exponent: float = 2.5) -> Column:
 
 
 def elapsed_ms(start: Column, end: Column) -> Column:
-    """Milliseconds between two timestamps."""
-    def micros(ts: Column) -> Column:
-        return F.unix_micros(ts.cast("timestamp"))
+    """Milliseconds between two timestamps; without zone, the session's time zone plays no part."""
+    passed = end - start
 
-    return (micros(end) - micros(start)) / F.lit(1000.0)
+    def part(unit: str) -> Column:
+        return F.extract(F.lit(unit), passed)
+
+    seconds = ((part("DAY") * 24 + part("HOUR")) * 60 + part("MINUTE")) * 60 + part("SECOND")
+    return (seconds * 1000).cast("double")

@@ -1,7 +1,8 @@
 """The audit log, derived from change feeds or from pairs of snapshots.
 
 A change feed has the columns ``op`` (INSERT, UPDATE, DELETE), ``before`` and
-``after`` (structs, null where there is no such row) and ``changed_at``.
+``after`` (structs, null where there is no such row) and ``changed_at``; a
+``change_id``, where the feed has one, becomes the key of the log.
 Deriving the log is a projection without state, so the same function serves
 batches and streams. An update that changes nothing is logged from a feed; a
 pair of snapshots cannot show it. An update of a key is one change in a feed
@@ -37,7 +38,9 @@ def audit_from_changes(feed: DataFrame, table: str, key: Sequence[str], actor: A
     code = F.when(op == "INSERT", OPERATIONS["INSERT"]).when(op == "UPDATE", OPERATIONS["UPDATE"]).when(
         op == "DELETE", OPERATIONS["DELETE"])
     deleted = op == "DELETE"
+    numbered = [F.col("change_id").alias("co_seq_auditoria")] if "change_id" in feed.columns else []
     return feed.select(
+        *numbered,
         F.col("changed_at").alias("au_dt_operacao"),
         code.alias("au_tp_operacao"),
         F.lit(table).alias("au_nm_tabela"),

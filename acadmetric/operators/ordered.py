@@ -20,14 +20,17 @@ from acadmetric.functions.exact import whole_div
 from acadmetric.session import written
 
 
-def sum_before(df: DataFrame, weight: str, order: Sequence[Column], by: Sequence[str] = ()) -> DataFrame:
+def sum_before(df: DataFrame, weight: str, order: Sequence[Column], by: Sequence[str] = (),
+               parts: int | None = None) -> DataFrame:
     """Add ``before``: the sum of ``weight`` over the rows that sort earlier within ``by``.
 
     ``order`` must be unique within ``by``. Rows are range-partitioned on
-    (by, order), so a large group spans many ranges. The ranges are written
-    once, because both the totals and the rows refer to their numbers.
+    (by, order) into ``parts`` ranges (the session's shuffle partitions if not
+    given), so a large group spans many ranges. The ranges are written once,
+    because both the totals and the rows refer to their numbers.
     """
-    ranges = df.repartitionByRange(*[F.col(c).asc() for c in by], *order)
+    keys = [*[F.col(c).asc() for c in by], *order]
+    ranges = df.repartitionByRange(parts, *keys) if parts else df.repartitionByRange(*keys)
     ranges = written(ranges.withColumn("_range", F.spark_partition_id()), "ranges")
 
     first = Window.unboundedPreceding
@@ -38,16 +41,17 @@ def sum_before(df: DataFrame, weight: str, order: Sequence[Column], by: Sequence
         .drop("_total")
     )
     inside = Window.partitionBy(*by, "_range").orderBy(*order).rowsBetween(first, -1)
-    keys = [F.col(f"r.{c}").eqNullSafe(F.col(f"o.{c}")) for c in (*by, "_range")]
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"o.{c}")) for c in (*by, "_range")]
     matched = ranges.withColumn("_inside", F.coalesce(F.sum(weight).over(inside), F.lit(0))).alias("r").join(
-        offsets.alias("o"), keys)
+        offsets.alias("o"), same)
     return matched.select(
         *[F.col(f"r.{c}") for c in df.columns], (F.col("_inside") + F.col("_offset")).alias("before"))
 
 
-def row_numbers(df: DataFrame, order: Sequence[Column], name: str = "rn", by: Sequence[str] = ()) -> DataFrame:
+def row_numbers(df: DataFrame, order: Sequence[Column], name: str = "rn", by: Sequence[str] = (),
+                parts: int | None = None) -> DataFrame:
     """Consecutive numbers from 1 within ``by``; ``order`` must be unique there."""
-    numbered = sum_before(df.withColumn("_one", F.lit(1).cast("bigint")), "_one", order, by)
+    numbered = sum_before(df.withColumn("_one", F.lit(1).cast("bigint")), "_one", order, by, parts)
     return numbered.withColumn(name, F.col("before") + 1).drop("_one", "before")
 
 
@@ -94,6 +98,20 @@ def top_ranked(df: DataFrame, value: str, ties: Sequence[Column], limit: int, na
     return top.withColumn(name, F.rank().over(Window.orderBy(order)).cast("bigint"))
 
 
+def first_rows(df: DataFrame, group: str, order: Sequence[Column], least: int, limit: int) -> DataFrame:
+    """The first ``limit`` rows by (group, order) among groups of ``least`` rows or more.
+
+    At most ``limit`` groups can contribute, so their names are broadcast and
+    nothing is sorted but the kept rows. They are a prefix of each group's
+    history: a window that looks back finds everything it needs in them.
+    """
+    names = (
+        df.groupBy(group).agg(F.count("*").alias("_n")).filter(F.col("_n") >= least)
+        .select(group).orderBy(group).limit(limit)
+    )
+    return df.join(F.broadcast(names), group).orderBy(group, *order).limit(limit)
+
+
 def top_values(df: DataFrame, value: str, by: Sequence[str], limit: int) -> DataFrame:
     """The ``limit`` largest distinct values per group with ``above``, ``peers`` and ``total`` row counts.
 

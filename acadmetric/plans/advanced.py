@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from acadmetric.functions.exact import half_up, half_up_mean, half_up_percent, scaled_ratio
-from acadmetric.operators.ordered import tile, top_ranked, top_values
+from acadmetric.operators.ordered import first_rows, tile, top_ranked, top_values
 from acadmetric.plans.intermediate import paths_by_area
 from acadmetric.plans.parts import (
     Tables, authors_per_program, known_authorships, outputs_per_program, programs_in_areas,
@@ -91,15 +91,12 @@ def grade_evolution(t: Tables, limit: int = 30) -> DataFrame:
         .join(t["tb_programa"].select("co_seq_programa", "nm_programa"), "co_seq_programa")
         .select("nm_programa", "nu_ano_referencia", "nu_conceito_final", "co_seq_relatorio")
     )
-    by_program = Window.partitionBy("nm_programa")
-    in_time = by_program.orderBy("nu_ano_referencia", "co_seq_relatorio")
-    before = F.lag("nu_conceito_final").over(in_time)
+    in_time = [F.col("nu_ano_referencia"), F.col("co_seq_relatorio")]
+    before = F.lag("nu_conceito_final").over(Window.partitionBy("nm_programa").orderBy(*in_time))
     return (
-        grades.withColumn("n", F.count("*").over(by_program))
+        first_rows(grades, "nm_programa", in_time, 2, limit)
         .withColumn("conceito_anterior", before)
-        .filter(F.col("n") > 1)
-        .orderBy("nm_programa", "nu_ano_referencia", "co_seq_relatorio")
-        .limit(limit)
+        .orderBy("nm_programa", *in_time)
         .select("nm_programa", "nu_ano_referencia", "nu_conceito_final", "conceito_anterior",
                 (F.col("nu_conceito_final") - F.col("conceito_anterior")).alias("variacao"))
     )
@@ -181,18 +178,16 @@ def indicator_moving_mean(t: Tables, limit: int = 30, indicator: str = "PD") ->
         .join(t["tb_programa"].select("co_seq_programa", "nm_programa"), "co_seq_programa")
         .select("nm_programa", "nu_ano_referencia", "vl_indicador")
     )
-    by_program = Window.partitionBy("nm_programa")
-    pair = by_program.orderBy("nu_ano_referencia").rowsBetween(-1, 0)
-    mean = half_up_mean(F.col("s"), F.col("k"), 4, 2)
+    in_time = [F.col("nu_ano_referencia"), F.col("vl_indicador")]
+    pair = Window.partitionBy("nm_programa").orderBy(*in_time).rowsBetween(-1, 0)
     return (
-        rows.withColumn("n", F.count("*").over(by_program))
+        first_rows(rows, "nm_programa", in_time, 3, limit)
         .withColumn("s", F.sum("vl_indicador").over(pair))
         .withColumn("k", F.count("vl_indicador").over(pair))
-        .filter(F.col("n") >= 3)
-        .orderBy("nm_programa", "nu_ano_referencia")
-        .limit(limit)
+        .orderBy("nm_programa", *in_time)
         .select("nm_programa", "nu_ano_referencia",
-                half_up_mean(F.col("vl_indicador"), F.lit(1), 4, 2).alias("valor"), mean.alias("media_movel_2a"))
+                half_up_mean(F.col("vl_indicador"), F.lit(1), 4, 2).alias("valor"),
+                half_up_mean(F.col("s"), F.col("k"), 4, 2).alias("media_movel_2a"))
     )
 
 

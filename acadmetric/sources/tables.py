@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +15,9 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name].struct).parquet(f"{folder}/{name}")
 
 
-def read_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Every evaluation table below ``folder``, read lazily."""
-    return {name: read_table(spark, folder, name) for name in TABLES}
+def read_tables(spark: SparkSession, folder: str, names: Iterable[str] = tuple(TABLES)) -> dict[str, DataFrame]:
+    """The evaluation tables below ``folder``, read lazily."""
+    return {name: read_table(spark, folder, name) for name in names}
 
 
 def active(df: DataFrame) -> DataFrame:
