@@ -380,18 +380,25 @@ def consistent_evaluators(t: Tables, limit: int = 20, every_year: bool = False)
     As specified, one mean over all years is compared. ``every_year`` asks that
     each year's own mean exceeds the overall mean.
     """
-    overall = t["tb_parecer"].agg(
-        (F.sum("vl_nota") * 100).cast(_WIDE).alias("s"), F.count("vl_nota").cast(_WIDE).alias("n"))
+    known = t["tb_programa"].select("co_seq_programa", F.lit(1).alias("known"))
+    opinions = t["tb_parecer"].select(
+        "co_seq_parecer", "co_seq_avaliador", "co_seq_programa", "nu_ano_avaliacao", "vl_nota")
+    score = F.when(F.col("known") == 1, F.col("vl_nota"))
+    yearly = opinions.join(known, "co_seq_programa", "left").groupBy("co_seq_avaliador", "nu_ano_avaliacao").agg(
+        F.sum("vl_nota").alias("all_s"), F.count("vl_nota").alias("all_k"),
+        F.count(F.when(F.col("known") == 1, F.col("co_seq_parecer"))).alias("n"),
+        F.sum(score).alias("s"), F.count(score).alias("k"), F.count("known").alias("rows"))
+    # Serves the overall mean, which takes in opinions on unknown programs, and the evaluators.
+    yearly = written(yearly, "opinions")
+    overall = yearly.agg((F.sum("all_s") * 100).cast(_WIDE).alias("s"), F.sum("all_k").cast(_WIDE).alias("n"))
     total, rows = overall.select("s").scalar(), overall.select("n").scalar()
 
     def above(s: str, k: str):
         return (F.col(s) * 100).cast(_WIDE) * rows > total * _wide(k)
 
-    opinions = t["tb_parecer"].join(t["tb_programa"].select("co_seq_programa"), "co_seq_programa", "left_semi")
-    yearly = opinions.groupBy("co_seq_avaliador", "nu_ano_avaliacao").agg(
-        F.count("co_seq_parecer").alias("n"), F.sum("vl_nota").alias("s"), F.count("vl_nota").alias("k"))
     named = (
-        yearly.join(t["tb_avaliador"].select("co_seq_avaliador", "nm_avaliador"), "co_seq_avaliador")
+        yearly.filter(F.col("rows") > 0)
+        .join(t["tb_avaliador"].select("co_seq_avaliador", "nm_avaliador"), "co_seq_avaliador")
         .groupBy("nm_avaliador", "nu_ano_avaliacao")
         .agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("k").alias("k"))
     )
