@@ -9,7 +9,7 @@ from acadmetric.catalog.registry import query
 from acadmetric.catalog.views_sql import rounded, with_views
 from acadmetric.functions.exact import half_up, half_up_mean, half_up_percent
 from acadmetric.operators.ordered import row_numbers
-from acadmetric.session import new_path
+from acadmetric.session import new_path, written
 from acadmetric.sources import tables as store
 from acadmetric.sources.driver import StarTables
 from acadmetric.sources.views import evaluation_views
@@ -177,13 +177,16 @@ def filter_like_escaped(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("filter_ratio", """
-    SELECT l_suppkey, count(*) AS linhas, count(DISTINCT l_partkey) AS pecas FROM lineitem GROUP BY 1
-    HAVING count(*) * 100 > count(DISTINCT l_partkey) * 115""")
+    WITH q AS (SELECT l_suppkey, count(*) AS linhas, count(DISTINCT l_partkey) AS pecas FROM lineitem GROUP BY 1)
+    SELECT * FROM q WHERE linhas * (SELECT sum(pecas) FROM q) > pecas * (SELECT sum(linhas) FROM q)""")
 def filter_ratio(spark: SparkSession, folder: str) -> DataFrame:
     # Parts are counted through (supplier, part) groups, which also carry the line counts.
     pairs = StarTables(spark, folder).lineitem.groupBy("l_suppkey", "l_partkey").agg(_count())
-    counts = pairs.groupBy("l_suppkey").agg(F.sum("n").alias("linhas"), F.count("*").alias("pecas"))
-    return counts.filter(F.col("linhas") * 100 > F.col("pecas") * 115)
+    counts = written(pairs.groupBy("l_suppkey").agg(F.sum("n").alias("linhas"), F.count("*").alias("pecas")), "ratio")
+    whole = "decimal(38,0)"
+    sums = counts.agg(F.sum("linhas").cast(whole).alias("linhas"), F.sum("pecas").cast(whole).alias("pecas"))
+    return counts.filter(
+        F.col("linhas") * sums.select("pecas").scalar() > F.col("pecas") * sums.select("linhas").scalar())
 
 
 @query("soft_delete_filter", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'P'")

@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acadmetric.functions.keys import key_text, record_image
+from acadmetric.operators.quality import with_broken_rules
+from acadmetric.schema import Table
 
 # Operation codes of the log.
 OPERATIONS = {"INSERT": "I", "UPDATE": "A", "DELETE": "E"}
@@ -53,6 +55,19 @@ def audit_from_changes(feed: DataFrame, table: str, key: Sequence[str], actor: A
     )
 
 
+def checked_changes(feed: DataFrame, table: Table) -> DataFrame:
+    """The feed with ``broken_rules`` of the new row: accepted changes have an empty list.
+
+    Only rules that a row can break by itself are decided here, without state,
+    so that a stream can be split as well. Deletes are accepted.
+    """
+    row = feed.select(F.struct("*").alias("_change"), *[
+        F.col(f"after.{c.name}").alias(c.name) for c in table.columns])
+    broken = with_broken_rules(row, table).select("_change.*", "broken_rules")
+    none = F.array().cast("array<string>")
+    return broken.withColumn("broken_rules", F.when(F.col("op") == "DELETE", none).otherwise(F.col("broken_rules")))
+
+
 def snapshot_changes(old: DataFrame, new: DataFrame, key: Sequence[str], changed_at: Column) -> DataFrame:
     """The change feed between two snapshots with the same columns and a unique key."""
     def side(df: DataFrame, name: str) -> DataFrame:

@@ -6,7 +6,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from acadmetric.catalog.governance import ACTOR, event_changes
-from acadmetric.operators.audit import Actor, audit_from_changes, snapshot_changes
+from acadmetric.operators.audit import Actor, audit_from_changes, checked_changes, snapshot_changes
+from acadmetric.schema import TABLES
 from acadmetric.sources.driver import SCHEMAS, StarTables
 from acadmetric.streaming.audit_stream import audit_all
 
@@ -68,3 +69,20 @@ def test_stream_equals_batch_and_restarts_without_repeats(spark, small, tmp_path
     want = sorted(rows(batch.select(sorted(batch.columns))), key=str)
     assert sorted(rows(run().select(sorted(batch.columns))), key=str) == want
     assert run().count() == len(want)
+
+
+def test_changes_are_split_before_they_are_logged(spark):
+    pair = "struct<co_seq_producao:int,co_seq_docente:int,tp_participacao:string>"
+    feed = spark.createDataFrame([
+        ("INSERT", None, (1, 2, "AP")), ("INSERT", None, (1, 3, "XX")), ("UPDATE", (1, 2, "AP"), (None, 2, "CA")),
+        ("DELETE", (9, 9, "ZZ"), None),
+    ], f"op string, before {pair}, after {pair}").withColumn("changed_at", F.current_timestamp())
+    checked = checked_changes(feed, TABLES["rt_producao_docente"])
+    rejected = checked.filter(F.size("broken_rules") > 0)
+    assert sorted(r.broken_rules[0] for r in rejected.collect()) == [
+        "check: tp_participacao domain", "required: co_seq_producao"]
+    accepted = checked.filter(F.size("broken_rules") == 0).drop("broken_rules")
+    log = audit_from_changes(accepted, "rt_producao_docente", ["co_seq_producao", "co_seq_docente"], Actor("maria"))
+    assert sorted((r.au_tp_operacao, r.au_ds_chave_registro) for r in log.collect()) == [
+        ("E", "co_seq_producao=9;co_seq_docente=9;"), ("I", "co_seq_producao=1;co_seq_docente=2;")]
+    assert accepted.count() + rejected.count() == feed.count()
