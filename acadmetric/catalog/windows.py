@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from acadmetric.catalog.registry import query
 from acadmetric.catalog.views_sql import rounded, with_views
-from acadmetric.functions.exact import half_up_percent, scaled_ratio
+from acadmetric.functions.exact import half_up_mean, half_up_percent, scaled_ratio
 from acadmetric.operators.ordered import peer_positions, row_numbers, tile, with_peer_positions
+from acadmetric.session import written
 from acadmetric.sources.driver import StarTables
 from acadmetric.sources.views import evaluation_views
 
@@ -37,7 +38,7 @@ def _area_counts(s: StarTables, key: str) -> DataFrame:
 def win_rank_global(spark: SparkSession, folder: str) -> DataFrame:
     totals = StarTables(spark, folder).orders.groupBy("o_custkey").agg(
         F.sum(F.col("o_totalprice").cast("decimal(15,2)")).alias("t"))
-    return with_peer_positions(totals, "t", descending=True).select(
+    return with_peer_positions(written(totals, "totals"), "t", descending=True).select(
         "o_custkey", F.col("t").cast("double").alias("total"), (F.col("before") + 1).alias("ranking"))
 
 
@@ -47,7 +48,7 @@ def win_rank_global(spark: SparkSession, folder: str) -> DataFrame:
           JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey GROUP BY 1, 2)""")
 def win_rank_partition(spark: SparkSession, folder: str) -> DataFrame:
     counts = _area_counts(StarTables(spark, folder), "l_suppkey").withColumnRenamed("l_suppkey", "s_suppkey")
-    placed = with_peer_positions(counts, "n", ["r_name"], descending=True)
+    placed = with_peer_positions(written(counts, "counts"), "n", ["r_name"], descending=True)
     return placed.select("r_name", "s_suppkey", "n", (F.col("before") + 1).alias("posicao"))
 
 
@@ -99,7 +100,7 @@ def win_percent_rank(spark: SparkSession, folder: str) -> DataFrame:
     means = t["tb_parecer"].groupBy("co_seq_programa").agg(
         scaled_ratio(F.sum("vl_nota") * 100, F.count("*")).alias("mean"))
     placed = means.join(t["tb_programa"].select("co_seq_programa", "nm_programa", "co_seq_area"), "co_seq_programa")
-    ranked = with_peer_positions(placed, "mean", ["co_seq_area"])
+    ranked = with_peer_positions(written(placed, "means"), "mean", ["co_seq_area"])
     share = F.when(F.col("total") == 1, 0.0).otherwise(F.try_divide("before", F.col("total") - 1))
     return ranked.select(F.col("nm_programa").alias("prog_name"), F.col("co_seq_area").alias("area_id"),
                          share.alias("percentil"))
@@ -109,7 +110,7 @@ def win_percent_rank(spark: SparkSession, folder: str) -> DataFrame:
     SELECT prog_id, yr, kind, cume_dist() OVER (PARTITION BY kind ORDER BY units) AS dist FROM indicator"""))
 def win_cume_dist(spark: SparkSession, folder: str) -> DataFrame:
     rows = evaluation_views(spark, folder)["tb_indicador"]
-    placed = with_peer_positions(rows, "vl_indicador", ["tp_indicador"])
+    placed = with_peer_positions(written(rows, "indicators"), "vl_indicador", ["tp_indicador"])
     return placed.select(
         F.col("co_seq_programa").alias("prog_id"), F.col("nu_ano_referencia").cast("bigint").alias("yr"),
         F.col("tp_indicador").alias("kind"), ((F.col("before") + F.col("peers")) / F.col("total")).alias("dist"))
@@ -187,8 +188,6 @@ def win_partition_count(spark: SparkSession, folder: str) -> DataFrame:
         SELECT prog_id, yr, sum(units) OVER w AS s, count(*) OVER w AS k FROM indicator WHERE kind = 'PD'
         WINDOW w AS (PARTITION BY prog_id ORDER BY yr ROWS BETWEEN 1 PRECEDING AND CURRENT ROW))"""))
 def win_moving_avg_rows(spark: SparkSession, folder: str) -> DataFrame:
-    from acadmetric.functions.exact import half_up_mean
-
     rows = evaluation_views(spark, folder)["tb_indicador"].filter(F.col("tp_indicador") == "PD")
     pair = Window.partitionBy("co_seq_programa").orderBy("nu_ano_referencia").rowsBetween(-1, 0)
     sums = rows.withColumn("s", F.sum("vl_indicador").over(pair)).withColumn("k", F.count("*").over(pair))

@@ -72,7 +72,10 @@ def peer_positions(df: DataFrame, value: str, by: Sequence[str] = (), descending
 
 
 def with_peer_positions(df: DataFrame, value: str, by: Sequence[str] = (), descending: bool = False) -> DataFrame:
-    """Every row of ``df`` with the counts of :func:`peer_positions`."""
+    """Every row of ``df`` with the counts of :func:`peer_positions`.
+
+    ``df`` is read twice: pass a stored table, or a written copy of an aggregate.
+    """
     positions = peer_positions(df, value, by, descending)
     keys = [F.col(f"d.{c}").eqNullSafe(F.col(f"p.{c}")) for c in (*by, value)]
     return df.alias("d").join(positions.alias("p"), keys).select("d.*", "p.before", "p.peers", "p.total")

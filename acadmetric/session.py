@@ -47,8 +47,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that nothing else uses."""
-    return os.path.join(shared_folder(spark), "acadmetric", f"{label}-{uuid.uuid4().hex}")
+    """A path that nothing else uses, below one folder per application in the shared folder."""
+    application = spark.sparkContext.applicationId
+    return os.path.join(shared_folder(spark), "acadmetric", application, f"{label}-{uuid.uuid4().hex}")
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
