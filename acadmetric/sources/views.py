@@ -75,11 +75,13 @@ def _outputs(s: StarTables) -> DataFrame:
 
 def _links(s: StarTables) -> DataFrame:
     held = s.lineitem.filter((F.col("l_linenumber") == 1) & (F.col("l_linestatus") == "F"))
+    # The smallest flag as a number: the minimum of a text would sort the rows of each task.
+    flag = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1).otherwise(2)
+    kinds = F.when(F.col("flag") == 0, "PE").when(F.col("flag") == 1, "CO").otherwise("VI")
     return (
         held.groupBy(F.col("l_suppkey").alias("co_seq_programa"), F.col("l_partkey").alias("co_seq_docente"))
-        .agg(F.min("l_returnflag").alias("flag"))
-        .select("co_seq_programa", "co_seq_docente",
-                _code("flag", {"A": "PE", "N": "CO"}, "VI").alias("tp_vinculo"))
+        .agg(F.min(flag).alias("flag"))
+        .select("co_seq_programa", "co_seq_docente", kinds.alias("tp_vinculo"))
     )
 
 
