@@ -230,23 +230,33 @@ def type_share_by_area(t: Tables, limit: int = 30) -> DataFrame:
 
 
 def heavy_criteria_areas(t: Tables, limit: int = 25) -> DataFrame:
-    """Areas whose mean criterion weight exceeds the overall mean, with their number of evaluators.
+    """Areas (by name) whose mean criterion weight exceeds the overall mean, with their number of evaluators.
 
-    Criteria and evaluators are aggregated apart: joining them per area would
-    repeat every weight once per evaluator without changing its mean.
+    As specified, a criterion counts once per evaluator of its area, which
+    matters only if areas share a name. Both sides are aggregated per area and
+    the sums multiplied, so the join repeats nothing.
     """
     weights = t["tb_criterio_avaliacao"].groupBy("co_seq_area").agg(
         F.sum("vl_peso").alias("s"), F.count("vl_peso").alias("n"))
-    people = t["tb_avaliador"].groupBy("co_seq_area").agg(F.countDistinct("co_seq_avaliador").alias("q"))
+    people = (
+        t["tb_avaliador"].groupBy("co_seq_area", "co_seq_avaliador").agg(F.count("*").alias("r"))
+        .groupBy("co_seq_area").agg(F.count("co_seq_avaliador").alias("q"), F.sum("r").alias("r"))
+    )
     overall = t["tb_criterio_avaliacao"].agg(
         (F.sum("vl_peso") * 100).cast(_WIDE).alias("s"), F.count("vl_peso").cast(_WIDE).alias("n"))
-    above = (F.col("s") * 100).cast(_WIDE) * overall.select("n").scalar() > overall.select("s").scalar() * _wide("n")
-    return (
+    times = F.coalesce("r", F.lit(1)).cast(_WIDE)
+    named = (
         t["tb_area_avaliacao"].select("co_seq_area", "nm_area")
-        .join(weights.filter(above), "co_seq_area")
+        .join(weights, "co_seq_area")
         .join(people, "co_seq_area", "left")
-        .select("nm_area", half_up_mean(F.col("s"), F.col("n"), 2, 2).alias("peso_medio"),
-                F.coalesce("q", F.lit(0)).alias("qt_avaliadores"))
+        .groupBy("nm_area")
+        .agg(F.sum((F.col("s") * 100).cast(_WIDE) * times).alias("cents"), F.sum(F.col("n") * times).alias("rows"),
+             F.sum(F.coalesce("q", F.lit(0))).alias("qt_avaliadores"))
+    )
+    above = F.col("cents") * overall.select("n").scalar() > overall.select("s").scalar() * F.col("rows")
+    return (
+        named.filter(above)
+        .select("nm_area", half_up(F.col("cents"), F.col("rows") * 100, 2).alias("peso_medio"), "qt_avaliadores")
         .orderBy(F.desc("peso_medio"), "nm_area")
         .limit(limit)
     )

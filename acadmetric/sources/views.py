@@ -134,7 +134,8 @@ def _indicators(s: StarTables) -> DataFrame:
             F.year("l_shipdate").alias("nu_ano_referencia"),
             _code("l_returnflag", {"A": "PD", "N": "FE", "R": "II"}).alias("tp_indicador"),
         )
-        .agg(F.sum(F.col("l_quantity").cast("decimal(10,4)")).alias("vl_indicador"))
+        # Sums of at most 18 digits stay in a machine word.
+        .agg(F.sum(F.col("l_quantity").cast("decimal(8,4)")).alias("vl_indicador"))
     )
 
 

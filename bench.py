@@ -43,7 +43,7 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "2"))
     queries = load().QUERIES
     reports = [n for n in queries if n.startswith(("qi", "qa")) and not n.endswith(VARIANTS)]
-    names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or [*HEADLINE, *reports]
+    names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or [*reports, *HEADLINE]
     spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8)
     times = {}
     for name in names:

@@ -98,6 +98,20 @@ def test_area_without_evaluators_is_kept(spark):
     assert rows(adv.heavy_criteria_areas(t)) == [("Area 1", 70.0, 0)]
 
 
+def test_areas_that_share_a_name_weigh_criteria_by_evaluators(spark):
+    t = tables(
+        spark,
+        tb_area_avaliacao=([(1, "Same"), (2, "Same"), (3, "Other")], "co_seq_area int, nm_area string"),
+        tb_criterio_avaliacao=([(1, "50.55"), (1, "80"), (2, "90"), (3, "20.10")], "co_seq_area int, v string"),
+        tb_avaliador=([(1, 1), (2, 1), (3, 1), (4, 2), (5, 3)], "co_seq_avaliador int, co_seq_area int"))
+    t["tb_criterio_avaliacao"] = t["tb_criterio_avaliacao"].select(
+        "co_seq_area", F.col("v").cast("decimal(5,2)").alias("vl_peso"))
+    joined = t["tb_area_avaliacao"].join(t["tb_criterio_avaliacao"], "co_seq_area").join(
+        t["tb_avaliador"], "co_seq_area", "left")
+    want = joined.filter("nm_area = 'Same'").agg(F.round(F.avg("vl_peso"), 2).cast("double"), F.countDistinct("co_seq_avaliador"))
+    assert rows(adv.heavy_criteria_areas(t)) == [("Same", *rows(want)[0])]
+
+
 def indicator_tables(spark, values):
     t = tables(spark, tb_indicador=([(p, y, k, v) for p, y, k, v in values],
                                     "co_seq_programa int, nu_ano_referencia int, tp_indicador string, v string"))
