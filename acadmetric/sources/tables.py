@@ -62,21 +62,26 @@ def insert_ignore(target: DataFrame, incoming: DataFrame, key: Sequence[str], or
     return fresh.join(target.select(*key), list(key), "left_anti")
 
 
-def lay_out_by_key(df: DataFrame, table: str, path: str, key: str, buckets: int) -> DataFrame:
+# A key may hold this many times the rows of an average bucket.
+BUCKET_SKEW = 4
+
+
+def lay_out_by_key(df: DataFrame, table: str, path: str, key: str, buckets: int, skew: float = BUCKET_SKEW) -> DataFrame:
     """Store ``df`` bucketed on a join column, so later joins on it need no shuffle.
 
-    The rebalance hint lets adaptive execution split an oversized key over
-    several writers; each of them adds its own file to the bucket.
+    A bucket is read by one task. If one key alone would overfill a bucket the
+    table is stored sorted but without buckets: joins on it then shuffle, and
+    adaptive execution splits the large key. The rebalance hint lets it split
+    the key over several writers as well.
     """
-    (
-        df.hint("rebalance", key)
-        .write.mode("overwrite")
-        .bucketBy(buckets, key)
-        .sortBy(key)
-        .option("path", path)
-        .format("parquet")
-        .saveAsTable(table)
-    )
+    largest, rows = (
+        df.groupBy(key).agg(F.count("*").alias("n")).agg(F.max("n"), F.sum("n")).first())
+    spread = df.hint("rebalance", key)
+    if rows and largest * buckets > skew * rows:
+        writer = spread.sortWithinPartitions(key).write
+    else:
+        writer = spread.write.bucketBy(buckets, key).sortBy(key)
+    writer.mode("overwrite").option("path", path).format("parquet").saveAsTable(table)
     return df.sparkSession.table(table)
 
 

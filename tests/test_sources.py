@@ -51,6 +51,15 @@ def test_tables_laid_out_by_key_join_without_shuffle(spark, tmp_path):
     assert joined.count() == 500
 
 
+def test_a_hot_key_is_not_put_into_one_bucket(spark, tmp_path):
+    hot = spark.range(1000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), "id")
+    stored = store.lay_out_by_key(hot, "lay_hot", str(tmp_path / "h"), "k", 16)
+    assert spark.sql("DESCRIBE EXTENDED lay_hot").filter("col_name = 'Num Buckets'").count() == 0
+    assert sorted(rows(stored)) == sorted(rows(hot))
+    store.lay_out_by_key(spark.range(1000).withColumnRenamed("id", "k"), "lay_even", str(tmp_path / "e"), "k", 16)
+    assert spark.sql("DESCRIBE EXTENDED lay_even").filter("col_name = 'Num Buckets'").first().data_type == "16"
+
+
 def test_subset_is_read_by_partition(spark, small, tmp_path):
     lines = StarTables(spark, small).lineitem.select("l_suppkey", "l_linestatus", "l_returnflag")
     subset = store.store_subset(lines, F.col("l_linestatus") == "F", "l_returnflag", str(tmp_path / "s"))
