@@ -9,6 +9,7 @@ from acadmetric.catalog.registry import query
 from acadmetric.catalog.views_sql import rounded, with_views
 from acadmetric.functions.exact import half_up, half_up_mean, half_up_percent
 from acadmetric.operators.ordered import row_numbers
+from acadmetric.schema import INDICATOR_TYPES
 from acadmetric.session import new_path, written
 from acadmetric.sources import tables as store
 from acadmetric.sources.driver import StarTables
@@ -261,13 +262,13 @@ def join_left_outer(spark: SparkSession, folder: str) -> DataFrame:
         "n_name", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-@query("join_cross_grid", """
-    SELECT s_suppkey, ano, tipo FROM supplier CROSS JOIN (VALUES (2021), (2022), (2023), (2024)) AS y(ano)
-    CROSS JOIN (VALUES ('PD'), ('FE'), ('II'), ('IS')) AS t(tipo)""")
+@query("join_cross_grid", f"""
+    SELECT s_suppkey, ano, tipo FROM supplier CROSS JOIN (SELECT unnest(range(2022, 2026)) AS ano)
+    CROSS JOIN (SELECT unnest({list(INDICATOR_TYPES)}) AS tipo)""")
 def join_cross_grid(spark: SparkSession, folder: str) -> DataFrame:
     # Both literal sides are fixed lists, so the grid is a generator on each parent row: no join, no shuffle.
-    years = F.explode(F.array(*[F.lit(y) for y in (2021, 2022, 2023, 2024)])).alias("ano")
-    kinds = F.explode(F.array(*[F.lit(k) for k in ("PD", "FE", "II", "IS")])).alias("tipo")
+    years = F.explode(F.sequence(F.lit(2022).cast("bigint"), F.lit(2025).cast("bigint"))).alias("ano")
+    kinds = F.explode(F.array(*[F.lit(k) for k in INDICATOR_TYPES])).alias("tipo")
     return StarTables(spark, folder).supplier.select("s_suppkey", years).select("s_suppkey", "ano", kinds)
 
 

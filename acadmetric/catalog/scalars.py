@@ -27,12 +27,12 @@ def _qualis() -> Column:
 
 
 _QUALIS_SQL = "nullif(o_orderpriority, '4-NOT SPECIFIED')"
-_CODES = ("CNPq", "CAPES", "FINEP")
+_CODES = ("alfa", "beta", "gama")
 
 _over("fn_concat", "orders", "o_orderkey", lambda: F.concat(_qualis(), F.lit("/"), "o_orderstatus"),
       f"{_QUALIS_SQL} || '/' || o_orderstatus")
-_over("fn_lpad", "orders", "o_orderkey", lambda: padded_code("PROG", F.col("o_orderkey"), 9),
-      "'PROG' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0')")
+_over("fn_lpad", "orders", "o_orderkey", lambda: padded_code("P-", F.col("o_orderkey"), 12),
+      "'P-' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0')")
 _over("fn_cast", "orders", "o_orderkey", lambda: F.col("o_totalprice").cast("decimal(15,2)").cast("string"),
       "CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS VARCHAR)")
 _over("fn_coalesce", "orders", "o_orderkey", lambda: F.coalesce(_qualis(), F.lit("-")), f"coalesce({_QUALIS_SQL}, '-')")
@@ -45,15 +45,15 @@ _over("fn_arith", "orders", "o_orderkey",
       lambda: F.call_function("div", F.col("o_orderkey") * 3 + 7, F.lit(2)) - F.col("o_custkey"),
       "(o_orderkey * 3 + 7) // 2 - o_custkey")
 _over("fn_mod", "orders", "o_orderkey", lambda: F.col("o_orderkey") % 8, "o_orderkey % 8")
-_over("fn_floor_power", "part", "p_partkey", lambda: F.floor(F.pow(F.lit(0.5), F.col("p_size") % 5) * 80),
-      "CAST(floor(power(0.5, p_size % 5) * 80) AS BIGINT)")
+_over("fn_floor_power", "part", "p_partkey", lambda: F.floor(F.pow(F.lit(0.5), F.col("p_size") % 5) * 240),
+      "CAST(floor(power(0.5, p_size % 5) * 240) AS BIGINT)")
 _over("fn_random_seeded", "orders", "o_orderkey", lambda: uniform(42, F.col("o_orderkey")),
       "CAST(('0x' || substr(md5('42:' || o_orderkey), 1, 13)) AS BIGINT) / 4503599627370496.0")
 _over("fn_array_index", "orders", "o_orderkey", lambda: pick(_CODES, F.col("o_orderkey") % 4 + 1),
       f"(['{_CODES[0]}', '{_CODES[1]}', '{_CODES[2]}'])[o_orderkey % 4 + 1]")
 _over("fn_date_literal_add", "orders", "o_orderkey",
-      lambda: F.date_add(F.lit("2015-01-01").cast("date"), (F.col("o_orderkey") % 3000).cast("int")).cast("string"),
-      "CAST(DATE '2015-01-01' + CAST(o_orderkey % 3000 AS INT) AS VARCHAR)")
+      lambda: F.date_add(F.lit("2016-02-27").cast("date"), (F.col("o_orderkey") % 1461).cast("int")).cast("string"),
+      "CAST(DATE '2016-02-27' + CAST(o_orderkey % 1461 AS INT) AS VARCHAR)")
 _over("fn_make_date", "orders", "o_orderkey",
       lambda: F.make_date(F.year("o_orderdate"), F.lit(12), F.lit(15)).cast("string"),
       "CAST(make_date(year(o_orderdate), 12, 15) AS VARCHAR)")

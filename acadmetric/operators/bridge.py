@@ -12,8 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A member with more groups than this may be a hub.
-WIDE_MEMBER = 64
+# A member with more groups than this may be a hub; others repeat each of their items at most this often.
+WIDE_MEMBER = 16
 # A hub would emit at least this many (group, item) pairs.
 HUB_PAIRS = 10_000_000
 # Hubs get one bit each; the mask tables have at most 2^HUBS - 1 rows.

@@ -102,19 +102,19 @@ def indicator_means(t: Tables) -> DataFrame:
     )
 
 
-def program_collaborations(t: Tables) -> DataFrame:
-    """Distinct (program, collaboration) pairs through projects."""
+def collaboration_paths(t: Tables) -> DataFrame:
+    """(program, collaboration) of every known collaboration of a project; pairs may repeat."""
     bridge = t["rt_projeto_colaboracao"].join(
         t["tb_colaboracao_internacional"].select("co_seq_colaboracao"), "co_seq_colaboracao", "left_semi")
     projects = t["tb_projeto_pesquisa"].select("co_seq_projeto", "co_seq_programa")
-    return bridge.join(projects, "co_seq_projeto").select("co_seq_programa", "co_seq_colaboracao").distinct()
+    return bridge.join(projects, "co_seq_projeto").select("co_seq_programa", "co_seq_colaboracao")
 
 
 def collaborations_by_program(t: Tables, limit: int = 20) -> DataFrame:
     """International collaborations per program name."""
     names = t["tb_programa"].select("co_seq_programa", "nm_programa")
     return (
-        program_collaborations(t).join(names, "co_seq_programa")
+        collaboration_paths(t).join(names, "co_seq_programa")
         .select("nm_programa", "co_seq_colaboracao").distinct()
         .groupBy("nm_programa").agg(F.count("*").alias("qt_colaboracoes"))
         .orderBy(F.desc("qt_colaboracoes"), "nm_programa")
@@ -188,5 +188,5 @@ def active_students_per_program(t: Tables) -> DataFrame:
 
 
 def collaborations_per_program(t: Tables) -> DataFrame:
-    counts = rows_per_program(program_collaborations(t), "qt_colaboracoes")
+    counts = rows_per_program(collaboration_paths(t).distinct(), "qt_colaboracoes")
     return counts.join(t["tb_programa"].select("co_seq_programa"), "co_seq_programa", "left_semi")

@@ -50,7 +50,7 @@ def frames(spark: SparkSession) -> dict[str, DataFrame]:
     draws = spark.range(1, FACULTY * 3 + 1).withColumnRenamed("id", "g")
     links = draws.select(skew(1, PROGRAMS).alias("co_seq_programa"), (g % FACULTY + 1).cast("int").alias("co_seq_docente"),
                          pick(("PE", "CO", "VI"), upto(2, 3)).alias("tp_vinculo"),
-                         day("2012-01-01", 3, 3000).alias("dt_inicio_vinculo"),
+                         day("2015-03-01", 3, 700).alias("dt_inicio_vinculo"),
                          F.lit(None).cast("date").alias("dt_fim_vinculo"), g)
     outputs = spark.range(1, OUTPUTS * 3 + 1).withColumnRenamed("id", "g")
     authors = outputs.select((g % OUTPUTS + 1).cast("int").alias("co_seq_producao"), skew(4, FACULTY).alias("co_seq_docente"),
@@ -61,45 +61,45 @@ def frames(spark: SparkSession) -> dict[str, DataFrame]:
     cpf = padded_code("", g, 11)
     return {
         "tb_instituicao": table("tb_instituicao", 5, nm_instituicao=name("Universidade"), nu_cnpj=padded_code("", g, 14),
-                                sg_uf=F.lit("BA"), nm_cidade=F.lit("Salvador")),
+                                sg_uf=F.lit("CE"), nm_cidade=F.lit("Sobral")),
         "tb_area_avaliacao": table("tb_area_avaliacao", AREAS, nm_area=name("Area"), co_area_capes=padded_code("", g, 8)),
         "tb_docente": table("tb_docente", FACULTY, nm_docente=name("Docente"), nu_cpf=cpf, ds_titulacao=F.lit("DO")),
-        "tb_evento": table("tb_evento", 6, nm_evento=name("Evento"), tp_evento=F.lit("CO")),
+        "tb_evento": table("tb_evento", 6, nm_evento=name("Encontro"), tp_evento=F.lit("CO")),
         "tb_colaboracao_internacional": table(
             "tb_colaboracao_internacional", 15, nm_instituicao_parceira=name("Parceira"), nm_pais=F.lit("Chile"),
             tp_colaboracao=F.lit("PJ")),
-        "tb_programa": table("tb_programa", PROGRAMS, nm_programa=name("PPG"), co_programa_capes=padded_code("PROG", g, 9),
+        "tb_programa": table("tb_programa", PROGRAMS, nm_programa=name("PPG"), co_programa_capes=padded_code("X", g, 7),
                              tp_nivel=pick(("ME", "DO", "MP"), g % 3 + 1), co_seq_instituicao=upto(7, 5),
                              co_seq_area=upto(8, AREAS)),
         "tb_discente": table("tb_discente", 200, nm_discente=name("Discente"), nu_cpf=cpf,
                              tp_nivel=pick(("ME", "DO"), g % 2 + 1), co_seq_programa=skew(9, PROGRAMS),
-                             co_seq_docente_orientador=skew(10, FACULTY), dt_ingresso=day("2018-01-01", 11, 2000),
+                             co_seq_docente_orientador=skew(10, FACULTY), dt_ingresso=day("2021-08-01", 11, 400),
                              tp_status=pick(("AT", "TI", "DE"), upto(12, 3))),
         "tb_egresso": table("tb_egresso", 400, nm_egresso=name("Egresso"), nu_cpf=cpf, co_seq_programa=skew(13, PROGRAMS),
-                            dt_titulacao=day("2010-01-01", 14, 5000)),
+                            dt_titulacao=day("2019-02-01", 14, 1500)),
         "tb_producao_cientifica": table(
-            "tb_producao_cientifica", OUTPUTS, nm_titulo=name("Producao"), tp_producao=kind,
+            "tb_producao_cientifica", OUTPUTS, nm_titulo=name("Texto"), tp_producao=kind,
             ds_qualis=F.when(kind != "AN", pick(("A1", "A2", "B1", "B2"), g % 3 + 1)),
-            nu_ano_publicacao=upto(15, 17) + 2007, co_seq_evento=F.when(kind == "AN", upto(16, 6))),
+            nu_ano_publicacao=upto(15, 9) + 2015, co_seq_evento=F.when(kind == "AN", upto(16, 6))),
         "tb_projeto_pesquisa": table(
-            "tb_projeto_pesquisa", 40, nm_projeto=name("Projeto"), ds_financiador=pick(("CNPq", "FINEP"), upto(17, 2)),
-            vl_financiamento=F.when(g % 10 != 0, u(18) * 2000000), co_seq_programa=skew(19, PROGRAMS),
-            dt_inicio=day("2017-01-01", 20, 2000), tp_status=F.lit("AT")),
+            "tb_projeto_pesquisa", 40, nm_projeto=name("Estudo"), ds_financiador=pick(("Fundo A", "Fundo B"), upto(17, 2)),
+            vl_financiamento=F.when(g % 10 != 0, u(18) * 350000), co_seq_programa=skew(19, PROGRAMS),
+            dt_inicio=day("2022-05-01", 20, 300), tp_status=F.lit("AT")),
         "tb_criterio_avaliacao": table("tb_criterio_avaliacao", AREAS * 5, co_seq_area=g % AREAS + 1,
                                        nm_criterio=name("Criterio"), vl_peso=u(21) * 100),
         "tb_avaliador": table("tb_avaliador", 15, nm_avaliador=name("Avaliador"), nu_cpf=cpf, co_seq_area=upto(22, AREAS)),
         "tb_parecer": table("tb_parecer", 200, co_seq_avaliador=upto(23, 15), co_seq_programa=skew(24, PROGRAMS),
-                            nu_ano_avaliacao=upto(25, 5) + 2019, vl_nota=u(26) * 10, dt_emissao=day("2020-01-01", 27, 900)),
+                            nu_ano_avaliacao=upto(25, 5) + 2019, vl_nota=u(26) * 10, dt_emissao=day("2021-01-01", 27, 1200)),
         "tb_indicador": indicators.select(
             F.monotonically_increasing_id().cast("int").alias("co_seq_indicador"), F.col("p").cast("int").alias("co_seq_programa"),
             F.col("y").alias("nu_ano_referencia"), F.col("k").alias("tp_indicador"),
-            (u(28) * 1000).cast("decimal(10,4)").alias("vl_indicador")).withColumn(
+            (u(28) * 90).cast("decimal(10,4)").alias("vl_indicador")).withColumn(
                 "co_seq_indicador", F.hash("co_seq_programa", "nu_ano_referencia", "tp_indicador")),
         "tb_relatorio": program_years.select(
             (F.col("p") * 10000 + F.col("y")).cast("int").alias("co_seq_relatorio"), F.col("p").cast("int").alias("co_seq_programa"),
             F.col("y").alias("nu_ano_referencia"), F.when(F.col("y") == 2024, "QU").otherwise("AN").alias("tp_relatorio"),
             F.when((F.col("p") + F.col("y")) % 5 != 0, F.col("p") % 5 + 3).cast("int").alias("nu_conceito_final"),
-            F.make_date(F.col("y"), F.lit(12), F.lit(15)).alias("dt_geracao")),
+            F.make_date(F.col("y"), F.lit(11), F.lit(30)).alias("dt_geracao")),
         "rt_programa_docente": first_writer(links, ["co_seq_programa", "co_seq_docente"], ["g"]).drop("g"),
         "rt_producao_docente": authors,
         "rt_projeto_colaboracao": pairs.distinct(),
