@@ -41,8 +41,8 @@ def scan_table(spark: SparkSession, folder: str) -> DataFrame:
     LEFT JOIN orders ON o_orderkey = g""")
 def series_source(spark: SparkSession, folder: str) -> DataFrame:
     orders = StarTables(spark, folder).orders.select("o_orderkey", "o_orderstatus")
-    end = orders.agg(F.max("o_orderkey")).first()[0] + 1
-    series = spark.range(0, end).withColumnRenamed("id", "g")
+    last = orders.agg(F.max("o_orderkey")).first()[0]
+    series = spark.range(0, 0 if last is None else last + 1).withColumnRenamed("id", "g")
     return series.join(orders, F.col("g") == F.col("o_orderkey"), "left").select("g", "o_orderstatus")
 
 

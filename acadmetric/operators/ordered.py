@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from acadmetric.functions.exact import whole_div
 from acadmetric.session import written
 
+BROADCAST_NAMES = 10_000
+
 
 def sum_before(df: DataFrame, weight: str, order: Sequence[Column], by: Sequence[str] = (),
                parts: int | None = None) -> DataFrame:
@@ -104,15 +106,18 @@ def top_ranked(df: DataFrame, value: str, ties: Sequence[Column], limit: int, na
 def first_rows(df: DataFrame, group: str, order: Sequence[Column], least: int, limit: int) -> DataFrame:
     """The first ``limit`` rows by (group, order) among groups of ``least`` rows or more.
 
-    At most ``limit`` groups can contribute, so their names are broadcast and
-    nothing is sorted but the kept rows. They are a prefix of each group's
-    history: a window that looks back finds everything it needs in them.
+    At most ``limit`` groups can contribute, so their names are broadcast (up
+    to BROADCAST_NAMES of them) and nothing is sorted but the kept rows. They
+    are a prefix of each group's history: a window that looks back finds
+    everything it needs in them.
     """
     names = (
         df.groupBy(group).agg(F.count("*").alias("_n")).filter(F.col("_n") >= least)
         .select(group).orderBy(group).limit(limit)
     )
-    return df.join(F.broadcast(names), group).orderBy(group, *order).limit(limit)
+    if limit <= BROADCAST_NAMES:
+        names = F.broadcast(names)
+    return df.join(names, group).orderBy(group, *order).limit(limit)
 
 
 def top_values(df: DataFrame, value: str, by: Sequence[str], limit: int) -> DataFrame:
