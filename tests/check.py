@@ -15,7 +15,8 @@ import pyarrow as pa  # noqa: E402
 
 from acadmetric.session import local_session  # noqa: E402
 
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+          "conversations").split()
 
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
