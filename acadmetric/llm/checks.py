@@ -21,3 +21,27 @@ SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(
        d.doc_id <= coalesce(r.v, d.doc_id) AS kept
 FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN roots r ON r.u = d.doc_id
 """
+
+DECONTAMINATION = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (
+    SELECT DISTINCT item_id, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS s
+    FROM (SELECT item_id, w, least(10, len(w)) AS k, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM items WHERE len(w) > 0)),
+places AS (
+    SELECT r, i, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS s
+    FROM (SELECT r, w, k, unnest(range(1, greatest(len(w) - k + 2, 1))) AS i FROM docs, (SELECT DISTINCT k FROM windows))),
+found AS (SELECT r, i, k, item_id FROM places JOIN windows USING (k, s)),
+hit AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + k)) AS p FROM found) GROUP BY r),
+named AS (
+    SELECT r, count(*) AS n, string_agg(t, ',' ORDER BY t) AS ids
+    FROM (SELECT DISTINCT r, item_id::VARCHAR AS t FROM found WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit, coalesce(named.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, hit.n IS NOT NULL AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+"""

@@ -20,6 +20,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(posixpath.join(folder, f"{name}.parquet"))
 
 
+def vocabulary_file(name: str) -> str:
+    """The path of a public tokenizer's file, on whatever machine asks."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def id_and_text(docs: DataFrame) -> DataFrame:
     """Only the two columns the operators read; whatever else the rows carry cannot clash."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

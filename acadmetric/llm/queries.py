@@ -5,10 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from acadmetric.llm import checks
-from acadmetric.llm.common import table
+from acadmetric.llm.common import table, vocabulary_file
+from acadmetric.llm.decontamination import contaminated_documents
 from acadmetric.llm.near_dedup import near_duplicate_groups
+from acadmetric.llm.sharding import byte_shards
+from acadmetric.llm.token_files import read_token_files, write_token_files
+from acadmetric.session import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -27,3 +32,22 @@ def query(name: str, check: str | None = None) -> Callable:
 @query("op1_minhash_near_dedup", checks.NEAR_DEDUP)
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicate_groups(table(spark, folder, "documents"), width=4, percent=80)
+
+
+@query("op3_benchmark_decontamination", checks.DECONTAMINATION)
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    found = contaminated_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"), window=10)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@query("op4_token_files")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizer = vocabulary_file("word_bpe_49k.json")
+    files = write_token_files(table(spark, folder, "documents"), new_path(spark, "tokens"), tokenizer, end_id=1)
+    return read_token_files(spark, files, tokenizer)
+
+
+@query("op8_byte_shards")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return byte_shards(table(spark, folder, "documents"), shards=24).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
