@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acadmetric.llm import checks
-from acadmetric.llm.common import table, vocabulary_file
+from acadmetric.llm.common import fold, table, vocabulary_file
 from acadmetric.llm.decontamination import contaminated_documents
 from acadmetric.llm.near_dedup import near_duplicate_groups
+from acadmetric.llm.quality import fit_quality, quality_scores
 from acadmetric.llm.sharding import byte_shards
 from acadmetric.llm.token_files import read_token_files, write_token_files
+from acadmetric.llm.toxicity import fit_toxicity, toxicity_scores
 from acadmetric.session import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +53,22 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return byte_shards(table(spark, folder, "documents"), shards=24).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def _judged(scores: DataFrame, threshold: float) -> DataFrame:
+    return scores.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+                         (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+@query("op7_nbsvm_quality")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    labels = table(spark, folder, "labels").filter(fold(F.col("doc_id"), 5) != 0)
+    return _judged(quality_scores(docs, fit_quality(docs, labels)), 0.3)
+
+
+@query("op10_crf_toxicity")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    labels = table(spark, folder, "labels").filter(fold(F.col("doc_id"), 5) != 0)
+    return _judged(toxicity_scores(docs, fit_toxicity(docs, labels)), 0.5)
