@@ -89,3 +89,26 @@ def platt(margin: np.ndarray, label: np.ndarray, weight: np.ndarray, steps: int
         move = np.linalg.solve(bend, slope)
         b = b - move * min(1.0, 2.0 / max(1e-9, float(np.abs(move).max())))
     return float(b[0] / spread), float(b[1])
+
+
+def without_copies(texts: list[bytes], sketch: int = 16) -> list[int]:
+    """Numbers of the texts that are no copy of an earlier one, exact or near: half of its smallest shingle hashes are new.
+
+    For bounded samples: a text that was copied often would make every rare word in it look typical of its class.
+    """
+    owner: dict[int, set[int]] = {}
+    kept = []
+    for i, text in enumerate(texts):
+        h = Words.of([text], LETTERS).hash
+        h = h[:-2] * np.uint64(3) + h[1:-1] * np.uint64(5) + h[2:] * np.uint64(7) if len(h) > 2 else h
+        own = np.unique(mix(h))[:sketch].tolist()
+        met: dict[int, int] = {}
+        for x in own:
+            for j in owner.get(x, ()):
+                met[j] = met.get(j, 0) + 1
+        if own and max(met.values(), default=0) * 2 >= len(own):
+            continue
+        kept.append(i)
+        for x in own:
+            owner.setdefault(x, set()).add(i)
+    return kept

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acadmetric.llm.common import doc_batches, id_and_text, sample_ids, utf8
-from acadmetric.llm.tokens import LETTERS, Words, bucket, platt, sigmoid
+from acadmetric.llm.tokens import LETTERS, Words, bucket, platt, sigmoid, without_copies
 
 BITS = 18
 SPAN = 8  # tokens on each side of a training window
@@ -207,8 +207,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 4000, max_
     sample = F.broadcast(sample_ids(labels, "toxic", per_class))  # at most 2 * per_class rows
     rows = sorted(id_and_text(docs).filter(F.octet_length("text") <= max_bytes).join(sample, "doc_id").select(
         "doc_id", "label", "text").collect())
-    toxic = np.array([r[1] == "1" for r in rows], bool)
-    return fit([r[2].encode() for r in rows], toxic, counts.get(1, 0) / max(1, sum(counts.values())))
+    texts = [r[2].encode() for r in rows]
+    own = without_copies(texts)
+    toxic = np.array([rows[i][1] == "1" for i in own], bool)
+    return fit([texts[i] for i in own], toxic, counts.get(1, 0) / max(1, sum(counts.values())))
 
 
 def toxicity_scores(docs: DataFrame, field: Field) -> DataFrame:
