@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from acadmetric.llm import checks
 from acadmetric.llm.common import fold, table, vocabulary_file
 from acadmetric.llm.decontamination import contaminated_documents
+from acadmetric.llm.language import fit_language, languages
 from acadmetric.llm.near_dedup import near_duplicate_groups
 from acadmetric.llm.quality import fit_quality, quality_scores
 from acadmetric.llm.sharding import byte_shards
@@ -72,3 +73,11 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     labels = table(spark, folder, "labels").filter(fold(F.col("doc_id"), 5) != 0)
     return _judged(toxicity_scores(docs, fit_toxicity(docs, labels)), 0.5)
+
+
+@query("op5_subword_language")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = fold(F.col("doc_id"), 3) == 1
+    model = fit_language(docs.filter(~held_out).select("doc_id", "text", "lang"))
+    return languages(docs, model, reject=False).select("doc_id", fold(F.col("doc_id"), 3).eqNullSafe(1).alias("held_out"), "lang_pred", "score")
