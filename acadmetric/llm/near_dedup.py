@@ -4,11 +4,13 @@ A document's set holds the hashes of its distinct word shingles. One sorted pass
 (the top bits of a hash name its bin); empty bins take the value of a bin drawn by a hash of (bin, attempt), the same draw
 for every document, which is the optimal densification. Bins are banded, and equal bands put documents into a bucket.
 
-Buckets never emit their pairs. Equal sets collapse to the document with the smallest id first. In a first round each
-bucket links its members to one centre (a star), links are confirmed on the full sets, and components are formed. A bucket
-whose members still lie in several components goes on: further members become centres, twice as many in each round, and
-are held against the members of other components only, until every such pair of the bucket has been compared. With
-``bins=128, rows=4`` a pair of similarity 0.8 shares no bucket with a probability of 5e-8.
+Buckets never emit their pairs. Equal sets collapse to the document with the smallest id first. Each bucket links its members
+to one centre (a star), links are confirmed on the full sets, and components are formed. Buckets that are one component
+then need no further look: no pair in them can join anything. The documents of the other buckets meet once more, by an exact
+prefix filter: with shingles ordered from rare to common, two sets of the wanted similarity share one among their first
+few, early enough for what follows to suffice. What it finds across components is confirmed and joins them. So no link of a
+bucket is lost, whatever its centre. With ``bins=128, rows=4`` a pair of similarity 0.8 shares no bucket with a probability
+of 5e-8.
 """
 
 from __future__ import annotations
@@ -89,21 +91,20 @@ def features(docs: DataFrame, width: int, bins: int, rows: int) -> DataFrame:
     return id_and_text(docs).mapInArrow(run, "doc_id long, n_shingles long, set_key binary, bands array<long>")
 
 
-def _sets(docs: DataFrame, width: int) -> DataFrame:
+def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """id, items (the sorted set as bytes), repeated of the documents in ``ids`` (id, repeated)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in doc_batches(batches, 2 << 20):
             sets = [shingle_set(t, width).tobytes() for t in utf8(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["id", "items"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary()), batch.column(2)], ["id", "items", "repeated"])
 
-    return docs.mapInArrow(run, "id long, items binary")
+    texts = id_and_text(docs).join(ids.withColumnRenamed("id", "doc_id"), "doc_id").select("doc_id", "text", "repeated")
+    return texts.mapInArrow(run, "id long, items binary, repeated boolean")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    # Rows that repeat an id with the same set count once.
-    sets = _sets(id_and_text(docs).join(ids, "doc_id", "left_semi"), width).groupBy("id", F.xxhash64("items")).agg(
-        F.first("items").alias("items")).select("id", "items")
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("items").alias("x")), "a").join(
         sets.select(F.col("id").alias("b"), F.col("items").alias("y")), "b")
 
@@ -122,6 +123,37 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> D
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct()
 
 
+def _prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different roots that may have the wanted similarity, from ``sets`` (id, root, items); exact.
+
+    A set of n items shows its p = n - ceil(percent * n / 100) + 1 rarest. A shared item at places i and j leaves at most
+    min(n_a - i, n_b - j) common items from there on; similar sets need percent / (100 + percent) of n_a + n_b, and their
+    first shared item has that much left. Items of one set only cannot meet, but hold their places.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, root, items in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own = np.frombuffer(items, np.int64)
+                n = len(own)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(own), pa.array(np.full(n, i, np.int64)), pa.array(np.full(n, root, np.int64)),
+                    pa.array(np.full(n, xxhash.xxh3_64_intdigest(items) >> 1, np.int64)), pa.array(np.full(n, n, np.int64))],
+                    ["item", "id", "root", "set", "n"])
+
+    items = sets.select("id", "root", "items").mapInArrow(run, "item long, id long, root long, set long, n long")
+    counted = items.groupBy("item").agg(F.count("*").alias("times")).filter("times > 1")
+    shown = items.join(counted, "item").groupBy("id", "root", "set", "n").agg(F.collect_set(F.struct("times", "item")).alias("common"))
+    place = F.col("at") + F.col("n") - F.size("common")
+    shown = shown.select("id", "root", "n", "common", F.posexplode(F.array_sort("common")).alias("at", "entry")).select(
+        "id", "root", "n", F.col("entry.item").alias("item"), place.alias("place")).filter(
+        f"place <= n - (({percent} * n + 99) div 100)")
+    p, q = shown.alias("p"), shown.alias("q")
+    enough = f"least(p.n - p.place, q.n - q.place) * {100 + percent} >= {percent} * (p.n + q.n)"
+    return p.join(q, F.expr(f"p.item = q.item AND p.id < q.id AND p.root <> q.root AND {enough}")).select(
+        F.col("p.id").alias("a"), F.col("q.id").alias("b")).distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, root): the smallest id reachable over ``links`` (a, b), for every id that has a link.
 
@@ -161,35 +193,21 @@ def near_duplicate_groups(docs: DataFrame, width: int = 5, percent: int = 80, bi
         F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
     groups = written(groups, "sets")
     in_band = groups.select("rep", F.explode("bands").alias("bucket"))
-    # Two texts of one doc_id count as two members, so that neither loses its bucket mates.
-    shared = in_band.groupBy("bucket").agg(
-        F.min("rep").alias("centre"), F.count("*").alias("size"), F.max("rep").alias("last")).filter("centre < last")
-    members = written(in_band.join(shared.drop("last"), "bucket"), "buckets")
+    shared = in_band.groupBy("bucket").agg(F.min("rep").alias("centre"), F.max("rep").alias("last")).filter("centre < last")
+    members = written(in_band.join(shared.select("bucket", "centre"), "bucket"), "buckets")
+    rows_of = named.groupBy(F.col("doc_id").alias("id")).agg((F.count("*") > 1).alias("repeated"))
+    stored = written(_sets(docs, members.select(F.col("rep").alias("id")).distinct().join(rows_of, "id"), width), "sets")
+    # Rows that repeat an id and its set count once.
+    sets = stored.filter("NOT repeated").union(stored.filter("repeated").distinct()).select("id", "items")
     star = members.filter("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
-    links = written(_confirmed(written(star, "stars"), docs, width, percent), "confirmed")
-    chance = F.pmod(F.xxhash64("rep", F.lit("centre")), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    low, step = 0, 1
-    while True:
-        roots = written(components(links), "roots")
-        labelled = members.join(roots.withColumnRenamed("id", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-        mixed = labelled.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
-        # Buckets that are one component need no further look: no link in them can join anything.
-        members = written(members.join(mixed.select("bucket"), "bucket", "left_semi"), "buckets")
-        if members.filter(F.col("size") > F.lit(low)).isEmpty():
-            break
-        rest = members.join(roots.withColumnRenamed("id", "rep"), "rep", "left").select(
-            "bucket", "rep", F.coalesce("root", "rep").alias("root"), chance.alias("chance"), "size", "centre")
-        centres = rest.filter((F.col("chance") * F.col("size") >= low) & (F.col("chance") * F.col("size") < low + step)).select(
-            "bucket", F.col("rep").alias("a"), F.col("root").alias("root_a"), F.col("chance").alias("chance_a"))
-        more = centres.join(rest, "bucket").filter(
-            "root_a <> root AND (chance_a < chance OR (chance_a = chance AND a < rep)) AND a <> centre AND rep <> centre").select(
-            F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct()
-        new = written(_confirmed(written(more, "stars"), docs, width, percent), "confirmed")
-        low, step = low + step, 2 * step
-        if not new.isEmpty():
-            links = written(links.union(new), "confirmed")
-    sets = groups.join(roots.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "set_key", F.coalesce("root", "rep").alias("component"))
-    out = found.select("doc_id", "n_shingles", "set_key").join(sets, "set_key", "left")
+    links = written(_confirmed(star, sets, percent), "confirmed")
+    roots = components(links).withColumnRenamed("id", "rep")
+    rooted = members.join(roots, "rep", "left").select("bucket", "rep", F.coalesce("root", "rep").alias("root"))
+    mixed = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
+    rest = rooted.join(mixed.select("bucket"), "bucket", "left_semi").select(F.col("rep").alias("id"), "root").distinct()
+    more = _confirmed(written(_prefix_pairs(sets.join(rest, "id"), percent), "pairs"), sets, percent)
+    roots = components(links.union(more)).withColumnRenamed("id", "rep")
+    placed = groups.join(roots, "rep", "left").select("set_key", F.coalesce("root", "rep").alias("component"))
+    out = found.select("doc_id", "n_shingles", "set_key").join(placed, "set_key", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")) \
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
