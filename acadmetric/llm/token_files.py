@@ -7,12 +7,15 @@ the position of its first id. Files are named by attempt, so a task that runs ag
 file; the returned rows name those that count. Reading maps the files into memory.
 
 White space never survives this tokenizer's splitting, so a text's ids are those of its pieces between ASCII white space, one
-after the other; a task remembers the ids of pieces it has met.
+after the other; a task remembers the ids of pieces it has met. Letters followed by marks split between the two, and letters
+alone are one word to the tokenizer, which ends in an id for a word's end: new words are therefore encoded together, in one
+text, and parted at those ids. Every other piece is encoded by itself.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -26,8 +29,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from acadmetric.llm.common import doc_batches, id_and_text, utf8
 
-REMEMBERED = 300_000  # pieces a task keeps; it starts over beyond that
+REMEMBERED = 500_000  # pieces a task keeps; it starts over beyond that
 _encoders: dict[str, Encoder] = {}
+# Letters of ASCII and Latin-1, a fixed set in every Unicode version; ASCII marks without the apostrophe.
+_LATIN = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+_MARKS = b".,;:!?#$%&*|"
 
 
 class Encoder:
@@ -37,7 +43,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        size = self.tokenizer.get_vocab_size()
+        self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self.ends_word = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)], bool)
         self.known: dict[bytes, bytes] = {}
 
     @staticmethod
@@ -47,17 +55,63 @@ class Encoder:
             _encoders[path] = Encoder(path)
         return _encoders[path]
 
+    def _apart(self, pieces: list[bytes]) -> None:
+        for i in range(0, len(pieces), 4096):
+            some = pieces[i:i + 4096]
+            for piece, e in zip(some, self.tokenizer.encode_batch_fast([p.decode() for p in some], add_special_tokens=False), strict=True):
+                self.known[piece] = np.array(e.ids, self.dtype).tobytes()
+
+    def _together(self, words: list[bytes]) -> None:
+        """Words of letters only, each one word to the tokenizer."""
+        for i in range(0, len(words), 4096):
+            some = words[i:i + 4096]
+            [e] = self.tokenizer.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)
+            ids = np.array(e.ids, self.dtype)
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) != len(some):
+                self._apart(some)
+                continue
+            raw, width = ids.tobytes(), self.dtype.itemsize
+            begin = 0
+            for word, end in zip(some, (ends * width).tolist(), strict=True):
+                self.known[word] = raw[begin:end]
+                begin = end
+
+    def learn(self, pieces: set[bytes]) -> None:
+        """Remember the ids of new pieces."""
+        marked, words, others = [], set(), []
+        for piece in pieces:
+            word = piece.rstrip(_MARKS)
+            # The tokenizer lower-cases; ASCII words that differ in case only are encoded once.
+            if word.isalpha():
+                word = word.lower()
+            elif not _LATIN.fullmatch(word):
+                others.append(piece)
+                continue
+            words.add(word)
+            if word != piece:
+                marked.append((piece, word, piece[len(word):]))
+        known = self.known
+        others += {m for _, _, m in marked if m and m not in known}
+        self._apart(others)
+        self._together([w for w in words if w not in known])
+        for piece, word, marks in marked:
+            known[piece] = known[word] + known[marks] if marks else known[word]
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text as little-endian bytes of ``dtype``."""
-        pieces = [t.split() for t in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        new = list(set(chain.from_iterable(pieces)) - self.known.keys())
-        for i in range(0, len(new), 4096):
-            some = new[i:i + 4096]
-            for piece, e in zip(some, self.tokenizer.encode_batch_fast([p.decode() for p in some], add_special_tokens=False), strict=True):
-                self.known[piece] = np.array(e.ids, self.dtype).tobytes()
-        return [b"".join(map(self.known.__getitem__, p)) for p in pieces]
+        pieces, ends = [], [0]
+        for t in texts:
+            pieces += t.split()
+            ends.append(len(pieces))
+        ids = list(map(self.known.get, pieces))
+        new = [i for i, x in enumerate(ids) if x is None]
+        self.learn({pieces[i] for i in new})
+        for i in new:
+            ids[i] = self.known[pieces[i]]
+        return [b"".join(ids[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
 
 
 def _place(path: str) -> tuple[filesystems.FileSystem, str]:
