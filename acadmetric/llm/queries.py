@@ -14,6 +14,7 @@ from acadmetric.llm.language import fit_language, languages
 from acadmetric.llm.near_dedup import near_duplicate_groups
 from acadmetric.llm.quality import fit_quality, quality_scores
 from acadmetric.llm.sharding import byte_shards
+from acadmetric.llm.spot_signatures import compared_with_edits
 from acadmetric.llm.token_files import read_token_files, write_token_files
 from acadmetric.llm.toxicity import fit_toxicity, toxicity_scores
 from acadmetric.session import new_path
@@ -81,3 +82,8 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     held_out = fold(F.col("doc_id"), 3) == 1
     model = fit_language(docs.filter(~held_out).select("doc_id", "text", "lang"))
     return languages(docs, model, reject=False).select("doc_id", fold(F.col("doc_id"), 3).eqNullSafe(1).alias("held_out"), "lang_pred", "score")
+
+
+@query("op6_spot_signatures")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return compared_with_edits(table(spark, folder, "documents"))
