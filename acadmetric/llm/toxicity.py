@@ -30,7 +30,27 @@ SPAN = 8  # tokens on each side of a training window
 def token_features(w: Words) -> np.ndarray:
     """A column of weight numbers for each token."""
     return np.stack([bucket(w.hash, 1, BITS), bucket(w.prefix(3), 2, BITS), bucket(w.prefix(4), 3, BITS),
-                     bucket(w.prefix(5), 4, BITS), bucket(w.suffix(3), 5, BITS)])
+                     bucket(w.prefix(5), 4, BITS), bucket(w.suffix(3), 5, BITS)]).astype(np.int32)
+
+
+@dataclass
+class Tokens:
+    """The tokens of a sample, gathered a few texts at a time."""
+
+    docs: int
+    doc: np.ndarray
+    kinds: list[tuple[np.ndarray, int]]  # hashes that may mark a token, and the length a token must exceed
+    size: np.ndarray
+    features: np.ndarray
+
+    @staticmethod
+    def of(texts: list[bytes], some: int = 200) -> Tokens:
+        parts = []
+        for i in range(0, max(1, len(texts)), some):
+            w = Words.of(texts[i:i + some], LETTERS)
+            parts.append(((w.doc + i).astype(np.int32), w.hash, w.prefix(4), w.prefix(5), (w.end - w.start).astype(np.int32), token_features(w)))
+        doc, word, four, five, size, features = (np.concatenate(x, axis=-1) for x in zip(*parts, strict=True))
+        return Tokens(len(texts), doc, [(word, 0), (four, 4), (five, 5)], size, features)
 
 
 @dataclass
@@ -142,19 +162,18 @@ def train_field(ids: np.ndarray, labels: np.ndarray, mask: np.ndarray, rounds: i
     return field
 
 
-def labelled_tokens(w: Words, toxic: np.ndarray, least: int = 6, ratio: float = 25.0) -> np.ndarray:
+def labelled_tokens(w: Tokens, toxic: np.ndarray, least: int = 6, ratio: float = 25.0) -> np.ndarray:
     """Which tokens of the sampled documents are toxic: a word or a beginning that marks toxic documents."""
-    out = np.zeros(len(w.start), bool)
+    out = np.zeros(len(w.doc), bool)
     n1, n0 = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
-    size = w.end - w.start
-    for kind, longer in ((w.hash, 0), (w.prefix(4), 4), (w.prefix(5), 5)):
+    for kind, longer in w.kinds:
         names, number = np.unique(kind, return_inverse=True)
         pairs = np.unique(number.astype(np.int64) * w.docs + w.doc)
         of, doc = pairs // w.docs, pairs % w.docs
         in_toxic = np.bincount(of, toxic[doc], len(names))
         in_clean = np.bincount(of, ~toxic[doc], len(names))
         marked = (in_toxic >= least) & (in_toxic / n1 > ratio * (in_clean + 0.25) / n0)
-        out |= marked[number] & (size > longer)
+        out |= marked[number] & (w.size > longer)
     return out
 
 
@@ -166,7 +185,7 @@ def fit(texts: list[bytes], toxic: np.ndarray, share: float) -> Field:
     draw = np.random.default_rng(11)
     learn = draw.random(len(texts)) < 0.75  # the rest gives the logistic curve
     used = np.flatnonzero(learn)
-    w = Words.of([texts[i] for i in used], LETTERS)
+    w = Tokens.of([texts[i] for i in used])
     marks = labelled_tokens(w, toxic[used])
     if not marks.any():
         return none
@@ -176,14 +195,14 @@ def fit(texts: list[bytes], toxic: np.ndarray, share: float) -> Field:
     centres = np.flatnonzero(marks)
     others = np.flatnonzero(usable & ~marks)
     plain = draw.choice(others, min(len(others), 40_000), replace=False) if len(others) else others
-    centres = np.sort(np.concatenate((draw.permutation(centres)[:20_000], plain)))
+    centres = np.sort(np.concatenate((draw.permutation(centres)[:10_000], plain)))
     at = centres[:, None] + np.arange(-SPAN, SPAN + 1)
-    inside = (at >= 0) & (at < len(w.start))
-    at = np.clip(at, 0, len(w.start) - 1)
+    inside = (at >= 0) & (at < len(w.doc))
+    at = np.clip(at, 0, len(w.doc) - 1)
     inside &= w.doc[at] == w.doc[centres][:, None]
-    field = train_field(token_features(w)[:, at], np.where(inside, marks[at], 0).astype(np.int64), inside)
+    field = train_field(w.features[:, at], np.where(inside, marks[at], 0).astype(np.int64), inside)
     rest = np.flatnonzero(~learn)
-    logit = strongest(field, [texts[i] for i in rest])[0]
+    logit = np.concatenate([strongest(field, [texts[i] for i in rest[a:a + 200]])[0] for a in range(0, max(1, len(rest)), 200)])
     weight = np.where(toxic[rest], share / max(toxic[rest].mean(), 1e-9), (1 - share) / max((~toxic[rest]).mean(), 1e-9))
     field.slope, field.base = platt(logit, toxic[rest].astype(float), weight)
     return field
@@ -200,7 +219,7 @@ def strongest(field: Field, texts: list[bytes]) -> tuple[np.ndarray, Words, np.n
     return best, w, odds
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 4000, max_bytes: int = 50_000) -> Field:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 3000, max_bytes: int = 20_000) -> Field:
     """Fit on at most ``per_class`` rows of either label of ``labels`` (doc_id, toxic 0 or 1), with texts of at most ``max_bytes``."""
     labels = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("toxic IN (0, 1)")
     counts = {r[0]: r[1] for r in labels.groupBy("toxic").count().collect()}
