@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from acadmetric.llm import checks
 from acadmetric.llm.common import fold, table, vocabulary_file
 from acadmetric.llm.decontamination import contaminated_documents
+from acadmetric.llm.extraction import extract_pages
 from acadmetric.llm.language import fit_language, languages
 from acadmetric.llm.near_dedup import near_duplicate_groups
 from acadmetric.llm.quality import fit_quality, quality_scores
@@ -87,3 +88,8 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_spot_signatures")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return compared_with_edits(table(spark, folder, "documents"))
+
+
+@query("op2_consensus_extraction")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_pages(table(spark, folder, "pages"))
