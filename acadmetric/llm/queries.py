@@ -13,6 +13,7 @@ from acadmetric.llm.decontamination import contaminated_documents
 from acadmetric.llm.extraction import extract_pages
 from acadmetric.llm.language import fit_language, languages
 from acadmetric.llm.near_dedup import near_duplicate_groups
+from acadmetric.llm.piece_transducer import round_trips
 from acadmetric.llm.quality import fit_quality, quality_scores
 from acadmetric.llm.sharding import byte_shards
 from acadmetric.llm.spot_signatures import compared_with_edits
@@ -93,3 +94,8 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_consensus_extraction")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return extract_pages(table(spark, folder, "pages"))
+
+
+@query("op9_piece_transducer")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return round_trips(table(spark, folder, "documents"), vocabulary_file("piece_bpe_32k.model"))
