@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import posixpath
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -81,3 +81,13 @@ def sample_ids(labelled: DataFrame, label: str, per_class: int) -> DataFrame:
     for p in parts[1:]:
         out = out.union(p)
     return out
+
+
+def keep_rows(docs: DataFrame, decide: Callable[[list[bytes]], np.ndarray]) -> DataFrame:
+    """The rows whose text ``decide`` keeps, with all their columns, where they lie."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in doc_batches(batches, 2 << 20):
+            yield batch.filter(pa.array(decide(utf8(batch.column(batch.schema.get_field_index("text")))), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acadmetric.llm.common import doc_batches, id_and_text, mix, sample_ids, utf8
+from acadmetric.llm.common import doc_batches, id_and_text, keep_rows, mix, sample_ids, utf8
 from acadmetric.llm.tokens import Words, bucket, platt, sigmoid, unique_features
 
 BITS = 18
@@ -159,3 +159,9 @@ def quality_scores(docs: DataFrame, model: QualityModel) -> DataFrame:
                                              ["doc_id", "score"])
 
     return id_and_text(docs).mapInArrow(run, "doc_id long, score double")
+
+
+def keep_rows_of_quality(docs: DataFrame, model: QualityModel, threshold: float) -> DataFrame:
+    """The rows with a score of at least ``threshold``, with all their columns; null and empty texts are judged like any other."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return keep_rows(docs, lambda texts: shared.value.scores(texts) >= threshold)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acadmetric.llm.common import doc_batches, id_and_text, sample_ids, utf8
+from acadmetric.llm.common import doc_batches, id_and_text, keep_rows, sample_ids, utf8
 from acadmetric.llm.tokens import LETTERS, Words, bucket, platt, sigmoid, without_copies
 
 BITS = 18
@@ -255,3 +255,13 @@ def toxicity_scores(docs: DataFrame, field: Field) -> DataFrame:
                 pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))], ["doc_id", "score", "spans"])
 
     return id_and_text(docs).mapInArrow(run, "doc_id long, score double, spans array<struct<start:long,end:long>>")
+
+
+def keep_clean_rows(docs: DataFrame, field: Field, threshold: float) -> DataFrame:
+    """The rows with a score under ``threshold``, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(field)
+
+    def clean(texts: list[bytes]) -> np.ndarray:
+        return sigmoid(shared.value.slope * strongest(shared.value, texts)[0] + shared.value.base) < threshold
+
+    return keep_rows(docs, clean)

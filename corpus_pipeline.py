@@ -1,4 +1,10 @@
-"""A filtering pipeline over ``documents``."""
+"""A filtering pipeline over ``documents``: quality, toxicity, near duplicates, benchmark passages, then encoding.
+
+Each stage takes the rows its predecessor kept and returns those it keeps, with the columns of ``documents``; the last returns
+the encoded documents. Stages are written to the shared folder and read again, so a lost executor repeats one stage at most.
+Quality and toxicity judge row by row. From near-duplicate removal on doc_id names a document: of rows that repeat one, one stays,
+or none; rows without doc_id cannot be named and pass. Null and empty texts are scored as texts without words.
+"""
 
 from __future__ import annotations
 
@@ -8,19 +14,52 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from acadmetric.llm.common import table, vocabulary_file
+from acadmetric.llm.decontamination import contaminated_documents
 from acadmetric.llm.near_dedup import near_duplicate_groups
+from acadmetric.llm.piece_transducer import round_trips
+from acadmetric.llm.quality import fit_quality, keep_rows_of_quality
+from acadmetric.llm.toxicity import fit_toxicity, keep_clean_rows
 from acadmetric.session import written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects (probability of good quality under 0.3) go."""
+    return keep_rows_of_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")), 0.3)
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity field rejects (probability of toxicity of 0.5 or more) go."""
+    return keep_clean_rows(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")), 0.5)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays: the one with the smallest doc_id."""
-    gone = near_duplicate_groups(docs).filter("NOT kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    groups = written(near_duplicate_groups(docs), "groups").filter("doc_id IS NOT NULL")
+    gone = groups.groupBy("doc_id").agg(F.min("component_id").alias("to"), F.count("*").alias("times")).filter(
+        "to <> doc_id OR times > 1")
+    marked = docs.join(written(gone, "gone"), "doc_id", "left")
+    others = marked.filter("to IS NULL")
+    repeated = marked.filter("to = doc_id").dropDuplicates(["doc_id"])  # rows that repeat an id which stays
+    return others.select(*docs.columns).unionByName(repeated.select(*docs.columns))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with any ten words in a row of a benchmark item go."""
+    found = contaminated_documents(docs, table(spark, sf_dir, "benchmark")).filter("contaminated").select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+
+
+def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of every document: doc_id, n_pieces, ids_crc32, n_chars, same, ids."""
+    return round_trips(docs, vocabulary_file("piece_bpe_32k.model"), with_ids=True)
 
 
-STAGES: list[tuple[str, Stage]] = [("near_dedup", near_dedup)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality), ("toxicity", toxicity), ("near_dedup", near_dedup), ("decontamination", decontamination), ("pieces", pieces),
+]
 
 # The stages fit models and follow automata, which SQL cannot express; tests compare them with brute force.
 ORACLE_SQL = None
