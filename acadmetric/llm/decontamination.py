@@ -81,7 +81,7 @@ def packed(ids: np.ndarray, bits: int, per: int) -> np.ndarray:
     key, alive = np.zeros(len(ids), np.uint64), np.ones(len(ids), bool)
     for j in range(per):
         ahead = np.zeros(len(ids), np.uint64)
-        ahead[:len(ids) - j] = ids[j:]
+        ahead[:max(0, len(ids) - j)] = ids[j:]
         alive &= ahead > 0
         key = (key << np.uint64(bits)) | np.where(alive, ahead, np.uint64(0))
     return key

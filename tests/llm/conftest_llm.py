@@ -1,0 +1,23 @@
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+# Null, empty, blank and markless texts; repeated rows and repeated ids; a very long text; characters beyond ASCII and Latin-1.
+ODD_TEXTS = [
+    (1, None), (2, ""), (3, " \n\t "), (4, "..."), (5, "one two three four five six seven eight nine ten eleven twelve"),
+    (6, "one two three four five six seven eight nine ten eleven twelve"), (6, "one two three four five six seven eight nine ten eleven twelve"),
+    (7, "ONE two three four five six seven eight nine ten eleven twelve"), (8, "漢字 é \U0001F600 don't <|endoftext|> ﬁ  x"),
+    (9, "lorem ipsum " * 60_000), (None, "a text without an id but with enough words to make shingles"), (10, "one"),
+]
+
+
+def documents(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """``documents`` with columns that clash with the operators' own names."""
+    full = [(i, t, "en" if t else None, "s", None) for i, t in rows]
+    df = spark.createDataFrame(full, DOCS)
+    for name in ("score", "part", "id", "set_key", "bands", "path", "size", "shard", "slot", "label", "features", "n_words"):
+        df = df.withColumn(name, F.lit("x"))
+    return df
