@@ -9,15 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# A member with more groups than this may be a hub; others repeat each of their items at most this often.
-WIDE_MEMBER = 16
-# A hub would emit at least this many (group, item) pairs.
-HUB_PAIRS = 10_000_000
-# Hubs get one bit each; the mask tables have at most 2^HUBS - 1 rows.
-HUBS = 10
+# The members that would emit the most (group, item) pairs get one bit each, so sets of them are numbers below 2^HEAVY.
+HEAVY = 10
+# The items of every other member are dealt over this many tasks.
+SALTS = 8
 
 
 def path_counts(links: DataFrame, items: DataFrame, member: str,
@@ -37,66 +35,57 @@ def path_counts(links: DataFrame, items: DataFrame, member: str,
 
 
 def distinct_items(links: DataFrame, items: DataFrame, member: str, group: str, item: str,
-                   wide_member: int = WIDE_MEMBER, hub_pairs: float = HUB_PAIRS) -> DataFrame:
+                   heavy: int = HEAVY, salts: int = SALTS) -> DataFrame:
     """``items``: number of distinct items per group, reached through shared members.
 
     An item counts once per group however many of its members the group has.
-    Members that are large on both sides ("hubs") are counted by sets of hubs,
+    The ``heavy`` members with the most pairs are counted by sets of members,
     all others by distinct (group, item) pairs; the second part skips the pairs
-    the first one has counted. The result is exact either way, also when a
-    link or an item is listed twice.
+    the first one has counted. The result is exact with any choice of heavy
+    members, also when a link or an item is listed twice. It is one plan:
+    which members are heavy is found inside it.
     """
     links = links.select(group, member)
     items = items.select(member, item)
-    hubs = _find_hubs(links, items, member, wide_member, hub_pairs)
-    if not hubs:
-        return _pair_counts(links.join(items, member), group, item)
-
-    is_hub = F.col(member).isin(hubs)
-    bit = _hub_bit(F.col(member), hubs)
-    group_sets = links.filter(is_hub).groupBy(group).agg(F.bit_or(bit).alias("_group_hubs"))
-    item_sets = items.filter(is_hub).groupBy(item).agg(F.bit_or(bit).alias("_item_hubs"))
-
-    # At most 2^HUBS - 1 different sets on either side, whatever the data.
-    sets_of_items = item_sets.groupBy("_item_hubs").agg(F.count("*").alias("_n"))
-    sets_of_groups = group_sets.select("_group_hubs").distinct()
+    slots = F.broadcast(_heavy_members(links, items, member, heavy))
+    marked_links = links.join(slots, member, "left")
+    marked_items = items.join(slots, member, "left")
+    group_sets = marked_links.filter("_bit IS NOT NULL").groupBy(group).agg(F.bit_or("_bit").alias("_group_set"))
+    item_sets = marked_items.filter("_bit IS NOT NULL").groupBy(item).agg(F.bit_or("_bit").alias("_item_set"))
+
+    # At most 2^heavy - 1 different sets on either side, whatever the data.
+    sets_of_items = item_sets.groupBy("_item_set").agg(F.count("*").alias("_n"))
+    sets_of_groups = group_sets.select("_group_set").distinct()
     met = (
-        _per_bit(sets_of_groups, "_group_hubs", len(hubs))
-        .join(_per_bit(sets_of_items, "_item_hubs", len(hubs)), "_bit")
-        .dropDuplicates(["_group_hubs", "_item_hubs"])
-        .groupBy("_group_hubs")
+        _per_bit(sets_of_groups, "_group_set", heavy)
+        .join(_per_bit(sets_of_items, "_item_set", heavy), "_bit")
+        .dropDuplicates(["_group_set", "_item_set"])
+        .groupBy("_group_set")
         .agg(F.sum("_n").alias("items"))
     )
-    through_hubs = group_sets.join(F.broadcast(met), "_group_hubs").select(group, "items")
+    through_heavy = group_sets.join(F.broadcast(met), "_group_set").select(group, "items")
 
-    other_links = links.filter(~is_hub).join(group_sets, group, "left")
-    other_items = items.filter(~is_hub).join(item_sets, item, "left")
-    shared = F.coalesce("_group_hubs", F.lit(0)).bitwiseAND(F.coalesce("_item_hubs", F.lit(0)))
-    others = _pair_counts(other_links.join(other_items, member).filter(shared == 0), group, item)
+    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
+    other_links = marked_links.filter("_bit IS NULL").join(group_sets, group, "left").select(
+        group, member, "_group_set", every_salt)
+    other_items = marked_items.filter("_bit IS NULL").join(item_sets, item, "left").select(
+        member, item, "_item_set", F.pmod(F.xxhash64(item), F.lit(salts)).cast("int").alias("_salt"))
+    shared = F.coalesce("_group_set", F.lit(0)).bitwiseAND(F.coalesce("_item_set", F.lit(0)))
+    pairs = other_links.join(other_items, [member, "_salt"]).filter(shared == 0).select(group, item).distinct()
+    others = pairs.groupBy(group).agg(F.count("*").alias("items"))
 
-    return through_hubs.unionByName(others).groupBy(group).agg(F.sum("items").alias("items"))
+    return through_heavy.unionByName(others).groupBy(group).agg(F.sum("items").alias("items"))
 
 
-def _pair_counts(pairs: DataFrame, group: str, item: str) -> DataFrame:
-    return pairs.select(group, item).distinct().groupBy(group).agg(F.count("*").alias("items"))
-
-
-def _find_hubs(links: DataFrame, items: DataFrame, member: str, wide_member: int, hub_pairs: float) -> list:
-    """At most HUBS members, worst first. Reads ``items`` only if some member has many groups."""
-    wide = links.groupBy(member).agg(F.count("*").alias("_links")).filter(F.col("_links") > wide_member)
-    if wide.isEmpty():
-        return []
+def _heavy_members(links: DataFrame, items: DataFrame, member: str, heavy: int) -> DataFrame:
+    """(member, _bit): the ``heavy`` members with the most pairs, a bit each."""
+    groups = links.groupBy(member).agg(F.count("*").alias("_links"))
     held = items.groupBy(member).agg(F.count("*").alias("_items"))
     pairs = F.col("_links").cast("double") * F.col("_items")
-    worst = wide.join(held, member).filter(pairs >= hub_pairs).orderBy(pairs.desc(), member).limit(HUBS)
-    return [row[0] for row in worst.select(member).collect()]
-
-
-def _hub_bit(member: Column, hubs: Sequence) -> Column:
-    chain = F.when(member == hubs[0], F.lit(1))
-    for slot, hub in enumerate(hubs[1:], start=1):
-        chain = chain.when(member == hub, F.lit(1 << slot))
-    return chain
+    worst = groups.join(held, member).select(member, pairs.alias("_pairs")).orderBy(F.desc("_pairs"), member).limit(heavy)
+    # At most ``heavy`` rows reach this window.
+    slot = F.row_number().over(Window.orderBy(F.desc("_pairs"), member)) - 1
+    return worst.withColumn("_slot", slot).select(member, F.expr("shiftleft(1, _slot)").alias("_bit"))
 
 
 def _per_bit(df: DataFrame, mask: str, bits: int) -> DataFrame:

@@ -30,30 +30,36 @@ def skewed(seed, members=30, groups=60, items=400):
     return sorted(links), sorted(made)
 
 
-@pytest.mark.parametrize("seed,wide,pairs", [(1, 64, 1e7), (2, 5, 200), (3, 0, 0), (4, 3, 50)])
-def test_distinct_items_with_and_without_hubs(spark, seed, wide, pairs):
+@pytest.mark.parametrize("seed,heavy,salts", [(1, 10, 8), (2, 2, 3), (3, 1, 1), (4, 20, 2)])
+def test_distinct_items_with_few_and_many_heavy_members(spark, seed, heavy, salts):
     links, items = skewed(seed)
     got = bridge.distinct_items(
-        spark.createDataFrame(links, LINKS), spark.createDataFrame(items, ITEMS), "m", "g", "i",
-        wide_member=wide, hub_pairs=pairs)
+        spark.createDataFrame(links, LINKS), spark.createDataFrame(items, ITEMS), "m", "g", "i", heavy=heavy, salts=salts)
     assert dict(rows(got)) == brute(links, items)
 
 
-def test_hubs_are_bounded_and_found_worst_first(spark):
+def test_heavy_members_are_those_with_most_pairs(spark):
     links, items = skewed(5)
-    found = bridge._find_hubs(
-        spark.createDataFrame(links, LINKS), spark.createDataFrame(items, ITEMS), "m", 0, 0)
-    assert len(found) == bridge.HUBS
-    assert set(found[:3]) == {0, 1, 2}
-    assert bridge._find_hubs(
-        spark.createDataFrame(links, LINKS), spark.createDataFrame(items, ITEMS), "m", 1000, 0) == []
+    found = rows(bridge._heavy_members(spark.createDataFrame(links, LINKS), spark.createDataFrame(items, ITEMS), "m", 10))
+    assert sorted(b for _, b in found) == [1 << i for i in range(10)]
+    assert {m for m, b in found if b < 8} == {0, 1, 2}
+
+
+def test_nothing_runs_before_the_caller_asks(spark):
+    links, items = skewed(8)
+    frames = spark.createDataFrame(links, LINKS), spark.createDataFrame(items, ITEMS)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "building")
+    bridge.distinct_items(*frames, "m", "g", "i")
+    assert list(tracker.getJobIdsForGroup("building")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_repeated_links_and_items_count_once(spark):
     links, items = skewed(6)
     got = bridge.distinct_items(
         spark.createDataFrame(links + links, LINKS), spark.createDataFrame(items + items[:50], ITEMS), "m", "g", "i",
-        wide_member=3, hub_pairs=10)
+        heavy=3)
     assert dict(rows(got)) == brute(links, items)
 
 
