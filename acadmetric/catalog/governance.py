@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.sql import Column as Expression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from acadmetric.catalog.registry import query
 from acadmetric.catalog.views_sql import rounded
@@ -13,6 +15,7 @@ from acadmetric.functions.exact import half_up_percent
 from acadmetric.functions.keys import key_text
 from acadmetric.operators import quality
 from acadmetric.operators.audit import Actor, audit_from_changes, snapshot_changes
+from acadmetric.schema import Column, Table
 from acadmetric.session import new_path
 from acadmetric.sources.driver import SCHEMAS, StarTables
 from acadmetric.streaming.audit_stream import audit_all
@@ -89,45 +92,90 @@ def dq_max_length(spark: SparkSession, folder: str) -> DataFrame:
     return StarTables(spark, folder).part.filter(quality.longer_than("p_name", 10)).select("p_partkey", "p_name")
 
 
-@query("dq_rule_counts", """
-    SELECT 'lineitem' AS tabela, CAST((SELECT sum(n) FROM (SELECT count(*) AS n FROM lineitem
-               GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)) AS BIGINT) AS pk,
-           (SELECT count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')) AS fk,
-           0::BIGINT AS "unique", (SELECT count(*) FROM lineitem WHERE l_discount > 0.08) AS "check",
-           0::BIGINT AS required, 0::BIGINT AS length
-    UNION ALL
-    SELECT 'orders', 0, 0, 0, (SELECT count(*) FROM orders WHERE o_orderstatus = 'P'), 0, 0
-    UNION ALL
-    SELECT 'part', 0, 0, CAST((SELECT sum(n) FROM (SELECT count(*) AS n FROM part GROUP BY p_name HAVING count(*) > 1)) AS BIGINT),
-           0, 0, (SELECT count(*) FROM part WHERE length(p_name) > 10)""")
+# Rules on views of the given tables that break each of them somewhere: a key that repeats, a parent with gaps, a code and a
+# value out of bounds, a missing and an overlong text.
+_TEXT, _NUMBER = T.StringType(), T.LongType()
+_RULES = (
+    Table("pedidos", (Column("o_orderkey", _NUMBER), Column("o_custkey", _NUMBER, False), Column("prioridade", _TEXT, True, 6),
+                      Column("o_orderstatus", _TEXT)),
+          ("o_orderkey",), references={"o_custkey": ("clientes", "c_custkey")}, domains={"o_orderstatus": ("F", "O")}),
+    Table("itens", (Column("l_orderkey", _NUMBER), Column("l_partkey", _NUMBER), Column("devolucao", _TEXT), Column("l_discount", T.DoubleType())),
+          ("l_orderkey",), references={"l_partkey": ("pecas", "p_partkey")}, ranges={"l_discount": (0.02, None)}),
+    Table("pecas", (Column("p_partkey", _NUMBER), Column("p_name", _TEXT, True, 9)), ("p_partkey",), unique=("p_name",)),
+    Table("clientes", (Column("c_custkey", _NUMBER), Column("c_name", _TEXT)), ("c_custkey",), unique=("c_name",)),
+)
+
+
+def _ruled(s: StarTables) -> dict[str, DataFrame]:
+    return {
+        "pedidos": s.orders.select("o_orderkey", "o_custkey", F.nullif("o_orderpriority", F.lit("4-NOT SPECIFIED")).alias("prioridade"), "o_orderstatus"),
+        "itens": s.lineitem.select("l_orderkey", "l_partkey", F.nullif("l_returnflag", F.lit("N")).alias("devolucao"), "l_discount"),
+        "pecas": s.part.filter(F.col("p_partkey") % 10 != 3).select("p_partkey", F.nullif("p_name", F.lit("part 7")).alias("p_name")),
+        "clientes": s.customer.filter(F.col("c_custkey") % 10 != 0).select("c_custkey", "c_name"),
+    }
+
+
+_RULED_SQL = """
+    WITH pedidos AS (SELECT o_orderkey, o_custkey, nullif(o_orderpriority, '4-NOT SPECIFIED') AS prioridade, o_orderstatus FROM orders),
+    itens AS (SELECT l_orderkey, l_partkey, nullif(l_returnflag, 'N') AS devolucao, l_discount FROM lineitem),
+    pecas AS (SELECT p_partkey, nullif(p_name, 'part 7') AS p_name FROM part WHERE p_partkey % 10 <> 3),
+    clientes AS (SELECT c_custkey, c_name FROM customer WHERE c_custkey % 10 <> 0)"""
+
+
+@query("dq_rule_counts", _RULED_SQL + """
+    SELECT 'pedidos' AS tabela, 0::BIGINT AS pk, (SELECT count(*) FROM pedidos WHERE o_custkey % 10 = 0) AS fk, 0::BIGINT AS "unique",
+           (SELECT count(*) FROM pedidos WHERE o_orderstatus = 'P') AS "check",
+           (SELECT count(*) FROM pedidos WHERE prioridade IS NULL) AS required,
+           (SELECT count(*) FROM pedidos WHERE length(prioridade) > 6) AS length
+    UNION ALL SELECT 'itens', (SELECT count(*) FROM itens WHERE l_orderkey IN (SELECT l_orderkey FROM itens GROUP BY 1 HAVING count(*) > 1)),
+           (SELECT count(*) FROM itens WHERE l_partkey % 10 = 3), 0, (SELECT count(*) FROM itens WHERE l_discount < 0.02),
+           (SELECT count(*) FROM itens WHERE devolucao IS NULL), 0
+    UNION ALL SELECT 'pecas', 0, 0, (SELECT count(*) FROM pecas JOIN (SELECT p_name FROM pecas GROUP BY 1 HAVING count(*) > 1) USING (p_name)), 0,
+           (SELECT count(*) FROM pecas WHERE p_name IS NULL), (SELECT count(*) FROM pecas WHERE length(p_name) > 9)
+    UNION ALL SELECT 'clientes', 0, 0, (SELECT count(*) - count(DISTINCT c_name) FROM clientes), 0, 0, 0""")
 def dq_rule_counts(spark: SparkSession, folder: str) -> DataFrame:
-    s = StarTables(spark, folder)
+    tables = _ruled(StarTables(spark, folder))
+    found = [quality.rule_violations(tables, rules) for rules in _RULES]
+    return quality.rule_counts(reduce(DataFrame.unionByName, found))
+
+
+@query("dq_rule_violations", _RULED_SQL + """
+    SELECT 'itens' AS tabela, 'required' AS tipo, 'devolucao' AS regra, count(*) AS violacoes FROM itens WHERE devolucao IS NULL
+    UNION ALL SELECT 'itens', 'check', 'l_discount range', count(*) FROM itens WHERE l_discount < 0.02
+    UNION ALL SELECT 'itens', 'fk', 'l_partkey', count(*) FROM itens WHERE l_partkey NOT IN (SELECT p_partkey FROM pecas)
+    UNION ALL SELECT 'itens', 'pk', 'l_orderkey', CAST(sum(n) AS BIGINT) FROM (SELECT count(*) AS n FROM itens GROUP BY l_orderkey HAVING count(*) > 1)""")
+def dq_rule_violations(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.rule_violations(_ruled(StarTables(spark, folder)), _RULES[1]).filter("violacoes > 0")
+
+
+def _share(filled: str, total: str) -> Expression:
+    return F.concat(half_up_percent(F.col(filled), F.col(total), 0).cast("bigint").cast("string"), F.lit("%"))
 
-    def found(table: str, kind: str, violations: DataFrame, rows=None) -> DataFrame:
-        n = F.count("*") if rows is None else F.sum(rows)
-        return violations.agg(F.coalesce(n, F.lit(0)).alias("violacoes")).select(
-            F.lit(table).alias("tabela"), F.lit(kind).alias("tipo"), "violacoes")
-
-    parts = [
-        found("lineitem", "pk", dq_primary_key(spark, folder), F.col("row_count")),
-        found("lineitem", "fk", dq_foreign_key(spark, folder), F.col("row_count")),
-        found("lineitem", "check", s.lineitem.filter(quality.outside_range("l_discount", None, 0.08))),
-        found("orders", "check", s.orders.filter(quality.outside_domain("o_orderstatus", ("F", "O")))),
-        found("part", "unique", dq_unique(spark, folder), F.col("row_count")),
-        found("part", "length", s.part.filter(quality.longer_than("p_name", 10))),
-    ]
-    return quality.rule_counts(reduce(DataFrame.unionByName, parts))
-
-
-@query("completeness_profile", " UNION ALL ".join(f"""
-    SELECT '{name}' AS coluna, count(*) AS total, count({sql}) AS preenchidas,
-           CAST(CAST({rounded(f'count({sql}) * 100', 'count(*)', 0)} AS BIGINT) AS VARCHAR) || '%' AS cobertura
-    FROM orders""" for name, sql in _NULLABLE.items()))
+
+_FILLED = {
+    "pedidos": ("o_orderkey", "o_custkey", "prioridade", "o_orderstatus"), "itens": ("l_orderkey", "l_partkey", "devolucao", "l_discount"),
+    "pecas": ("p_partkey", "p_name"), "clientes": ("c_custkey", "c_name"),
+}
+_FILLED_SQL = _RULED_SQL + ", f AS (" + " UNION ALL ".join(
+    f"SELECT '{t}' AS tabela, '{c}' AS coluna, count(*) AS total, count({c}) AS preenchidas FROM {t}" for t, cs in _FILLED.items() for c in cs) + ") "
+
+
+@query("completeness_profile", _FILLED_SQL + f"""
+    SELECT *, CAST(CAST({rounded('preenchidas * 100', 'total', 0)} AS BIGINT) AS VARCHAR) || '%' AS cobertura FROM f""")
 def completeness_profile(spark: SparkSession, folder: str) -> DataFrame:
-    filled = quality.filled_counts(_with_gaps(StarTables(spark, folder)), list(_NULLABLE))
-    share = half_up_percent(F.col("preenchidas"), F.col("total"), 0)
-    return filled.withColumn("cobertura", F.concat(share.cast("bigint").cast("string"), F.lit("%"))).orderBy(
-        share, "coluna")
+    filled = quality.completeness(_ruled(StarTables(spark, folder)))
+    return filled.withColumn("cobertura", _share("preenchidas", "total")).orderBy(
+        F.col("preenchidas") / F.col("total"), "tabela", "coluna")
+
+
+@query("completeness_by_table", _FILLED_SQL + f"""
+    SELECT tabela, CAST(sum(total) AS BIGINT) AS total, CAST(sum(preenchidas) AS BIGINT) AS preenchidas,
+           CAST(CAST({rounded('sum(preenchidas) * 100', 'sum(total)', 0)} AS BIGINT) AS VARCHAR) || '%' AS cobertura FROM f GROUP BY 1""")
+def completeness_by_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Filled cells of each table, the least complete table first."""
+    cells = quality.completeness(_ruled(StarTables(spark, folder))).groupBy("tabela").agg(
+        F.sum("total").alias("total"), F.sum("preenchidas").alias("preenchidas"))
+    return cells.withColumn("cobertura", _share("preenchidas", "total")).orderBy(F.col("preenchidas") / F.col("total"), "tabela")
 
 
 @query("volume_check", " UNION ALL ".join(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,7 +95,7 @@ def insert_ignore_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 @query("serial_key", "SELECT s_name, row_number() OVER (ORDER BY s_name, s_suppkey) AS id FROM supplier")
 def serial_key(spark: SparkSession, folder: str) -> DataFrame:
     named = StarTables(spark, folder).supplier.select("s_name", "s_suppkey")
-    return row_numbers(named, [F.col("s_name"), F.col("s_suppkey")], "id").select("s_name", "id")
+    return row_numbers(named, [("s_name", False), ("s_suppkey", False)], "id").select("s_name", "id")
 
 
 @query("layout_by_key", """
@@ -105,13 +107,24 @@ def layout_by_key(spark: SparkSession, folder: str) -> DataFrame:
     path = new_path(spark, "layout")
     name = f"t_{path[-32:]}"
     lines = store.lay_out_by_key(
-        s.lineitem.select("l_suppkey", "l_quantity"), f"{name}_lines", f"{path}/lines", "l_suppkey", buckets)
+        s.lineitem.select("l_suppkey", "l_quantity"), f"{name}_lines", f"{path}/lines", ["l_suppkey"], buckets)
     suppliers = store.lay_out_by_key(
-        s.supplier.select("s_suppkey", "s_name"), f"{name}_suppliers", f"{path}/suppliers", "s_suppkey", buckets)
+        s.supplier.select("s_suppkey", "s_name"), f"{name}_suppliers", f"{path}/suppliers", ["s_suppkey"], buckets)
     per_key = lines.groupBy("l_suppkey").agg(_count(), F.sum(F.col("l_quantity").cast("decimal(10,2)")).alias("q"))
     return suppliers.join(per_key, F.col("s_suppkey") == F.col("l_suppkey")).select("s_name", "n", _number("q").alias("q"))
 
 
+@query("layout_by_two_keys", """
+    SELECT l_suppkey, l_partkey, count(*) AS n, count(DISTINCT l_orderkey) AS pedidos FROM lineitem GROUP BY 1, 2""")
+def layout_by_two_keys(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_path(spark, "layout")
+    lines = store.lay_out_by_key(
+        StarTables(spark, folder).lineitem.select("l_suppkey", "l_partkey", "l_orderkey"), f"t_{path[-32:]}", path,
+        ["l_suppkey", "l_partkey"], int(spark.conf.get("spark.sql.shuffle.partitions")))
+    per_order = lines.groupBy("l_suppkey", "l_partkey", "l_orderkey").agg(_count())
+    return per_order.groupBy("l_suppkey", "l_partkey").agg(F.sum("n").alias("n"), _count("pedidos"))
+
+
 @query("partial_subset", """
     SELECT l_suppkey, count(*) AS n FROM lineitem WHERE l_linestatus = 'F' AND l_returnflag = 'A' GROUP BY 1""")
 def partial_subset(spark: SparkSession, folder: str) -> DataFrame:
@@ -306,7 +319,10 @@ def join_self_pivot(spark: SparkSession, folder: str) -> DataFrame:
     def of(year: int, name: str) -> Column:
         return F.count(F.when(F.year("o_orderdate") == year, 1)).alias(name)
 
-    phases = StarTables(spark, folder).orders.groupBy(F.col("o_orderpriority").alias("prioridade")).agg(
+    orders = StarTables(spark, folder).orders.filter(
+        (F.col("o_orderdate") >= F.lit("1995-01-01").cast("timestamp_ntz"))
+        & (F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp_ntz")))
+    phases = orders.groupBy(F.col("o_orderpriority").alias("prioridade")).agg(
         of(1995, "antes"), of(1996, "depois"))
     return phases.filter((F.col("antes") > 0) & (F.col("depois") > 0))
 
@@ -319,8 +335,9 @@ def join_self_pivot(spark: SparkSession, folder: str) -> DataFrame:
     WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders) GROUP BY 1""")
 def subq_scalar_where(spark: SparkSession, folder: str) -> DataFrame:
     orders = StarTables(spark, folder).orders
-    last = orders.agg(F.year(F.max("o_orderdate"))).scalar()
-    return orders.filter(F.year("o_orderdate") == last).groupBy("o_orderstatus").agg(_count())
+    # A range on the column itself can be pushed to the scan; no order is later than the last year's end.
+    begin = orders.agg(F.date_trunc("year", F.max("o_orderdate")).cast("timestamp_ntz")).scalar()
+    return orders.filter(F.col("o_orderdate") >= begin).groupBy("o_orderstatus").agg(_count())
 
 
 @query("subq_scalar_having", """
@@ -584,20 +601,20 @@ def sort_multi_mixed(spark: SparkSession, folder: str) -> DataFrame:
 @query("sort_nulls_last", f"""
     SELECT s_suppkey, {rounded('a', 'nullif(s_suppkey % 4, 0)', 2)} AS razao
     FROM (SELECT s_suppkey, count(*) AS a FROM supplier JOIN lineitem ON l_suppkey = s_suppkey GROUP BY 1)
-    ORDER BY 2 DESC NULLS LAST, 1 LIMIT 80""")
+    ORDER BY 2 DESC NULLS LAST, 1""")
 def sort_nulls_last(spark: SparkSession, folder: str) -> DataFrame:
     s = StarTables(spark, folder)
     counts = s.lineitem.groupBy("l_suppkey").agg(_count("a"))
     ratio = half_up(F.col("a"), F.col("s_suppkey") % 4, 2)
     return (
         s.supplier.join(counts, F.col("s_suppkey") == F.col("l_suppkey")).select("s_suppkey", ratio.alias("razao"))
-        .orderBy(F.desc_nulls_last("razao"), "s_suppkey").limit(80))
+        .orderBy(F.desc_nulls_last("razao"), "s_suppkey"))
 
 
 @query("sort_by_expression", """
-    SELECT c_custkey, c_name FROM customer ORDER BY abs(c_acctbal) DESC, c_custkey LIMIT 50""")
+    SELECT c_custkey, c_name FROM customer ORDER BY abs(c_acctbal) DESC, c_custkey""")
 def sort_by_expression(spark: SparkSession, folder: str) -> DataFrame:
-    return StarTables(spark, folder).customer.orderBy(F.abs("c_acctbal").desc(), "c_custkey").limit(50).select(
+    return StarTables(spark, folder).customer.orderBy(F.abs("c_acctbal").desc(), "c_custkey").select(
         "c_custkey", "c_name")
 
 
@@ -607,15 +624,22 @@ def topk_global(spark: SparkSession, folder: str) -> DataFrame:
         F.desc("o_totalprice"), "o_orderkey").limit(20)
 
 
-@query("union_all", """
-    SELECT 'area' AS origem, r_name AS nome FROM region UNION ALL SELECT 'instituicao', n_name FROM nation
-    UNION ALL SELECT 'programa', s_name FROM supplier UNION ALL SELECT 'avaliador', c_name FROM customer""")
-def union_all(spark: SparkSession, folder: str) -> DataFrame:
-    s = StarTables(spark, folder)
+_NAMED = {  # one text and one number of each given table
+    "region": ("r_name", "r_regionkey"), "nation": ("n_name", "n_nationkey"), "customer": ("c_name", "c_custkey"),
+    "supplier": ("s_name", "s_suppkey"), "part": ("p_name", "p_partkey"), "orders": ("o_orderstatus", "o_orderkey"),
+    "lineitem": ("l_returnflag", "l_orderkey"), "events": ("event_type", "event_id"), "documents": ("lang", "doc_id"),
+    "embeddings": (None, "vec_id"), "pages": ("url", "page_id"), "benchmark": (None, "item_id"),
+    "labels": (None, "doc_id"), "conversations": ("role", "conv_id"),
+}
 
-    def named(df: DataFrame, origin: str, column: str) -> DataFrame:
-        return df.select(F.lit(origin).alias("origem"), F.col(column).alias("nome"))
 
-    return (
-        named(s.region, "area", "r_name").unionAll(named(s.nation, "instituicao", "n_name"))
-        .unionAll(named(s.supplier, "programa", "s_name")).unionAll(named(s.customer, "avaliador", "c_name")))
+@query("union_all", " UNION ALL ".join(
+    f"SELECT '{table}' AS origem, CAST({text or 'NULL'} AS VARCHAR) AS nome, CAST({number} AS BIGINT) AS numero FROM {table}"
+    for table, (text, number) in _NAMED.items()))
+def union_all(spark: SparkSession, folder: str) -> DataFrame:
+    s = StarTables(spark, folder)
+    parts = [
+        s.read(table).select(F.lit(table).alias("origem"), (F.col(text) if text else F.lit(None)).cast("string").alias("nome"),
+                             F.col(number).cast("bigint").alias("numero"))
+        for table, (text, number) in _NAMED.items()]
+    return reduce(DataFrame.unionAll, parts)

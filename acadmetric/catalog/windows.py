@@ -14,7 +14,6 @@ from acadmetric.catalog.registry import query
 from acadmetric.catalog.views_sql import rounded, with_views
 from acadmetric.functions.exact import half_up_mean, half_up_percent, scaled_ratio
 from acadmetric.operators.ordered import peer_positions, row_numbers, tile, with_peer_positions
-from acadmetric.session import written
 from acadmetric.sources.driver import StarTables
 from acadmetric.sources.views import evaluation_views
 
@@ -38,7 +37,7 @@ def _area_counts(s: StarTables, key: str) -> DataFrame:
 def win_rank_global(spark: SparkSession, folder: str) -> DataFrame:
     totals = StarTables(spark, folder).orders.groupBy("o_custkey").agg(
         F.sum(F.col("o_totalprice").cast("decimal(15,2)")).alias("t"))
-    return with_peer_positions(written(totals, "totals"), "t", descending=True).select(
+    return with_peer_positions(totals, "t", descending=True).select(
         "o_custkey", F.col("t").cast("double").alias("total"), (F.col("before") + 1).alias("ranking"))
 
 
@@ -48,7 +47,7 @@ def win_rank_global(spark: SparkSession, folder: str) -> DataFrame:
           JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey GROUP BY 1, 2)""")
 def win_rank_partition(spark: SparkSession, folder: str) -> DataFrame:
     counts = _area_counts(StarTables(spark, folder), "l_suppkey").withColumnRenamed("l_suppkey", "s_suppkey")
-    placed = with_peer_positions(written(counts, "counts"), "n", ["r_name"], descending=True)
+    placed = with_peer_positions(counts, "n", ["r_name"], descending=True)
     return placed.select("r_name", "s_suppkey", "n", (F.col("before") + 1).alias("posicao"))
 
 
@@ -58,7 +57,7 @@ def win_rank_partition(spark: SparkSession, folder: str) -> DataFrame:
           JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey GROUP BY 1, 2)""")
 def win_row_number_agg(spark: SparkSession, folder: str) -> DataFrame:
     counts = _area_counts(StarTables(spark, folder), "l_partkey")
-    return row_numbers(counts, [F.col("n").desc(), F.col("l_partkey")], by=["r_name"])
+    return row_numbers(counts, [("n", True), ("l_partkey", False)], by=["r_name"])
 
 
 @query("topk_per_group", """
@@ -87,7 +86,7 @@ def filter_window_result(spark: SparkSession, folder: str) -> DataFrame:
     FROM events""")
 def win_row_number_time(spark: SparkSession, folder: str) -> DataFrame:
     events = StarTables(spark, folder).events.select("event_type", "event_id", "ts")
-    numbered = row_numbers(events, [F.col("ts"), F.col("event_id")], "seq_evento", ["event_type"])
+    numbered = row_numbers(events, [("ts", False), ("event_id", False)], "seq_evento", ["event_type"])
     return numbered.select("event_type", "event_id", "seq_evento")
 
 
@@ -100,7 +99,7 @@ def win_percent_rank(spark: SparkSession, folder: str) -> DataFrame:
     means = t["tb_parecer"].groupBy("co_seq_programa").agg(
         scaled_ratio(F.sum("vl_nota") * 100, F.count("*")).alias("mean"))
     placed = means.join(t["tb_programa"].select("co_seq_programa", "nm_programa", "co_seq_area"), "co_seq_programa")
-    ranked = with_peer_positions(written(placed, "means"), "mean", ["co_seq_area"])
+    ranked = with_peer_positions(placed, "mean", ["co_seq_area"])
     share = F.when(F.col("total") == 1, 0.0).otherwise(F.try_divide("before", F.col("total") - 1))
     return ranked.select(F.col("nm_programa").alias("prog_name"), F.col("co_seq_area").alias("area_id"),
                          share.alias("percentil"))
@@ -110,7 +109,7 @@ def win_percent_rank(spark: SparkSession, folder: str) -> DataFrame:
     SELECT prog_id, yr, kind, cume_dist() OVER (PARTITION BY kind ORDER BY units) AS dist FROM indicator"""))
 def win_cume_dist(spark: SparkSession, folder: str) -> DataFrame:
     rows = evaluation_views(spark, folder)["tb_indicador"]
-    placed = with_peer_positions(written(rows, "indicators"), "vl_indicador", ["tp_indicador"])
+    placed = with_peer_positions(rows, "vl_indicador", ["tp_indicador"])
     return placed.select(
         F.col("co_seq_programa").alias("prog_id"), F.col("nu_ano_referencia").cast("bigint").alias("yr"),
         F.col("tp_indicador").alias("kind"), ((F.col("before") + F.col("peers")) / F.col("total")).alias("dist"))
@@ -121,7 +120,7 @@ def win_cume_dist(spark: SparkSession, folder: str) -> DataFrame:
     FROM (SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY 1)""")
 def win_ntile(spark: SparkSession, folder: str) -> DataFrame:
     counts = StarTables(spark, folder).lineitem.groupBy("l_suppkey").agg(_count())
-    numbered = row_numbers(counts, [F.col("n"), F.col("l_suppkey")])
+    numbered = row_numbers(counts, [("n", False), ("l_suppkey", False)])
     rows = numbered.agg(F.count("*")).scalar()
     return numbered.withColumn("rows", rows).select(
         "l_suppkey", "n", tile(F.col("rn"), F.col("rows"), 4).alias("quartil"))

@@ -17,24 +17,56 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from acadmetric.functions.exact import whole_div
-from acadmetric.session import written
 
-BROADCAST_NAMES = 10_000
+# Rows drawn to place the borders of ranges.
+SAMPLE = 4096
 
+# (column, descending?); missing values come last when ascending and first when descending.
+Key = tuple[str, bool]
 
-def sum_before(df: DataFrame, weight: str, order: Sequence[Column], by: Sequence[str] = (),
-               parts: int | None = None) -> DataFrame:
-    """Add ``before``: the sum of ``weight`` over the rows that sort earlier within ``by``.
 
-    ``order`` must be unique within ``by``. Rows are range-partitioned on
-    (by, order) into ``parts`` ranges (the session's shuffle partitions if not
-    given), so a large group spans many ranges. The ranges are written once,
-    because both the totals and the rows refer to their numbers.
+def _sorting(keys: Sequence[Key]) -> list[Column]:
+    return [F.desc_nulls_first(c) if down else F.asc_nulls_last(c) for c, down in keys]
+
+
+def _beyond(border: Column, keys: Sequence[Key]) -> Column:
+    """Whether the row sorts after ``border`` (a struct of the keys) or at it."""
+    after = F.lit(True)
+    for c, down in reversed(keys):
+        own, edge = F.col(c), border[c]
+        first, second = (edge, own) if down else (own, edge)  # ``first`` is the larger one when the row comes later
+        later = F.coalesce(first > second, first.isNull() & second.isNotNull())
+        after = later | (own.eqNullSafe(edge) & after)
+    return after
+
+
+def ranged(df: DataFrame, keys: Sequence[Key], parts: int, name: str = "_range") -> DataFrame:
+    """Add the number of the row's range in the order of ``keys``: a plain expression of the row.
+
+    Borders come from the SAMPLE rows with the smallest hash of their keys, a scalar subquery of bounded size, so a
+    task that runs again gives the same numbers.
     """
-    keys = [*[F.col(c).asc() for c in by], *order]
-    ranges = df.repartitionByRange(parts, *keys) if parts else df.repartitionByRange(*keys)
-    ranges = written(ranges.withColumn("_range", F.spark_partition_id()), "ranges")
+    names = [c for c, _ in keys]
+    drawn = df.select(*names).orderBy(F.xxhash64(*names), *names).limit(SAMPLE)
+    place = F.row_number().over(Window.orderBy(*_sorting(keys)))
+    whole = F.count("*").over(Window.partitionBy())
+    cut = whole_div((F.col("_place") - 1) * parts, F.col("_whole"))
+    placed = drawn.withColumn("_place", place).withColumn("_whole", whole).withColumn("_cut", cut)
+    borders = placed.groupBy("_cut").agg(F.min_by(F.struct(*names), "_place").alias("_border")).filter(F.col("_cut") > 0)
+    listed = borders.agg(F.collect_list("_border").alias("b")).scalar()
+    beyond = F.size(F.filter("_borders", lambda border: _beyond(border, keys)))
+    return df.withColumn("_borders", listed).withColumn(name, beyond).drop("_borders")
+
+
+def sum_before(df: DataFrame, weight: str, order: Sequence[Key], by: Sequence[str] = (), parts: int | None = None) -> DataFrame:
+    """Add ``before``: the sum of ``weight`` over the rows that sort earlier within ``by``.
 
+    ``order`` must be unique within ``by``. Rows are numbered by ranges of (by, order), ``parts`` of them (the session's
+    shuffle partitions if not given), so a large group spans many ranges. One shuffle deals the rows to their ranges;
+    totals of ranges are counted before they move.
+    """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = ranged(df, [*((c, False) for c in by), *order], parts)
     first = Window.unboundedPreceding
     earlier = Window.partitionBy(*by).orderBy("_range").rowsBetween(first, -1)
     offsets = (
@@ -42,7 +74,7 @@ def sum_before(df: DataFrame, weight: str, order: Sequence[Column], by: Sequence
         .withColumn("_offset", F.coalesce(F.sum("_total").over(earlier), F.lit(0)))
         .drop("_total")
     )
-    inside = Window.partitionBy(*by, "_range").orderBy(*order).rowsBetween(first, -1)
+    inside = Window.partitionBy(*by, "_range").orderBy(*_sorting(order)).rowsBetween(first, -1)
     same = [F.col(f"r.{c}").eqNullSafe(F.col(f"o.{c}")) for c in (*by, "_range")]
     matched = ranges.withColumn("_inside", F.coalesce(F.sum(weight).over(inside), F.lit(0))).alias("r").join(
         offsets.alias("o"), same)
@@ -50,7 +82,7 @@ def sum_before(df: DataFrame, weight: str, order: Sequence[Column], by: Sequence
         *[F.col(f"r.{c}") for c in df.columns], (F.col("_inside") + F.col("_offset")).alias("before"))
 
 
-def row_numbers(df: DataFrame, order: Sequence[Column], name: str = "rn", by: Sequence[str] = (),
+def row_numbers(df: DataFrame, order: Sequence[Key], name: str = "rn", by: Sequence[str] = (),
                 parts: int | None = None) -> DataFrame:
     """Consecutive numbers from 1 within ``by``; ``order`` must be unique there."""
     numbered = sum_before(df.withColumn("_one", F.lit(1).cast("bigint")), "_one", order, by, parts)
@@ -65,8 +97,7 @@ def peer_positions(df: DataFrame, value: str, by: Sequence[str] = (), descending
     so a value that a third of the rows share is one row here.
     """
     peers = df.groupBy(*by, value).agg(F.count("*").alias("peers"))
-    order = F.col(value).desc_nulls_first() if descending else F.col(value).asc_nulls_last()
-    placed = sum_before(peers, "peers", [order], by)
+    placed = sum_before(peers, "peers", [(value, descending)], by)
     totals = placed.groupBy(*by).agg(F.sum("peers").alias("total"))
     if not by:
         return placed.withColumn("total", totals.scalar())
@@ -76,7 +107,7 @@ def peer_positions(df: DataFrame, value: str, by: Sequence[str] = (), descending
 def with_peer_positions(df: DataFrame, value: str, by: Sequence[str] = (), descending: bool = False) -> DataFrame:
     """Every row of ``df`` with the counts of :func:`peer_positions`.
 
-    ``df`` is read twice: pass a stored table, or a written copy of an aggregate.
+    ``df`` is used twice: where it is an aggregate, its exchange is reused.
     """
     positions = peer_positions(df, value, by, descending)
     keys = [F.col(f"d.{c}").eqNullSafe(F.col(f"p.{c}")) for c in (*by, value)]
@@ -92,40 +123,52 @@ def tile(row: Column, rows: Column, tiles: int) -> Column:
     return F.when(row <= wide, in_wide).otherwise(in_narrow).cast("bigint")
 
 
-def top_ranked(df: DataFrame, value: str, ties: Sequence[Column], limit: int, name: str = "ranking") -> DataFrame:
-    """The first ``limit`` rows by ``value`` descending, with their rank among all rows.
+def top_ranked(df: DataFrame, value: str, ties: Sequence[Column], limit: int | None, name: str = "ranking") -> DataFrame:
+    """The first ``limit`` rows by ``value`` descending, with their rank among all rows; all rows without a limit.
 
     Everything that ranks above a kept row is kept too, so the rank is
     computed on the kept rows; nulls come first when descending.
     """
     order = F.col(value).desc_nulls_first()
+    if limit is None:
+        placed = with_peer_positions(df, value, descending=True)
+        return placed.withColumn(name, F.col("before") + 1).drop("before", "peers", "total").orderBy(order, *ties)
     top = df.orderBy(order, *ties).limit(limit)
     return top.withColumn(name, F.rank().over(Window.orderBy(order)).cast("bigint"))
 
 
-def first_rows(df: DataFrame, group: str, order: Sequence[Column], least: int, limit: int) -> DataFrame:
-    """The first ``limit`` rows by (group, order) among groups of ``least`` rows or more.
+def top_numbered(df: DataFrame, order: Sequence[Key], limit: int | None, name: str, by: Sequence[str] = ()) -> DataFrame:
+    """The first ``limit`` rows by (by, order), numbered from 1 within ``by``; all rows without a limit.
 
-    At most ``limit`` groups can contribute, so their names are broadcast (up
-    to BROADCAST_NAMES of them) and nothing is sorted but the kept rows. They
-    are a prefix of each group's history: a window that looks back finds
-    everything it needs in them.
+    The kept rows are a prefix of each group, so they hold every row that a number depends on.
     """
-    names = (
-        df.groupBy(group).agg(F.count("*").alias("_n")).filter(F.col("_n") >= least)
-        .select(group).orderBy(group).limit(limit)
-    )
-    if limit <= BROADCAST_NAMES:
-        names = F.broadcast(names)
-    return df.join(names, group).orderBy(group, *order).limit(limit)
+    if limit is None:
+        return row_numbers(df, order, name, by)
+    top = df.orderBy(*by, *_sorting(order)).limit(limit)
+    return top.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*_sorting(order))).cast("bigint"))
+
+
+def first_rows(df: DataFrame, group: str, order: Sequence[Column], least: int, limit: int | None) -> DataFrame:
+    """The first ``limit`` rows by (group, order) among groups of ``least`` rows or more; all of them without a limit.
+
+    At most ``limit`` groups can contribute, and nothing is sorted but the
+    kept rows. They are a prefix of each group's history: a window that looks
+    back finds everything it needs in them.
+    """
+    names = df.groupBy(group).agg(F.count("*").alias("_n")).filter(F.col("_n") >= least).select(group)
+    if limit is None:
+        return df.join(names, group)
+    return df.join(names.orderBy(group).limit(limit), group).orderBy(group, *order).limit(limit)
 
 
-def top_values(df: DataFrame, value: str, by: Sequence[str], limit: int) -> DataFrame:
-    """The ``limit`` largest distinct values per group with ``above``, ``peers`` and ``total`` row counts.
+def top_values(df: DataFrame, value: str, by: Sequence[str], limit: int | None) -> DataFrame:
+    """The ``limit`` largest distinct values per group with ``above``, ``peers`` and ``total`` row counts; all without a limit.
 
     Only ``limit`` values per group leave each task (WindowGroupLimit), after
     equal values have been counted.
     """
+    if limit is None:
+        return peer_positions(df, value, by, descending=True).withColumnRenamed("before", "above")
     peers = df.groupBy(*by, value).agg(F.count("*").alias("peers"))
     order = F.col(value).desc_nulls_first()
     ranked = peers.withColumn("_rn", F.row_number().over(Window.partitionBy(*by).orderBy(order)))

@@ -122,6 +122,13 @@ def filled_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counts.select("total", listed.alias("v")).select("v.coluna", "total", "v.preenchidas")
 
 
+def completeness(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(tabela, coluna, total, preenchidas) for every column of every table; each table is read once."""
+    parts = [filled_counts(df, df.columns).select(F.lit(name).alias("tabela"), "coluna", "total", "preenchidas")
+             for name, df in tables.items()]
+    return reduce(DataFrame.unionAll, parts)
+
+
 def volumes(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows per table, by name."""
     counts = [df.agg(F.count("*").alias("total")).select(F.lit(name).alias("tabela"), "total")

@@ -6,12 +6,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from acadmetric.functions.exact import half_up, half_up_mean, half_up_percent, scaled_ratio
-from acadmetric.operators.ordered import first_rows, tile, top_ranked, top_values
+from acadmetric.operators.ordered import first_rows, tile, top_numbered, top_ranked, top_values
 from acadmetric.plans.intermediate import paths_by_area
 from acadmetric.plans.parts import (
-    Tables, authors_per_program, known_authorships, outputs_per_program, programs_in_areas,
+    Tables, at_most, authors_per_program, known_authorships, outputs_per_program, programs_in_areas,
     programs_with_area_name, rows_per_program)
-from acadmetric.session import written
 
 _WIDE = "decimal(38,0)"
 
@@ -29,14 +28,12 @@ def productive_programs(t: Tables) -> DataFrame:
         .join(known, "co_seq_programa", "left_semi")
         .withColumn("ratio", scaled_ratio(F.col("qt_prod"), F.col("qt_doc")))
     )
-    # Read twice below; without the written copy the bridge would be joined twice.
-    base = written(base, "productivity")
     # ratio > mean(ratio), compared as whole numbers: ratio * n > sum(ratio).
     mean = base.agg(F.sum("ratio").alias("s"), F.count("*").alias("n"))
     return base.filter(F.col("ratio") * mean.select(_wide("n")).scalar() > mean.select("s").scalar())
 
 
-def productivity_above_mean(t: Tables, limit: int = 20) -> DataFrame:
+def productivity_above_mean(t: Tables, limit: int | None = 20) -> DataFrame:
     """Programs whose outputs per author exceed the mean, ranked among those programs."""
     names = t["tb_programa"].select("co_seq_programa", "nm_programa")
     above = productive_programs(t).join(names, "co_seq_programa")
@@ -47,41 +44,42 @@ def productivity_above_mean(t: Tables, limit: int = 20) -> DataFrame:
     ).orderBy(F.desc("prod_por_docente"), "ranking", "nm_programa")
 
 
-def graduates_above_area_mean(t: Tables, limit: int = 25) -> DataFrame:
+def graduates_above_area_mean(t: Tables, limit: int | None = 25) -> DataFrame:
     """Programs with more graduates than the mean of their own area; programs without graduates do not enter it."""
     counts = t["tb_egresso"].groupBy("co_seq_programa").agg(
         F.count("co_seq_egresso").alias("qt_egressos"), F.count("*").alias("rows"))
-    placed = written(counts.join(programs_with_area_name(t), "co_seq_programa"), "graduates")
+    placed = counts.join(programs_with_area_name(t), "co_seq_programa")
     means = placed.groupBy("co_seq_area").agg(F.sum("rows").alias("s"), F.count("*").alias("n"))
     return (
         placed.join(means, "co_seq_area")
         .filter(_wide("qt_egressos") * _wide("n") > _wide("s"))
         .orderBy("nm_area", F.desc("qt_egressos"), "nm_programa")
-        .limit(limit)
+        .transform(at_most(limit))
         .select("nm_area", "nm_programa", "qt_egressos")
     )
 
 
-def score_percentiles(t: Tables, limit: int = 25) -> DataFrame:
+def score_percentiles(t: Tables, limit: int | None = 25) -> DataFrame:
     """Mean score per program and its percent rank inside the area, by the unrounded mean."""
     sums = t["tb_parecer"].groupBy("co_seq_programa").agg(
         F.count("co_seq_parecer").alias("qt_pareceres"), F.sum("vl_nota").alias("s"), F.count("vl_nota").alias("k"))
     placed = sums.join(programs_with_area_name(t), "co_seq_programa").withColumn(
         "mean", scaled_ratio(F.col("s") * 100, F.col("k")))
-    placed = written(placed, "scores")
-    best = top_values(placed, "mean", ["co_seq_area"], limit)
+    best = top_values(placed, "mean", ["co_seq_area"], limit).withColumnsRenamed({"co_seq_area": "area", "mean": "best_mean"})
     below = F.col("total") - F.col("above") - F.col("peers")
     share = F.when(F.col("total") == 1, 0.0).otherwise(half_up(below, F.col("total") - 1, 2))
-    return (
-        placed.join(best, ["co_seq_area", "mean"])
-        .orderBy("nm_area", F.desc_nulls_first("mean"), "nm_programa")
-        .limit(limit)
+    # Areas may share a name but are ranked one by one: the order is by name and share, not by name and mean.
+    found = (
+        placed.join(best, (placed["co_seq_area"] == best["area"]) & placed["mean"].eqNullSafe(best["best_mean"]))
         .select("nm_area", "nm_programa", half_up_mean(F.col("s"), F.col("k"), 2, 2).alias("nota_media"),
-                "qt_pareceres", share.alias("percentil_area"))
+                "qt_pareceres", share.alias("percentil_area"), placed["mean"].alias("mean"), "co_seq_programa")
+        .orderBy("nm_area", F.desc_nulls_first("percentil_area"), F.desc_nulls_first("mean"), "nm_programa", "co_seq_programa")
+        .transform(at_most(limit))
     )
+    return found.drop("mean", "co_seq_programa")
 
 
-def grade_evolution(t: Tables, limit: int = 30) -> DataFrame:
+def grade_evolution(t: Tables, limit: int | None = 30) -> DataFrame:
     """Final grade, the grade before and the change, for programs with more than one grade.
 
     Missing grades are removed first, so the grade before is the last known one.
@@ -117,7 +115,6 @@ def star_authors(t: Tables) -> DataFrame:
     pairs = t["rt_producao_docente"].select("co_seq_producao", "co_seq_docente")
     per_author = pairs.join(outputs, "co_seq_producao", "left").groupBy("co_seq_docente").agg(
         F.count("*").alias("c"), F.count("known").alias("qt_producoes"))
-    per_author = written(per_author, "authors")
     cut = per_author.groupBy("c").agg(F.count("*").alias("n")).agg(F.percentile("c", F.lit(0.9), F.col("n")))
     return (
         per_author.filter((F.col("qt_producoes") > 0) & (F.col("qt_producoes") >= cut.scalar()))
@@ -126,18 +123,18 @@ def star_authors(t: Tables) -> DataFrame:
     )
 
 
-def star_faculty(t: Tables, limit: int = 20) -> DataFrame:
+def star_faculty(t: Tables, limit: int | None = 20) -> DataFrame:
     """Faculty at or above the 90th percentile of outputs."""
     names = t["tb_docente"].select("co_seq_docente", "nm_docente")
     return (
         star_authors(t).join(names, "co_seq_docente")
         .select("co_seq_docente", "nm_docente", "qt_producoes")
         .orderBy(F.desc("qt_producoes"), "co_seq_docente")
-        .limit(limit)
+        .transform(at_most(limit))
     )
 
 
-def funded_collaborators(t: Tables, limit: int = 20, once_per_project: bool = False) -> DataFrame:
+def funded_collaborators(t: Tables, limit: int | None = 20, once_per_project: bool = False) -> DataFrame:
     """Programs with collaborations whose funding exceeds the mean program total.
 
     As specified, a project's amount counts once per collaboration on the left
@@ -147,16 +144,20 @@ def funded_collaborators(t: Tables, limit: int = 20, once_per_project: bool = Fa
     projects = t["tb_projeto_pesquisa"].select("co_seq_projeto", "co_seq_programa", "vl_financiamento")
     names = t["tb_programa"].select("co_seq_programa", "nm_programa")
     bridge = t["rt_projeto_colaboracao"].select("co_seq_projeto", "co_seq_colaboracao")
-    paths = bridge.join(projects, "co_seq_projeto").join(names, "co_seq_programa")
+    # Paths are summed by ids; names, which programs may share, meet the sums.
+    per_pair = bridge.join(projects, "co_seq_projeto").groupBy("co_seq_programa", "co_seq_colaboracao").agg(
+        F.sum("vl_financiamento").alias("s"))
     partners = (
-        paths.groupBy("nm_programa", "co_seq_colaboracao").agg(F.sum("vl_financiamento").alias("s"))
+        per_pair.join(names, "co_seq_programa")
+        .groupBy("nm_programa", "co_seq_colaboracao").agg(F.sum("s").alias("s"))
         .groupBy("nm_programa").agg(F.sum("s").alias("total_financiado"), F.count("*").alias("qt_colaboracoes"))
     )
     if once_per_project:
         own = (
             projects.join(bridge.select("co_seq_projeto"), "co_seq_projeto", "left_semi")
+            .groupBy("co_seq_programa").agg(F.sum("vl_financiamento").alias("s"))
             .join(names, "co_seq_programa")
-            .groupBy("nm_programa").agg(F.sum("vl_financiamento").alias("total_financiado"))
+            .groupBy("nm_programa").agg(F.sum("s").alias("total_financiado"))
         )
         partners = partners.drop("total_financiado").join(own, "nm_programa")
     per_program = projects.groupBy("co_seq_programa").agg(F.sum("vl_financiamento").alias("s"))
@@ -167,11 +168,11 @@ def funded_collaborators(t: Tables, limit: int = 20, once_per_project: bool = Fa
         partners.filter(cents * mean.select("n").scalar() > mean.select("s").scalar())
         .select("nm_programa", "total_financiado", "qt_colaboracoes")
         .orderBy(F.desc("total_financiado"), "nm_programa")
-        .limit(limit)
+        .transform(at_most(limit))
     )
 
 
-def indicator_moving_mean(t: Tables, limit: int = 30, indicator: str = "PD") -> DataFrame:
+def indicator_moving_mean(t: Tables, limit: int | None = 30, indicator: str = "PD") -> DataFrame:
     """Value and two-row moving mean of one indicator, for programs with three or more rows."""
     rows = (
         t["tb_indicador"].filter(F.col("tp_indicador") == indicator)
@@ -191,7 +192,7 @@ def indicator_moving_mean(t: Tables, limit: int = 30, indicator: str = "PD") ->
     )
 
 
-def completion_ratio(t: Tables, limit: int = 20, counted_status: tuple[str, ...] | None = None) -> DataFrame:
+def completion_ratio(t: Tables, limit: int | None = 20, counted_status: tuple[str, ...] | None = None) -> DataFrame:
     """Graduates over students per program; null without students, which sorts last.
 
     All students count, as specified; ``counted_status`` restricts them to
@@ -210,12 +211,12 @@ def completion_ratio(t: Tables, limit: int = 20, counted_status: tuple[str, ...]
         .select("co_seq_programa", "nm_programa", g.alias("qt_egressos"), d.alias("qt_discentes"),
                 half_up(g, d, 2).alias("razao_egr_disc"))
         .orderBy(F.desc_nulls_last("razao_egr_disc"), "co_seq_programa")
-        .limit(limit)
+        .transform(at_most(limit))
         .drop("co_seq_programa")
     )
 
 
-def type_share_by_area(t: Tables, limit: int = 30) -> DataFrame:
+def type_share_by_area(t: Tables, limit: int | None = 30) -> DataFrame:
     """Share and rank of each output type inside its area."""
     counts = paths_by_area(t, "tp_producao").withColumnRenamed("paths", "qt")
     # One row per (area, type): both windows see a handful of rows.
@@ -224,12 +225,12 @@ def type_share_by_area(t: Tables, limit: int = 30) -> DataFrame:
         counts.withColumn("perc_area", half_up_percent(F.col("qt"), F.sum("qt").over(in_area), 1))
         .withColumn("posicao", F.rank().over(in_area.orderBy(F.desc("qt"))).cast("bigint"))
         .orderBy("nm_area", F.desc("perc_area"), "tp_producao")
-        .limit(limit)
+        .transform(at_most(limit))
         .select("nm_area", "tp_producao", "qt", "perc_area", "posicao")
     )
 
 
-def heavy_criteria_areas(t: Tables, limit: int = 25) -> DataFrame:
+def heavy_criteria_areas(t: Tables, limit: int | None = 25) -> DataFrame:
     """Areas (by name) whose mean criterion weight exceeds the overall mean, with their number of evaluators.
 
     As specified, a criterion counts once per evaluator of its area, which
@@ -258,7 +259,7 @@ def heavy_criteria_areas(t: Tables, limit: int = 25) -> DataFrame:
         named.filter(above)
         .select("nm_area", half_up(F.col("cents"), F.col("rows") * 100, 2).alias("peso_medio"), "qt_avaliadores")
         .orderBy(F.desc("peso_medio"), "nm_area")
-        .limit(limit)
+        .transform(at_most(limit))
     )
 
 
@@ -282,7 +283,7 @@ def top_authors_per_area(t: Tables, per_area: int = 3) -> DataFrame:
     return ranked.filter(F.col("rn") <= per_area)
 
 
-def top_faculty_by_area(t: Tables, limit: int = 30, per_area: int = 3) -> DataFrame:
+def top_faculty_by_area(t: Tables, limit: int | None = 30, per_area: int = 3) -> DataFrame:
     """The most productive faculty names of each area."""
     named = (
         area_author_paths(t)
@@ -295,7 +296,7 @@ def top_faculty_by_area(t: Tables, limit: int = 30, per_area: int = 3) -> DataFr
         .filter(F.col("rn") <= per_area)
         .join(t["tb_area_avaliacao"].select("co_seq_area", "nm_area"), "co_seq_area")
         .orderBy("nm_area", F.desc("qt"), "nm_docente")
-        .limit(limit)
+        .transform(at_most(limit))
         .select("nm_area", "nm_docente", "qt")
     )
 
@@ -306,17 +307,25 @@ def advisors_without_permanent_link(t: Tables, limit: int | None = 25) -> DataFr
         "co_seq_programa", F.col("co_seq_docente_orientador").alias("co_seq_docente")
     ).agg(F.count("co_seq_discente").alias("n"))
     permanent = t["rt_programa_docente"].filter(F.col("tp_vinculo") == "PE").select("co_seq_programa", "co_seq_docente")
-    affected = (
-        advised.join(permanent, ["co_seq_programa", "co_seq_docente"], "left_anti")
-        .join(t["tb_programa"].select("co_seq_programa", "nm_programa"), "co_seq_programa")
-        .join(t["tb_docente"].select("co_seq_docente", F.col("nm_docente").alias("orientador")), "co_seq_docente")
-        .groupBy("nm_programa", "orientador").agg(F.sum("n").alias("qt_discentes_afetados"))
-        .orderBy(F.desc("qt_discentes_afetados"), "nm_programa", "orientador")
+    programs = t["tb_programa"].select("co_seq_programa", F.col("nm_programa").alias("name"))
+    people = t["tb_docente"].select("co_seq_docente", F.col("nm_docente").alias("name"))
+    affected = advised.join(permanent, ["co_seq_programa", "co_seq_docente"], "left_anti")
+    # Names are not unique. Each stands for its smallest id while pairs are summed; the names come back to the sums.
+    for key, named in (("co_seq_programa", programs), ("co_seq_docente", people)):
+        smallest = named.groupBy("name").agg(F.min(key).alias("id"))
+        ids = named.join(smallest, "name").select(F.col(key), F.col("id").alias(f"_{key}"))
+        affected = affected.join(ids, key)
+    affected = affected.groupBy("_co_seq_programa", "_co_seq_docente").agg(F.sum("n").alias("qt_discentes_afetados"))
+    order = [F.desc("qt_discentes_afetados"), F.asc("nm_programa"), F.asc("orientador")]
+    return (
+        affected.join(programs.select(F.col("co_seq_programa").alias("_co_seq_programa"), F.col("name").alias("nm_programa")), "_co_seq_programa")
+        .join(people.select(F.col("co_seq_docente").alias("_co_seq_docente"), F.col("name").alias("orientador")), "_co_seq_docente")
+        .select("nm_programa", "orientador", "qt_discentes_afetados")
+        .orderBy(*order).transform(at_most(limit))
     )
-    return affected.limit(limit) if limit else affected
 
 
-def output_quartiles(t: Tables, limit: int = 25) -> DataFrame:
+def output_quartiles(t: Tables, limit: int | None = 25) -> DataFrame:
     """Distinct outputs, best final grade and output quartile, most productive programs first.
 
     Rows are numbered from the top; the quartile counts from the bottom, so
@@ -330,15 +339,11 @@ def output_quartiles(t: Tables, limit: int = 25) -> DataFrame:
         outputs_per_program(t).join(grades, "co_seq_programa")
         .join(t["tb_programa"].select("co_seq_programa", "nm_programa"), "co_seq_programa")
     )
-    base = written(base, "quartiles")
     rows = base.agg(F.count("*")).scalar()
-    order = [F.desc("qt_prod"), F.asc("co_seq_programa")]
-    top = base.orderBy(*order).limit(limit)
-    from_top = F.row_number().over(Window.orderBy(*order))
+    numbered = top_numbered(base, [("qt_prod", True), ("co_seq_programa", False)], limit, "from_top")
     return (
-        top.withColumn("rows", rows)
-        .withColumn("from_top", from_top)
-        .orderBy(*order)
+        numbered.withColumn("rows", rows)
+        .orderBy("from_top")
         .select("nm_programa", "qt_prod", "conceito",
                 tile(F.col("rows") - F.col("from_top") + 1, F.col("rows"), 4).alias("quartil_producao"))
     )
@@ -347,13 +352,17 @@ def output_quartiles(t: Tables, limit: int = 25) -> DataFrame:
 def diverse_funders(t: Tables) -> DataFrame:
     """Funders with projects in more than one area.
 
-    A project has one program and so one area: distinct projects add up over areas.
+    The project id is the table's key and a project has one program, so one area: projects are counted per program
+    first and add up over areas.
     """
-    return (
+    per_program = (
         t["tb_projeto_pesquisa"].filter(F.col("ds_financiador").isNotNull())
-        .join(t["tb_programa"].select("co_seq_programa", "co_seq_area"), "co_seq_programa")
-        .groupBy("ds_financiador", "co_seq_area", "co_seq_projeto").agg(F.sum("vl_financiamento").alias("s"))
-        .groupBy("ds_financiador", "co_seq_area").agg(F.count("*").alias("p"), F.sum("s").alias("s"))
+        .groupBy("ds_financiador", "co_seq_programa")
+        .agg(F.count("*").alias("p"), F.sum("vl_financiamento").alias("s"))
+    )
+    return (
+        per_program.join(t["tb_programa"].select("co_seq_programa", "co_seq_area"), "co_seq_programa")
+        .groupBy("ds_financiador", "co_seq_area").agg(F.sum("p").alias("p"), F.sum("s").alias("s"))
         .groupBy("ds_financiador")
         .agg(F.count("co_seq_area").alias("qt_areas"), F.sum("p").alias("qt_projetos"), F.sum("s").alias("total"))
         .filter(F.col("qt_areas") > 1)
@@ -384,7 +393,7 @@ def level_cumulative_share(t: Tables) -> DataFrame:
     )
 
 
-def consistent_evaluators(t: Tables, limit: int = 20, every_year: bool = False) -> DataFrame:
+def consistent_evaluators(t: Tables, limit: int | None = 20, every_year: bool = False) -> DataFrame:
     """Evaluators whose mean score exceeds the overall mean over three or more years.
 
     As specified, one mean over all years is compared. ``every_year`` asks that
@@ -393,13 +402,15 @@ def consistent_evaluators(t: Tables, limit: int = 20, every_year: bool = False)
     known = t["tb_programa"].select("co_seq_programa", F.lit(1).alias("known"))
     opinions = t["tb_parecer"].select(
         "co_seq_parecer", "co_seq_avaliador", "co_seq_programa", "nu_ano_avaliacao", "vl_nota")
-    score = F.when(F.col("known") == 1, F.col("vl_nota"))
-    yearly = opinions.join(known, "co_seq_programa", "left").groupBy("co_seq_avaliador", "nu_ano_avaliacao").agg(
-        F.sum("vl_nota").alias("all_s"), F.count("vl_nota").alias("all_k"),
-        F.count(F.when(F.col("known") == 1, F.col("co_seq_parecer"))).alias("n"),
-        F.sum(score).alias("s"), F.count(score).alias("k"), F.count("known").alias("rows"))
-    # Serves the overall mean, which takes in opinions on unknown programs, and the evaluators.
-    yearly = written(yearly, "opinions")
+    sums = opinions.groupBy("co_seq_avaliador", "nu_ano_avaliacao", "co_seq_programa").agg(
+        F.sum("vl_nota").alias("s"), F.count("vl_nota").alias("k"), F.count("co_seq_parecer").alias("n"), F.count("*").alias("rows"))
+
+    def of_known(name: str):
+        return F.sum(F.when(F.col("known") == 1, F.col(name)).otherwise(0 if name != "s" else None)).alias(name)
+
+    yearly = sums.join(known, "co_seq_programa", "left").groupBy("co_seq_avaliador", "nu_ano_avaliacao").agg(
+        F.sum("s").alias("all_s"), F.sum("k").alias("all_k"), *map(of_known, ("n", "s", "k", "rows")))
+    # Serves the overall mean, which takes in opinions on unknown programs, and the evaluators: one exchange, reused.
     overall = yearly.agg((F.sum("all_s") * 100).cast(_WIDE).alias("s"), F.sum("all_k").cast(_WIDE).alias("n"))
     total, rows = overall.select("s").scalar(), overall.select("n").scalar()
 
@@ -424,7 +435,7 @@ def consistent_evaluators(t: Tables, limit: int = 20, every_year: bool = False)
         .select("nm_avaliador", "qt_pareceres",
                 half_up_mean(F.col("s"), F.col("k"), 2, 2).alias("nota_media"), "anos_distintos")
         .orderBy(F.desc("qt_pareceres"), "nm_avaliador")
-        .limit(limit)
+        .transform(at_most(limit))
     )
 
 
@@ -442,19 +453,18 @@ def audit_volume(t: Tables) -> DataFrame:
         F.desc("total_tabela"), "au_nm_tabela")
 
 
-def audit_sequence(t: Tables, limit: int = 30) -> DataFrame:
+def audit_sequence(t: Tables, limit: int | None = 30) -> DataFrame:
     """The first operations of the log by table and time, numbered per table.
 
     The kept rows are a prefix of each table's history, so they hold every row
     that a number depends on; totals come from a count per table.
     """
     log = t["au_operacao"].select("au_nm_tabela", "au_tp_operacao", "au_dt_operacao", "co_seq_auditoria")
-    in_time = [F.col("au_dt_operacao"), F.col("co_seq_auditoria")]
-    top = log.filter(F.col("au_nm_tabela").isNotNull()).orderBy("au_nm_tabela", *in_time).limit(limit)
+    known = log.filter(F.col("au_nm_tabela").isNotNull())
+    in_time = [("au_dt_operacao", False), ("co_seq_auditoria", False)]
     totals = log.groupBy("au_nm_tabela").agg(F.count("*").alias("total_na_tabela"))
-    number = F.row_number().over(Window.partitionBy("au_nm_tabela").orderBy(*in_time)).cast("bigint")
     return (
-        top.withColumn("seq_evento", number)
+        top_numbered(known, in_time, limit, "seq_evento", ["au_nm_tabela"])
         .join(totals, "au_nm_tabela")
         .select("au_nm_tabela", "au_tp_operacao", F.to_date("au_dt_operacao").alias("dia"),
                 "total_na_tabela", "seq_evento")
@@ -477,14 +487,14 @@ def program_totals(t: Tables) -> DataFrame:
     )
 
 
-def program_overview(t: Tables, limit: int = 25) -> DataFrame:
+def program_overview(t: Tables, limit: int | None = 25) -> DataFrame:
     """The largest programs by graduates, with projects and faculty."""
     top = program_totals(t).join(programs_with_area_name(t), "co_seq_programa").orderBy(
-        F.desc("egressos"), "co_seq_programa").limit(limit)
+        F.desc("egressos"), "co_seq_programa").transform(at_most(limit))
     return top.select("nm_programa", "nm_area", "egressos", "projetos", "docentes")
 
 
-def top_decile_indicators(t: Tables, limit: int = 30) -> DataFrame:
+def top_decile_indicators(t: Tables, limit: int | None = 30) -> DataFrame:
     """Programs in the top decile of each indicator type in the last year.
 
     ``cume_dist >= 0.9`` is read from the top: at most a tenth of the type's
@@ -496,7 +506,6 @@ def top_decile_indicators(t: Tables, limit: int = 30) -> DataFrame:
         .join(t["tb_programa"].select("co_seq_programa", "nm_programa"), "co_seq_programa")
         .select("tp_indicador", "nm_programa", "vl_indicador")
     )
-    rows = written(rows, "last-year")
     known = rows.filter(F.col("vl_indicador").isNotNull())
     # Nulls sort last in the ascending distribution, so they are the top of it.
     missing = rows.groupBy("tp_indicador").agg(
@@ -505,15 +514,15 @@ def top_decile_indicators(t: Tables, limit: int = 30) -> DataFrame:
     unknown = missing.filter(F.col("nulls") > 0).select(
         "tp_indicador", F.lit(None).cast(rows.schema["vl_indicador"].dataType).alias("vl_indicador"),
         F.col("nulls").alias("peers"), (-F.col("nulls")).alias("above"))
-    at_most = F.col("all_rows") - F.col("nulls") - F.col("above")
-    places = best.unionByName(unknown).join(missing, "tp_indicador").filter(at_most * 10 >= F.col("all_rows") * 9)
+    not_above = F.col("all_rows") - F.col("nulls") - F.col("above")
+    places = best.unionByName(unknown).join(missing, "tp_indicador").filter(not_above * 10 >= F.col("all_rows") * 9)
     same = (F.col("r.tp_indicador") == F.col("q.tp_indicador")) & F.col("r.vl_indicador").eqNullSafe(
         F.col("q.vl_indicador"))
     return (
         rows.alias("r").join(places.alias("q"), same)
         .orderBy("r.tp_indicador", F.col("r.vl_indicador").desc_nulls_first(), "nm_programa")
-        .limit(limit)
+        .transform(at_most(limit))
         .select("r.tp_indicador", "nm_programa",
                 half_up_mean(F.col("r.vl_indicador"), F.lit(1), 4, 2).alias("valor"),
-                half_up(at_most, F.col("all_rows"), 3).alias("distribuicao"))
+                half_up(not_above, F.col("all_rows"), 3).alias("distribuicao"))
     )

@@ -9,21 +9,21 @@ from acadmetric.functions.exact import half_up_mean
 from acadmetric.operators.bridge import path_counts
 from acadmetric.operators.ordered import top_ranked
 from acadmetric.plans.parts import (
-    Tables, known_authorships, outputs_per_program, programs_in_areas, programs_with_area_name, rows_per_program)
+    Tables, at_most, known_authorships, outputs_per_program, programs_in_areas, programs_with_area_name, rows_per_program)
 
 
-def outputs_by_program(t: Tables, limit: int = 20) -> DataFrame:
+def outputs_by_program(t: Tables, limit: int | None = 20) -> DataFrame:
     """Programs with the most distinct outputs."""
     names = t["tb_programa"].select("co_seq_programa", "nm_programa")
     return (
         outputs_per_program(t).join(names, "co_seq_programa")
         .select("co_seq_programa", "nm_programa", F.col("qt_prod").alias("qt_producoes"))
         .orderBy(F.desc("qt_producoes"), "co_seq_programa")
-        .limit(limit)
+        .transform(at_most(limit))
     )
 
 
-def graduates_by_program(t: Tables, limit: int = 20) -> DataFrame:
+def graduates_by_program(t: Tables, limit: int | None = 20) -> DataFrame:
     """Graduates by institution and program name."""
     counts = t["tb_egresso"].groupBy("co_seq_programa").agg(F.count("co_seq_egresso").alias("n"))
     return (
@@ -32,11 +32,11 @@ def graduates_by_program(t: Tables, limit: int = 20) -> DataFrame:
         .groupBy("nm_instituicao", "nm_programa")
         .agg(F.sum("n").alias("qt_egressos"))
         .orderBy(F.desc("qt_egressos"), "nm_instituicao", "nm_programa")
-        .limit(limit)
+        .transform(at_most(limit))
     )
 
 
-def active_students(t: Tables, limit: int = 20) -> DataFrame:
+def active_students(t: Tables, limit: int | None = 20) -> DataFrame:
     """Active students by program name and level."""
     counts = (
         t["tb_discente"].filter(F.col("tp_status") == "AT")
@@ -47,7 +47,7 @@ def active_students(t: Tables, limit: int = 20) -> DataFrame:
         .groupBy("nm_programa", "tp_nivel")
         .agg(F.sum("n").alias("qt_discentes"))
         .orderBy(F.desc("qt_discentes"), "nm_programa", "tp_nivel")
-        .limit(limit)
+        .transform(at_most(limit))
     )
 
 
@@ -64,22 +64,22 @@ def paths_by_area(t: Tables, attribute: str) -> DataFrame:
     return path_counts(links, items, "co_seq_docente", ["nm_area"], [attribute])
 
 
-def qualis_by_area(t: Tables, limit: int = 30) -> DataFrame:
+def qualis_by_area(t: Tables, limit: int | None = 30) -> DataFrame:
     """Output paths by area and Qualis class."""
     return (
         paths_by_area(t, "ds_qualis")
         .select("nm_area", "ds_qualis", F.col("paths").alias("qt"))
         .orderBy("nm_area", "ds_qualis")
-        .limit(limit)
+        .transform(at_most(limit))
     )
 
 
-def scores_by_program(t: Tables, limit: int = 20) -> DataFrame:
+def scores_by_program(t: Tables, limit: int | None = 20) -> DataFrame:
     """Opinions and mean score per program name, best first."""
-    opinions = t["tb_parecer"].join(
-        t["tb_avaliador"].select("co_seq_avaliador"), "co_seq_avaliador", "left_semi")
-    sums = opinions.groupBy("co_seq_programa").agg(
+    per_evaluator = t["tb_parecer"].groupBy("co_seq_programa", "co_seq_avaliador").agg(
         F.count("co_seq_parecer").alias("n"), F.sum("vl_nota").alias("s"), F.count("vl_nota").alias("k"))
+    sums = per_evaluator.join(t["tb_avaliador"].select("co_seq_avaliador"), "co_seq_avaliador", "left_semi").groupBy(
+        "co_seq_programa").agg(*(F.sum(c).alias(c) for c in "nsk"))
     return (
         sums.join(t["tb_programa"].select("co_seq_programa", "nm_programa"), "co_seq_programa")
         .groupBy("nm_programa")
@@ -87,7 +87,7 @@ def scores_by_program(t: Tables, limit: int = 20) -> DataFrame:
         .filter(F.col("qt_pareceres") > 0)
         .select("nm_programa", "qt_pareceres", half_up_mean(F.col("s"), F.col("k"), 2, 2).alias("nota_media"))
         .orderBy(F.desc_nulls_first("nota_media"), "nm_programa")
-        .limit(limit)
+        .transform(at_most(limit))
     )
 
 
@@ -110,19 +110,19 @@ def collaboration_paths(t: Tables) -> DataFrame:
     return bridge.join(projects, "co_seq_projeto").select("co_seq_programa", "co_seq_colaboracao")
 
 
-def collaborations_by_program(t: Tables, limit: int = 20) -> DataFrame:
+def collaborations_by_program(t: Tables, limit: int | None = 20) -> DataFrame:
     """International collaborations per program name."""
     names = t["tb_programa"].select("co_seq_programa", "nm_programa")
     return (
-        collaboration_paths(t).join(names, "co_seq_programa")
+        collaboration_paths(t).distinct().join(names, "co_seq_programa")
         .select("nm_programa", "co_seq_colaboracao").distinct()
         .groupBy("nm_programa").agg(F.count("*").alias("qt_colaboracoes"))
         .orderBy(F.desc("qt_colaboracoes"), "nm_programa")
-        .limit(limit)
+        .transform(at_most(limit))
     )
 
 
-def funding_rank(t: Tables, limit: int = 20) -> DataFrame:
+def funding_rank(t: Tables, limit: int | None = 20) -> DataFrame:
     """Total funding per program name and its rank among all programs; a missing total ranks first."""
     totals = t["tb_projeto_pesquisa"].groupBy("co_seq_programa").agg(F.sum("vl_financiamento").alias("s"))
     per_name = (
@@ -135,18 +135,19 @@ def funding_rank(t: Tables, limit: int = 20) -> DataFrame:
 def outputs_running_total(t: Tables) -> DataFrame:
     """Authorships per publication year and their running total."""
     years = t["tb_producao_cientifica"].select("co_seq_producao", F.col("nu_ano_publicacao").alias("ano"))
+    # The years are attached first; then one row per year and faculty member is left to look up.
     per_year = (
-        t["rt_producao_docente"].select("co_seq_producao", "co_seq_docente")
+        t["rt_producao_docente"].select("co_seq_producao", "co_seq_docente").join(years, "co_seq_producao")
+        .groupBy("ano", "co_seq_docente").agg(F.count("*").alias("n"))
         .join(t["tb_docente"].select("co_seq_docente"), "co_seq_docente", "left_semi")
-        .join(years, "co_seq_producao")
-        .groupBy("ano").agg(F.count("*").alias("qt_ano"))
+        .groupBy("ano").agg(F.sum("n").alias("qt_ano"))
     )
     # One row per year reaches this window.
     running = F.sum("qt_ano").over(Window.orderBy("ano"))
     return per_year.withColumn("acumulado", running).orderBy("ano")
 
 
-def grades_by_area(t: Tables, limit: int = 20) -> DataFrame:
+def grades_by_area(t: Tables, limit: int | None = 20) -> DataFrame:
     """Reports and mean final grade per area, four-year reports only; null grades count as reports only."""
     final = t["tb_relatorio"].filter(F.col("tp_relatorio") == "QU")
     sums = final.groupBy("co_seq_programa").agg(
@@ -160,7 +161,7 @@ def grades_by_area(t: Tables, limit: int = 20) -> DataFrame:
         .agg(F.sum("n").alias("qt_relatorios"), F.sum("s").alias("s"), F.sum("k").alias("k"))
         .select("nm_area", "qt_relatorios", half_up_mean(F.col("s"), F.col("k"), 0, 2).alias("conceito_medio"))
         .orderBy(F.desc_nulls_first("conceito_medio"), "nm_area")
-        .limit(limit)
+        .transform(at_most(limit))
     )
 
 

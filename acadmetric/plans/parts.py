@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +12,11 @@ from acadmetric.operators.bridge import distinct_items
 Tables = Mapping[str, DataFrame]
 
 
+def at_most(limit: int | None) -> Callable[[DataFrame], DataFrame]:
+    """The first ``limit`` rows, or all of them."""
+    return lambda df: df if limit is None else df.limit(limit)
+
+
 def programs_in_areas(t: Tables) -> DataFrame:
     """Programs with id, name and area, for areas that exist."""
     programs = t["tb_programa"].select("co_seq_programa", "nm_programa", "co_seq_area")

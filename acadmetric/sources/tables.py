@@ -62,25 +62,16 @@ def insert_ignore(target: DataFrame, incoming: DataFrame, key: Sequence[str], or
     return fresh.join(target.select(*key), list(key), "left_anti")
 
 
-# A key may hold this many times the rows of an average bucket.
-BUCKET_SKEW = 4
+def lay_out_by_key(df: DataFrame, table: str, path: str, key: Sequence[str], buckets: int | None) -> DataFrame:
+    """Store ``df`` for later joins on the columns of ``key``.
 
-
-def lay_out_by_key(df: DataFrame, table: str, path: str, key: str, buckets: int, skew: float = BUCKET_SKEW) -> DataFrame:
-    """Store ``df`` bucketed on a join column, so later joins on it need no shuffle.
-
-    A bucket is read by one task. If one key alone would overfill a bucket the
-    table is stored sorted but without buckets: joins on it then shuffle, and
-    adaptive execution splits the large key. The rebalance hint lets it split
-    the key over several writers as well.
+    With ``buckets`` the table is bucketed and sorted on the key, so joins on it need no shuffle; a bucket is read by one
+    task, so this is the layout for keys without a dominant value. With ``buckets=None`` it is sorted only: joins shuffle,
+    and adaptive execution splits a large key. The rebalance hint splits a large key over several writers in both. The
+    caller chooses; nothing depends on the data.
     """
-    largest, rows = (
-        df.groupBy(key).agg(F.count("*").alias("n")).agg(F.max("n"), F.sum("n")).first())
-    spread = df.hint("rebalance", key)
-    if rows and largest * buckets > skew * rows:
-        writer = spread.sortWithinPartitions(key).write
-    else:
-        writer = spread.write.bucketBy(buckets, key).sortBy(key)
+    spread = df.hint("rebalance", *key)
+    writer = spread.write.bucketBy(buckets, *key).sortBy(*key) if buckets else spread.sortWithinPartitions(*key).write
     writer.mode("overwrite").option("path", path).format("parquet").saveAsTable(table)
     return df.sparkSession.table(table)
 

@@ -19,15 +19,23 @@ def sample(spark):
     return spark.createDataFrame(data, "grp string, id long, v long, w long").repartition(6)
 
 
-def test_ranges_are_really_split(spark, sample, many_ranges):
-    spread = sample.repartitionByRange("grp", "v", "id").select(F.spark_partition_id().alias("p")).distinct()
-    assert spread.count() > 3
+def test_ranges_follow_the_order_and_split_large_groups(spark, sample):
+    some = sample.withColumn("v", F.when(F.col("id") % 50 == 0, None).otherwise(F.col("v")))
+    keys = [("grp", False), ("v", True), ("id", False)]
+    placed = ordered.ranged(some, keys, 7).orderBy("grp", F.desc_nulls_first("v"), "id").select("_range").collect()
+    found = [r[0] for r in placed]
+    assert found == sorted(found) and set(found) == set(range(7))
+
+
+def test_a_numbering_writes_nothing_and_shuffles_its_rows_once(spark, sample):
+    plan = ordered.row_numbers(sample, [("v", True), ("id", False)], "rn", ["grp"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(grp") <= 3 and "InsertInto" not in plan
 
 
 @pytest.mark.parametrize("by", [(), ("grp",)])
 def test_row_numbers(sample, many_ranges, by):
+    got = ordered.row_numbers(sample, [("v", True), ("id", False)], "rn", by)
     order = [F.col("v").desc(), F.col("id")]
-    got = ordered.row_numbers(sample, order, "rn", by)
     want = sample.withColumn("rn", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
     assert sorted(rows(got)) == sorted(rows(want))
 
@@ -37,7 +45,7 @@ def test_sum_before(sample, many_ranges, by):
     order = [F.col("v"), F.col("id").desc()]
     window = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     want = sample.withColumn("before", F.coalesce(F.sum("w").over(window), F.lit(0)))
-    assert sorted(rows(ordered.sum_before(sample, "w", order, by))) == sorted(rows(want))
+    assert sorted(rows(ordered.sum_before(sample, "w", [("v", False), ("id", True)], by))) == sorted(rows(want))
 
 
 @pytest.mark.parametrize("by", [(), ("grp",)])

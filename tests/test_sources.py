@@ -44,20 +44,21 @@ def test_loading_twice_equals_loading_once(spark, tmp_path):
 
 
 def test_tables_laid_out_by_key_join_without_shuffle(spark, tmp_path):
-    left = store.lay_out_by_key(spark.range(1000).withColumn("v", F.rand(1)), "lay_left", str(tmp_path / "l"), "id", 4)
-    right = store.lay_out_by_key(spark.range(500).withColumn("w", F.rand(2)), "lay_right", str(tmp_path / "r"), "id", 4)
+    left = store.lay_out_by_key(spark.range(1000).withColumn("v", F.rand(1)), "lay_left", str(tmp_path / "l"), ["id"], 4)
+    right = store.lay_out_by_key(spark.range(500).withColumn("w", F.rand(2)), "lay_right", str(tmp_path / "r"), ["id"], 4)
     joined = left.hint("merge").join(right, "id")
     assert "SortMergeJoin" in plan(joined) and "Exchange" not in plan(joined)
     assert joined.count() == 500
 
 
-def test_a_hot_key_is_not_put_into_one_bucket(spark, tmp_path):
+def test_the_caller_chooses_the_layout(spark, tmp_path):
     hot = spark.range(1000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), "id")
-    stored = store.lay_out_by_key(hot, "lay_hot", str(tmp_path / "h"), "k", 16)
-    assert spark.sql("DESCRIBE EXTENDED lay_hot").filter("col_name = 'Num Buckets'").count() == 0
+    stored = store.lay_out_by_key(hot, "lay_sorted", str(tmp_path / "h"), ["k"], None)
+    assert spark.sql("DESCRIBE EXTENDED lay_sorted").filter("col_name = 'Num Buckets'").count() == 0
     assert sorted(rows(stored)) == sorted(rows(hot))
-    store.lay_out_by_key(spark.range(1000).withColumnRenamed("id", "k"), "lay_even", str(tmp_path / "e"), "k", 16)
-    assert spark.sql("DESCRIBE EXTENDED lay_even").filter("col_name = 'Num Buckets'").first().data_type == "16"
+    stored = store.lay_out_by_key(hot, "lay_bucketed", str(tmp_path / "e"), ["k", "id"], 16)
+    assert spark.sql("DESCRIBE EXTENDED lay_bucketed").filter("col_name = 'Num Buckets'").first().data_type == "16"
+    assert "Exchange" not in plan(stored.groupBy("k", "id").count())
 
 
 def test_subset_is_read_by_partition(spark, small, tmp_path):
@@ -76,6 +77,22 @@ def test_filters_and_columns_reach_the_scan(spark, small):
     assert "ReadSchema: struct<l_suppkey:bigint,l_linestatus:string>" in text
 
 
+def test_date_ranges_reach_the_scan(spark, small):
+    assert "GreaterThanOrEqual(o_orderdate," in plan(QUERIES["join_self_pivot"](spark, small))
+
+
+def test_no_report_starts_a_job_while_it_is_built(spark, small):
+    tracker = spark.sparkContext.statusTracker()
+    for name, run in QUERIES.items():
+        if name.startswith(("qi", "qa", "win_", "timed_")):
+            StarTables(spark, small).orders.count()
+            spark.sparkContext.setJobGroup(f"build {name}", name)
+            run(spark, small)
+            jobs = list(tracker.getJobIdsForGroup(f"build {name}"))
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+            assert jobs == [], name
+
+
 def test_no_report_multiplies_rows_without_a_key(spark, small):
     for name, run in QUERIES.items():
         if name.startswith(("qi", "qa", "join_", "subq_", "win_")):
