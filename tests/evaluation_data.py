@@ -1,119 +1,88 @@
-"""A small load of the evaluation schema, drawn with the library's own expressions."""
+"""Small tables for any schema: every value follows from what ``schema.TABLES`` declares about its column.
 
-from __future__ import annotations
-
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from acadmetric.functions.keys import padded_code, pick, skewed_draw, uniform
-from acadmetric.schema import TABLES
-from acadmetric.sources.tables import append, first_writer, insert_ignore, replace
-
-PROGRAMS, FACULTY, OUTPUTS, AREAS, YEARS = 20, 60, 300, 6, (2021, 2022, 2023, 2024)
-
-
-def u(seed: int) -> Column:
-    return uniform(seed, F.col("g"))
-
-
-def upto(seed: int, n: int) -> Column:
-    return (F.lit(1) + F.floor(u(seed) * n)).cast("int")
-
-
-def skew(seed: int, n: int) -> Column:
-    return skewed_draw(u(seed), F.lit(n))
-
-
-def day(start: str, seed: int, days: int) -> Column:
-    return F.date_add(F.lit(start).cast("date"), upto(seed, days))
-
-
-def name(text: str) -> Column:
-    return F.concat(F.lit(f"{text} "), F.col("g").cast("string"))
-
-
-def frames(spark: SparkSession) -> dict[str, DataFrame]:
-    def table(target: str, n: int, **columns: Column) -> DataFrame:
-        data = spark.range(1, n + 1).withColumnRenamed("id", "g")
-        fields = TABLES[target].columns
-        filled = {fields[0].name: F.col("g"), "st_registro_ativo": F.lit("S"), **columns}
-        return data.select(*[
-            filled.get(c.name, F.lit(None)).cast(c.type).alias(c.name) for c in fields])
-
-    def grid(df: DataFrame, column: str, values) -> DataFrame:
-        return df.withColumn(column, F.explode(F.array(*[F.lit(v) for v in values])))
-
-    g = F.col("g")
-    program_years = grid(spark.range(1, PROGRAMS + 1).withColumnRenamed("id", "p"), "y", YEARS)
-    indicators = grid(program_years, "k", ("PD", "FE", "II", "IS")).withColumn(
-        "g", F.concat_ws("-", "p", "y", "k"))
-    draws = spark.range(1, FACULTY * 3 + 1).withColumnRenamed("id", "g")
-    links = draws.select(skew(1, PROGRAMS).alias("co_seq_programa"), (g % FACULTY + 1).cast("int").alias("co_seq_docente"),
-                         pick(("PE", "CO", "VI"), upto(2, 3)).alias("tp_vinculo"),
-                         day("2015-03-01", 3, 700).alias("dt_inicio_vinculo"),
-                         F.lit(None).cast("date").alias("dt_fim_vinculo"), g)
-    outputs = spark.range(1, OUTPUTS * 3 + 1).withColumnRenamed("id", "g")
-    authors = outputs.select((g % OUTPUTS + 1).cast("int").alias("co_seq_producao"), skew(4, FACULTY).alias("co_seq_docente"),
-                             F.when(g <= OUTPUTS, "AP").otherwise("CA").alias("tp_participacao"), g)
-    pairs = spark.range(1, 121).withColumnRenamed("id", "g").select(
-        upto(5, 40).alias("co_seq_projeto"), upto(6, 15).alias("co_seq_colaboracao"))
-    kind = pick(("AR", "LI", "CA", "AN"), g % 4 + 1)
-    cpf = padded_code("", g, 11)
-    return {
-        "tb_instituicao": table("tb_instituicao", 5, nm_instituicao=name("Universidade"), nu_cnpj=padded_code("", g, 14),
-                                sg_uf=F.lit("CE"), nm_cidade=F.lit("Sobral")),
-        "tb_area_avaliacao": table("tb_area_avaliacao", AREAS, nm_area=name("Area"), co_area_capes=padded_code("", g, 8)),
-        "tb_docente": table("tb_docente", FACULTY, nm_docente=name("Docente"), nu_cpf=cpf, ds_titulacao=F.lit("DO")),
-        "tb_evento": table("tb_evento", 6, nm_evento=name("Encontro"), tp_evento=F.lit("CO")),
-        "tb_colaboracao_internacional": table(
-            "tb_colaboracao_internacional", 15, nm_instituicao_parceira=name("Parceira"), nm_pais=F.lit("Chile"),
-            tp_colaboracao=F.lit("PJ")),
-        "tb_programa": table("tb_programa", PROGRAMS, nm_programa=name("PPG"), co_programa_capes=padded_code("X", g, 7),
-                             tp_nivel=pick(("ME", "DO", "MP"), g % 3 + 1), co_seq_instituicao=upto(7, 5),
-                             co_seq_area=upto(8, AREAS)),
-        "tb_discente": table("tb_discente", 200, nm_discente=name("Discente"), nu_cpf=cpf,
-                             tp_nivel=pick(("ME", "DO"), g % 2 + 1), co_seq_programa=skew(9, PROGRAMS),
-                             co_seq_docente_orientador=skew(10, FACULTY), dt_ingresso=day("2021-08-01", 11, 400),
-                             tp_status=pick(("AT", "TI", "DE"), upto(12, 3))),
-        "tb_egresso": table("tb_egresso", 400, nm_egresso=name("Egresso"), nu_cpf=cpf, co_seq_programa=skew(13, PROGRAMS),
-                            dt_titulacao=day("2019-02-01", 14, 1500)),
-        "tb_producao_cientifica": table(
-            "tb_producao_cientifica", OUTPUTS, nm_titulo=name("Texto"), tp_producao=kind,
-            ds_qualis=F.when(kind != "AN", pick(("A1", "A2", "B1", "B2"), g % 3 + 1)),
-            nu_ano_publicacao=upto(15, 9) + 2015, co_seq_evento=F.when(kind == "AN", upto(16, 6))),
-        "tb_projeto_pesquisa": table(
-            "tb_projeto_pesquisa", 40, nm_projeto=name("Estudo"), ds_financiador=pick(("Fundo A", "Fundo B"), upto(17, 2)),
-            vl_financiamento=F.when(g % 10 != 0, u(18) * 350000), co_seq_programa=skew(19, PROGRAMS),
-            dt_inicio=day("2022-05-01", 20, 300), tp_status=F.lit("AT")),
-        "tb_criterio_avaliacao": table("tb_criterio_avaliacao", AREAS * 5, co_seq_area=g % AREAS + 1,
-                                       nm_criterio=name("Criterio"), vl_peso=u(21) * 100),
-        "tb_avaliador": table("tb_avaliador", 15, nm_avaliador=name("Avaliador"), nu_cpf=cpf, co_seq_area=upto(22, AREAS)),
-        "tb_parecer": table("tb_parecer", 200, co_seq_avaliador=upto(23, 15), co_seq_programa=skew(24, PROGRAMS),
-                            nu_ano_avaliacao=upto(25, 5) + 2019, vl_nota=u(26) * 10, dt_emissao=day("2021-01-01", 27, 1200)),
-        "tb_indicador": indicators.select(
-            F.monotonically_increasing_id().cast("int").alias("co_seq_indicador"), F.col("p").cast("int").alias("co_seq_programa"),
-            F.col("y").alias("nu_ano_referencia"), F.col("k").alias("tp_indicador"),
-            (u(28) * 90).cast("decimal(10,4)").alias("vl_indicador")).withColumn(
-                "co_seq_indicador", F.hash("co_seq_programa", "nu_ano_referencia", "tp_indicador")),
-        "tb_relatorio": program_years.select(
-            (F.col("p") * 10000 + F.col("y")).cast("int").alias("co_seq_relatorio"), F.col("p").cast("int").alias("co_seq_programa"),
-            F.col("y").alias("nu_ano_referencia"), F.when(F.col("y") == 2024, "QU").otherwise("AN").alias("tp_relatorio"),
-            F.when((F.col("p") + F.col("y")) % 5 != 0, F.col("p") % 5 + 3).cast("int").alias("nu_conceito_final"),
-            F.make_date(F.col("y"), F.lit(11), F.lit(30)).alias("dt_geracao")),
-        "rt_programa_docente": first_writer(links, ["co_seq_programa", "co_seq_docente"], ["g"]).drop("g"),
-        "rt_producao_docente": authors,
-        "rt_projeto_colaboracao": pairs.distinct(),
-    }
+Domains give codes, references give keys of rows already made, ranges give numbers, periods give dates, unique columns and
+keys give numbers that do not repeat. A third of all references go to the first row of their parent, optional values are
+missing now and then, and names come in pairs, so that different rows share them.
+"""
 
+from __future__ import annotations
 
-def load(spark: SparkSession, folder: str) -> None:
-    """Store every table below ``folder``; main authors go in before the others."""
-    for table, df in frames(spark).items():
-        path = f"{folder}/{table}"
-        if table != "rt_producao_docente":
-            replace(df, path)
-            continue
-        key = ["co_seq_producao", "co_seq_docente"]
-        first, rest = df.filter("tp_participacao = 'AP'"), df.filter("tp_participacao = 'CA'")
-        stored = append(first_writer(first, key, ["g"]).drop("g"), path)
-        append(insert_ignore(stored, rest, key, ["g"]).drop("g"), path)
+import random
+from datetime import date, timedelta
+from decimal import Decimal
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from acadmetric.schema import TABLES, Column, Table
+from acadmetric.sources.tables import replace
+
+FIRST_DAY, DAYS, FIRST_YEAR, YEARS = date(2017, 3, 7), 2100, 2017, 6
+# Rows of tables whose size matters to the reports; every other table has ``OTHERS``.
+ROWS = {"tb_area_avaliacao": 7, "tb_programa": 23, "tb_docente": 70, "tb_avaliador": 12, "tb_parecer": 400}
+OTHERS = 150
+
+
+class Maker:
+    def __init__(self, seed: int) -> None:
+        self.draw = random.Random(seed)
+        self.rows: dict[str, list[dict]] = {}
+
+    def _number(self, column: Column, bounds: tuple[float | None, float | None]) -> Decimal | int:
+        if isinstance(column.type, T.DecimalType):
+            low = bounds[0] or 0
+            high = bounds[1] if bounds[1] is not None else low + 10 ** min(6, column.type.precision - column.type.scale - 1)
+            unit = Decimal(1).scaleb(-column.type.scale)
+            return (Decimal(str(low)) + Decimal(str(high - low)) * Decimal(self.draw.randrange(1001)) / 1000).quantize(unit)
+        if bounds == (None, None):
+            return FIRST_YEAR + self.draw.randrange(YEARS)
+        return self.draw.randint(int(bounds[0] or 0), int(bounds[1] or 99))
+
+    def _value(self, table: Table, column: Column, n: int, begun: dict):
+        name = column.name
+        if not column.required and self.draw.randrange(6) == 0:
+            return None
+        if name in table.references:
+            parent, key = table.references[name]
+            made = self.rows[parent]
+            return made[0 if self.draw.randrange(3) == 0 else self.draw.randrange(len(made))][key]
+        if name in table.key:
+            return n
+        if name in table.unique:
+            return str(n).rjust(min(column.max_length, 11), "0")
+        if name in table.domains:
+            return self.draw.choice(table.domains[name])
+        if isinstance(column.type, T.DateType):
+            start = next((begun[a] for a, b in table.periods if b == name and begun.get(a)), None)
+            return start + timedelta(self.draw.randrange(400)) if start else FIRST_DAY + timedelta(self.draw.randrange(DAYS))
+        if isinstance(column.type, T.StringType):
+            return f"{name} {n // 2}"[-(column.max_length or 99):]
+        return self._number(column, table.ranges.get(name, (None, None)))
+
+    def fill(self, table: Table) -> None:
+        rows, keys = [], set()
+        for n in range(1, ROWS.get(table.name, OTHERS) + 1):
+            row: dict = {}
+            for column in table.columns:
+                row[column.name] = self._value(table, column, n, row)
+            key = tuple(row[c] for c in table.key)
+            if key not in keys:
+                keys.add(key)
+                rows.append(row)
+        self.rows[table.name] = rows
+
+
+def frames(spark: SparkSession, seed: int = 1) -> dict[str, DataFrame]:
+    """The tables that reference each other, parents first (the schema lists them in that order)."""
+    maker = Maker(seed)
+    out = {}
+    for name, table in TABLES.items():
+        if name[:2] in ("tb", "rt"):
+            maker.fill(table)
+            out[name] = spark.createDataFrame([tuple(r.values()) for r in maker.rows[name]], table.struct)
+    return out
+
+
+def load(spark: SparkSession, folder: str, seed: int = 1) -> None:
+    for table, df in frames(spark, seed).items():
+        replace(df, f"{folder}/{table}")
