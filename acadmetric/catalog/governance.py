@@ -14,7 +14,7 @@ from acadmetric.catalog.views_sql import rounded
 from acadmetric.functions.exact import half_up_percent
 from acadmetric.functions.keys import key_text
 from acadmetric.operators import quality
-from acadmetric.operators.audit import Actor, audit_from_changes, snapshot_changes
+from acadmetric.operators.audit import Actor, audit_from_changes, checked_batch, snapshot_changes
 from acadmetric.schema import Column, Table
 from acadmetric.session import new_path
 from acadmetric.sources.driver import SCHEMAS, StarTables
@@ -262,3 +262,33 @@ def audit_snapshot_diff(spark: SparkSession, folder: str) -> DataFrame:
         "au_tp_operacao", "au_ds_chave_registro",
         F.get_json_object("au_ds_dados_anteriores", "$.seg").alias("antes"),
         F.get_json_object("au_ds_dados_novos", "$.seg").alias("depois"))
+
+
+_CLIENTS = Table(
+    "clientes", (Column("c_custkey", _NUMBER), Column("c_name", _TEXT), Column("c_nationkey", T.IntegerType()), Column("c_mktsegment", _TEXT)),
+    ("c_custkey",), unique=("c_name",), references={"c_nationkey": ("paises", "n_nationkey")},
+    domains={"c_mktsegment": ("AUTOMOBILE", "FURNITURE", "HOUSEHOLD", "MACHINERY")})
+
+
+@query("audit_checked_changes", """
+    WITH feed AS (
+        SELECT c_custkey AS change_id, c_custkey - CASE WHEN c_custkey % 20 = 7 THEN 4 ELSE 0 END AS k, c_name, c_nationkey, c_mktsegment,
+               CASE c_custkey % 4 WHEN 1 THEN 'UPDATE' WHEN 2 THEN 'DELETE' ELSE 'INSERT' END AS op FROM customer)
+    SELECT change_id, op, concat_ws('; ',
+        CASE WHEN op <> 'DELETE' AND c_mktsegment = 'BUILDING' THEN 'check: c_mktsegment domain' END,
+        CASE WHEN op = 'INSERT' AND (k % 5 = 0 OR change_id <> min(change_id) FILTER (op = 'INSERT') OVER (PARTITION BY k)) THEN 'pk: c_custkey' END,
+        CASE WHEN op = 'INSERT' AND change_id % 5 = 0 THEN 'unique: c_name' END,
+        CASE WHEN op <> 'DELETE' AND c_nationkey % 5 = 0 THEN 'fk: c_nationkey' END) AS regras
+    FROM feed""")
+def audit_checked_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Every change with the rules it breaks: accepted changes and rejected ones together are the feed."""
+    s = StarTables(spark, folder)
+    op = F.when(F.col("c_custkey") % 4 == 1, "UPDATE").when(F.col("c_custkey") % 4 == 2, "DELETE").otherwise("INSERT")
+    again = F.col("c_custkey") - F.when(F.col("c_custkey") % 20 == 7, 4).otherwise(0)  # a key that another change brings
+    old = F.struct("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    new = F.struct(again.alias("c_custkey"), "c_name", "c_nationkey", "c_mktsegment")
+    feed = s.customer.select(F.col("c_custkey").alias("change_id"), op.alias("op"), F.when(op != "INSERT", old).alias("before"),
+                             F.when(op != "DELETE", new).alias("after"), F.lit("2024-01-01").cast("timestamp_ntz").alias("changed_at"))
+    held = s.customer.filter(F.col("c_custkey") % 5 == 0)
+    checked = checked_batch(feed, _CLIENTS, held, {"paises": s.nation.filter(F.col("n_nationkey") % 5 != 0)})
+    return checked.select("change_id", "op", F.concat_ws("; ", "broken_rules").alias("regras"))

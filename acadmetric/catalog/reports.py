@@ -108,7 +108,7 @@ _add("qa03_score_percentile", adv.score_percentiles, with_views("opinion program
            {rounded('rk - 1', 'm - 1', 2)} END AS percentil_area
     FROM (SELECT *, rank() OVER (PARTITION BY area_id ORDER BY q) AS rk, count(*) OVER (PARTITION BY area_id) AS m
           FROM per)
-    ORDER BY nm_area, q DESC, nm_programa LIMIT 25""", f"""
+    ORDER BY nm_area, percentil_area DESC, q DESC, nm_programa LIMIT 25""", f"""
     per AS (SELECT area_id, area_name AS nm_area, prog_name AS nm_programa, count(*) AS qt_pareceres,
                    {rounded('sum(cents)', 'count(*) * 100', 2)} AS nota_media,
                    CAST(sum(cents) AS HUGEINT) * 1000000000000 // count(*) AS q
@@ -122,12 +122,14 @@ _add("qa04_grade_evolution", adv.grade_evolution, with_views("report program", "
     ORDER BY 1, 2 LIMIT 30""", """
     known AS (SELECT prog_name, yr, grade FROM report JOIN program USING (prog_id) WHERE grade IS NOT NULL)"""))
 
+_STAR = """
+    star AS (SELECT fac_id, k FROM (
+        SELECT fac_id, count(o.out_id) AS k, quantile_cont(count(*), 0.9) OVER () AS least
+        FROM author LEFT JOIN output AS o USING (out_id) GROUP BY fac_id) WHERE k > 0 AND k >= least)"""
+
 _add("qa05_star_faculty", adv.star_faculty, with_views("faculty author output", """
-    SELECT fac_id AS co_seq_docente, fac_name AS nm_docente, count(*) AS qt_producoes
-    FROM faculty JOIN author USING (fac_id) JOIN output USING (out_id) GROUP BY 1, 2
-    HAVING count(*) >= (SELECT percentile_cont(0.9) WITHIN GROUP (ORDER BY n)
-                        FROM (SELECT count(*) AS n FROM author GROUP BY fac_id))
-    ORDER BY 3 DESC, 1 LIMIT 20"""))
+    SELECT fac_id AS co_seq_docente, fac_name AS nm_docente, k AS qt_producoes FROM star JOIN faculty USING (fac_id)
+    ORDER BY k DESC, fac_id LIMIT 20""", _STAR))
 
 _FUNDED = "funded_program project project_collab"
 _MEAN_TOTAL = "SELECT avg(s) FROM (SELECT sum(amount) AS s FROM project GROUP BY prog_id)"
@@ -157,17 +159,16 @@ _add("qa07_indicator_moving_avg", adv.indicator_moving_mean, with_views("indicat
 
 def _completion(student_filter: str) -> str:
     return with_views("graduate student program area", f"""
-        SELECT prog_name AS nm_programa, g AS qt_egressos, d AS qt_discentes,
-               {rounded('g', 'nullif(d, 0)', 2)} AS razao_egr_disc
-        FROM (SELECT prog_id, prog_name,
-                     (SELECT count(*) FROM graduate AS x WHERE x.prog_id = program.prog_id) AS g,
-                     (SELECT count(*) FROM student AS x WHERE x.prog_id = program.prog_id {student_filter}) AS d
-              FROM program JOIN area USING (area_id))
-        ORDER BY 4 DESC NULLS LAST, prog_id LIMIT 20""")
+        SELECT prog_name AS nm_programa, coalesce(g, 0) AS qt_egressos, coalesce(d, 0) AS qt_discentes,
+               {rounded('coalesce(g, 0)', 'd', 2)} AS razao_egr_disc
+        FROM program SEMI JOIN area USING (area_id) LEFT JOIN made USING (prog_id) LEFT JOIN held USING (prog_id)
+        ORDER BY 4 DESC NULLS LAST, prog_id LIMIT 20""", f"""
+        made AS (SELECT prog_id, count(*) AS g FROM graduate GROUP BY 1),
+        held AS (SELECT prog_id, count(*) AS d FROM student {student_filter} GROUP BY 1)""")
 
 
 _add("qa08_completion_ratio", adv.completion_ratio, _completion(""))
-_add("qa08_completion_ratio_titled", adv.completion_ratio, _completion("AND status = 'TI'"), counted_status=("TI",))
+_add("qa08_completion_ratio_titled", adv.completion_ratio, _completion("WHERE status = 'TI'"), counted_status=("TI",))
 
 _add("qa09_type_share_by_area", adv.type_share_by_area, with_views("area program link author output", f"""
     SELECT area_name AS nm_area, kind AS tp_producao, n AS qt,
@@ -214,32 +215,35 @@ _add("qa13_output_quartile", adv.output_quartiles, with_views("program link auth
     ORDER BY n DESC, prog_id LIMIT 25"""))
 
 _add("qa14_diverse_funders", adv.diverse_funders, with_views("project funded_program", """
-    SELECT funder AS ds_financiador, count(DISTINCT area_id) AS qt_areas, count(DISTINCT proj_id) AS qt_projetos,
-           CAST(sum(amount) AS DOUBLE) AS total
-    FROM project JOIN funded_program USING (prog_id) WHERE funder IS NOT NULL
-    GROUP BY 1 HAVING count(DISTINCT area_id) > 1"""), sponsor_views)
+    SELECT ds_financiador, count(area_id) AS qt_areas, CAST(sum(p) AS BIGINT) AS qt_projetos, CAST(sum(t) AS DOUBLE) AS total
+    FROM (SELECT funder AS ds_financiador, area_id, sum(p) AS p, sum(t) AS t FROM paid JOIN funded_program USING (prog_id) GROUP BY 1, 2)
+    GROUP BY 1 HAVING count(area_id) > 1""", """
+    paid AS (SELECT funder, prog_id, count(*) AS p, sum(amount) AS t FROM project WHERE funder IS NOT NULL GROUP BY 1, 2)"""), sponsor_views)
 
 _add("qa15_level_cumulative_share", adv.level_cumulative_share, with_views("program link author output", f"""
     SELECT lvl AS tp_nivel, n AS qt_prod, {rounded('n * 100', 'sum(n) OVER ()', 1)} AS perc,
            {rounded('(sum(n) OVER (ORDER BY n DESC)) * 100', 'sum(n) OVER ()', 1)} AS perc_acumulado
     FROM (SELECT lvl, count(DISTINCT out_id) AS n {_BRIDGE} GROUP BY 1)"""))
 
-_EVALUATED = """SELECT eval_name AS nm_avaliador, count(*) AS qt_pareceres, {mean} AS nota_media,
-           count(DISTINCT yr) AS anos_distintos
-    FROM evaluator JOIN opinion USING (eval_id) JOIN program USING (prog_id) {where} GROUP BY 1
-    HAVING sum(cents) * (SELECT count(*) FROM opinion) > (SELECT sum(cents) FROM opinion) * count(*)
-       AND count(DISTINCT yr) >= 3
-    ORDER BY 2 DESC, 1 LIMIT 20"""
-_SCORE = rounded("sum(cents)", "count(*) * 100", 2)
+_YEARLY = """
+    heard AS (SELECT eval_id, yr, prog_id, count(*) AS n, sum(cents) AS c FROM opinion GROUP BY 1, 2, 3),
+    overall AS (SELECT sum(c) AS c, sum(n) AS n FROM heard),
+    yearly AS (SELECT eval_name, yr, sum(h.n) AS n, sum(h.c) AS c FROM heard AS h SEMI JOIN program USING (prog_id)
+               JOIN evaluator USING (eval_id) GROUP BY 1, 2)"""
+
 
-_add("qa16_consistent_evaluators", adv.consistent_evaluators, with_views(
-    "opinion evaluator program", _EVALUATED.format(mean=_SCORE, where="")))
+def _consistent(most_low_years: str) -> str:
+    """Evaluators over three years or more with a mean above the overall one, and at most so many years below it."""
+    return with_views("opinion evaluator program", f"""
+        SELECT eval_name AS nm_avaliador, CAST(sum(y.n) AS BIGINT) AS qt_pareceres, {rounded('sum(y.c)', 'sum(y.n) * 100', 2)} AS nota_media,
+               count(*) AS anos_distintos
+        FROM yearly AS y, overall AS o GROUP BY eval_name, o.c, o.n
+        HAVING sum(y.c) * o.n > o.c * sum(y.n) AND count(*) > 2 AND count(*) FILTER (y.c * o.n <= o.c * y.n) <= {most_low_years}
+        ORDER BY 2 DESC, 1 LIMIT 20""", _YEARLY)
 
-_add("qa16_consistent_every_year", adv.consistent_evaluators, with_views(
-    "opinion evaluator program", _EVALUATED.format(mean=_SCORE, where="""WHERE NOT EXISTS (
-        SELECT 1 FROM opinion AS o WHERE o.eval_id = evaluator.eval_id GROUP BY o.yr
-        HAVING sum(o.cents) * (SELECT count(*) FROM opinion) <= (SELECT sum(cents) FROM opinion) * count(*))""")),
-    every_year=True)
+
+_add("qa16_consistent_evaluators", adv.consistent_evaluators, _consistent("count(*)"))
+_add("qa16_consistent_every_year", adv.consistent_evaluators, _consistent("0"), every_year=True)
 
 _add("qa17_audit_volume", adv.audit_volume, with_views("audit", f"""
     SELECT tab AS au_nm_tabela, count(*) FILTER (op = 'I') AS insercoes, count(*) FILTER (op = 'A') AS alteracoes,
@@ -253,14 +257,14 @@ _add("qa18_audit_sequence", adv.audit_sequence, with_views("audit", """
            row_number() OVER (PARTITION BY tab ORDER BY ts, id) AS seq_evento
     FROM audit ORDER BY 1, 5 LIMIT 30"""))
 
+_OWNED = """
+    made AS (SELECT prog_id, count(*) AS g FROM graduate GROUP BY 1), led AS (SELECT prog_id, count(*) AS p FROM project GROUP BY 1),
+    tied AS (SELECT prog_id, count(*) AS f FROM (SELECT DISTINCT prog_id, fac_id FROM link) GROUP BY 1)"""
+
 _add("qa19_program_overview", adv.program_overview, with_views("program area graduate project link", """
-    SELECT prog_name AS nm_programa, area_name AS nm_area, g AS egressos, p AS projetos, f AS docentes
-    FROM (SELECT prog_id, prog_name, area_name,
-                 (SELECT count(*) FROM graduate AS x WHERE x.prog_id = program.prog_id) AS g,
-                 (SELECT count(*) FROM project AS x WHERE x.prog_id = program.prog_id) AS p,
-                 (SELECT count(DISTINCT fac_id) FROM link AS x WHERE x.prog_id = program.prog_id) AS f
-          FROM program JOIN area USING (area_id))
-    WHERE g > 0 ORDER BY g DESC, prog_id LIMIT 25"""))
+    SELECT prog_name AS nm_programa, area_name AS nm_area, g AS egressos, coalesce(p, 0) AS projetos, coalesce(f, 0) AS docentes
+    FROM made JOIN program USING (prog_id) JOIN area USING (area_id) LEFT JOIN led USING (prog_id) LEFT JOIN tied USING (prog_id)
+    ORDER BY g DESC, prog_id LIMIT 25""", _OWNED))
 
 _add("qa20_top_decile_indicator", adv.top_decile_indicators, with_views("indicator program", f"""
     SELECT kind AS tp_indicador, prog_name AS nm_programa, {rounded('units', '10000', 2)} AS valor,
@@ -313,10 +317,7 @@ _add("timed_productive_programs", _productive_counts, with_views("program link a
     WHERE r * (SELECT count(*) FROM rat) > (SELECT sum(r) FROM rat)""", _PRODUCTIVE))
 
 _add("timed_star_faculty", adv.star_authors, with_views("faculty author output", """
-    SELECT fac_id AS co_seq_docente, count(*) AS qt_producoes
-    FROM faculty JOIN author USING (fac_id) JOIN output USING (out_id) GROUP BY 1
-    HAVING count(*) >= (SELECT percentile_cont(0.9) WITHIN GROUP (ORDER BY n)
-                        FROM (SELECT count(*) AS n FROM author GROUP BY fac_id))"""))
+    SELECT fac_id AS co_seq_docente, k AS qt_producoes FROM star SEMI JOIN faculty USING (fac_id)""", _STAR))
 
 _add("timed_top3_faculty", adv.top_authors_per_area, with_views("area program link author output faculty", """
     SELECT CAST(area_id AS BIGINT) AS co_seq_area, fac_id AS co_seq_docente, n AS qt, pos AS rn
@@ -327,10 +328,6 @@ _add("timed_top3_faculty", adv.top_authors_per_area, with_views("area program li
     WHERE pos <= 3"""))
 
 _add("timed_program_totals", adv.program_totals, with_views("program area graduate project link", """
-    SELECT prog_id AS co_seq_programa, g AS egressos, p AS projetos, f AS docentes
-    FROM (SELECT prog_id,
-                 (SELECT count(*) FROM graduate AS x WHERE x.prog_id = program.prog_id) AS g,
-                 (SELECT count(*) FROM project AS x WHERE x.prog_id = program.prog_id) AS p,
-                 (SELECT count(DISTINCT fac_id) FROM link AS x WHERE x.prog_id = program.prog_id) AS f
-          FROM program JOIN area USING (area_id))
-    WHERE g > 0"""))
+    SELECT prog_id AS co_seq_programa, g AS egressos, coalesce(p, 0) AS projetos, coalesce(f, 0) AS docentes
+    FROM made SEMI JOIN (SELECT prog_id FROM program SEMI JOIN area USING (area_id)) USING (prog_id)
+    LEFT JOIN led USING (prog_id) LEFT JOIN tied USING (prog_id)""", _OWNED))

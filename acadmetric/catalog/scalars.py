@@ -11,6 +11,7 @@ from acadmetric.catalog.registry import register
 from acadmetric.catalog.views_sql import rounded
 from acadmetric.functions.exact import half_up
 from acadmetric.functions.keys import elapsed_ms, padded_code, pick, record_image, skewed_draw, uniform
+from acadmetric.operators.audit import Actor, audit_from_changes
 from acadmetric.sources.driver import StarTables
 
 
@@ -54,9 +55,9 @@ _over("fn_array_index", "orders", "o_orderkey", lambda: pick(_CODES, F.col("o_or
 _over("fn_date_literal_add", "orders", "o_orderkey",
       lambda: F.date_add(F.lit("2016-02-27").cast("date"), (F.col("o_orderkey") % 1461).cast("int")).cast("string"),
       "CAST(DATE '2016-02-27' + CAST(o_orderkey % 1461 AS INT) AS VARCHAR)")
-_over("fn_make_date", "orders", "o_orderkey",
-      lambda: F.make_date(F.year("o_orderdate"), F.lit(12), F.lit(15)).cast("string"),
-      "CAST(make_date(year(o_orderdate), 12, 15) AS VARCHAR)")
+_over("fn_make_date", "orders", "o_orderkey",  # month ends and the leap day, by the year of the order
+      lambda: F.make_date(F.year("o_orderdate"), F.month("o_orderdate"), F.day(F.last_day("o_orderdate"))).cast("string"),
+      "CAST(last_day(CAST(o_orderdate AS DATE)) AS VARCHAR)")
 _over("fn_date_trunc_day", "events", "event_id", lambda: F.to_date("ts").cast("string"),
       "CAST(CAST(date_trunc('day', ts) AS DATE) AS VARCHAR)")
 _over("fn_elapsed_ms", "events", "event_id",
@@ -67,16 +68,32 @@ _over("fn_json_get", "events", "event_id", lambda: F.get_json_object("props", "$
 
 
 def _image_fields() -> Column:
-    row = F.struct("event_id", "ts", "event_type", F.nullif(F.col("value"), F.lit(0.0)).alias("value"))
+    """Fields read back from a row image, and whether the image names a missing field."""
+    row = F.struct("event_id", "ts", "event_type", F.nullif(F.col("value") > 500, F.lit(True)).alias("baixo"))
     image = record_image(row)
-    return F.concat_ws("|", *[F.get_json_object(image, f"$.{name}") for name in ("event_type", "ts", "event_id")])
+    missing = F.when(image.contains('"baixo":null'), "sem valor").otherwise("com valor")
+    return F.concat_ws("|", *[F.get_json_object(image, f"$.{name}") for name in ("event_type", "ts", "event_id")], missing)
 
 
 _over("fn_row_to_json", "events", "event_id", _image_fields,
-      "concat_ws('|', event_type, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), event_id)")
-_over("fn_session_context", "events", "event_id",
-      lambda: F.concat_ws("@", F.lit("analista"), F.coalesce(F.lit(None).cast("string"), F.lit("local")), "event_type"),
-      "concat_ws('@', 'analista', 'local', event_type)")
+      "concat_ws('|', event_type, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), event_id, "
+      "CASE WHEN value > 500 OR value IS NULL THEN 'sem valor' ELSE 'com valor' END)")
+
+
+def _context(spark: SparkSession, folder: str) -> DataFrame:
+    """What the log says of who changed a row, with and without an application user."""
+    feed = StarTables(spark, folder).events.select(
+        F.lit("INSERT").alias("op"), F.lit(None).cast("struct<event_id:bigint>").alias("before"),
+        F.struct("event_id").alias("after"), F.col("ts").alias("changed_at"), F.col("event_id").alias("change_id"))
+    odd = F.col("change_id") % 2 == 1
+    log = audit_from_changes(feed.filter(odd), "events", ["event_id"], Actor("maria", "10.0.0.7")).unionByName(
+        audit_from_changes(feed.filter(~odd), "events", ["event_id"], Actor("joana", application_user="portal")))
+    who = F.concat_ws("@", "au_ds_usuario_sessao", "au_nu_ip_sessao", "au_ds_usuario_aplicacao")
+    return log.select(F.col("co_seq_auditoria").alias("event_id"), who.alias("valor"))
+
+
+register("fn_session_context", """
+    SELECT event_id, CASE WHEN event_id % 2 = 1 THEN 'maria@10.0.0.7' ELSE 'joana@local@portal' END AS valor FROM events""", query=_context)
 
 
 def _draw() -> Column:
@@ -89,10 +106,13 @@ _over("skewed_fk_draw", "orders", "o_orderkey", _draw,
 
 
 def _now(spark: SparkSession, folder: str) -> DataFrame:
-    """A job gets one time for all its rows, so the rows of a run share it."""
-    stamped = StarTables(spark, folder).events.select("event_id", F.current_timestamp().alias("now"))
-    first = stamped.agg(F.min("now")).scalar()
-    return stamped.select("event_id", (F.col("now") == first).alias("valor"))
+    """A job passes its time as a column; every log row of the run carries it, whatever the clock says later."""
+    at = F.timestamp_add("MINUTE", F.lit(90), F.lit("2024-02-28 23:00:00").cast("timestamp_ntz"))
+    feed = StarTables(spark, folder).events.select(
+        F.lit("INSERT").alias("op"), F.lit(None).cast("struct<event_id:bigint>").alias("before"),
+        F.struct("event_id").alias("after"), at.alias("changed_at"), F.col("event_id").alias("change_id"))
+    log = audit_from_changes(feed, "events", ["event_id"], Actor("maria"))
+    return log.select(F.col("co_seq_auditoria").alias("event_id"), F.col("au_dt_operacao").cast("string").alias("valor"))
 
 
-register("fn_now", "SELECT event_id, true AS valor FROM events", query=_now)
+register("fn_now", "SELECT event_id, '2024-02-29 00:30:00' AS valor FROM events", query=_now)

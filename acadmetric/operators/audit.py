@@ -11,8 +11,9 @@ and a delete plus an insert between snapshots.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,6 +69,38 @@ def checked_changes(feed: DataFrame, table: Table) -> DataFrame:
     return broken.withColumn("broken_rules", F.when(F.col("op") == "DELETE", none).otherwise(F.col("broken_rules")))
 
 
+def checked_batch(feed: DataFrame, table: Table, held: DataFrame, parents: Mapping[str, DataFrame]) -> DataFrame:
+    """The feed with ``broken_rules`` of row, key, unique and reference rules, against the stored table and its parents.
+
+    ``feed`` needs a ``change_id``; the changes of a batch are judged against the table as it was, and those that bring the
+    same new key or natural key are judged together: the first by change_id stays. A change that keeps its row's key or
+    natural key does not compete for it. Values are looked up once each, so one that a third of the changes share is one row.
+    """
+    checked = checked_changes(feed, table)
+    for rule, columns in [("pk", table.key), *(("unique", (c,)) for c in table.unique)]:
+        new = [F.col(f"after.{c}") for c in columns]
+        brings = (F.col("op") != "DELETE") & reduce(Column.__and__, [c.isNotNull() for c in new]) & ~F.coalesce(
+            reduce(Column.__and__, [F.col(f"before.{c}") == F.col(f"after.{c}") for c in columns]), F.lit(False))
+        names = [f"_new_{i}" for i in range(len(columns))]
+        claims = checked.filter(brings).select(*[v.alias(n) for v, n in zip(new, names, strict=True)], "change_id")
+        first = claims.groupBy(*names).agg(F.min("change_id").alias("_first"))
+        taken = held.select(*[F.col(c).alias(n) for c, n in zip(columns, names, strict=True)]).distinct().withColumn("_taken", F.lit(True))
+        judged = first.join(taken, names, "left")
+        keyed = checked.select("*", *[F.when(brings, v).alias(n) for v, n in zip(new, names, strict=True)]).join(judged, names, "left")
+        broken = F.col("_first").isNotNull() & (F.coalesce("_taken", F.lit(False)) | (F.col("_first") != F.col("change_id")))
+        checked = _marked(keyed, broken, f"{rule}: {','.join(columns)}", checked.columns)
+    for column, (parent, parent_column) in table.references.items():
+        known = parents[parent].select(F.col(parent_column).alias("_value")).distinct().withColumn("_known", F.lit(True))
+        keyed = checked.withColumn("_value", F.when(F.col("op") != "DELETE", F.col(f"after.{column}"))).join(known, "_value", "left")
+        checked = _marked(keyed, F.col("_value").isNotNull() & F.col("_known").isNull(), f"fk: {column}", checked.columns)
+    return checked
+
+
+def _marked(df: DataFrame, broken: Column, rule: str, columns: Sequence[str]) -> DataFrame:
+    more = F.when(broken, F.array_append("broken_rules", F.lit(rule))).otherwise(F.col("broken_rules"))
+    return df.withColumn("broken_rules", more).select(*columns)
+
+
 def snapshot_changes(old: DataFrame, new: DataFrame, key: Sequence[str], changed_at: Column) -> DataFrame:
     """The change feed between two snapshots with the same columns and a unique key."""
     def side(df: DataFrame, name: str) -> DataFrame:

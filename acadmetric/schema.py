@@ -57,7 +57,7 @@ def _number(name: str, precision: int, scale: int, required: bool = True) -> Col
 
 _ACTIVE = _text("st_registro_ativo", 1)
 
-# The closed code lists of the schema.
+# Column names, lengths, keys and the closed code lists of the schema, which stored tables must match.
 YES_NO = ("S", "N")
 DEGREES = ("GR", "ES", "ME", "DO", "PD")
 EVENT_TYPES = ("CO", "SE", "WO", "SI")
