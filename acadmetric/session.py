@@ -53,6 +53,16 @@ def new_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_folder(spark), "acadmetric", application, f"{label}-{uuid.uuid4().hex}")
 
 
+def drop_written(spark: SparkSession) -> None:
+    """Remove everything this application has written to the shared folder.
+
+    Call it when no DataFrame that was built on it is needed any more, at the end of a job as a rule.
+    """
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(os.path.join(shared_folder(spark), "acadmetric", context.applicationId))
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back.
 

@@ -105,3 +105,16 @@ def test_top_lists_are_not_full_sorts(spark, small):
         assert "TakeOrderedAndProject" in plan(QUERIES[name](spark, small)), name
     for name in ("qa11_top3_faculty_per_area", "topk_per_group", "qa20_top_decile_indicator"):
         assert "WindowGroupLimit" in plan(QUERIES[name](spark, small)), name
+
+
+def test_an_application_can_remove_what_it_wrote(spark):
+    from pathlib import Path
+
+    from acadmetric.session import drop_written, new_path, written
+
+    kept = written(spark.range(5), "numbers")
+    assert kept.count() == 5
+    folder = Path(new_path(spark, "x").removeprefix("file:")).parent
+    assert any(folder.iterdir())
+    drop_written(spark)
+    assert not folder.exists()
