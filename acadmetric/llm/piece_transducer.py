@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from acadmetric.llm.common import doc_batches, id_and_text
 
 BLANK = "▁"
-REMEMBERED = 400_000  # words a task keeps; it starts over beyond that
+REMEMBERED = 800_000  # words a task keeps; it starts over beyond that
 _WORD = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
 _machines: dict[str, Transducer] = {}
 
@@ -53,7 +53,13 @@ class Transducer:
         self.piece = [p.piece for p in model.pieces]
         self.weight = [-p.score for p in model.pieces]
         self.byte = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == kinds.BYTE}
-        self.longest = max(map(len, self.number))
+        # The states of the piece machine: arcs by character, and the id of the piece that ends there.
+        self.start: tuple[dict, int] = ({}, -1)
+        for i, p in normal:
+            state = self.start
+            for c in p.piece[:-1]:
+                state = state[0].setdefault(c, ({}, -1))
+            state[0][p.piece[-1]] = (state[0].get(p.piece[-1], ({}, -1))[0], i)
         self.neighbours = {p[i:i + 2] for p in self.number for i in range(len(p) - 1)}
         written = {i: p.piece.replace(BLANK, " ").encode() for i, p in normal} | {i: bytes([b]) for b, i in self.byte.items()}
         self.written = [written.get(i, b"") for i in range(len(model.pieces))]
@@ -93,46 +99,63 @@ class Transducer:
             found = self.allowed[key] = self._merged("".join(own)) == own
         return found
 
-    def shortest_path(self, word: str) -> list[int]:
-        """Ids along the least path of the word composed with the machines."""
-        n, number, weight, allowed, size = len(word), self.number.get, self.weight, self.allowed.get, len(self.piece)
-        distance = [0.0] + [math.inf] * n
-        last, back = [-1] * (n + 1), [0] * (n + 1)
-        for end in range(1, n + 1):
-            for start in range(end - self.longest if end > self.longest else 0, end):
-                piece = number(word[start:end])
-                if piece is None or distance[start] == math.inf:
-                    continue
-                before = last[start]
-                fits = allowed(before * size + piece)
-                if fits or fits is None and self.may_follow(before, piece):
-                    distance[end], last[end], back[end] = distance[start] + weight[piece], piece, start
-                    # Merging leaves one way to read every prefix: no other arc into this state is finite.
+    def shortest_paths(self, words: list[str]) -> dict[str, bytes]:
+        """Ids, as little-endian 32-bit integers, along the least path of each word composed with the machines.
+
+        A place in a word is reached with what was read so far only, so words are taken in order and share the places of
+        their common beginnings.
+        """
+        weight, allowed, size = self.weight, self.allowed.get, len(self.piece)
+        # By place: distance, last piece (-1: bytes or the start), where it came from, and the pieces being read there as
+        # (begin, state), the earliest begin first.
+        places: list[tuple[float, int, int, list]] = [(0.0, -1, 0, [(0, self.start)])]
+        found, before_word = {}, ""
+        for word in sorted(words):
+            shared = 0
+            for a, b in zip(before_word, word, strict=False):
+                if a != b:
                     break
-            else:
-                # The byte arcs: a character without a piece. Nothing merges with it.
-                if number(word[end - 1]) is None:
-                    distance[end], last[end], back[end] = distance[end - 1], -1, end - 1
-        path, end = [], n
-        while end:
-            if last[end] >= 0:
-                path.append(last[end])
-            else:
-                path += [self.byte[b] for b in reversed(word[end - 1].encode())]
-            end = back[end]
-        return path[::-1]
+                shared += 1
+            del places[shared + 1:]
+            before_word = word
+            for at in range(shared, len(word)):
+                c = word[at]
+                distance, last, back, reading = math.inf, -1, at, []
+                for begin, state in places[at][3]:
+                    state = state[0].get(c)
+                    if state is None:
+                        continue
+                    reading.append((begin, state))
+                    piece = state[1]
+                    if piece < 0 or distance < math.inf:
+                        continue
+                    came, before, _, _ = places[begin]
+                    fits = allowed(before * size + piece)
+                    if fits or fits is None and self.may_follow(before, piece):
+                        # Merging leaves one way to read every prefix: no other arc into this place is finite.
+                        distance, last, back = came + weight[piece], piece, begin
+                if distance == math.inf and c not in self.number:
+                    distance = places[at][0]  # the byte arcs: a character without a piece, with which nothing merges
+                if distance < math.inf:
+                    reading.append((at + 1, self.start))
+                places.append((distance, last, back, reading))
+            path, end = [], len(word)
+            while end:
+                _, last, back, _ = places[end]
+                if last >= 0:
+                    path.append(last)
+                else:
+                    path += [self.byte[b] for b in reversed(word[end - 1].encode())]
+                end = back
+            path.reverse()
+            found[word] = array("I", path).tobytes()
+        return found
 
     def _segments(self, word: str) -> list[str]:
         """The word cut where two characters stand side by side in no piece, so that no path leads across."""
         cuts = [0, *(i for i in range(1, len(word)) if word[i - 1:i + 1] not in self.neighbours), len(word)]
         return [word[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
-    def _path(self, segment: str) -> bytes:
-        path = self.known.get(segment)
-        if path is None:
-            path = self.known[segment] = array("I", self.shortest_path(segment)).tobytes()
-        return path
-
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.known) > REMEMBERED:
             self.known.clear()
@@ -141,13 +164,13 @@ class Transducer:
             words += _WORD.findall(self.normalised(t))
             ends.append(len(words))
         paths = list(map(self.known.get, words))
-        known = self.known
-        for i in [i for i, x in enumerate(paths) if x is None]:
-            word = words[i]
-            path = known.get(word)
-            if path is None:
-                path = known[word] = b"".join(map(self._path, self._segments(word)))
-            paths[i] = path
+        known, new = self.known, [i for i, x in enumerate(paths) if x is None]
+        cut = {word: self._segments(word) for word in {words[i] for i in new}}
+        known |= self.shortest_paths(list({s for own in cut.values() for s in own} - known.keys()))
+        for word, own in cut.items():
+            known[word] = b"".join(map(known.__getitem__, own))
+        for i in new:
+            paths[i] = known[words[i]]
         return [np.frombuffer(b"".join(paths[a:b]), "<u4") for a, b in zip(ends, ends[1:], strict=False)]
 
     def decode(self, ids: np.ndarray) -> str:
