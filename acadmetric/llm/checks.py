@@ -45,3 +45,21 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit, c
        sha256(coalesce(ids, '')) AS items_sha256, hit.n IS NOT NULL AS contaminated
 FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
 """
+
+# The crc32 of every text byte by byte, with a table made from its polynomial; shards and slots from plain running sums.
+BYTE_SHARDS = r"""
+WITH steps AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+        lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t),
+sized AS (
+    SELECT doc_id, strlen(coalesce(text, ''))::BIGINT + 8 AS size,
+           xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+               lambda h: ('0x' || h)::BIGINT)), lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1])), 4294967295::BIGINT) AS text_crc32
+    FROM documents, steps),
+placed AS (
+    SELECT *, coalesce(sum(size) OVER (ORDER BY doc_id NULLS FIRST, text_crc32, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+           sum(size) OVER () AS total FROM sized),
+dealt AS (SELECT *, least(23, ((2 * start + size) * 24) // (2 * total))::INT AS shard FROM placed)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS slot, NULL::INT AS grown_shard
+FROM dealt
+"""

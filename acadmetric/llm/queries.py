@@ -53,7 +53,7 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return read_token_files(spark, files, tokenizer)
 
 
-@query("op8_byte_shards")
+@query("op8_byte_shards", checks.BYTE_SHARDS)
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return byte_shards(table(spark, folder, "documents"), shards=24).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
