@@ -87,7 +87,7 @@ def keep_rows(docs: DataFrame, decide: Callable[[list[bytes]], np.ndarray]) -> D
     """The rows whose text ``decide`` keeps, with all their columns, where they lie."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in doc_batches(batches, 2 << 20):
+        for batch in doc_batches(batches, 1 << 20):
             yield batch.filter(pa.array(decide(utf8(batch.column(batch.schema.get_field_index("text")))), pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from acadmetric.llm.common import doc_batches, id_and_text
 
 BLANK = "▁"
-REMEMBERED = 800_000  # words a task keeps; it starts over beyond that
+REMEMBERED = 100_000  # words a task keeps in each of two generations
 _WORD = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
 _machines: dict[str, Transducer] = {}
 
@@ -65,6 +65,7 @@ class Transducer:
         self.written = [written.get(i, b"") for i in range(len(model.pieces))]
         self.allowed: dict[int, bool] = {}
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @staticmethod
     def of(path: str) -> Transducer:
@@ -93,7 +94,7 @@ class Transducer:
         key = before * len(self.piece) + piece
         found = self.allowed.get(key)
         if found is None:
-            if len(self.allowed) > 1_000_000:
+            if len(self.allowed) > 300_000:
                 self.allowed.clear()
             own = [self.piece[piece]] if before < 0 else [self.piece[before], self.piece[piece]]
             found = self.allowed[key] = self._merged("".join(own)) == own
@@ -158,15 +159,19 @@ class Transducer:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.known) > REMEMBERED:
-            self.known.clear()
+            # Words that are met again come back from the older generation; the others go with it.
+            self.known, self.older = {}, self.known
         words, ends = [], [0]
         for t in texts:
             words += _WORD.findall(self.normalised(t))
             ends.append(len(words))
         paths = list(map(self.known.get, words))
-        known, new = self.known, [i for i, x in enumerate(paths) if x is None]
-        cut = {word: self._segments(word) for word in {words[i] for i in new}}
-        known |= self.shortest_paths(list({s for own in cut.values() for s in own} - known.keys()))
+        known, older, new = self.known, self.older, [i for i, x in enumerate(paths) if x is None]
+        fresh = {words[i] for i in new}
+        known |= {word: older[word] for word in fresh & older.keys()}
+        cut = {word: self._segments(word) for word in fresh - older.keys()}
+        segments = {s for own in cut.values() for s in own} - known.keys()
+        known |= {s: older[s] for s in segments & older.keys()} | self.shortest_paths(list(segments - older.keys()))
         for word, own in cut.items():
             known[word] = b"".join(map(known.__getitem__, own))
         for i in new:
@@ -188,7 +193,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = Transducer.of(model)
-        for batch in doc_batches(batches, 4 << 20):
+        for batch in doc_batches(batches, 1 << 20):
             ids = [x.astype(np.int32) for x in machine.encode(_texts(batch))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
@@ -216,7 +221,7 @@ def round_trips(docs: DataFrame, model: str, with_ids: bool = False) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = Transducer.of(model)
-        for batch in doc_batches(batches, 4 << 20):
+        for batch in doc_batches(batches, 1 << 20):
             texts = _texts(batch)
             ids = machine.encode(texts)
             back = [machine.decode(x) for x in ids]

@@ -154,7 +154,7 @@ def quality_scores(docs: DataFrame, model: QualityModel) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2 ** BITS weights, whatever the data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in doc_batches(batches, 2 << 20):
+        for batch in doc_batches(batches, 1 << 20):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shared.value.scores(utf8(batch.column(1))), pa.float64())],
                                              ["doc_id", "score"])
 
