@@ -9,7 +9,7 @@ from acadmetric.functions.exact import half_up_mean
 from acadmetric.operators.bridge import path_counts
 from acadmetric.operators.ordered import top_ranked
 from acadmetric.plans.parts import (
-    Tables, at_most, known_authorships, outputs_per_program, programs_in_areas, programs_with_area_name, rows_per_program)
+    Tables, at_most, outputs_per_program, programs_in_areas, programs_with_area_name, rows_per_program)
 
 
 def outputs_by_program(t: Tables, limit: int | None = 20) -> DataFrame:
