@@ -111,7 +111,7 @@ def fit(rows: list[np.ndarray], label: np.ndarray, share: float) -> QualityModel
     def trained(use: np.ndarray) -> QualityModel:
         own = [rows[i] for i in use]
         ratio = log_count_ratio(own, label[use])
-        values = [ratio[x] / max(float(np.linalg.norm(ratio[x])), 1e-9) for x in own]
+        values = [(ratio[x] / max(float(np.linalg.norm(ratio[x])), 1e-9)).astype(np.float32) for x in own]
         w, b = dual_coordinate_descent(own, values, label[use], np.full(len(own), 4.0))
         return QualityModel(ratio, w, b, 1.0, 0.0)
 
@@ -144,7 +144,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = 2500, max_b
                 [x.astype("<i4").tobytes() for x in np.split(feature, cuts)], pa.binary())], ["doc_id", "label", "features"])
 
     got = sorted(texts.mapInArrow(run, "doc_id long, label string, features binary").collect())
-    rows = [np.frombuffer(r[2], "<i4").astype(np.int64) for r in got]
+    rows = [np.frombuffer(r[2], "<i4") for r in got]
     label = np.array([int(r[1]) for r in got], np.int64)
     return fit(rows, label, counts.get(1, 0) / max(1, sum(counts.values())))
 

@@ -146,12 +146,15 @@ def _likelihood_step(field: Field, ids: np.ndarray, labels: np.ndarray, mask: np
     return weights, moves, float((labels[:, 0] - p[:, 0]).sum())
 
 
-def train_field(ids: np.ndarray, labels: np.ndarray, mask: np.ndarray, rounds: int = 60, rate: float = 0.15) -> Field:
+def train_field(ids: np.ndarray, labels: np.ndarray, mask: np.ndarray, rounds: int = 60, rate: float = 0.15, some: int = 4000) -> Field:
     """Maximum likelihood by AdaGrad over all windows; ``ids``: features x windows x tokens."""
     field = Field(np.zeros(1 << BITS), np.zeros((2, 2)), 0.0)
     size, seen, seen_moves = max(1, len(labels)), np.full(1 << BITS, 1e-8), np.full((2, 2), 1e-8)
     for _ in range(rounds):
-        weights, moves, start = _likelihood_step(field, ids, labels, mask)
+        weights, moves, start = np.zeros(1 << BITS), np.zeros((2, 2)), 0.0
+        for a in range(0, len(labels), some):  # a part at a time, so that the passes stay small
+            w, m, s = _likelihood_step(field, ids[:, a:a + some], labels[a:a + some], mask[a:a + some])
+            weights, moves, start = weights + w, moves + m, start + s
         weights = weights / size - 1e-5 * field.emission
         moves = moves / size - 1e-4 * field.moves
         seen += weights**2
@@ -200,7 +203,7 @@ def fit(texts: list[bytes], toxic: np.ndarray, share: float) -> Field:
     inside = (at >= 0) & (at < len(w.doc))
     at = np.clip(at, 0, len(w.doc) - 1)
     inside &= w.doc[at] == w.doc[centres][:, None]
-    field = train_field(w.features[:, at], np.where(inside, marks[at], 0).astype(np.int64), inside)
+    field = train_field(w.features[:, at], np.where(inside, marks[at], 0).astype(np.int8), inside)
     rest = np.flatnonzero(~learn)
     logit = np.concatenate([strongest(field, [texts[i] for i in rest[a:a + 200]])[0] for a in range(0, max(1, len(rest)), 200)])
     weight = np.where(toxic[rest], share / max(toxic[rest].mean(), 1e-9), (1 - share) / max((~toxic[rest]).mean(), 1e-9))
@@ -219,7 +222,7 @@ def strongest(field: Field, texts: list[bytes]) -> tuple[np.ndarray, Words, np.n
     return best, w, odds
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 3000, max_bytes: int = 20_000) -> Field:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 2000, max_bytes: int = 20_000) -> Field:
     """Fit on at most ``per_class`` rows of either label of ``labels`` (doc_id, toxic 0 or 1), with texts of at most ``max_bytes``."""
     labels = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("toxic IN (0, 1)")
     counts = {r[0]: r[1] for r in labels.groupBy("toxic").count().collect()}
