@@ -1,8 +1,10 @@
 """Document fingerprints by spot signatures.
 
-Every occurrence of a common word (an anchor) starts a chain of the content words that follow it; anchor and chain are hashed
-to one signature. A document's fingerprint is its sorted set of signatures, written as eight hex digits each, so chrome and
-word salad without running prose hardly count. Likeness is the Jaccard similarity of two sets. Sets can only be alike if their
+Every occurrence of an anchor starts a chain of the content words that follow it; anchor and chain are hashed to one signature.
+Anchors are the common words and, so that lists, tables and junk have signatures by the same rule, the other words of one
+class of hashes; whether a word is one does not depend on the rest of the text, so an edit changes only the signatures beside
+it. A document's fingerprint is its sorted set of signatures, written as eight hex digits each; running prose has about
+twice as many of them a word as chrome and word salad. Likeness is the Jaccard similarity of two sets. Sets can only be alike if their
 lengths are: pairs are sought among neighbouring classes of set length only, by the signatures that come first in a fixed
 order, and the comparison of two sets is pruned by their lengths.
 """
@@ -33,24 +35,22 @@ ANCHORS = (
     "una y ya"
 )
 _ANCHORS = np.unique(Words.of([ANCHORS.encode()], LETTERS).hash)
+_CLASSES = 4  # one in so many of the other words is an anchor as well
 _STEP = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93]
 
 
 def signatures(texts: list[bytes], chain: int = 2, distance: int = 1) -> list[np.ndarray]:
     """The sorted set of 32-bit signatures of each text.
 
-    In a text with less than one common word in sixteen every word is an anchor. A text without any complete chain but
-    with words has one signature, of its whole word sequence; a text without words has none.
+    A text without any complete chain but with words has one signature, of its whole word sequence; a text without words has none.
     """
     w = Words.of(texts, LETTERS)
     n = len(w.hash)
     if not n:
         return [np.empty(0, np.uint32) for _ in texts]
     stop = _ANCHORS[np.minimum(np.searchsorted(_ANCHORS, w.hash), len(_ANCHORS) - 1)] == w.hash
-    words = np.bincount(w.doc, minlength=len(texts))
-    sparse = np.bincount(w.doc[stop], minlength=len(texts)) * 16 < words
-    # Lists and word salad have next to no common words; there every word is an anchor.
-    content, anchor = np.flatnonzero(~stop | sparse[w.doc]), np.flatnonzero(stop | sparse[w.doc])
+    # Lists and word salad have next to no common words. A word that is an anchor by its hash stays a content word.
+    content, anchor = np.flatnonzero(~stop), np.flatnonzero(stop | (w.hash % np.uint64(_CLASSES) == 0))
     first = np.searchsorted(content, anchor, "right")
     whole = first + (chain - 1) * distance < len(content)
     anchor, first = anchor[whole], first[whole]

@@ -72,6 +72,24 @@ def test_edited_texts_follow_the_order_of_ids(spark, many_ranges):
         assert got[i].near_edited == likeness(own, changed) and got[i].near_next == likeness(own, other)
 
 
+def test_lists_edited_with_prose_stay_alike(spark):
+    draw = random.Random(5)
+    rows = []
+    for i in range(0, 40, 2):
+        rows.append((i, " ".join(f"item{draw.randrange(10**6)}" for _ in range(200))))
+        rows.append((i + 1, " ".join(draw.choice(["the", "of", "and", f"w{draw.randrange(500)}"]) for _ in range(500))))
+    got = [r.near_edited for r in compared_with_edits(documents(spark, rows)).collect() if r.doc_id % 2 == 0]
+    assert len(got) == 20 and min(got) > 0.2
+
+
+def test_signatures_depend_on_nearby_words_only():
+    draw = random.Random(6)
+    plain = " ".join(f"item{draw.randrange(10**6)}" for _ in range(200))
+    for common in (1, 12, 13, 40, 400):
+        whole, own = signatures([f"{plain} {'the ' * common}".encode(), plain.encode()])
+        assert set(own.tolist()) <= set(whole.tolist())
+
+
 def test_fingerprints_of_odd_rows(odd, empty):
     got = [(r.doc_id, r.fingerprint) for r in fingerprints(odd).collect()]
     assert dict(got)[1] == dict(got)[3] == "" and dict(got)[10] and len({f for i, f in got if i in (5, 6, 7)}) == 1
