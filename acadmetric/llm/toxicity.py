@@ -165,8 +165,13 @@ def train_field(ids: np.ndarray, labels: np.ndarray, mask: np.ndarray, rounds: i
     return field
 
 
-def labelled_tokens(w: Tokens, toxic: np.ndarray, least: int = 6, ratio: float = 25.0) -> np.ndarray:
-    """Which tokens of the sampled documents are toxic: a word or a beginning that marks toxic documents."""
+def labelled_tokens(w: Tokens, toxic: np.ndarray, chance: float = 0.003, ratio: float = 25.0) -> np.ndarray:
+    """Which tokens of the sampled documents are toxic: a word or a beginning that marks toxic documents.
+
+    It marks them if it is ``ratio`` times as frequent in them as in the others (a quarter of a document is added there) and
+    if the bound of Chernoff leaves a probability of at most ``chance`` that the documents that hold it are toxic as often
+    or more, were it no more frequent in toxic ones. The fewer of the documents are toxic, the fewer occurrences suffice.
+    """
     out = np.zeros(len(w.doc), bool)
     n1, n0 = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
     for kind, longer in w.kinds:
@@ -175,18 +180,30 @@ def labelled_tokens(w: Tokens, toxic: np.ndarray, least: int = 6, ratio: float =
         of, doc = pairs // w.docs, pairs % w.docs
         in_toxic = np.bincount(of, toxic[doc], len(names))
         in_clean = np.bincount(of, ~toxic[doc], len(names))
-        marked = (in_toxic >= least) & (in_toxic / n1 > ratio * (in_clean + 0.25) / n0)
+        marked = (in_toxic > 0) & (in_toxic / n1 > ratio * (in_clean + 0.25) / n0)
+        x, y = in_toxic[marked], in_clean[marked]
+        against = x * np.log(x / (x + y) * (n1 + n0) / n1) + y * np.log(np.maximum(y, 1) / (x + y) * (n1 + n0) / n0)
+        marked[marked] = against >= -np.log(chance)
         out |= marked[number] & (w.size > longer)
     return out
 
 
-def fit(texts: list[bytes], toxic: np.ndarray, share: float) -> Field:
-    """``share``: the part of toxic rows among all labelled ones."""
+def fit(texts: list[bytes], toxic: np.ndarray, share: float, least: int = 10) -> Field:
+    """``share``: the part of toxic rows among all labelled ones.
+
+    A quarter of the rows of either label is left out of the training and gives the logistic curve. Where that is fewer than
+    ``least`` rows of a label, all rows train and the score is the strongest marginal itself: a curve through a few rows says
+    next to nothing. Without rows of both labels, or where no word or beginning marks toxic rows (as with one or two of them), every text gets
+    the same score, about ``share``.
+    """
     none = Field(np.zeros(1 << BITS), np.zeros((2, 2)), 0.0, 0.0, float(np.log((share + 1e-3) / (1 - share + 1e-3))))
     if not len(texts) or toxic.all() or not toxic.any():
         return none
     draw = np.random.default_rng(11)
-    learn = draw.random(len(texts)) < 0.75  # the rest gives the logistic curve
+    learn = np.ones(len(texts), bool)
+    if min(toxic.sum(), (~toxic).sum()) // 4 >= least:
+        for label in (toxic, ~toxic):
+            learn[draw.permutation(np.flatnonzero(label))[:label.sum() // 4]] = False
     used = np.flatnonzero(learn)
     w = Tokens.of([texts[i] for i in used])
     marks = labelled_tokens(w, toxic[used])
@@ -205,6 +222,8 @@ def fit(texts: list[bytes], toxic: np.ndarray, share: float) -> Field:
     inside &= w.doc[at] == w.doc[centres][:, None]
     field = train_field(w.features[:, at], np.where(inside, marks[at], 0).astype(np.int8), inside)
     rest = np.flatnonzero(~learn)
+    if not len(rest):
+        return field
     logit = np.concatenate([strongest(field, [texts[i] for i in rest[a:a + 200]])[0] for a in range(0, max(1, len(rest)), 200)])
     weight = np.where(toxic[rest], share / max(toxic[rest].mean(), 1e-9), (1 - share) / max((~toxic[rest]).mean(), 1e-9))
     field.slope, field.base = platt(logit, toxic[rest].astype(float), weight)

@@ -11,7 +11,9 @@ from tests_llm import ODD_TEXTS, documents
 
 from acadmetric.llm.language import fit_language, languages
 from acadmetric.llm.quality import fit_quality, keep_rows_of_quality, quality_scores
-from acadmetric.llm.toxicity import chain_marginals, fit_toxicity, keep_clean_rows, toxicity_scores
+from acadmetric.llm.tokens import sigmoid
+from acadmetric.llm.toxicity import (Tokens, chain_marginals, fit, fit_toxicity, keep_clean_rows, labelled_tokens, strongest,
+                                     toxicity_scores)
 
 DRAW = random.Random(17)
 PARTS = ["ka", "to", "mi", "re", "su", "na", "lo", "ve", "di", "po"]
@@ -66,6 +68,31 @@ def test_without_labels_scores_are_the_same_for_all(made, odd):
     assert len({r.score for r in toxicity_scores(odd, fit_toxicity(docs, none)).collect()}) == 1
 
 
+def test_few_labels_teach_markers_and_one_does_not():
+    draw = random.Random(3)
+    texts = [" ".join("".join(draw.choice(PARTS) for _ in range(draw.randint(2, 4))) for _ in range(30)) for _ in range(90)]
+    toxic = np.arange(90) % 9 == 0
+    texts = [f"{t} {'zurk' if i % 2 else 'blorgka'} {t[:20]}".encode() if toxic[i] else t.encode() for i, t in enumerate(texts)]
+    w = Tokens.of(texts)
+    marks = labelled_tokens(w, toxic)
+    assert set(w.doc[marks].tolist()) == set(np.flatnonzero(toxic).tolist())
+    field = fit(texts, toxic, toxic.mean())
+    scores = sigmoid(field.slope * strongest(field, [b"ka to zurk mire", b"ka to mire resu"])[0] + field.base)
+    assert scores[0] > scores[1]
+    # With one toxic text nothing marks toxicity: the same score for all, near the share.
+    one = np.arange(90) == 0
+    field = fit(texts, one, one.mean())
+    assert field.slope == 0 and abs(sigmoid(np.array(field.base)) - one.mean()) < 0.01
+
+
+def test_smallest_table_teaches_insults(spark, small):
+    docs, labels = (spark.read.parquet(f"{small}/{n}.parquet") for n in ("documents", "labels"))
+    field = fit_toxicity(docs, labels)
+    got = toxicity_scores(docs, field).join(labels.filter("toxic IN (0, 1)"), "doc_id").collect()
+    found = [r.toxic for r in got if r.score >= 0.5]
+    assert sum(found) >= 4 and sum(found) == len(found)
+
+
 def test_marginals_equal_enumeration():
     draw = np.random.default_rng(4)
     moves, start = draw.normal(size=(2, 2)), 0.3
