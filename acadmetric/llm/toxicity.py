@@ -33,24 +33,14 @@ def token_features(w: Words) -> np.ndarray:
                      bucket(w.prefix(5), 4, BITS), bucket(w.suffix(3), 5, BITS)]).astype(np.int32)
 
 
-@dataclass
-class Tokens:
-    """The tokens of a sample, gathered a few texts at a time."""
+def some_words(texts: list[bytes], some: int = 200) -> Iterator[tuple[int, Words]]:
+    """The words of a few texts at a time, and the number of the first text; what is kept of them stays small."""
+    for i in range(0, len(texts), some):
+        yield i, Words.of(texts[i:i + some], LETTERS)
 
-    docs: int
-    doc: np.ndarray
-    kinds: list[tuple[np.ndarray, int]]  # hashes that may mark a token, and the length a token must exceed
-    size: np.ndarray
-    features: np.ndarray
 
-    @staticmethod
-    def of(texts: list[bytes], some: int = 200) -> Tokens:
-        parts = []
-        for i in range(0, max(1, len(texts)), some):
-            w = Words.of(texts[i:i + some], LETTERS)
-            parts.append(((w.doc + i).astype(np.int32), w.hash, w.prefix(4), w.prefix(5), (w.end - w.start).astype(np.int32), token_features(w)))
-        doc, word, four, five, size, features = (np.concatenate(x, axis=-1) for x in zip(*parts, strict=True))
-        return Tokens(len(texts), doc, [(word, 0), (four, 4), (five, 5)], size, features)
+# Hashes that may mark a token, and the length a token must exceed.
+KINDS = ((lambda w: w.hash, 0), (lambda w: w.prefix(4), 4), (lambda w: w.prefix(5), 5))
 
 
 @dataclass
@@ -165,36 +155,67 @@ def train_field(ids: np.ndarray, labels: np.ndarray, mask: np.ndarray, rounds: i
     return field
 
 
-def labelled_tokens(w: Tokens, toxic: np.ndarray, chance: float = 0.003, ratio: float = 25.0) -> np.ndarray:
-    """Which tokens of the sampled documents are toxic: a word or a beginning that marks toxic documents.
+def labelled_tokens(texts: list[bytes], toxic: np.ndarray, chance: float = 0.003, ratio: float = 25.0) -> tuple[np.ndarray, np.ndarray]:
+    """The document of every token of the sample, and whether it is toxic: a word or a beginning that marks toxic documents.
 
     It marks them if it is ``ratio`` times as frequent in them as in the others (a quarter of a document is added there) and
     if the bound of Chernoff leaves a probability of at most ``chance`` that the documents that hold it are toxic as often
     or more, were it no more frequent in toxic ones. The fewer of the documents are toxic, the fewer occurrences suffice.
     """
-    out = np.zeros(len(w.doc), bool)
     n1, n0 = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
-    for kind, longer in w.kinds:
-        names, number = np.unique(kind, return_inverse=True)
-        pairs = np.unique(number.astype(np.int64) * w.docs + w.doc)
-        of, doc = pairs // w.docs, pairs % w.docs
-        in_toxic = np.bincount(of, toxic[doc], len(names))
-        in_clean = np.bincount(of, ~toxic[doc], len(names))
-        marked = (in_toxic > 0) & (in_toxic / n1 > ratio * (in_clean + 0.25) / n0)
+    marking = []
+    for kind, _ in KINDS:  # one after the other, from the texts, so that one kind of hashes is in memory at a time
+        held: list[list[np.ndarray]] = [[], []]
+        for i, w in some_words(texts):
+            names, number = np.unique(kind(w), return_inverse=True)
+            pairs = np.unique(number.astype(np.int64) * w.docs + w.doc)
+            of, yes = names[pairs // max(1, w.docs)], toxic[i + pairs % max(1, w.docs)]
+            held[0].append(of[~yes])
+            held[1].append(of[yes])
+        names, in_toxic = np.unique(np.concatenate(held[1]), return_counts=True)
+        others = np.concatenate(held[0])
+        at = np.searchsorted(names, others)
+        at = at[names[np.minimum(at, len(names) - 1)] == others] if len(names) else at[:0]
+        in_clean = np.bincount(at, minlength=len(names))
+        marked = in_toxic / n1 > ratio * (in_clean + 0.25) / n0
         x, y = in_toxic[marked], in_clean[marked]
         against = x * np.log(x / (x + y) * (n1 + n0) / n1) + y * np.log(np.maximum(y, 1) / (x + y) * (n1 + n0) / n0)
-        marked[marked] = against >= -np.log(chance)
-        out |= marked[number] & (w.size > longer)
-    return out
-
-
-def fit(texts: list[bytes], toxic: np.ndarray, share: float, least: int = 10) -> Field:
+        marking.append(names[marked][against >= -np.log(chance)])
+    docs, marks = [], []
+    for i, w in some_words(texts):
+        size = w.end - w.start
+        docs.append((w.doc + i).astype(np.int32))
+        marks.append(np.any([np.isin(kind(w), m) & (size > longer) for (kind, longer), m in zip(KINDS, marking, strict=True)], axis=0))
+    return np.concatenate(docs), np.concatenate(marks)
+
+
+def windows(texts: list[bytes], centres: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features, labels and presence of the tokens around each of ``centres`` (sorted numbers of tokens); a window keeps to its text."""
+    parts, base = [], 0
+    for _, w in some_words(texts):
+        n = len(w.doc)
+        a, b = np.searchsorted(centres, [base, base + n])
+        if a < b:
+            own = centres[a:b] - base
+            at = own[:, None] + np.arange(-SPAN, SPAN + 1)
+            inside = (at >= 0) & (at < n)
+            at = np.clip(at, 0, n - 1)
+            inside &= w.doc[at] == w.doc[own][:, None]
+            parts.append((token_features(w)[:, at], np.where(inside, marks[base + at], 0).astype(np.int8), inside))
+        base += n
+    ids, labels, inside = zip(*parts, strict=True)
+    return np.concatenate(ids, axis=1), np.concatenate(labels), np.concatenate(inside)
+
+
+def fit(texts: list[bytes], toxic: np.ndarray, share: float, least: int = 10, toxic_windows: int = 20_000,
+        clean_windows: int = 40_000) -> Field:
     """``share``: the part of toxic rows among all labelled ones.
 
     A quarter of the rows of either label is left out of the training and gives the logistic curve. Where that is fewer than
     ``least`` rows of a label, all rows train and the score is the strongest marginal itself: a curve through a few rows says
-    next to nothing. Without rows of both labels, or where no word or beginning marks toxic rows (as with one or two of them), every text gets
-    the same score, about ``share``.
+    next to nothing. Without rows of both labels, or where no word or beginning marks toxic rows (as with one or two of them),
+    every text gets the same score, about ``share``. At most ``toxic_windows`` and ``clean_windows`` windows, drawn at random,
+    are trained on.
     """
     none = Field(np.zeros(1 << BITS), np.zeros((2, 2)), 0.0, 0.0, float(np.log((share + 1e-3) / (1 - share + 1e-3))))
     if not len(texts) or toxic.all() or not toxic.any():
@@ -205,22 +226,18 @@ def fit(texts: list[bytes], toxic: np.ndarray, share: float, least: int = 10) ->
         for label in (toxic, ~toxic):
             learn[draw.permutation(np.flatnonzero(label))[:label.sum() // 4]] = False
     used = np.flatnonzero(learn)
-    w = Tokens.of([texts[i] for i in used])
-    marks = labelled_tokens(w, toxic[used])
+    own = [texts[i] for i in used]
+    doc, marks = labelled_tokens(own, toxic[used])
     if not marks.any():
         return none
-    explained = np.unique(w.doc[marks])
+    explained = np.unique(doc[marks])
     # A toxic document none of whose tokens is known to be toxic would teach that its tokens are clean.
-    usable = ~toxic[used][w.doc] | np.isin(w.doc, explained)
+    usable = ~toxic[used][doc] | np.isin(doc, explained)
     centres = np.flatnonzero(marks)
     others = np.flatnonzero(usable & ~marks)
-    plain = draw.choice(others, min(len(others), 40_000), replace=False) if len(others) else others
-    centres = np.sort(np.concatenate((draw.permutation(centres)[:10_000], plain)))
-    at = centres[:, None] + np.arange(-SPAN, SPAN + 1)
-    inside = (at >= 0) & (at < len(w.doc))
-    at = np.clip(at, 0, len(w.doc) - 1)
-    inside &= w.doc[at] == w.doc[centres][:, None]
-    field = train_field(w.features[:, at], np.where(inside, marks[at], 0).astype(np.int8), inside)
+    plain = draw.choice(others, min(len(others), clean_windows), replace=False) if len(others) else others
+    centres = np.sort(np.concatenate((draw.permutation(centres)[:toxic_windows], plain)))
+    field = train_field(*windows(own, centres, marks))
     rest = np.flatnonzero(~learn)
     if not len(rest):
         return field
@@ -241,7 +258,7 @@ def strongest(field: Field, texts: list[bytes]) -> tuple[np.ndarray, Words, np.n
     return best, w, odds
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 2000, max_bytes: int = 20_000) -> Field:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 4000, max_bytes: int = 50_000) -> Field:
     """Fit on at most ``per_class`` rows of either label of ``labels`` (doc_id, toxic 0 or 1), with texts of at most ``max_bytes``."""
     labels = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("toxic IN (0, 1)")
     counts = {r[0]: r[1] for r in labels.groupBy("toxic").count().collect()}

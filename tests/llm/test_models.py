@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import inspect
 import itertools
 import random
 
@@ -12,8 +13,8 @@ from tests_llm import ODD_TEXTS, documents
 from acadmetric.llm.language import fit_language, languages
 from acadmetric.llm.quality import fit_quality, keep_rows_of_quality, quality_scores
 from acadmetric.llm.tokens import sigmoid
-from acadmetric.llm.toxicity import (Tokens, chain_marginals, fit, fit_toxicity, keep_clean_rows, labelled_tokens, strongest,
-                                     toxicity_scores)
+from acadmetric.llm.toxicity import (chain_marginals, fit, fit_toxicity, keep_clean_rows, labelled_tokens, strongest,
+                                     toxicity_scores, windows)
 
 DRAW = random.Random(17)
 PARTS = ["ka", "to", "mi", "re", "su", "na", "lo", "ve", "di", "po"]
@@ -73,9 +74,8 @@ def test_few_labels_teach_markers_and_one_does_not():
     texts = [" ".join("".join(draw.choice(PARTS) for _ in range(draw.randint(2, 4))) for _ in range(30)) for _ in range(90)]
     toxic = np.arange(90) % 9 == 0
     texts = [f"{t} {'zurk' if i % 2 else 'blorgka'} {t[:20]}".encode() if toxic[i] else t.encode() for i, t in enumerate(texts)]
-    w = Tokens.of(texts)
-    marks = labelled_tokens(w, toxic)
-    assert set(w.doc[marks].tolist()) == set(np.flatnonzero(toxic).tolist())
+    doc, marks = labelled_tokens(texts, toxic)
+    assert set(doc[marks].tolist()) == set(np.flatnonzero(toxic).tolist())
     field = fit(texts, toxic, toxic.mean())
     scores = sigmoid(field.slope * strongest(field, [b"ka to zurk mire", b"ka to mire resu"])[0] + field.base)
     assert scores[0] > scores[1]
@@ -85,6 +85,20 @@ def test_few_labels_teach_markers_and_one_does_not():
     assert field.slope == 0 and abs(sigmoid(np.array(field.base)) - one.mean()) < 0.01
 
 
+def test_sample_is_not_cut_for_memory():
+    own = inspect.signature(fit_toxicity).parameters
+    assert own["per_class"].default == 4000 and own["max_bytes"].default == 50_000
+    own = inspect.signature(fit).parameters
+    assert own["toxic_windows"].default == 20_000 and own["clean_windows"].default == 40_000
+
+
+def test_windows_keep_to_their_text():
+    texts = [f"a{i} b{i} c{i}".encode() for i in range(450)]
+    doc, _ = labelled_tokens(texts, np.arange(450) % 2 == 0)
+    ids, labels, inside = windows(texts, np.arange(len(doc)), doc % 2 == 0)
+    assert ids.shape[1] == len(doc) == 1350 and (inside.sum(1) == 3).all() and (labels.sum(1) == np.where(doc % 2 == 0, 3, 0)).all()
+
+
 def test_smallest_table_teaches_insults(spark, small):
     docs, labels = (spark.read.parquet(f"{small}/{n}.parquet") for n in ("documents", "labels"))
     field = fit_toxicity(docs, labels)
