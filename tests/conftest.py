@@ -30,7 +30,3 @@ def many_ranges(spark):
     yield
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     spark.conf.set("spark.sql.shuffle.partitions", "4")
-
-
-def rows(df) -> list[tuple]:
-    return [tuple(r) for r in df.collect()]

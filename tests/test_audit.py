@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import json
 
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from acadmetric.catalog.governance import ACTOR, event_changes

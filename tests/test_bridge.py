@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from conftest import rows
+from frames import rows
 
 from acadmetric.operators import bridge
 

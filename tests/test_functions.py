@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from fractions import Fraction
 
-from conftest import rows
+from frames import rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

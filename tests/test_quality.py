@@ -3,7 +3,7 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 
-from conftest import rows
+from frames import rows
 
 from acadmetric.operators import quality
 from acadmetric.schema import TABLES

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from acadmetric.plans import advanced as adv

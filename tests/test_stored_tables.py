@@ -8,7 +8,7 @@ from functools import reduce
 
 import evaluation_data
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
