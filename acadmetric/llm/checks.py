@@ -63,3 +63,52 @@ SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
        row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS slot, NULL::INT AS grown_shard
 FROM dealt
 """
+
+EXACT_DEDUP = r"""
+WITH texts AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = min(doc_id) OVER same AS kept,
+       sha256(t) AS text_sha256
+FROM texts WINDOW same AS (PARTITION BY t)
+"""
+
+# Every document that holds a term of an item is scored in full.
+RANKED_SEARCH = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS (
+    SELECT row_number() OVER () AS q, item_id,
+           unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+wanted AS (SELECT q, item_id, t, count(*) AS k FROM items GROUP BY ALL),
+totals AS (SELECT count(*) FILTER (len(w) > 0) AS n, sum(len(w))::BIGINT AS l FROM docs),
+held AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM docs) SEMI JOIN items USING (t) GROUP BY ALL),
+weights AS (SELECT t, floor(1000 * ln((2 * n + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM held, totals GROUP BY t, n),
+lengths AS (SELECT r, doc_id, 75 + (25 * len(w) * n) // l AS m FROM docs, totals WHERE len(w) > 0),
+scores AS (
+    SELECT q, item_id, r, doc_id, sum(k * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+    FROM wanted JOIN weights USING (t) JOIN held USING (t) JOIN lengths USING (r) GROUP BY ALL),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= 20
+"""
+
+FILL_IN_MIDDLE = r"""
+WITH drawn AS (
+    SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n,
+           sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS x FROM documents),
+numbers AS (
+    SELECT *, ('0x' || substr(x, 1, 8))::BIGINT % (n + 1) AS c1, ('0x' || substr(x, 9, 8))::BIGINT % (n + 1) AS c2,
+           ('0x' || substr(x, 17, 8))::BIGINT % 100 AS h3, ('0x' || substr(x, 25, 8))::BIGINT % 100 AS h4 FROM drawn),
+cut AS (
+    SELECT *, least(c1, c2) AS a, greatest(c1, c2) AS b,
+           CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 >= 90 THEN 'plain'
+                WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form FROM numbers),
+parts AS (SELECT *, substr(t, 1, a) AS p, substr(t, a + 1, b - a) AS m, substr(t, b + 1) AS s FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
+"""

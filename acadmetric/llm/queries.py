@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from acadmetric.llm import checks
 from acadmetric.llm.common import fold, table, vocabulary_file
 from acadmetric.llm.decontamination import contaminated_documents
+from acadmetric.llm.exact_dedup import exact_duplicates
 from acadmetric.llm.extraction import extract_pages
+from acadmetric.llm.fill_in_middle import digests
 from acadmetric.llm.language import fit_language, languages
+from acadmetric.llm.lexical_search import ranked
 from acadmetric.llm.near_dedup import near_duplicate_groups
 from acadmetric.llm.piece_transducer import round_trips
 from acadmetric.llm.quality import fit_quality, quality_scores
@@ -99,3 +102,18 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_piece_transducer")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return round_trips(table(spark, folder, "documents"), vocabulary_file("piece_bpe_32k.model"))
+
+
+@query("op11_exact_dedup", checks.EXACT_DEDUP)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_duplicates(table(spark, folder, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query("op12_ranked_search", checks.RANKED_SEARCH)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"), top=20)
+
+
+@query("op13_fill_in_middle", checks.FILL_IN_MIDDLE)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return digests(table(spark, folder, "documents"))
