@@ -28,7 +28,7 @@ from acadmetric.session import written
 PRIME = (1 << 61) - 1
 #: Two bases below the prime, drawn once; equal results for both mean a chance of about 2^-120 for different texts.
 BASES = (1_418_283_705_829_413_327, 583_094_771_635_204_119)
-SALT_BYTES = 4 << 20
+SALT_BYTES = 1 << 18
 _ROW_BYTES = 64  # what a row weighs besides its text
 _WHITE = bytes(32 if b == 32 or 9 <= b <= 13 else b for b in range(256))
 
