@@ -120,7 +120,8 @@ def _different(chunks: DataFrame, members: DataFrame, firsts: DataFrame) -> Data
     """
     copies = firsts.select(F.col("first").alias("seq"), "first", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
                            F.lit(0).alias("role"))
-    wanted = copies.unionByName(members.select("seq", "first", "salt", F.lit(1).alias("role")))
+    # Written first, so that Spark knows its size when it chooses how the texts meet it.
+    wanted = written(copies.unionByName(members.select("seq", "first", "salt", F.lit(1).alias("role"))), "wanted")
     met = chunks.select("seq", "no", "data").join(wanted, "seq").select("first", "salt", "no", "role", "seq", "data")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
