@@ -18,6 +18,15 @@ def whole_div(numerator: Column, denominator: Column) -> Column:
     return F.call_function("div", numerator, F.nullif(denominator, F.lit(0).cast(_WIDE)))
 
 
+def floor_div(numerator: Column, denominator: Column) -> Column:
+    """The largest whole number that is not above the quotient, for a positive denominator; null when it is zero.
+
+    A whole number exceeds a mean exactly when it exceeds the mean's floor, so one number stands for sum and count.
+    """
+    num, den = numerator.cast(_WIDE), F.nullif(denominator.cast(_WIDE), F.lit(0).cast(_WIDE))
+    return whole_div(num - F.pmod(num, den), den)
+
+
 def half_up(numerator: Column, denominator: Column, places: int) -> Column:
     """``numerator / denominator`` of two whole numbers, rounded half away from zero, as double."""
     num, den = numerator.cast(_WIDE), denominator.cast(_WIDE)

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from acadmetric.functions.exact import half_up, half_up_mean, half_up_percent, scaled_ratio
+from acadmetric.functions.exact import floor_div, half_up, half_up_mean, half_up_percent, scaled_ratio
 from acadmetric.operators.ordered import first_rows, tile, top_numbered, top_ranked, top_values
 from acadmetric.plans.intermediate import paths_by_area
 from acadmetric.plans.parts import (
-    Tables, at_most, authors_per_program, known_authorships, outputs_per_program, programs_in_areas,
+    Tables, at_most, known_authorships, outputs_and_authors, outputs_per_program, programs_in_areas,
     programs_with_area_name, rows_per_program)
 
 _WIDE = "decimal(38,0)"
@@ -23,14 +23,13 @@ def productive_programs(t: Tables) -> DataFrame:
     """Program ids with outputs, authors and their ratio, where the ratio exceeds its mean."""
     known = t["tb_programa"].select("co_seq_programa")
     base = (
-        outputs_per_program(t)
-        .join(authors_per_program(t), "co_seq_programa")
-        .join(known, "co_seq_programa", "left_semi")
+        outputs_and_authors(t).join(known, "co_seq_programa", "left_semi")
         .withColumn("ratio", scaled_ratio(F.col("qt_prod"), F.col("qt_doc")))
     )
-    # ratio > mean(ratio), compared as whole numbers: ratio * n > sum(ratio).
-    mean = base.agg(F.sum("ratio").alias("s"), F.count("*").alias("n"))
-    return base.filter(F.col("ratio") * mean.select(_wide("n")).scalar() > mean.select("s").scalar())
+    # ratio > mean(ratio), both in whole millionths of the ratio's unit.
+    millionths = (F.col("ratio") * 10**6).cast(_WIDE)
+    mean = base.agg(floor_div(F.sum(millionths), F.count("*")))
+    return base.filter(millionths > mean.scalar())
 
 
 def productivity_above_mean(t: Tables, limit: int | None = 20) -> DataFrame:
@@ -161,11 +160,11 @@ def funded_collaborators(t: Tables, limit: int | None = 20, once_per_project: bo
         )
         partners = partners.drop("total_financiado").join(own, "nm_programa")
     per_program = projects.groupBy("co_seq_programa").agg(F.sum("vl_financiamento").alias("s"))
-    # avg(t) ignores programs without any amount: total * n > sum, on whole cents.
-    mean = per_program.agg((F.sum("s") * 100).cast(_WIDE).alias("s"), F.count("s").cast(_WIDE).alias("n"))
+    # avg(t) ignores programs without any amount; compared in whole cents.
+    mean = per_program.agg(floor_div(F.sum("s") * 100, F.count("s")))
     cents = (F.col("total_financiado") * 100).cast(_WIDE)
     return (
-        partners.filter(cents * mean.select("n").scalar() > mean.select("s").scalar())
+        partners.filter(cents > mean.scalar())
         .select("nm_programa", "total_financiado", "qt_colaboracoes")
         .orderBy(F.desc("total_financiado"), "nm_programa")
         .transform(at_most(limit))
@@ -243,8 +242,8 @@ def heavy_criteria_areas(t: Tables, limit: int | None = 25) -> DataFrame:
         t["tb_avaliador"].groupBy("co_seq_area", "co_seq_avaliador").agg(F.count("*").alias("r"))
         .groupBy("co_seq_area").agg(F.count("co_seq_avaliador").alias("q"), F.sum("r").alias("r"))
     )
-    overall = t["tb_criterio_avaliacao"].agg(
-        (F.sum("vl_peso") * 100).cast(_WIDE).alias("s"), F.count("vl_peso").cast(_WIDE).alias("n"))
+    overall = t["tb_criterio_avaliacao"].agg(F.struct(
+        (F.sum("vl_peso") * 100).cast(_WIDE).alias("s"), F.count("vl_peso").cast(_WIDE).alias("n"))).scalar()
     times = F.coalesce("r", F.lit(1)).cast(_WIDE)
     named = (
         t["tb_area_avaliacao"].select("co_seq_area", "nm_area")
@@ -254,7 +253,7 @@ def heavy_criteria_areas(t: Tables, limit: int | None = 25) -> DataFrame:
         .agg(F.sum((F.col("s") * 100).cast(_WIDE) * times).alias("cents"), F.sum(F.col("n") * times).alias("rows"),
              F.sum(F.coalesce("q", F.lit(0))).alias("qt_avaliadores"))
     )
-    above = F.col("cents") * overall.select("n").scalar() > overall.select("s").scalar() * F.col("rows")
+    above = F.col("cents") * overall["n"] > overall["s"] * F.col("rows")
     return (
         named.filter(above)
         .select("nm_area", half_up(F.col("cents"), F.col("rows") * 100, 2).alias("peso_medio"), "qt_avaliadores")
@@ -307,21 +306,14 @@ def advisors_without_permanent_link(t: Tables, limit: int | None = 25) -> DataFr
         "co_seq_programa", F.col("co_seq_docente_orientador").alias("co_seq_docente")
     ).agg(F.count("co_seq_discente").alias("n"))
     permanent = t["rt_programa_docente"].filter(F.col("tp_vinculo") == "PE").select("co_seq_programa", "co_seq_docente")
-    programs = t["tb_programa"].select("co_seq_programa", F.col("nm_programa").alias("name"))
-    people = t["tb_docente"].select("co_seq_docente", F.col("nm_docente").alias("name"))
-    affected = advised.join(permanent, ["co_seq_programa", "co_seq_docente"], "left_anti")
-    # Names are not unique. Each stands for its smallest id while pairs are summed; the names come back to the sums.
-    for key, named in (("co_seq_programa", programs), ("co_seq_docente", people)):
-        smallest = named.groupBy("name").agg(F.min(key).alias("id"))
-        ids = named.join(smallest, "name").select(F.col(key), F.col("id").alias(f"_{key}"))
-        affected = affected.join(ids, key)
-    affected = affected.groupBy("_co_seq_programa", "_co_seq_docente").agg(F.sum("n").alias("qt_discentes_afetados"))
-    order = [F.desc("qt_discentes_afetados"), F.asc("nm_programa"), F.asc("orientador")]
+    # Pairs are counted by ids; names, which are not unique, meet the counts and are summed again.
     return (
-        affected.join(programs.select(F.col("co_seq_programa").alias("_co_seq_programa"), F.col("name").alias("nm_programa")), "_co_seq_programa")
-        .join(people.select(F.col("co_seq_docente").alias("_co_seq_docente"), F.col("name").alias("orientador")), "_co_seq_docente")
-        .select("nm_programa", "orientador", "qt_discentes_afetados")
-        .orderBy(*order).transform(at_most(limit))
+        advised.join(permanent, ["co_seq_programa", "co_seq_docente"], "left_anti")
+        .join(t["tb_programa"].select("co_seq_programa", "nm_programa"), "co_seq_programa")
+        .join(t["tb_docente"].select("co_seq_docente", F.col("nm_docente").alias("orientador")), "co_seq_docente")
+        .groupBy("nm_programa", "orientador").agg(F.sum("n").alias("qt_discentes_afetados"))
+        .orderBy(F.desc("qt_discentes_afetados"), "nm_programa", "orientador")
+        .transform(at_most(limit))
     )
 
 
@@ -399,23 +391,21 @@ def consistent_evaluators(t: Tables, limit: int | None = 20, every_year: bool =
     As specified, one mean over all years is compared. ``every_year`` asks that
     each year's own mean exceeds the overall mean.
     """
-    known = t["tb_programa"].select("co_seq_programa", F.lit(1).alias("known"))
+    known = t["tb_programa"].select("co_seq_programa", F.lit(True).alias("known"))
     opinions = t["tb_parecer"].select(
         "co_seq_parecer", "co_seq_avaliador", "co_seq_programa", "nu_ano_avaliacao", "vl_nota")
-    sums = opinions.groupBy("co_seq_avaliador", "nu_ano_avaliacao", "co_seq_programa").agg(
-        F.sum("vl_nota").alias("s"), F.count("vl_nota").alias("k"), F.count("co_seq_parecer").alias("n"), F.count("*").alias("rows"))
 
-    def of_known(name: str):
-        return F.sum(F.when(F.col("known") == 1, F.col(name)).otherwise(0 if name != "s" else None)).alias(name)
+    def of_known(value: str) -> Column:
+        return F.when(F.col("known"), F.col(value))
 
-    yearly = sums.join(known, "co_seq_programa", "left").groupBy("co_seq_avaliador", "nu_ano_avaliacao").agg(
-        F.sum("s").alias("all_s"), F.sum("k").alias("all_k"), *map(of_known, ("n", "s", "k", "rows")))
-    # Serves the overall mean, which takes in opinions on unknown programs, and the evaluators: one exchange, reused.
-    overall = yearly.agg((F.sum("all_s") * 100).cast(_WIDE).alias("s"), F.sum("all_k").cast(_WIDE).alias("n"))
-    total, rows = overall.select("s").scalar(), overall.select("n").scalar()
+    # Opinions on unknown programs count for the overall mean only: they are marked, not dropped.
+    yearly = opinions.join(known, "co_seq_programa", "left").groupBy("co_seq_avaliador", "nu_ano_avaliacao").agg(
+        F.sum("vl_nota").alias("all_s"), F.count("vl_nota").alias("all_k"), F.count(of_known("co_seq_parecer")).alias("n"),
+        F.sum(of_known("vl_nota")).alias("s"), F.count(of_known("vl_nota")).alias("k"), F.count("known").alias("rows"))
+    overall = yearly.agg(F.struct((F.sum("all_s") * 100).cast(_WIDE).alias("s"), F.sum("all_k").cast(_WIDE).alias("n"))).scalar()
 
     def above(s: str, k: str):
-        return (F.col(s) * 100).cast(_WIDE) * rows > total * _wide(k)
+        return (F.col(s) * 100).cast(_WIDE) * overall["n"] > overall["s"] * _wide(k)
 
     named = (
         yearly.filter(F.col("rows") > 0)

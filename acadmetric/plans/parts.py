@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acadmetric.operators.bridge import distinct_items
+from acadmetric.operators.bridge import distinct_items, set_counts
 
 Tables = Mapping[str, DataFrame]
 
@@ -34,19 +34,25 @@ def known_authorships(t: Tables) -> DataFrame:
     return pairs.join(t["tb_producao_cientifica"].select("co_seq_producao"), "co_seq_producao", "left_semi")
 
 
-def outputs_per_program(t: Tables) -> DataFrame:
-    """Distinct outputs per program id, through the faculty linked to it."""
-    counts = distinct_items(
-        t["rt_programa_docente"], known_authorships(t), "co_seq_docente", "co_seq_programa", "co_seq_producao")
+def outputs_per_program(t: Tables, heavy: int = 0) -> DataFrame:
+    """Distinct known outputs per program id, through the faculty linked to it.
+
+    ``heavy`` members with the most pairs are counted apart (see ``distinct_items``); worth its longer plan only where members may
+    hold a large share of the links and of the authorships both.
+    """
+    links = t["rt_programa_docente"]
+    if heavy:
+        counts = distinct_items(links, known_authorships(t), "co_seq_docente", "co_seq_programa", "co_seq_producao", heavy)
+    else:
+        counts = set_counts(links, t["rt_producao_docente"], "co_seq_docente", "co_seq_programa", "co_seq_producao", t["tb_producao_cientifica"])
     return counts.withColumnRenamed("items", "qt_prod")
 
 
-def authors_per_program(t: Tables) -> DataFrame:
-    """Linked faculty with at least one output, per program id."""
-    links = t["rt_programa_docente"].select("co_seq_programa", "co_seq_docente").distinct()
-    authors = known_authorships(t).select("co_seq_docente").distinct()
-    linked = links.join(authors, "co_seq_docente", "left_semi")
-    return linked.groupBy("co_seq_programa").agg(F.count("*").alias("qt_doc"))
+def outputs_and_authors(t: Tables) -> DataFrame:
+    """Distinct known outputs and linked faculty with at least one, per program id, in one pass."""
+    counts = set_counts(t["rt_programa_docente"], t["rt_producao_docente"], "co_seq_docente", "co_seq_programa", "co_seq_producao",
+                        t["tb_producao_cientifica"], members=True)
+    return counts.withColumnsRenamed({"items": "qt_prod", "members": "qt_doc"})
 
 
 def rows_per_program(rows: DataFrame, name: str) -> DataFrame:
