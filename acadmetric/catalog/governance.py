@@ -14,11 +14,13 @@ from acadmetric.catalog.views_sql import rounded
 from acadmetric.functions.exact import half_up_percent
 from acadmetric.functions.keys import key_text
 from acadmetric.operators import quality
-from acadmetric.operators.audit import Actor, audit_from_changes, checked_batch, snapshot_changes
+from acadmetric.operators.audit import Actor, audit_from_changes, checked_batch, snapshot_changes, snapshot_changes_by_digest
 from acadmetric.schema import Column, Table
 from acadmetric.session import new_path
 from acadmetric.sources.driver import SCHEMAS, StarTables
-from acadmetric.streaming.audit_stream import audit_all
+from acadmetric.sources.footers import column_profile, read_for_footers, star_paths
+from acadmetric.streaming.audit_stream import audit_all, change_stream
+from acadmetric.streaming.checked_stream import CheckedStore
 
 ACTOR = Actor("analista", application_user="painel")
 
@@ -185,6 +187,31 @@ def volume_check(spark: SparkSession, folder: str) -> DataFrame:
     return quality.volumes({name: s.read(name) for name in SCHEMAS})
 
 
+@query("volume_from_footers", " UNION ALL ".join(
+    f"SELECT '{name}' AS tabela, count(*) AS total FROM {name}" for name in sorted(SCHEMAS)))
+def volume_from_footers(spark: SparkSession, folder: str) -> DataFrame:
+    """The same counts without reading a data page."""
+    return quality.volumes(read_for_footers(spark, star_paths(folder, SCHEMAS)))
+
+
+_PROFILED = ("customer", "lineitem", "orders", "part")
+_NUMERIC = ("int", "bigint", "double")
+
+
+def _profile_sql(name: str) -> str:
+    fields = (f.split(" ") for f in SCHEMAS[name].split(", "))
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS tabela, '{c}' AS coluna, count(*) AS total, count({c}) AS preenchidas, "
+        + (f"min({c})::DOUBLE AS menor, max({c})::DOUBLE AS maior" if kind in _NUMERIC else "NULL::DOUBLE AS menor, NULL::DOUBLE AS maior")
+        + f" FROM {name}" for c, kind in fields)
+
+
+@query("profile_from_footers", " UNION ALL ".join(map(_profile_sql, _PROFILED)))
+def profile_from_footers(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows, filled rows and bounds of every column, from the footers of the files."""
+    return column_profile(read_for_footers(spark, star_paths(folder, _PROFILED)))
+
+
 # --- audit log ---------------------------------------------------------------
 
 
@@ -242,7 +269,7 @@ def audit_key_text(spark: SparkSession, folder: str) -> DataFrame:
     return lines.groupBy(key_text(["l_orderkey", "papel"]).alias("chave")).agg(F.count("*").alias("n"))
 
 
-@query("audit_snapshot_diff", """
+_SNAPSHOT_DIFF = """
     WITH antes AS (SELECT c_custkey, c_name, nullif(c_mktsegment, 'BUILDING') AS seg FROM customer WHERE c_custkey % 7 <> 0),
     depois AS (SELECT c_custkey, c_name, CASE WHEN c_custkey % 5 <> 0 THEN nullif(c_mktsegment, 'BUILDING') END AS seg
                FROM customer WHERE c_custkey % 11 <> 0)
@@ -250,13 +277,15 @@ def audit_key_text(spark: SparkSession, folder: str) -> DataFrame:
            'c_custkey=' || coalesce(d.c_custkey, a.c_custkey) || ';' AS au_ds_chave_registro,
            a.seg AS antes, d.seg AS depois
     FROM antes AS a FULL JOIN depois AS d ON a.c_custkey = d.c_custkey
-    WHERE a.c_custkey IS NULL OR d.c_custkey IS NULL OR a.seg IS DISTINCT FROM d.seg""")
-def audit_snapshot_diff(spark: SparkSession, folder: str) -> DataFrame:
+    WHERE a.c_custkey IS NULL OR d.c_custkey IS NULL OR a.seg IS DISTINCT FROM d.seg"""
+
+
+def _snapshot_log(spark: SparkSession, folder: str, changes) -> DataFrame:
     rows = StarTables(spark, folder).customer.select(
         "c_custkey", "c_name", F.nullif("c_mktsegment", F.lit("BUILDING")).alias("seg"))
     old = rows.filter(F.col("c_custkey") % 7 != 0)
     new = rows.filter(F.col("c_custkey") % 11 != 0).withColumn("seg", F.when(F.col("c_custkey") % 5 != 0, F.col("seg")))
-    feed = snapshot_changes(old, new, ["c_custkey"], F.current_timestamp())
+    feed = changes(old, new, ["c_custkey"], F.current_timestamp())
     log = audit_from_changes(feed, "customer", ["c_custkey"], ACTOR)
     return log.select(
         "au_tp_operacao", "au_ds_chave_registro",
@@ -264,6 +293,17 @@ def audit_snapshot_diff(spark: SparkSession, folder: str) -> DataFrame:
         F.get_json_object("au_ds_dados_novos", "$.seg").alias("depois"))
 
 
+@query("audit_snapshot_diff", _SNAPSHOT_DIFF)
+def audit_snapshot_diff(spark: SparkSession, folder: str) -> DataFrame:
+    return _snapshot_log(spark, folder, snapshot_changes)
+
+
+@query("audit_digest_diff", _SNAPSHOT_DIFF)
+def audit_digest_diff(spark: SparkSession, folder: str) -> DataFrame:
+    """The same log; buckets of keys whose digests agree are not shuffled."""
+    return _snapshot_log(spark, folder, snapshot_changes_by_digest)
+
+
 _CLIENTS = Table(
     "clientes", (Column("c_custkey", _NUMBER), Column("c_name", _TEXT), Column("c_nationkey", T.IntegerType()), Column("c_mktsegment", _TEXT)),
     ("c_custkey",), unique=("c_name",), references={"c_nationkey": ("paises", "n_nationkey")},
@@ -292,3 +332,27 @@ def audit_checked_changes(spark: SparkSession, folder: str) -> DataFrame:
     held = s.customer.filter(F.col("c_custkey") % 5 == 0)
     checked = checked_batch(feed, _CLIENTS, held, {"paises": s.nation.filter(F.col("n_nationkey") % 5 != 0)})
     return checked.select("change_id", "op", F.concat_ws("; ", "broken_rules").alias("regras"))
+
+
+@query("audit_checked_stream", """
+    WITH feed AS (
+        SELECT c_custkey AS change_id, c_nationkey % 5 <> 0 AS known, c_mktsegment <> 'BUILDING' AS coded, FALSE AS again FROM customer
+        UNION ALL SELECT 1000000000 + c_custkey, c_nationkey % 5 <> 0, c_mktsegment <> 'BUILDING', TRUE FROM customer WHERE c_custkey % 3 = 0)
+    SELECT change_id, concat_ws('; ', CASE WHEN NOT coded THEN 'check: c_mktsegment domain' END,
+        CASE WHEN again AND known AND coded THEN 'pk: c_custkey' END, CASE WHEN NOT known THEN 'fk: c_nationkey' END) AS regras
+    FROM feed""")
+def audit_checked_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Two loads through a stream that judges them against the stored table: a third of the rows come again under a new name."""
+    s, path = StarTables(spark, folder), new_path(spark, "checked")
+    store = CheckedStore(f"{path}/store", _CLIENTS, {"paises": s.nation.filter(F.col("n_nationkey") % 5 != 0)}, ACTOR)
+
+    def load(rows: DataFrame, offset: int, suffix: str) -> None:
+        row = F.struct("c_custkey", F.concat("c_name", F.lit(suffix)).alias("c_name"), "c_nationkey", "c_mktsegment")
+        feed = rows.select((F.col("c_custkey") + offset).alias("change_id"), F.lit("INSERT").alias("op"), F.lit(None).cast(_CLIENTS.struct).alias("before"),
+                           row.alias("after"), F.lit("2024-01-01").cast("timestamp_ntz").alias("changed_at"))
+        feed.write.mode("append").parquet(f"{path}/feed")
+        store.start(change_stream(spark, f"{path}/feed", feed.schema)).awaitTermination()
+
+    load(s.customer, 0, "")
+    load(s.customer.filter(F.col("c_custkey") % 3 == 0), 10**9, " bis")
+    return store.changes(spark).select("change_id", F.concat_ws("; ", "broken_rules").alias("regras"))

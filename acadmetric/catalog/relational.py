@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from acadmetric.catalog.registry import query
 from acadmetric.catalog.views_sql import rounded, with_views
 from acadmetric.functions.exact import half_up, half_up_mean, half_up_percent
-from acadmetric.operators.ordered import row_numbers
+from acadmetric.operators.ordered import exact_percentile, row_numbers
 from acadmetric.schema import INDICATOR_TYPES
 from acadmetric.session import new_path, written
+from acadmetric.sources import layout, serials
 from acadmetric.sources import tables as store
 from acadmetric.sources.driver import StarTables
 from acadmetric.sources.views import evaluation_views
@@ -76,13 +77,16 @@ def truncate_load(spark: SparkSession, folder: str) -> DataFrame:
     return store.replace(rows, path)
 
 
-@query("insert_ignore_duplicates", """
+_INSERT_IGNORE = """
     WITH held AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem WHERE l_returnflag = 'A'),
     fresh AS (SELECT l_orderkey, l_partkey, CASE WHEN l_linenumber = 1 THEN 'AP' ELSE 'CA' END AS papel,
                      row_number() OVER (PARTITION BY l_orderkey, l_partkey ORDER BY l_linenumber) AS pos FROM lineitem)
     SELECT l_orderkey, l_partkey, 'AP' AS papel FROM held
     UNION ALL
-    SELECT l_orderkey, l_partkey, papel FROM fresh ANTI JOIN held USING (l_orderkey, l_partkey) WHERE pos = 1""")
+    SELECT l_orderkey, l_partkey, papel FROM fresh ANTI JOIN held USING (l_orderkey, l_partkey) WHERE pos = 1"""
+
+
+@query("insert_ignore_duplicates", _INSERT_IGNORE)
 def insert_ignore_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     lines, path, key = StarTables(spark, folder).lineitem, new_path(spark, "authors"), ["l_orderkey", "l_partkey"]
     held = lines.filter(F.col("l_returnflag") == "A").select(*key).distinct().withColumn("papel", F.lit("AP"))
@@ -92,12 +96,54 @@ def insert_ignore_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return store.append(store.insert_ignore(stored, incoming, key, ["l_linenumber"]).select(*key, "papel"), path)
 
 
+@query("insert_ignore_by_ranges", _INSERT_IGNORE)
+def insert_ignore_by_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    """The same insert into a table stored in key order: files whose range no incoming key falls into are not read."""
+    lines, path, key = StarTables(spark, folder).lineitem, new_path(spark, "authors"), ["l_orderkey", "l_partkey"]
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    held = lines.filter(F.col("l_returnflag") == "A").select(*key).distinct().withColumn("papel", F.lit("AP"))
+    layout.store_ordered(held, path, key, files)
+    incoming = lines.select(*key, F.when(F.col("l_linenumber") == 1, "AP").otherwise("CA").alias("papel"), "l_linenumber")
+    return layout.insert_ignore_ordered(spark, path, incoming, key, ["l_linenumber"], files)
+
+
 @query("serial_key", "SELECT s_name, row_number() OVER (ORDER BY s_name, s_suppkey) AS id FROM supplier")
 def serial_key(spark: SparkSession, folder: str) -> DataFrame:
     named = StarTables(spark, folder).supplier.select("s_name", "s_suppkey")
     return row_numbers(named, [("s_name", False), ("s_suppkey", False)], "id").select("s_name", "id")
 
 
+@query("serial_key_continued", """
+    SELECT row_number() OVER (ORDER BY carga, nome, chave) AS id, nome, chave
+    FROM (SELECT 1 AS carga, s_name AS nome, s_suppkey AS chave FROM supplier UNION ALL SELECT 2, c_name, c_custkey FROM customer)""")
+def serial_key_continued(spark: SparkSession, folder: str) -> DataFrame:
+    """Two loads into one table; the second goes on where the first ended."""
+    s, path = StarTables(spark, folder), new_path(spark, "serial")
+    order = [("nome", False), ("chave", False)]
+    loads = (s.supplier.select(F.col("s_name").alias("nome"), F.col("s_suppkey").alias("chave")),
+             s.customer.select(F.col("c_name").alias("nome"), F.col("c_custkey").alias("chave")))
+    tables = [serials.append_numbered(load, f"{path}/table", f"{path}/sequence", "id", order) for load in loads]
+    return tables[-1]
+
+
+_NEAR = {"l_suppkey": "l_suppkey BETWEEN 3 AND 9", "l_partkey": "l_partkey BETWEEN 20 AND 60"}
+
+
+@query("layout_by_several_columns", " UNION ALL ".join(
+    f"SELECT '{c}' AS coluna, {c} AS chave, count(*) AS n, CAST(sum(CAST(l_quantity AS DECIMAL(10,2))) AS DOUBLE) AS q "
+    f"FROM lineitem WHERE {condition} GROUP BY 2" for c, condition in _NEAR.items()))
+def layout_by_several_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """All lines stored once, read by a range of either column from a part of the files."""
+    path = new_path(spark, "interleaved")
+    lines = StarTables(spark, folder).lineitem.select("l_suppkey", "l_partkey", "l_quantity")
+    layout.store_interleaved(lines, path, ["l_suppkey", "l_partkey"], 4 * int(spark.conf.get("spark.sql.shuffle.partitions")),
+                             bloom=["l_suppkey", "l_partkey"])
+    parts = [layout.read_between(spark, path, c, low, high).groupBy(F.lit(c).alias("coluna"), F.col(c).alias("chave")).agg(
+        _count(), _number(F.sum(F.col("l_quantity").cast("decimal(10,2)"))).alias("q"))
+        for c, low, high in (("l_suppkey", 3, 9), ("l_partkey", 20, 60))]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("layout_by_key", """
     SELECT s_name, count(*) AS n, CAST(sum(CAST(l_quantity AS DECIMAL(10,2))) AS DOUBLE) AS q
     FROM supplier JOIN lineitem ON l_suppkey = s_suppkey GROUP BY 1""")
@@ -517,6 +563,12 @@ def agg_percentile_cont(spark: SparkSession, folder: str) -> DataFrame:
     return per_part.groupBy("c").agg(_count()).agg(F.percentile("c", F.lit(0.9), F.col("n")).alias("corte"))
 
 
+@query("agg_percentile_exact", "SELECT percentile_cont(0.9) WITHIN GROUP (ORDER BY l_extendedprice) AS corte FROM lineitem")
+def agg_percentile_exact(spark: SparkSession, folder: str) -> DataFrame:
+    """Of amounts, which are nearly all different: sought by refinement rather than gathered."""
+    return exact_percentile(StarTables(spark, folder).lineitem, "l_extendedprice", 0.9, name="corte")
+
+
 @query("agg_filtered_count", """
     SELECT event_type, count(*) FILTER (event_id % 3 = 0) AS insercoes, count(*) FILTER (event_id % 3 = 1) AS alteracoes
     FROM events GROUP BY 1""")

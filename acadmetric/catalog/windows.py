@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from acadmetric.catalog.registry import query
 from acadmetric.catalog.views_sql import rounded, with_views
 from acadmetric.functions.exact import half_up_mean, half_up_percent, scaled_ratio
-from acadmetric.operators.ordered import peer_positions, row_numbers, tile, with_peer_positions
+from acadmetric.operators.ordered import peer_positions, row_numbers, tile, with_peer_positions, with_rows_before
 from acadmetric.sources.driver import StarTables
 from acadmetric.sources.views import evaluation_views
 
@@ -202,3 +202,23 @@ def peer_positions_query(spark: SparkSession, folder: str) -> DataFrame:
     per_part = StarTables(spark, folder).lineitem.groupBy("l_partkey").agg(_count())
     return peer_positions(per_part, "n").select(
         F.col("n").alias("valor"), F.col("peers").alias("iguais"), F.col("before").alias("antes"))
+
+
+@query("win_lag_large_groups", """
+    SELECT event_id, event_type, user_id, lag(user_id) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS anterior FROM events""")
+def win_lag_large_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """A few types share all events: a type's events lie in many ranges, each with the last row before it."""
+    events = StarTables(spark, folder).events.select("event_id", "event_type", "user_id", "ts")
+    order = [("ts", False), ("event_id", False)]
+    return with_rows_before(events, 1, order, ["event_type"], lambda w: {"anterior": F.lag("user_id").over(w)}).drop("ts")
+
+
+@query("win_moving_avg_large_groups", f"""
+    SELECT event_id, event_type, {rounded('s', 'n', 2)} AS media_movel FROM (
+        SELECT event_id, event_type, sum(user_id) OVER w AS s, count(*) OVER w AS n FROM events
+        WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW))""")
+def win_moving_avg_large_groups(spark: SparkSession, folder: str) -> DataFrame:
+    events = StarTables(spark, folder).events.select("event_id", "event_type", "user_id", "ts")
+    moved = with_rows_before(events, 2, [("ts", False), ("event_id", False)], ["event_type"], lambda w: {
+        "s": F.sum("user_id").over(w.rowsBetween(-2, 0)), "n": F.count("*").over(w.rowsBetween(-2, 0))})
+    return moved.select("event_id", "event_type", half_up_mean(F.col("s"), F.col("n"), 0, 2).alias("media_movel"))

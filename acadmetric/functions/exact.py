@@ -24,7 +24,7 @@ def floor_div(numerator: Column, denominator: Column) -> Column:
     A whole number exceeds a mean exactly when it exceeds the mean's floor, so one number stands for sum and count.
     """
     num, den = numerator.cast(_WIDE), F.nullif(denominator.cast(_WIDE), F.lit(0).cast(_WIDE))
-    return whole_div(num - F.pmod(num, den), den)
+    return ((num - F.pmod(num, den)) / den).cast(_WIDE)
 
 
 def half_up(numerator: Column, denominator: Column, places: int) -> Column:

@@ -11,12 +11,14 @@ share, sorts those rows in a single task. Two ways round that are used here:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from acadmetric.functions.exact import whole_div
+from acadmetric.session import written
 
 # Rows drawn to place the borders of ranges.
 SAMPLE = 4096
@@ -89,6 +91,36 @@ def row_numbers(df: DataFrame, order: Sequence[Key], name: str = "rn", by: Seque
     return numbered.withColumn(name, F.col("before") + 1).drop("_one", "before")
 
 
+def with_rows_before(df: DataFrame, back: int, order: Sequence[Key], by: Sequence[str], columns: Callable[[WindowSpec], dict[str, Column]],
+                     parts: int | None = None) -> DataFrame:
+    """Every row of ``df`` with ``columns`` of a window that looks at most ``back`` rows back within ``by``.
+
+    ``columns`` gets the window and returns the new columns, such as ``F.lag(c, back).over(w)`` or a sum over
+    ``w.rowsBetween(-back, 0)``. Rows are dealt by ranges of (by, order), so a group may hold any share of them; each range gets the
+    last ``back`` rows before it as well, which are counted in its windows and left out of the result. These are at most
+    ``back`` rows of each range, limited inside each task before they move. ``order`` must be unique within ``by``.
+    """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    whole = [*((c, False) for c in by), *order]
+    ranges = ranged(df, whole, parts)
+    backwards = [F.asc_nulls_last(c) if down else F.desc_nulls_first(c) for c, down in whole]
+    last = ranges.withColumn("_from_end", F.row_number().over(Window.partitionBy("_range").orderBy(*backwards))).filter(
+        F.col("_from_end") <= back).drop("_from_end")
+    # At most ``back`` rows of each range meet here: the last rows before a range are the last ones of those of all ranges before it.
+    numbered = last.withColumn("_number", F.row_number().over(Window.orderBy("_range", *_sorting(whole))))
+    held = last.groupBy("_range").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    listed = held.select("_range", before.alias("_before")).agg(F.collect_list(F.struct("_range", "_before")).alias("l")).scalar()
+    number = F.col("_number")
+    into = F.filter("_ranges", lambda r: (number <= r["_before"]) & (number > r["_before"] - back))
+    halo = numbered.withColumn("_ranges", listed).withColumn("_into", F.explode(into)).withColumn("_range", F.col("_into._range")).select(
+        *df.columns, "_range", F.lit(False).alias("_own"))
+    together = ranges.withColumn("_own", F.lit(True)).unionByName(halo).repartition("_range")
+    window = Window.partitionBy("_range", *by).orderBy(*_sorting(order))
+    made = columns(window)
+    return together.withColumns(made).filter("_own").select(*df.columns, *made)
+
+
 def peer_positions(df: DataFrame, value: str, by: Sequence[str] = (), descending: bool = False) -> DataFrame:
     """One row per (by, value): ``before``, ``peers`` and ``total`` row counts.
 
@@ -177,3 +209,45 @@ def top_values(df: DataFrame, value: str, by: Sequence[str], limit: int | None)
     top = top.withColumn("above", F.coalesce(F.sum("peers").over(earlier), F.lit(0)))
     totals = df.groupBy(*by).agg(F.count("*").alias("total"))
     return top.join(totals, list(by))
+
+
+def exact_percentile(df: DataFrame, value: str, share: float, parts: int = 256, enough: int = 100_000, name: str = "percentile") -> DataFrame:
+    """One row: the interpolated percentile of a numeric column, as double; null without values.
+
+    The two rows around the wanted place are sought by refinement: equal values are counted first, then the values are cut into
+    ``parts`` ranges and counted, and only the ranges that hold the two places are cut again, until a range is one value or
+    ``enough`` values are left. Counts and ends of ranges reach the driver; what is kept is written between rounds.
+    """
+    spark = df.sparkSession
+    values = df.select(F.col(value).cast("double").alias("v")).filter("v IS NOT NULL").groupBy("v").agg(F.count("*").alias("n"))
+    rest, total, skipped, found = written(values, "percentile"), None, 0, {}
+    while True:
+        counted = sorted(ranged(rest, [("v", False)], parts).groupBy("_range").agg(
+            F.sum("n").alias("n"), F.count("*").alias("values"), F.min("v").alias("low"), F.max("v").alias("high")).collect(),
+            key=lambda r: r["_range"])
+        if total is None:
+            total = sum(r.n for r in counted)
+            if not total:
+                return spark.createDataFrame([(None,)], f"{name} double")
+            at = (total - 1) * share
+            wanted = sorted({math.floor(at), min(total - 1, math.ceil(at))})
+        begin, kept = skipped, []
+        for r in counted:
+            inside = [place for place in wanted if begin <= place < begin + r.n]
+            if inside and r.low == r.high:
+                found |= dict.fromkeys(inside, r.low)
+            elif inside:
+                kept.append((begin, r))
+            begin += r.n
+        if not kept:
+            break
+        # The two places are neighbours: between the kept ranges there is nothing.
+        skipped = kept[0][0]
+        rest = written(rest.filter(F.col("v").between(kept[0][1].low, kept[-1][1].high)), "percentile")
+        if sum(r["values"] for _, r in kept) <= enough:
+            ends = F.sum("n").over(Window.orderBy("v"))  # at most ``enough`` rows
+            for r in rest.withColumn("end", ends).filter(F.col("end") > wanted[0] - skipped).orderBy("v").limit(len(wanted)).collect():
+                found |= {p: r.v for p in wanted if skipped + r.end - r.n <= p < skipped + r.end}
+            break
+    low, high = found[wanted[0]], found[wanted[-1]]
+    return spark.createDataFrame([(low + (high - low) * (at - wanted[0]),)], f"{name} double")

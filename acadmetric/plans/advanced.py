@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from acadmetric.functions.exact import floor_div, half_up, half_up_mean, half_up_percent, scaled_ratio
-from acadmetric.operators.ordered import first_rows, tile, top_numbered, top_ranked, top_values
+from acadmetric.operators.ordered import first_rows, tile, top_numbered, top_ranked, top_values, with_rows_before
 from acadmetric.plans.intermediate import paths_by_area
 from acadmetric.plans.parts import (
     Tables, at_most, known_authorships, outputs_and_authors, outputs_per_program, programs_in_areas,
@@ -89,10 +89,15 @@ def grade_evolution(t: Tables, limit: int | None = 30) -> DataFrame:
         .select("nm_programa", "nu_ano_referencia", "nu_conceito_final", "co_seq_relatorio")
     )
     in_time = [F.col("nu_ano_referencia"), F.col("co_seq_relatorio")]
-    before = F.lag("nu_conceito_final").over(Window.partitionBy("nm_programa").orderBy(*in_time))
+    kept = first_rows(grades, "nm_programa", in_time, 2, limit)
+    if limit is None:  # programs may share a name, and a name any share of the rows
+        found = with_rows_before(kept, 1, [("nu_ano_referencia", False), ("co_seq_relatorio", False)], ["nm_programa"],
+                                 lambda w: {"conceito_anterior": F.lag("nu_conceito_final").over(w)})
+    else:
+        before = F.lag("nu_conceito_final").over(Window.partitionBy("nm_programa").orderBy(*in_time))
+        found = kept.withColumn("conceito_anterior", before)
     return (
-        first_rows(grades, "nm_programa", in_time, 2, limit)
-        .withColumn("conceito_anterior", before)
+        found
         .orderBy("nm_programa", *in_time)
         .select("nm_programa", "nu_ano_referencia", "nu_conceito_final", "conceito_anterior",
                 (F.col("nu_conceito_final") - F.col("conceito_anterior")).alias("variacao"))
@@ -179,11 +184,18 @@ def indicator_moving_mean(t: Tables, limit: int | None = 30, indicator: str = "P
         .select("nm_programa", "nu_ano_referencia", "vl_indicador")
     )
     in_time = [F.col("nu_ano_referencia"), F.col("vl_indicador")]
-    pair = Window.partitionBy("nm_programa").orderBy(*in_time).rowsBetween(-1, 0)
+    kept = first_rows(rows, "nm_programa", in_time, 3, limit)
+
+    def pair(w: WindowSpec) -> dict[str, Column]:
+        return {"s": F.sum("vl_indicador").over(w.rowsBetween(-1, 0)), "k": F.count("vl_indicador").over(w.rowsBetween(-1, 0))}
+
+    if limit is None:
+        # Rows of one program, year and value are interchangeable, so the order need not part them.
+        found = with_rows_before(kept, 1, [("nu_ano_referencia", False), ("vl_indicador", False)], ["nm_programa"], pair)
+    else:
+        found = kept.withColumns(pair(Window.partitionBy("nm_programa").orderBy(*in_time)))
     return (
-        first_rows(rows, "nm_programa", in_time, 3, limit)
-        .withColumn("s", F.sum("vl_indicador").over(pair))
-        .withColumn("k", F.count("vl_indicador").over(pair))
+        found
         .orderBy("nm_programa", *in_time)
         .select("nm_programa", "nu_ano_referencia",
                 half_up_mean(F.col("vl_indicador"), F.lit(1), 4, 2).alias("valor"),

@@ -53,12 +53,23 @@ def new_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_folder(spark), "acadmetric", application, f"{label}-{uuid.uuid4().hex}")
 
 
+# Catalog tables whose files lie in the shared folder, by application.
+_tables: dict[str, list[str]] = {}
+
+
+def remember_table(spark: SparkSession, table: str) -> None:
+    """Have :func:`drop_written` drop a catalog table with the files."""
+    _tables.setdefault(spark.sparkContext.applicationId, []).append(table)
+
+
 def drop_written(spark: SparkSession) -> None:
-    """Remove everything this application has written to the shared folder.
+    """Remove everything this application has written to the shared folder, and the catalog tables that lie on it.
 
     Call it when no DataFrame that was built on it is needed any more, at the end of a job as a rule.
     """
     context = spark.sparkContext
+    for table in _tables.pop(context.applicationId, []):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
     path = context._jvm.org.apache.hadoop.fs.Path(os.path.join(shared_folder(spark), "acadmetric", context.applicationId))
     path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acadmetric.schema import TABLES
+from acadmetric.session import remember_table
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -68,11 +69,12 @@ def lay_out_by_key(df: DataFrame, table: str, path: str, key: Sequence[str], buc
     With ``buckets`` the table is bucketed and sorted on the key, so joins on it need no shuffle; a bucket is read by one
     task, so this is the layout for keys without a dominant value. With ``buckets=None`` it is sorted only: joins shuffle,
     and adaptive execution splits a large key. The rebalance hint splits a large key over several writers in both. The
-    caller chooses; nothing depends on the data.
+    caller chooses; nothing depends on the data. ``session.drop_written`` drops the table with the application's files.
     """
     spread = df.hint("rebalance", *key)
     writer = spread.write.bucketBy(buckets, *key).sortBy(*key) if buckets else spread.sortWithinPartitions(*key).write
     writer.mode("overwrite").option("path", path).format("parquet").saveAsTable(table)
+    remember_table(df.sparkSession, table)
     return df.sparkSession.table(table)
 
 

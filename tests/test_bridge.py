@@ -4,6 +4,7 @@ import random
 
 import pytest
 from frames import rows
+from pyspark.sql import functions as F
 
 from acadmetric.operators import bridge
 
@@ -70,3 +71,40 @@ def test_path_counts_equal_joined_rows(spark):
     got = {(a, k): n for a, k, n in rows(bridge.path_counts(left, right, "m", ["area"], ["kind"]))}
     want = {(a, k): n for a, k, n in rows(left.join(right, "m").groupBy("area", "kind").count())}
     assert got == want
+
+
+def far(i):
+    """Sparse and negative keys, one word apart and more."""
+    return (i - 200) * 1_000_003
+
+
+@pytest.mark.parametrize("key", [lambda i: i, far], ids=["dense", "sparse"])
+def test_sets_of_keys_count_distinct_items_and_members(spark, key):
+    links, items = skewed(9)
+    items = [(m, key(i)) for m, i in items]
+    known = [(i,) for i in sorted({i for _, i in items}) if i % 3]
+    frames = (spark.createDataFrame([*links, *links[:40], (5, None)], LINKS),
+              spark.createDataFrame([*items, *items[:90], (3, None), (None, key(1))], ITEMS))
+    assert dict(rows(bridge.set_counts(*frames, "m", "g", "i"))) == brute(links, items)
+    held = spark.createDataFrame([*known, *known[:9], (None,), (123456789,)], "i long")
+    kept = [(m, i) for m, i in items if i % 3]
+    both = {g: (n, k) for g, n, k in rows(bridge.set_counts(*frames, "m", "g", "i", held, members=True))}
+    authors = {m for m, _ in kept}
+    assert {g: n for g, (n, _) in both.items()} == brute(links, kept)
+    assert {g: k for g, (_, k) in both.items()} == {g: len({m for h, m in links if h == g and m in authors}) for g in both}
+
+
+def test_a_member_with_a_third_of_all_items_is_a_row_for_64_of_them(spark):
+    items = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("m"), F.col("id").alias("i"))
+    sets = bridge.key_sets(items, "i", ["m"])
+    assert sets.filter("m = 0").count() == -(-30_000 // 64)
+    assert sets.agg(F.sum(F.bit_count("_bits"))).first()[0] == 30_000
+
+
+def test_each_input_is_read_once(spark, tmp_path):
+    links, items = skewed(10)
+    for name, data, schema in (("links", links, LINKS), ("items", items, ITEMS), ("known", [(i,) for _, i in items], "i long")):
+        spark.createDataFrame(data, schema).write.parquet(str(tmp_path / name))
+    read = [spark.read.parquet(str(tmp_path / name)) for name in ("links", "items", "known")]
+    found = bridge.set_counts(*read[:2], "m", "g", "i", read[2], members=True)
+    assert found._jdf.queryExecution().sparkPlan().toString().count("FileScan parquet") == 3

@@ -29,6 +29,13 @@ def test_half_up_at_ties_and_without_rows(spark):
     assert [r[0] for r in df.select(exact.half_up(F.col("a"), F.col("b"), 2)).collect()] == [0.13, 0.38, -0.13, None, 0.0]
 
 
+def test_floor_div(spark):
+    pairs = [(7, 2), (-7, 2), (6, 3), (-6, 3), (0, 5), (-1, 10**9), (5, 0), (10**30, 7)]
+    df = spark.createDataFrame([(str(a), b) for a, b in pairs], "a string, b long").select(F.col("a").cast("decimal(38,0)").alias("a"), "b")
+    got = [None if r[0] is None else int(r[0]) for r in df.select(exact.floor_div(F.col("a"), F.col("b"))).collect()]
+    assert got == [None if b == 0 else a // b for a, b in pairs]
+
+
 def test_mean_of_decimals(spark):
     df = spark.createDataFrame([("1.01",), ("1.02",), (None,)], "v string").select(F.col("v").cast("decimal(4,2)"))
     got = df.select(exact.half_up_mean(F.sum("v"), F.count("v"), 2, 2), exact.half_up_mean(F.sum("v"), F.count("v"), 2, 1))

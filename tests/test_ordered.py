@@ -86,3 +86,42 @@ def test_top_values_counts_rows_above(sample):
         assert {v for g, v in got if g == grp} == set(top)
         for v in top:
             assert got[grp, v] == (values.count(v), sum(x > v for x in values), len(values))
+
+
+@pytest.mark.parametrize("by", [(), ("grp",)])
+@pytest.mark.parametrize(("back", "parts"), [(1, 7), (3, 7), (4, 60), (2, 1)])
+def test_windows_that_look_back_cross_ranges(sample, many_ranges, by, back, parts):
+    """With 60 ranges of 500 rows some groups end, and some ranges are shorter than what the window looks back."""
+    some = sample.withColumn("v", F.when(F.col("id") % 50 == 0, None).otherwise(F.col("v")))
+
+    def columns(w):
+        return {"lagged": F.lag("w", back).over(w), "s": F.sum("w").over(w.rowsBetween(-back, 0)), "k": F.count("w").over(w.rowsBetween(-back, 0))}
+
+    got = ordered.with_rows_before(some, back, [("v", True), ("id", False)], by, columns, parts)
+    want = some.withColumns(columns(Window.partitionBy(*by).orderBy(F.desc_nulls_first("v"), "id")))
+    assert sorted(rows(got), key=str) == sorted(rows(want), key=str)
+
+
+def test_few_rows_cross_the_borders(spark, sample, many_ranges):
+    """What a range gets from before it is limited inside each task, before it moves."""
+    df = ordered.with_rows_before(sample, 2, [("v", False), ("id", False)], ["grp"], lambda w: {"l": F.lag("w", 2).over(w)})
+    assert "WindowGroupLimit" in df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("share", [0.0, 0.1, 0.5, 0.9, 1.0])
+@pytest.mark.parametrize("enough", [0, 3, 10_000])
+def test_percentiles_by_refinement(spark, share, enough):
+    draw = random.Random(4)
+    values = [5.5 if draw.random() < 0.33 else draw.choice([draw.random() * 1000, float(draw.randrange(-40, 40))]) for _ in range(3001)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)] * 5, "v double").repartition(5)
+    at = (len(values) - 1) * share
+    ordered_values = sorted(values)
+    low, high = ordered_values[int(at)], ordered_values[min(len(values) - 1, -int(-at // 1))]
+    assert rows(ordered.exact_percentile(df, "v", share, parts=4, enough=enough)) == [(low + (high - low) * (at - int(at)),)]
+
+
+def test_percentiles_of_few_values(spark):
+    for values, share, want in (([], 0.5, None), ([3.0], 0.9, 3.0), ([1.0, 2.0], 0.5, 1.5), ([7.0] * 100, 0.25, 7.0), ([0.0] * 99 + [1.0], 0.995, 0.505)):
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        got = rows(ordered.exact_percentile(df, "v", share))[0][0]
+        assert got == want or abs(got - want) < 1e-12
