@@ -13,7 +13,6 @@ size, one pass over the rows for each block, so that a benchmark of any size wor
 from __future__ import annotations
 
 import hashlib
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
@@ -33,13 +32,35 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(_FOLD).split()
 
 
+@dataclass
+class Windows:
+    """The distinct windows of one length: where one of each begins in the items, and the items that hold it."""
+
+    start: np.ndarray
+    owner_at: np.ndarray  # where each window's owners begin in ``owner``, and one beyond
+    owner: np.ndarray  # numbers of items
+
+    @staticmethod
+    def of(ids: np.ndarray, start: np.ndarray, item: np.ndarray, length: int, bits: int, per: int) -> Windows:
+        """From every window's begin and item; windows are sorted by their packed words."""
+        values = [value for value, _, _ in _packed_windows(ids, start, length, bits, per)]
+        order = np.lexsort((item, *values[::-1]))
+        start, item = start[order], item[order]
+        fresh = np.ones(len(start), bool)
+        fresh[1:] = np.any([v[order][1:] != v[order][:-1] for v in values], axis=0)
+        number = np.cumsum(fresh) - 1
+        once = fresh.copy()
+        once[1:] |= item[1:] != item[:-1]
+        return Windows(start[fresh], np.searchsorted(number[once], np.arange(number[-1] + 2)), item[once])
+
+
 @dataclass
 class Tests:
     """One block of the benchmark: its words as numbers, its distinct windows by length, who owns each window."""
 
     vocabulary: dict[bytes, int]
     bits: int
-    windows: dict[int, tuple[np.ndarray, list[list[str]]]]
+    windows: dict[int, Windows]
     suffix_ids: np.ndarray  # items one after the other, each followed by 0
     suffix_item: list[str | None]
     suffix_start: np.ndarray
@@ -48,28 +69,26 @@ class Tests:
     @staticmethod
     def of(items: list[tuple[str | None, bytes]], window: int) -> Tests:
         vocabulary: dict[bytes, int] = {}
-        owners: dict[tuple[int, ...], set[str]] = defaultdict(set)
-        flat, names, starts = [], [], []
+        parts, names = [], []
         for name, text in items:
-            ids = [vocabulary.setdefault(w, len(vocabulary) + 1) for w in words_of(text)]
-            if not ids:
-                continue
-            names.append(name)
-            starts.append(len(flat))
-            flat += [*ids, 0]
-            size = min(window, len(ids))
-            for i in range(len(ids) - size + 1):
-                own = owners[tuple(ids[i:i + size])]
-                if name is not None:
-                    own.add(name)
-        by_length: dict[int, list[tuple[int, ...]]] = defaultdict(list)
-        for w in owners:
-            by_length[len(w)].append(w)
-        windows = {n: (np.array(ws, np.uint64), [sorted(owners[w]) for w in ws]) for n, ws in by_length.items()}
-        ends = [*starts[1:], len(flat)] if starts else []
-        depth = max((b - a - 1 for a, b in zip(starts, ends, strict=True)), default=1)
-        return Tests(vocabulary, max(1, len(vocabulary).bit_length()), windows, np.array(flat, np.uint64), names,
-                     np.array(starts, np.int64), depth)
+            words = words_of(text)
+            if words:
+                names.append(name)
+                parts.append(np.fromiter((vocabulary.setdefault(w, len(vocabulary) + 1) for w in words), np.int32, len(words)))
+        sizes = np.array(list(map(len, parts)), np.int64)
+        starts = np.cumsum(sizes + 1) - sizes - 1
+        flat = np.zeros(int((sizes + 1).sum()), np.uint64)
+        for at, p in zip(starts.tolist(), parts, strict=True):
+            flat[at:at + len(p)] = p
+        bits = max(1, len(vocabulary).bit_length())
+        windows = {}
+        for length in np.unique(np.minimum(sizes, window)).tolist():
+            own = np.flatnonzero(np.minimum(sizes, window) == length)
+            many = sizes[own] - length + 1
+            item = np.repeat(own, many).astype(np.int32)
+            begin = np.repeat(starts[own] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
+            windows[length] = Windows.of(flat, begin, item, length, bits, 64 // bits)
+        return Tests(vocabulary, bits, windows, flat, names, starts, int(sizes.max(initial=1)))
 
     @property
     def per_key(self) -> int:
@@ -133,15 +152,20 @@ def _bound(at: np.ndarray, key: np.ndarray, wanted: list[tuple[np.ndarray, int,
     return low
 
 
-def occurrences(at: np.ndarray, key: np.ndarray, patterns: np.ndarray, bits: int, per: int) -> tuple[np.ndarray, np.ndarray]:
-    """The ranges of ``at`` whose suffixes begin with each row of ``patterns``."""
+def _packed_windows(ids: np.ndarray, start: np.ndarray, length: int, bits: int, per: int) -> list[tuple[np.ndarray, int, int]]:
+    """The words of the windows of ``ids`` that begin at ``start``: (packed words, offset, bits left free) of every ``per`` words."""
     wanted = []
-    for offset in range(0, patterns.shape[1], per):
-        part = patterns[:, offset:offset + per]
-        value = np.zeros(len(patterns), np.uint64)
-        for j in range(part.shape[1]):
-            value = (value << np.uint64(bits)) | part[:, j]
-        wanted.append((value, offset, (per - part.shape[1]) * bits))
+    for offset in range(0, length, per):
+        words = min(per, length - offset)
+        value = np.zeros(len(start), np.uint64)
+        for j in range(words):
+            value = (value << np.uint64(bits)) | ids[start + offset + j]
+        wanted.append((value, offset, (per - words) * bits))
+    return wanted
+
+
+def occurrences(at: np.ndarray, key: np.ndarray, wanted: list[tuple[np.ndarray, int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The ranges of ``at`` whose suffixes begin with each of the packed windows."""
     return _bound(at, key, wanted, False), _bound(at, key, wanted, True)
 
 
@@ -165,18 +189,19 @@ class Shard:
         """Which words a window covers, and the items found in each document."""
         edge = np.zeros(len(self.ids) + 1, np.int64)
         found: list[set[str]] = [set() for _ in range(len(self.starts) - 1)]
-        for length, (patterns, owners) in tests.windows.items() if len(self.at) else ():
-            low, high = occurrences(self.at, self.key, patterns, tests.bits, tests.per_key)
+        for length, own in tests.windows.items() if len(self.at) else ():
+            low, high = occurrences(self.at, self.key, _packed_windows(tests.suffix_ids, own.start, length, tests.bits, tests.per_key))
             many = high - low
-            which = np.repeat(np.arange(len(patterns)), many)
+            which = np.repeat(np.arange(len(own.start)), many)
             slots = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
             p = self.at[slots]
             np.add.at(edge, p, 1)
             np.add.at(edge, p + length, -1)
             doc = np.searchsorted(self.starts, p, "right") - 1
-            pairs = np.unique(doc * np.int64(len(patterns)) + which)
-            for d, w in zip((pairs // len(patterns)).tolist(), (pairs % len(patterns)).tolist(), strict=True):
-                found[d].update(owners[w])
+            pairs = np.unique(doc * np.int64(len(own.start)) + which)
+            for d, w in zip((pairs // len(own.start)).tolist(), (pairs % len(own.start)).tolist(), strict=True):
+                names = (tests.suffix_item[i] for i in own.owner[own.owner_at[w]:own.owner_at[w + 1]])
+                found[d].update(n for n in names if n is not None)
         return np.cumsum(edge)[:-1] > 0, found
 
     def longest(self, tests: Tests) -> tuple[np.ndarray, np.ndarray]:
@@ -227,7 +252,7 @@ def _shards(batches: Iterator[pa.RecordBatch], tests: Tests, shard_words: int) -
     """Batches of rows with their words as numbers and their suffix array; about ``shard_words`` words each."""
     held, docs, total = [], [], 0
     for batch in doc_batches(batches, 4 << 20):
-        numbers = [_number(t, tests) for t in utf8(batch.column(1))]
+        numbers = [_number(t, tests) for t in utf8(batch.column(batch.schema.get_field_index("text")))]
         held.append(batch)
         docs += numbers
         total += sum(map(len, numbers))
@@ -242,7 +267,7 @@ _FOUND = "doc_id long, n_words long, spans array<long>, items array<string>"
 
 
 def contaminated_documents(docs: DataFrame, benchmark: DataFrame, window: int = 10, shard_words: int = 1 << 20,
-                           block_bytes: int = 16 << 20) -> DataFrame:
+                           block_bytes: int = 8 << 20) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, items, spans, contaminated.
 
     A window is ``window`` consecutive words of an item; a shorter item with any word is one window. ``spans`` holds the
@@ -288,7 +313,27 @@ def _pass(shared, shard_words: int, last: bool):
     return run
 
 
-def longest_matches(docs: DataFrame, benchmark: DataFrame, shard_words: int = 1 << 20, block_bytes: int = 16 << 20) -> DataFrame:
+def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, shard_words: int = 1 << 20,
+                        block_bytes: int = 8 << 20) -> DataFrame:
+    """The rows of ``docs`` without any window of the benchmark, with all their columns, judged where they lie.
+
+    Windows and odd rows as for :func:`contaminated_documents`; each row goes by its own text, whatever its id.
+    """
+    context = docs.sparkSession.sparkContext
+    for tests, _ in _blocks(benchmark, window, block_bytes):
+        shared = context.broadcast(tests)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch, _, shard in _shards(batches, shared.value, shard_words):
+                before = np.concatenate(([0], np.cumsum(shard.hits(shared.value)[0])))
+                clean = before[shard.starts[1:]] == before[shard.starts[:-1]]
+                yield batch.filter(pa.array(clean, pa.bool_()))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
+
+
+def longest_matches(docs: DataFrame, benchmark: DataFrame, shard_words: int = 1 << 20, block_bytes: int = 8 << 20) -> DataFrame:
     """item_id, item_word, length, doc_id, doc_word: the longest verbatim match of each item and one place where it is.
 
     Every suffix of every item is searched in every shard; a shard hands over its best match of each item only, so the

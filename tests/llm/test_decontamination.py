@@ -5,7 +5,7 @@ import random
 import numpy as np
 from tests_llm import documents
 
-from acadmetric.llm.decontamination import contaminated_documents, items_digest, longest_matches, packed, suffix_array
+from acadmetric.llm.decontamination import Tests, contaminated_documents, items_digest, keep_uncontaminated, longest_matches, packed, suffix_array
 
 
 def items(spark, rows):
@@ -71,3 +71,29 @@ def test_suffix_array_sorts_to_the_wanted_depth():
 
     keys = [suffix(p)[:40] for p in at]
     assert keys == sorted(keys) and len(at) == int((ids > 0).sum())
+
+
+def test_clean_rows_stay_where_they_lie(spark, odd, empty):
+    bench = items(spark, [(1, "two three four five six seven eight nine ten eleven"), (2, "lorem"), (3, None), (None, "漢字 é")])
+    want = sorted((str(r.doc_id), str(r.text)) for r in odd.collect() if r.doc_id not in (5, 6, 7, 8, 9))
+    for size in (8 << 20, 40):
+        kept = keep_uncontaminated(odd, bench, block_bytes=size)
+        assert kept.dtypes == odd.dtypes and sorted((str(r.doc_id), str(r.text)) for r in kept.collect()) == want
+    assert keep_uncontaminated(empty, bench).count() == 0 and keep_uncontaminated(odd, bench.limit(0)).count() == odd.count()
+    twice = documents(spark, [(1, "lorem"), (1, "clean"), (None, "lorem"), (None, "clean")])
+    assert sorted((str(r.doc_id), r.text) for r in keep_uncontaminated(twice, bench).collect()) == [("1", "clean"), ("None", "clean")]
+
+
+def test_a_block_of_the_benchmark_is_small_in_memory():
+    import tracemalloc
+
+    draw = random.Random(3)
+    words = [f"word{i}" for i in range(20_000)]
+    texts = [(str(i), " ".join(draw.choices(words, k=40)).encode()) for i in range(7_000)]  # about 2.4 MB
+    size = sum(len(t) for _, t in texts)
+    tracemalloc.start()
+    tests = Tests.of(texts, 10)
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(tests.windows[10].start) >= 7_000 * 31 - 5
+    assert held < 12 * size and peak < 40 * size

@@ -4,9 +4,10 @@ import random
 
 import numpy as np
 from pyspark.sql import functions as F
-from tests_llm import brute_groups, documents
+from tests_llm import ODD_TEXTS, brute_groups, documents
 
-from acadmetric.llm.near_dedup import band_keys, near_duplicate_groups, one_permutation, shingle_set
+from acadmetric.llm.near_dedup import (
+    _prefix_pairs, band_keys, keep_one_row_of_each_group, near_duplicate_groups, one_permutation, shingle_set)
 
 
 def test_odd_rows(odd, empty):
@@ -51,3 +52,60 @@ def test_words_split_at_ascii_white_space_only():
     assert len(shingle_set("a b c d e".encode(), 4)) == 1
     assert (shingle_set(b"A b C d", 4) == shingle_set(b"a\tB\x0bc\rD", 4)).all()
     assert len(shingle_set(b"a b", 4)) == 1
+
+
+def changed(text: str, *places: int) -> str:
+    words = text.split()
+    for p in places:
+        words[p] = f"changed{p}"
+    return " ".join(words)
+
+
+def test_rows_that_repeat_an_id_do_not_join_their_groups(spark):
+    draw = random.Random(6)
+    a, b = (" ".join(f"w{draw.randrange(10**6)}" for _ in range(60)) for _ in "ab")
+    for first, second in ((6, 6), (6, 7)):
+        rows = [(3, changed(a, 59)), (first, a), (second, b), (8, changed(b, 0)), (None, b), (None, "only " + a[::-1]), (None, None)]
+        got = near_duplicate_groups(documents(spark, rows), width=4).collect()
+        found = sorted((str(r.doc_id), str(r.component_id), r.kept) for r in got)
+        assert found == sorted([("3", "3", True), (str(first), "3", False), (str(second), str(second), True), ("8", str(second), False),
+                                ("None", str(second), False), ("None", "None", True), ("None", "None", True)])
+
+
+def test_one_row_of_each_group_stays(spark, odd, empty):
+    draw = random.Random(7)
+    a, b, c = (" ".join(f"w{draw.randrange(10**6)}" for _ in range(60)) for _ in "abc")
+    rows = [(3, a), (3, a), (5, changed(a, 59)), (6, b), (6, c), (7, b), (None, c), (None, c), (None, a + " and more " + c), (None, changed(b, 1)),
+            (9, None), (9, ""), (None, None)]
+    docs = documents(spark, rows)
+    kept = keep_one_row_of_each_group(docs)
+    assert kept.dtypes == docs.dtypes
+    want = [(3, a), (6, b), (6, c), (None, a + " and more " + c), (9, None), (9, ""), (None, None)]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
+    nobody = documents(spark, [(None, a), (None, changed(a, 59)), (None, a)])
+    assert keep_one_row_of_each_group(nobody).count() == 1
+    assert keep_one_row_of_each_group(empty).count() == 0
+    assert keep_one_row_of_each_group(odd).count() == len({t.lower() for _, t in ODD_TEXTS if t and t.split()}) + 3  # and three without words
+
+
+def test_a_family_that_is_no_copy_is_not_compared_in_pairs(spark):
+    """Texts of one template that share under four fifths: candidates do not grow with the square of their number."""
+    def candidates(n: int) -> int:
+        shared = np.arange(1, 76, dtype=np.int64)
+        rows = []
+        for i in range(n):
+            own = np.arange(25, dtype=np.int64) + 1000 * (i + 1)
+            rows.append((i, i, bytearray(np.sort(np.concatenate((shared, own))).tobytes())))
+        return _prefix_pairs(spark.createDataFrame(rows, "id long, root long, items binary"), 80).count()
+
+    def near(n: int) -> int:
+        """Each text also shares its own words with one other."""
+        shared = np.arange(1, 70, dtype=np.int64)
+        rows = []
+        for i in range(n):
+            own = np.arange(31, dtype=np.int64) + 1000 * (i // 2 + 1)
+            rows.append((i, i, bytearray(np.sort(np.concatenate((shared, own))).tobytes())))
+        return _prefix_pairs(spark.createDataFrame(rows, "id long, root long, items binary"), 80).count()
+
+    assert candidates(100) == candidates(400) == 0
+    assert (near(100), near(400)) == (50, 200)
