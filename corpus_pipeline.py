@@ -2,8 +2,8 @@
 
 Each stage takes the rows its predecessor kept and returns those it keeps, with the columns of ``documents``; the last returns
 the encoded documents. Stages are written to the shared folder and read again, so a lost executor repeats one stage at most.
-Quality and toxicity judge row by row. From near-duplicate removal on doc_id names a document: of rows that repeat one, one stays,
-or none; rows without doc_id cannot be named and pass. Null and empty texts are scored as texts without words.
+Every stage judges row by row, by the row's own text: rows that repeat a doc_id or lack one go or stay like any other. Null and
+empty texts are scored as texts without words, have no near copy and no benchmark passage.
 """
 
 from __future__ import annotations
@@ -12,11 +12,10 @@ import posixpath
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from acadmetric.llm.common import table, vocabulary_file
-from acadmetric.llm.decontamination import contaminated_documents
-from acadmetric.llm.near_dedup import near_duplicate_groups
+from acadmetric.llm.decontamination import keep_uncontaminated
+from acadmetric.llm.near_dedup import keep_one_row_of_each_group
 from acadmetric.llm.piece_transducer import round_trips
 from acadmetric.llm.quality import fit_quality, keep_rows_of_quality
 from acadmetric.llm.toxicity import fit_toxicity, keep_clean_rows
@@ -37,19 +36,12 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays: the one with the smallest doc_id."""
-    groups = written(near_duplicate_groups(docs), "groups").filter("doc_id IS NOT NULL")
-    gone = groups.groupBy("doc_id").agg(F.min("component_id").alias("to"), F.count("*").alias("times")).filter(
-        "to <> doc_id OR times > 1")
-    marked = docs.join(written(gone, "gone"), "doc_id", "left")
-    others = marked.filter("to IS NULL")
-    repeated = marked.filter("to = doc_id").dropDuplicates(["doc_id"])  # rows that repeat an id which stays
-    return others.select(*docs.columns).unionByName(repeated.select(*docs.columns))
+    return keep_one_row_of_each_group(docs, width=5, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with any ten words in a row of a benchmark item go."""
-    found = contaminated_documents(docs, table(spark, sf_dir, "benchmark")).filter("contaminated").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    return keep_uncontaminated(docs, table(spark, sf_dir, "benchmark"), window=10)
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,7 +53,8 @@ STAGES: list[tuple[str, Stage]] = [
     ("quality", quality), ("toxicity", toxicity), ("near_dedup", near_dedup), ("decontamination", decontamination), ("pieces", pieces),
 ]
 
-# The stages fit models and follow automata, which SQL cannot express; tests compare them with brute force.
+# The stages fit models and follow automata, which SQL cannot express. Tests compare the rows that each stage keeps with plain Python,
+# the classifiers' with their models applied text by text.
 ORACLE_SQL = None
 
 
