@@ -170,7 +170,8 @@ def _prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
     p = shown.filter(f"(n - place) * {100 + percent} >= 2 * {percent} * n").alias("p")
     q = shown.filter(f"place <= n - (({percent} * n + 99) div 100)").alias("q")
     enough = f"least(p.n - p.place, q.n - q.place) * {100 + percent} >= {percent} * (p.n + q.n)"
-    met = p.join(q, F.expr(f"p.item = q.item AND p.root <> q.root AND p.n <= q.n AND 100 * p.n >= {percent} * q.n AND {enough}"))
+    ordered = f"(p.n < q.n OR p.n = q.n AND p.id < q.id) AND 100 * p.n >= {percent} * q.n"
+    met = p.join(q, F.expr(f"p.item = q.item AND p.root <> q.root AND {ordered} AND {enough}"))
     return met.select(F.least("p.id", "q.id").alias("a"), F.greatest("p.id", "q.id").alias("b")).distinct()
 
 
@@ -209,7 +210,10 @@ def grouped_rows(docs: DataFrame, width: int = 5, percent: int = 80, bins: int =
     row = F.struct(F.col("doc_id").isNull().alias("unnamed"), *IDENTITY)
     groups = found.filter("set_key IS NOT NULL").groupBy("set_key").agg(
         F.min("doc_id").alias("label"), F.min(row).alias("row"), F.first("bands").alias("bands"))
-    # The written number stands for the set from here on.
+    # The written number stands for the set from here on. Numbers follow the ids, so the centre of a bucket is its first document: where
+    # later ones were made from it, they are nearer to it than to each other.
+    by_label = F.asc_nulls_last("label")
+    groups = groups.repartitionByRange(by_label).sortWithinPartitions(by_label)
     groups = written(groups.withColumn("rep", F.monotonically_increasing_id()), "sets")
     in_band = groups.select("rep", F.explode("bands").alias("bucket"))
     shared = in_band.groupBy("bucket").agg(F.min("rep").alias("centre"), F.max("rep").alias("last")).filter("centre < last")

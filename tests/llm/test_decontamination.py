@@ -74,7 +74,7 @@ def test_suffix_array_sorts_to_the_wanted_depth():
 
 
 def test_clean_rows_stay_where_they_lie(spark, odd, empty):
-    bench = items(spark, [(1, "two three four five six seven eight nine ten eleven"), (2, "lorem"), (3, None), (None, "漢字 é")])
+    bench = items(spark, [(1, "two three four five six seven eight nine ten eleven"), (2, "lorem"), (3, None), (None, "漢字")])
     want = sorted((str(r.doc_id), str(r.text)) for r in odd.collect() if r.doc_id not in (5, 6, 7, 8, 9))
     for size in (8 << 20, 40):
         kept = keep_uncontaminated(odd, bench, block_bytes=size)
