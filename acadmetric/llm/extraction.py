@@ -31,7 +31,7 @@ CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "d
           "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
           "option": ({"option"}, {"select"})}
 # Elements, and words in class, id or role, that mark what is not the article.
-NOT_CONTENT = frozenset("head script style title textarea xmp iframe noembed noframes noscript template nav header footer aside form button "
+NOT_CONTENT = frozenset("head script style title textarea xmp iframe noembed noframes noscript template nav header footer aside button label "
                         "select svg canvas object dialog menu search".split())
 NOT_CONTENT_WORDS = frozenset("ad ads adv advert adverts advertisement advertising banner banners breadcrumb breadcrumbs comment comments commentlist "
                               "consent cookie cookies copyright disclaimer discussion disqus footer gdpr header login masthead menu menus "
@@ -40,36 +40,101 @@ NOT_CONTENT_WORDS = frozenset("ad ads adv advert adverts advertisement advertisi
                               "tags toolbar topbar widget widgets".split())
 LAYOUT_WORDS = frozenset("with has no without".split())
 
-_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)[^>]*>", re.S)
-_ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+# A tag ends at its ">" outside quotes, else at the next "<" or ">"; every alternative fails within a few characters or consumes what
+# it has read, so a page is read once whatever its markup. A comment without an end takes the rest.
+_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|"
+                     r"<(/?)([a-zA-Z][^\s/<>]*+)(?:((?:[^<>\"']|\"[^\"]*+\"|'[^']*+')*+)>|([^<>]*+)>?)", re.S)
+_ATTRIBUTE = re.compile(r"([a-zA-Z][\w:-]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?")
 _WORD = re.compile(r"[a-z]+")
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|visibility\s*:\s*hidden|aria-hidden\s*=\s*[\"']?true", re.I)
+_UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\s*(?:!\s*important\s*)?(?:;|$)")
+
+
+def attributes_of(text: str) -> dict[str, str]:
+    """The attributes of a tag, names in lower case; one without a value is empty, of repeated ones the first counts."""
+    found: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(text):
+        found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    return found
+
+
+def is_hidden(found: dict[str, str]) -> bool:
+    return "hidden" in found or found.get("aria-hidden", "").strip().lower() == "true" or bool(
+        _UNSEEN.search(unescape(found.get("style", "")).lower()))
+
+
+class Stack:
+    """The open elements; it knows where each tag and the topmost block lie, so nothing is searched."""
+
+    def __init__(self) -> None:
+        self.elements: list[int] = [0]
+        self.tags: list[str] = ["#root"]
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def push(self, element: int, tag: str) -> None:
+        at = len(self.elements)
+        self.elements.append(element)
+        self.tags.append(tag)
+        self.places.setdefault(tag, []).append(at)
+        if tag in BLOCKS:
+            self.blocks.append(at)
+
+    def last(self, tags: set[str]) -> int:
+        """The topmost place of any of ``tags``; 0 where none is open."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def cut(self, place: int) -> None:
+        """Close what lies at ``place`` and above it."""
+        while len(self.elements) > place:
+            self.elements.pop()
+            tag = self.tags.pop()
+            self.places[tag].pop()
+            if tag in BLOCKS:
+                self.blocks.pop()
 
 
 class Page:
-    """The elements of a page in order: tag, parent, path, whether it is content; and its pieces of text by element."""
+    """The elements of a page in order: tag, parent, the step of its path, whether it is content; and its pieces of text by element."""
 
     def __init__(self, html: str) -> None:
-        self.tag, self.parent, self.path, self.named, self.hidden = ["#root"], [-1], [""], [False], [False]
+        self.tag, self.parent, self.step, self.named, self.hidden = ["#root"], [-1], [""], [False], [False]
         self.pieces: list[tuple[int, str, int]] = []  # element, text, number of its block
         self.block = 0
         self._read(html)
         self._measure()
 
-    def _open(self, tag: str, attributes: str, stack: list[int]) -> None:
-        up = stack[-1]
-        found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)} if "=" in attributes else {}
+    def _open(self, tag: str, attributes: str, stack: Stack) -> None:
+        found = attributes_of(attributes) if attributes else {}
         names = [re.sub(r"\d+", "", c) for c in found.get("class", "").lower().split()]
         said = " ".join(found.get(a, "") for a in ("class", "id", "role")).lower().split()
         self.tag.append(tag)
-        self.parent.append(up)
-        self.path.append(f"{self.path[up]}/{tag}{''.join('.' + n for n in sorted(n for n in names if n))}")
-        self.named.append(any(not NOT_CONTENT_WORDS.isdisjoint(w) and LAYOUT_WORDS.isdisjoint(w) for w in map(_WORD.findall, said)))
-        self.hidden.append(tag in NOT_CONTENT or bool(attributes) and bool(_HIDDEN.search(attributes)))
-        stack.append(len(self.tag) - 1)
+        self.parent.append(stack.elements[-1])
+        self.step.append(f"/{tag}{''.join('.' + n for n in sorted(n for n in names if n))}")
+        # A form may hold the article, as one with a name that speaks against it may.
+        self.named.append(tag == "form" or any(not NOT_CONTENT_WORDS.isdisjoint(w) and LAYOUT_WORDS.isdisjoint(w) for w in map(_WORD.findall, said)))
+        self.hidden.append(tag in NOT_CONTENT or bool(found) and is_hidden(found))
+        stack.push(len(self.tag) - 1, tag)
+
+    def path(self, element: int) -> str:
+        steps = []
+        while element > 0:
+            steps.append(self.step[element])
+            element = self.parent[element]
+        return "".join(reversed(steps))
+
+    def _lies_on(self, element: int, path: str) -> bool:
+        """Whether the element's path is ``path``; read from its end, so what differs is left early."""
+        end = len(path)
+        while element > 0:
+            step = self.step[element]
+            if end < len(step) or not path.startswith(step, end - len(step)):
+                return False
+            end -= len(step)
+            element = self.parent[element]
+        return end == 0
 
     def _read(self, html: str) -> None:
-        stack, at, end = [0], 0, len(html)
+        stack, at, end = Stack(), 0, len(html)
         while at < end:
             m = _MARKUP.search(html, at)
             if m is None:
@@ -77,57 +142,47 @@ class Page:
                 return
             self._text(html[at:m.start()], stack)
             at = m.end()
-            tag = (m[2] or m[5] or "").lower()
+            tag = (m[2] or "").lower()
             if not tag:
                 continue
-            if m[1] or m[4]:
+            if m[1]:
                 self._close(tag, stack)
                 continue
             self._make_room(tag, stack)
+            attributes = m[3] or m[4] or ""
             if tag in BLOCKS:
                 self.block += 1
-            if tag in VOID or (m[3] or "").endswith("/") and tag not in BLOCKS:
+            if tag in VOID or attributes.endswith("/") and tag not in BLOCKS:
                 if tag == "br":
                     self._text(" ", stack)
                 continue
-            self._open(tag, m[3] or "", stack)
+            self._open(tag, attributes, stack)
             if tag in RAW:
                 close = re.compile(f"</{tag}", re.I).search(html, at)
                 at = html.find(">", close.end()) + 1 or end if close else end
-                stack.pop()
+                stack.cut(len(stack.elements) - 1)
 
-    def _make_room(self, tag: str, stack: list[int]) -> None:
+    def _make_room(self, tag: str, stack: Stack) -> None:
         """End what the start of ``tag`` ends without saying so."""
         closing, border = CLOSES.get(tag, (None, None))
         if closing:
-            for k in range(len(stack) - 1, 0, -1):
-                if self.tag[stack[k]] in border:
-                    break
-                if self.tag[stack[k]] in closing:
-                    del stack[k:]
-                    break
-        if tag in BLOCKS:
-            for k in range(len(stack) - 1, 0, -1):
-                if self.tag[stack[k]] == "p":
-                    del stack[k:]
-                    break
-                if self.tag[stack[k]] in BLOCKS:
-                    break
-
-    def _close(self, tag: str, stack: list[int]) -> None:
+            place = stack.last(closing)
+            if place and place > stack.last(border):
+                stack.cut(place)
+        if tag in BLOCKS and stack.blocks and stack.tags[stack.blocks[-1]] == "p":
+            stack.cut(stack.blocks[-1])
+
+    def _close(self, tag: str, stack: Stack) -> None:
         if tag in BLOCKS:
             self.block += 1
-        for k in range(len(stack) - 1, 0, -1):
-            if self.tag[stack[k]] == tag:
-                del stack[k:]
-                return
-            # The end of an inline element does not end the block around it.
-            if tag not in BLOCKS and self.tag[stack[k]] in BLOCKS:
-                return
+        place = stack.last({tag})
+        # The end of an inline element does not end the block around it.
+        if place and (tag in BLOCKS or not stack.blocks or place > stack.blocks[-1]):
+            stack.cut(place)
 
-    def _text(self, text: str, stack: list[int]) -> None:
+    def _text(self, text: str, stack: Stack) -> None:
         if text:
-            self.pieces.append((stack[-1], text, self.block))
+            self.pieces.append((stack.elements[-1], text, self.block))
 
     def _measure(self) -> None:
         """Which elements are no content, and the running text under the others."""
@@ -135,10 +190,19 @@ class Page:
         linked = [False] * n
         for i in range(1, n):
             linked[i] = linked[self.parent[i]] or self.tag[i] == "a"
-        # The article itself may lie in an element whose class names something else.
+        # The article itself may lie in an element whose class names something else, or in a form around the whole page.
         holds = [t in ("article", "main", "h1") for t in self.tag]
-        for i in range(n - 1, 0, -1):
-            holds[self.parent[i]] |= holds[i] and not self.hidden[i]
+        under, own = [0] * n, [0] * n
+        for element, text, _ in self.pieces:
+            if self.tag[element] not in RAW:
+                own[element] += len(text.strip())
+        sum_of_all = sum(own)
+        for i in range(n - 1, -1, -1):
+            under[i] += own[i]
+            if i:
+                under[self.parent[i]] += under[i]
+                holds[i] |= self.tag[i] == "form" and 2 * under[i] > sum_of_all
+                holds[self.parent[i]] |= holds[i] and not self.hidden[i]
         self.out = [False] * n
         for i in range(1, n):
             self.out[i] = self.out[self.parent[i]] or self.hidden[i] or self.named[i] and not holds[i]
@@ -169,7 +233,7 @@ class Page:
     def extract(self, path: str | None) -> str:
         """The text of the elements on ``path``, else of the page's own best container; one line for each block."""
         inside = [False] * len(self.tag)
-        roots = {i for i, p in enumerate(self.path) if p == path and not self.out[i] and self.score[i] > 0} if path else set()
+        roots = {i for i in range(1, len(self.tag)) if not self.out[i] and self.score[i] > 0 and self._lies_on(i, path)} if path else set()
         roots = roots or {self.best()}
         lines, block = [], None
         for i in range(len(self.tag)):
@@ -200,7 +264,7 @@ def host_paths(pages: DataFrame) -> DataFrame:
                 at = page.best()
                 if at and page.score[at] > 0:
                     hosts.append(host)
-                    paths.append(page.path[at])
+                    paths.append(page.path(at))
                     scores.append(int(page.score[at]))
             yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(scores, pa.int64())],
                                              ["host", "path", "score"])

@@ -62,9 +62,9 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-def _judged(scores: DataFrame, threshold: float) -> DataFrame:
+def _judged(scores: DataFrame, threshold: float, *more: str) -> DataFrame:
     return scores.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
-                         (F.col("score") >= threshold).cast("int").alias("predicted"))
+                         (F.col("score") >= threshold).cast("int").alias("predicted"), *more)
 
 
 @query("op7_nbsvm_quality")
@@ -78,7 +78,7 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     labels = table(spark, folder, "labels").filter(fold(F.col("doc_id"), 5) != 0)
-    return _judged(toxicity_scores(docs, fit_toxicity(docs, labels)), 0.5)
+    return _judged(toxicity_scores(docs, fit_toxicity(docs, labels)), 0.5, "spans")
 
 
 @query("op5_subword_language")

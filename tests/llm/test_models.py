@@ -85,6 +85,31 @@ def test_few_labels_teach_markers_and_one_does_not():
     assert field.slope == 0 and abs(sigmoid(np.array(field.base)) - one.mean()) < 0.01
 
 
+def test_the_bound_of_markers_is_chosen_by_folds_of_the_rows_that_train(monkeypatch):
+    from acadmetric.llm import toxicity
+
+    draw = random.Random(9)
+    texts = [" ".join("".join(draw.choice(PARTS) for _ in range(3)) for _ in range(25)) for _ in range(600)]
+    toxic = np.arange(600) % 6 == 0
+    texts = [(f"{t} zurk" if y else t).encode() for t, y in zip(texts, toxic, strict=True)]
+    seen = []
+
+    def spied(rows, labels, *more):
+        seen.append((list(rows), labels.copy()))
+        return chosen(rows, labels, *more)
+
+    chosen = toxicity.chosen_chance
+    assert chosen(texts, toxic) in toxicity.CHANCES
+    # Words that meet toxic rows by accident pass a loose bound only, and cost precision on the fold left out.
+    rare = [f"rare{i // 3}".encode() for i in range(600)]
+    noisy = [t + b" " + r for t, r in zip(texts, rare, strict=True)]
+    assert chosen(noisy, toxic, (0.5, 0.001)) == 0.001
+    monkeypatch.setattr(toxicity, "chosen_chance", spied)
+    toxicity.fit(texts, toxic, 0.2)
+    [(rows, _)] = seen
+    assert len(rows) == 600 - 25 - 125 and set(rows) <= set(texts)
+
+
 def test_sample_is_not_cut_for_memory():
     own = inspect.signature(fit_toxicity).parameters
     assert own["per_class"].default == 4000 and own["max_bytes"].default == 50_000

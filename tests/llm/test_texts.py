@@ -43,6 +43,46 @@ def test_odd_markup_does_not_stop():
         assert isinstance(Page(html).extract(None), str)
 
 
+def article(before: str, after: str = "") -> str:
+    return f"<html><body>{before}<h1>Head</h1><p>{'running text ' * 20}</p>{after}</body></html>"
+
+
+def test_hidden_parts_are_read_from_attributes():
+    want = Page(article("<div>", "</div>")).extract(None)
+    for seen in ("<div class='md:flex hidden lg:block'>", "<div style='overflow: hidden !important'>", "<div title='the hidden door'>", "<div data-hidden=1>",
+                 "<div aria-hidden=false>", "<div id='x' data-x=\"style='display:none'\">"):
+        assert Page(article(seen, "</div>")).extract(None) == want
+    for unseen in ("hidden", "hidden=''", "style='color:red; display : none'", "style=display:none!important", "aria-hidden='TRUE'", "STYLE='visibility:hidden;'"):
+        assert Page(article(f"<div {unseen}>secret</div>")).extract(None) == want
+
+
+def test_a_form_around_the_page_is_no_form():
+    plain = "<html><body>{}<div class=story><p>{}</p><p>{}</p></div>{}</body></html>"
+    text = ("first part " * 30, "second part " * 30)
+    want = "\n".join(t.strip() for t in text)
+    assert Page(plain.format("<form id=aspnetForm><input type=hidden>", *text, "<label>Name</label><select><option>one</select></form>")).extract(None) == want
+    assert Page(plain.format("<form><p>Your name</p><input></form>", *text, "<form><p>Send us a word</p></form>")).extract(None) == want
+    assert Page(article("<form>", "<label>Name</label></form>")).extract(None) == Page(article("")).extract(None)
+
+
+def test_odd_markup_takes_time_and_memory_in_proportion():
+    import time
+    import tracemalloc
+
+    million = 1 << 20
+    pages = ["<a '" * (million // 4), "<a '>'" * (million // 6), "<!" * (million // 2), "<" * million, "<a " + "x" * million, "<a x=" * (million // 5),
+             "<b><div>" + "<span class=x>" * 20_000 + "</b>" * 100_000, "<li>" * 100_000 + "</p>" * 100_000, "<a \"" + "<a '" * (million // 4),
+             "<p " + "a b " * (million // 4) + ">", "<!--" * (million // 4), "<script>" * (million // 8)]
+    for html in pages:
+        begin = time.process_time()
+        assert isinstance(Page(html).extract("/html/body/div"), str)
+        assert time.process_time() - begin < 8, html[:20]
+    tracemalloc.start()
+    deep = Page("<span class=x>" * 60_000 + "text")
+    assert deep.extract(deep.path(30_000)) == "text" and tracemalloc.get_traced_memory()[1] < 200 * million
+    tracemalloc.stop()
+
+
 def test_pieces_are_the_librarys(spark, odd, empty):
     from sentencepiece import SentencePieceProcessor
 
