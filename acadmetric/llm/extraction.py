@@ -122,16 +122,15 @@ class Page:
             element = self.parent[element]
         return "".join(reversed(steps))
 
-    def _lies_on(self, element: int, path: str) -> bool:
-        """Whether the element's path is ``path``; read from its end, so what differs is left early."""
-        end = len(path)
-        while element > 0:
-            step = self.step[element]
-            if end < len(step) or not path.startswith(step, end - len(step)):
-                return False
-            end -= len(step)
-            element = self.parent[element]
-        return end == 0
+    def on(self, path: str) -> set[int]:
+        """The elements whose path is ``path``: each goes on from how far its parent's path has matched."""
+        reach, found = [0], set()
+        for i in range(1, len(self.tag)):
+            at = reach[self.parent[i]]
+            reach.append(at + len(self.step[i]) if at >= 0 and path.startswith(self.step[i], at) else -1)
+            if reach[i] == len(path):
+                found.add(i)
+        return found
 
     def _read(self, html: str) -> None:
         stack, at, end = Stack(), 0, len(html)
@@ -233,7 +232,7 @@ class Page:
     def extract(self, path: str | None) -> str:
         """The text of the elements on ``path``, else of the page's own best container; one line for each block."""
         inside = [False] * len(self.tag)
-        roots = {i for i in range(1, len(self.tag)) if not self.out[i] and self.score[i] > 0 and self._lies_on(i, path)} if path else set()
+        roots = {i for i in self.on(path) if not self.out[i] and self.score[i] > 0} if path else set()
         roots = roots or {self.best()}
         lines, block = [], None
         for i in range(len(self.tag)):
