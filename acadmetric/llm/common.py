@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -70,17 +70,19 @@ def fold_of(doc_id: int | None, folds: int) -> int:
 
 
 def sample_ids(labelled: DataFrame, label: str, per_class: int) -> DataFrame:
-    """The ``per_class`` rows (doc_id, label) of each class that come first by a hash of their id.
+    """The ``per_class`` rows (doc_id, label) of each class that come first by a hash of their id, whatever the number of classes.
 
-    The classes are few and known to the caller; the result is bounded by their number times ``per_class``.
+    Only the part of a large class in which about four times as many hashes lie is put in order, so that no task gets
+    more rows as the class grows. The result is bounded by the number of classes times ``per_class``.
     """
+    place = F.xxhash64("doc_id")
     rows = labelled.select("doc_id", F.col(label).cast("string").alias("label")).dropna()
-    classes = [r[0] for r in rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(512).select("label").collect()]
-    parts = [rows.filter(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for c in classes]
-    out = parts[0] if parts else rows.limit(0)
-    for p in parts[1:]:
-        out = out.union(p)
-    return out
+    counts = rows.groupBy("label").count().filter(F.col("count") > 4 * per_class).collect()
+    ends = [x for r in counts for x in (F.lit(r[0]), F.lit((1 << 64) * 4 * per_class // r[1] - (1 << 63)))]
+    if ends:
+        rows = rows.filter(place <= F.coalesce(F.create_map(*ends)[F.col("label")], F.lit((1 << 63) - 1)))
+    first = Window.partitionBy("label").orderBy(place, "doc_id")
+    return rows.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= per_class).select("doc_id", "label").distinct()
 
 
 def keep_rows(docs: DataFrame, decide: Callable[[list[bytes]], np.ndarray]) -> DataFrame:

@@ -157,10 +157,10 @@ def fit(texts: list[bytes], names: list[str], dimensions: int = 16, epochs: int
 def fit_language(docs: DataFrame, per_language: int = 700, max_bytes: int = 20_000) -> LanguageModel:
     """Fit on at most ``per_language`` rows of each language in ``docs`` (doc_id, text, lang), with texts of at most ``max_bytes``.
 
-    Rows without text, id or language are left out; languages are those with the most rows, 512 at most.
+    Rows without text, id or language are left out.
     """
     usable = docs.filter("text IS NOT NULL").filter(F.octet_length("text") <= max_bytes)
-    sample = F.broadcast(sample_ids(usable, "lang", per_language))  # at most 512 * per_language rows
+    sample = F.broadcast(sample_ids(usable, "lang", per_language))  # at most per_language rows a language
     rows = sorted(id_and_text(usable).join(sample, "doc_id").select("doc_id", "label", "text").collect())
     return fit([r[2].encode() for r in rows], [r[1] for r in rows])
 

@@ -59,6 +59,10 @@ def byte_shards(docs: DataFrame, shards: int, carry: tuple[str, ...] = ()) -> Da
 
 
 def write_shards(docs: DataFrame, shards: int, path: str) -> None:
-    """The documents with all their columns as Parquet, one folder per shard, and their slot in it."""
-    rest = tuple(c for c in docs.columns if c not in ("doc_id", "size", "text_crc32", "shard", "slot"))
-    byte_shards(docs, shards, rest).write.partitionBy("shard").parquet(path)
+    """The documents with all their columns as Parquet, one folder per shard, and their slot in it.
+
+    Columns of the documents named shard or slot, in any case, are written as given_shard or given_slot.
+    """
+    row = F.struct(*[F.col(f"`{c}`").alias(f"given_{c}" if c.lower() in ("shard", "slot") else c) for c in docs.columns])
+    placed = byte_shards(docs.select("doc_id", "text", row.alias("document")), shards, ("document",))
+    placed.select("document.*", "shard", "slot").write.partitionBy("shard").parquet(path)

@@ -142,8 +142,8 @@ def compared_with_edits(docs: DataFrame) -> DataFrame:
     """Each text's fingerprint against that of an edited text and of the next document.
 
     The edited text has its last floor(n_chars / 4) code points replaced by the first as many (or all) of the next document in
-    ascending doc_id; after the last comes the first. Rows without doc_id come first; rows that repeat a doc_id follow by
-    text. A single row is its own next one; an empty table gives no row.
+    ascending doc_id; after the last comes the first. Rows without doc_id come first; rows that repeat a doc_id follow in
+    the order of their packed texts. A single row is its own next one; an empty table gives no row.
 
     Rows are dealt by ranges of doc_id, texts compressed; the rows that begin a range are sent to the range before as well, so
     that every range finds its last row's successor in place.

@@ -114,6 +114,14 @@ class Encoder:
         return [b"".join(ids[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with its scheme, as Spark's own writers take it: one without a scheme lies in the cluster's default file system."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    full = path.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return re.sub("^s3[an]:", "s3:", full)
+
+
 def _place(path: str) -> tuple[filesystems.FileSystem, str]:
     if path.startswith("file:"):
         path = "/" + path[5:].lstrip("/")
@@ -132,8 +140,10 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int)
 
     Keys: path, docs, ids, no_id (documents without doc_id; they come first), start (ids in the files before). A null text
     is empty and has the end id alone. Rows that repeat a doc_id follow one another by text. ``folder`` must be one that
-    every executor and the driver can reach.
+    every executor and the driver can reach, in a file system that Arrow knows; another one stops the job before any text is read.
     """
+    folder = qualified(docs.sparkSession, folder)
+    _place(folder)
     rows = id_and_text(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

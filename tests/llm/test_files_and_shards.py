@@ -6,11 +6,12 @@ from itertools import accumulate
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tests_llm import ODD_TEXTS, documents
 
 from acadmetric.llm.common import vocabulary_file
 from acadmetric.llm.sharding import byte_shards, write_shards
-from acadmetric.llm.token_files import Encoder, read_token_files, write_token_files
+from acadmetric.llm.token_files import Encoder, _place, qualified, read_token_files, write_token_files
 from acadmetric.session import new_path
 
 WORDS = vocabulary_file("word_bpe_49k.json")
@@ -60,9 +61,21 @@ def test_shards_are_contiguous_gapless_and_equal(spark, many_ranges, odd, empty)
 
 
 def test_written_shards_read_back(spark, odd, tmp_path):
-    write_shards(odd.drop("shard", "slot", "size"), 3, str(tmp_path / "out"))
+    clashing = odd.withColumn("_row", F.lit("mine")).withColumn("_part", F.lit("mine")).withColumn("_bytes", F.lit("mine"))
+    write_shards(clashing, 3, str(tmp_path / "out"))
     back = spark.read.parquet(str(tmp_path / "out"))
-    assert back.count() == len(ODD_TEXTS) and {"text", "lang", "shard", "slot"} <= set(back.columns)
+    assert set(back.columns) == {*clashing.columns, "given_shard", "given_slot"}
+    own = back.select(*[F.col(f"given_{c}" if c in ("shard", "slot") else c).alias(c) for c in clashing.columns])
+    assert own.exceptAll(clashing).count() == 0 and clashing.exceptAll(own).count() == 0
+    placed = byte_shards(odd, 3).select("doc_id", "shard", "slot").collect()
+    assert sorted(map(str, back.select("doc_id", "shard", "slot").collect())) == sorted(map(str, placed))
+
+
+def test_folders_are_taken_as_spark_takes_them(spark):
+    assert qualified(spark, "/a/b").startswith("file:/") and qualified(spark, "file:///a/b").startswith("file:/")
+    assert _place(qualified(spark, "/a/b"))[1] == "/a/b"
+    with pytest.raises(Exception, match="(?i)unrecognized"):
+        _place("other://store/a")
 
 
 @pytest.mark.parametrize("text", ["", " "])

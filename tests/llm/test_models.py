@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from tests_llm import ODD_TEXTS, documents
 
+from acadmetric.llm.common import sample_ids
 from acadmetric.llm.language import fit_language, languages
 from acadmetric.llm.quality import fit_quality, keep_rows_of_quality, quality_scores
 from acadmetric.llm.tokens import sigmoid
@@ -164,3 +165,35 @@ def test_language_on_rows_left_out(spark, small, odd, empty):
     assert languages(empty, model).count() == 0
     nothing = fit_language(docs.limit(0))
     assert {r.lang_pred for r in languages(odd, nothing).collect()} == {"und"}
+
+
+def test_doubtful_languages_are_rejected(spark):
+    """Two invented languages and texts whose language is drawn by lot: what is accepted is right as often as the limit promises."""
+    draw, rows = random.Random(3), []
+    for i in range(1200):
+        lang, lot = draw.choice(["aa", "bb"]), i % 3 == 0
+        letters = "mnoprs" if lot else "aeiklt" if lang == "aa" else "uvwxyz"
+        rows.append((i, " ".join("".join(draw.choice(letters) for _ in range(5)) for _ in range(20)), lang))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = fit_language(docs.filter("doc_id % 2 = 0"))
+    assert 0 < model.reject < 1
+    test = docs.filter("doc_id % 2 = 1")
+    sure = {r.doc_id: r for r in languages(test, model).collect()}
+    for r in languages(test, model, reject=False).collect():
+        assert sure[r.doc_id].lang_pred == (r.lang_pred if r.score >= model.reject else "und") and sure[r.doc_id].score == r.score
+    kept = [i for i, r in sure.items() if r.lang_pred != "und"]
+    assert len(kept) >= 380 and sum(sure[i].lang_pred == rows[i][2] for i in kept) >= 0.9 * len(kept)
+    assert sum(sure[i].lang_pred == "und" for i in sure if i % 3 == 0) >= 150
+
+
+def test_samples_have_the_first_rows_of_every_class(spark):
+    rows = [(i, f"c{i % 700}") for i in range(2100)] + [(i, "many") for i in range(3000, 6000)] + [(None, "many"), (7000, None), (7001, "one"), (7001, "one")]
+    labelled = spark.createDataFrame(rows, "doc_id long, kind string")
+    place = {r[0]: r[1] for r in labelled.selectExpr("doc_id", "xxhash64(doc_id)").collect()}
+    by_class = {}
+    for i, c in {r for r in rows if None not in r}:
+        by_class.setdefault(c, []).append(i)
+    want = {(i, c) for c, ids in by_class.items() for i in sorted(ids, key=lambda i: (place[i], i))[:2]}
+    got = list(map(tuple, sample_ids(labelled, "kind", 2).collect()))
+    assert len(got) == len(want) and set(got) == want
+    assert sample_ids(labelled.limit(0), "kind", 2).count() == 0
