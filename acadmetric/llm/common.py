@@ -69,20 +69,33 @@ def fold_of(doc_id: int | None, folds: int) -> int:
     return 0 if doc_id is None else zlib.crc32(str(doc_id).encode()) % folds
 
 
+_BINS = 64
+
+
 def sample_ids(labelled: DataFrame, label: str, per_class: int) -> DataFrame:
     """The ``per_class`` rows (doc_id, label) of each class that come first by a hash of their id, whatever the number of classes.
 
-    Only the part of a large class in which about four times as many hashes lie is put in order, so that no task gets
-    more rows as the class grows. The result is bounded by the number of classes times ``per_class``.
+    Rows are taken from that part of the hashes in which about four times as many of their class lie. Its bins are counted:
+    those wholly among the first are taken as they are, only the one at the border is put in order. So no task gets more rows as
+    a class grows. The result is bounded by the number of classes times ``per_class``.
     """
-    place = F.xxhash64("doc_id")
-    rows = labelled.select("doc_id", F.col(label).cast("string").alias("label")).dropna()
+    rows = labelled.select("doc_id", F.col(label).cast("string").alias("label")).dropna().withColumn("place", F.xxhash64("doc_id"))
     counts = rows.groupBy("label").count().filter(F.col("count") > 4 * per_class).collect()
-    ends = [x for r in counts for x in (F.lit(r[0]), F.lit((1 << 64) * 4 * per_class // r[1] - (1 << 63)))]
-    if ends:
-        rows = rows.filter(place <= F.coalesce(F.create_map(*ends)[F.col("label")], F.lit((1 << 63) - 1)))
-    first = Window.partitionBy("label").orderBy(place, "doc_id")
-    return rows.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= per_class).select("doc_id", "label").distinct()
+    spread = F.lit(1.0)
+    if counts:
+        shares = F.create_map(*[x for r in counts for x in (F.lit(r[0]), F.lit(4.0 * per_class / r[1]))])
+        spread = F.coalesce(shares[F.col("label")], spread)
+    at = (F.col("place").cast("double") + F.lit(2.0 ** 63)) / F.lit(2.0 ** 64) / spread * _BINS
+    # As a double the largest hashes are 2 ** 63, so a class that is taken from all hashes has one bin more.
+    rows = rows.withColumn("bin", F.floor(at)).filter((F.col("bin") < _BINS) | (spread == 1.0))
+    before = Window.partitionBy("label").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)  # one row per bin
+    bins = rows.groupBy("label", "bin").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    some = rows.join(F.broadcast(bins.filter(F.col("before") < per_class)), ["label", "bin"])  # _BINS rows a class
+    border = some.filter(F.col("before") + F.col("n") > per_class)
+    first = border.withColumn("row", F.row_number().over(Window.partitionBy("label").orderBy("place", "doc_id"))).filter(
+        F.col("row") <= F.lit(per_class) - F.col("before"))
+    whole = some.filter(F.col("before") + F.col("n") <= per_class)
+    return whole.select("doc_id", "label").union(first.select("doc_id", "label")).distinct()
 
 
 def keep_rows(docs: DataFrame, decide: Callable[[list[bytes]], np.ndarray]) -> DataFrame:

@@ -193,7 +193,8 @@ def test_samples_have_the_first_rows_of_every_class(spark):
     by_class = {}
     for i, c in {r for r in rows if None not in r}:
         by_class.setdefault(c, []).append(i)
-    want = {(i, c) for c, ids in by_class.items() for i in sorted(ids, key=lambda i: (place[i], i))[:2]}
-    got = list(map(tuple, sample_ids(labelled, "kind", 2).collect()))
-    assert len(got) == len(want) and set(got) == want
+    for n in (2, 40, 2999):
+        want = {(i, c) for c, ids in by_class.items() for i in sorted(ids, key=lambda i: (place[i], i))[:n]}
+        got = list(map(tuple, sample_ids(labelled, "kind", n).collect()))
+        assert len(got) == len(want) and set(got) == want
     assert sample_ids(labelled.limit(0), "kind", 2).count() == 0
