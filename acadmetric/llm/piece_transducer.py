@@ -1,12 +1,19 @@
 """SentencePiece encoding and decoding as a weighted finite-state transducer.
 
-Three machines are compiled from a model file. The normaliser writes the prefix blank and the blank sign. The piece machine reads
-characters along any piece of the vocabulary and writes its id; a character that no piece has goes through the byte arcs. For a
-model of byte-pair merges a third machine remembers the last piece and lets a piece follow only if merging the two pieces' text
-gives just these two: a sequence of pieces whose neighbours all agree is the result of the merges, and there is one such sequence
-for every text. Its arcs are worked out when first asked for and remembered. An input is composed with the machines and the
-shortest path in the tropical semiring (weights add along a path, the least path wins) is the encoding; forbidden arcs weigh
-infinity.
+Machines are compiled from a model file. The normaliser reads a blank and writes the blank sign, reads any other character and
+writes it, and writes one blank sign before the text (an arc that reads nothing). The piece machine reads characters along any
+piece of the vocabulary and writes its id; a character that no piece has goes through the byte arcs. The two are composed when
+the model is loaded: every arc of the piece machine that reads what the normaliser writes is given to what the normaliser reads.
+An input is composed with that machine, and the shortest path in the tropical semiring (weights add along a path, the least
+path wins) is the encoding: of all arcs into a place the least is kept. That is all for a unigram model.
+
+For a model of byte-pair merges a third machine remembers the last piece and lets a piece follow only if merging the two pieces'
+text gives just these two; forbidden arcs weigh infinity, and one finite path is left. Say that all neighbours of a sequence
+agree, and merge its whole text: until a first merge crosses a border, merges in the two pieces beside it come in the order that
+they have in the two alone, as the best pair (the leftmost of equals) among all is the best in any part that has it; so that
+merge would cross in the two alone as well, and they would not agree. Hence the sequence is the result of the merges. In the same
+way neighbours in the result agree, and merging has one result, for the text and for each of its beginnings. Arcs of the pair
+machine are worked out when first asked for and remembered.
 
 No piece but runs of the blank sign has it anywhere but at its start, so a text's shortest path is that of its words, one after
 the other; a task remembers the paths of words it has met. The vocabulary is a fixed file; nothing is shuffled.
@@ -28,7 +35,7 @@ from acadmetric.llm.common import doc_batches, id_and_text
 
 BLANK = "▁"
 REMEMBERED = 100_000  # words a task keeps in each of two generations
-_WORD = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
+_WORD = re.compile(f"[ {BLANK}]*[^ {BLANK}]+|[ {BLANK}]+")
 _machines: dict[str, Transducer] = {}
 
 
@@ -43,9 +50,12 @@ class Transducer:
         rules, trainer = model.normalizer_spec, model.trainer_spec
         if rules.precompiled_charsmap or rules.remove_extra_whitespaces or not rules.escape_whitespaces:
             raise ValueError("only the identity normaliser with escaped blanks is supported")
-        if trainer.model_type != proto.TrainerSpec.BPE or not trainer.byte_fallback:
-            raise ValueError("only merge models with byte fallback are supported")
-        self.prefix = rules.add_dummy_prefix
+        if trainer.model_type not in (proto.TrainerSpec.BPE, proto.TrainerSpec.UNIGRAM) or not trainer.byte_fallback:
+            raise ValueError("only merge and unigram models with byte fallback are supported")
+        if any(p.type in (kinds.USER_DEFINED, kinds.UNUSED) for p in model.pieces):
+            raise ValueError("pieces that the user defined, or that are not to be used, are not supported")
+        self.merges = trainer.model_type == proto.TrainerSpec.BPE
+        self.prefix = " " if rules.add_dummy_prefix else ""
         normal = [(i, p) for i, p in enumerate(model.pieces) if p.type == kinds.NORMAL]
         if any(BLANK in p.piece.lstrip(BLANK) for _, p in normal):
             raise ValueError("only vocabularies whose pieces have the blank at their start are supported")
@@ -53,6 +63,11 @@ class Transducer:
         self.piece = [p.piece for p in model.pieces]
         self.weight = [-p.score for p in model.pieces]
         self.byte = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == kinds.BYTE}
+        self.single = {p for p in self.number if len(p) == 1}
+        if self.merges and any(c not in self.single for p in self.number for c in p):
+            raise ValueError("only merge models with a piece for each character of a piece are supported")
+        # What a character without a piece weighs: under the least likely piece by ten, as unigram models have it.
+        self.unknown = 0.0 if self.merges else 10.0 - min(p.score for _, p in normal)
         # The states of the piece machine: arcs by character, and the id of the piece that ends there.
         self.start: tuple[dict, int] = ({}, -1)
         for i, p in normal:
@@ -61,6 +76,7 @@ class Transducer:
                 state = state[0].setdefault(c, ({}, -1))
             state[0][p.piece[-1]] = (state[0].get(p.piece[-1], ({}, -1))[0], i)
         self.neighbours = {p[i:i + 2] for p in self.number for i in range(len(p) - 1)}
+        self._compose_normaliser({" ": BLANK})
         written = {i: p.piece.replace(BLANK, " ").encode() for i, p in normal} | {i: bytes([b]) for b, i in self.byte.items()}
         self.written = [written.get(i, b"") for i in range(len(model.pieces))]
         self.allowed: dict[int, bool] = {}
@@ -73,8 +89,17 @@ class Transducer:
             _machines[path] = Transducer(path)
         return _machines[path]
 
-    def normalised(self, text: str) -> str:
-        return (BLANK if self.prefix and text else "") + text.replace(" ", BLANK)
+    def _compose_normaliser(self, rules: dict[str, str]) -> None:
+        """Composes the normaliser, which reads a character and writes another (any character without a rule: itself), with
+        the piece machine: where this reads what is written, the composed machine reads the character itself."""
+        states = [self.start]
+        for arcs, _ in states:
+            states += arcs.values()
+            arcs.update({read: arcs[write] for read, write in rules.items() if write in arcs})
+        for read, write in rules.items():
+            self.single |= {read} if write in self.single else set()
+            self.neighbours |= {read + p[1] for p in self.neighbours if p[0] == write}
+            self.neighbours |= {p[0] + read for p in self.neighbours if p[1] == write}
 
     def _merged(self, text: str) -> list[str]:
         """The text's pieces by merging: the pair with the best piece first, the leftmost of equals."""
@@ -106,7 +131,7 @@ class Transducer:
         A place in a word is reached with what was read so far only, so words are taken in order and share the places of
         their common beginnings.
         """
-        weight, allowed, size = self.weight, self.allowed.get, len(self.piece)
+        weight, allowed, size, merges, single = self.weight, self.allowed.get, len(self.piece), self.merges, self.single
         # By place: distance, last piece (-1: bytes or the start), where it came from, and the pieces being read there as
         # (begin, state), the earliest begin first.
         places: list[tuple[float, int, int, list]] = [(0.0, -1, 0, [(0, self.start)])]
@@ -128,15 +153,20 @@ class Transducer:
                         continue
                     reading.append((begin, state))
                     piece = state[1]
-                    if piece < 0 or distance < math.inf:
+                    if piece < 0:
                         continue
                     came, before, _, _ = places[begin]
-                    fits = allowed(before * size + piece)
-                    if fits or fits is None and self.may_follow(before, piece):
-                        # Merging leaves one way to read every prefix: no other arc into this place is finite.
-                        distance, last, back = came + weight[piece], piece, begin
-                if distance == math.inf and c not in self.number:
-                    distance = places[at][0]  # the byte arcs: a character without a piece, with which nothing merges
+                    if came + weight[piece] >= distance:
+                        continue
+                    if merges:
+                        fits = allowed(before * size + piece)
+                        if fits is None:
+                            fits = self.may_follow(before, piece)
+                        if not fits:
+                            continue
+                    distance, last, back = came + weight[piece], piece, begin
+                if c not in single and places[at][0] + self.unknown < distance:
+                    distance, last, back = places[at][0] + self.unknown, -1, at  # the byte arcs
                 if distance < math.inf:
                     reading.append((at + 1, self.start))
                 places.append((distance, last, back, reading))
@@ -163,7 +193,10 @@ class Transducer:
             self.known, self.older = {}, self.known
         words, ends = [], [0]
         for t in texts:
-            words += _WORD.findall(self.normalised(t))
+            own = _WORD.findall(t)
+            if own:
+                own[0] = self.prefix + own[0]  # the normaliser's arc that reads nothing
+            words += own
             ends.append(len(words))
         paths = list(map(self.known.get, words))
         known, older, new = self.known, self.older, [i for i, x in enumerate(paths) if x is None]

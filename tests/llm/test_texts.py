@@ -97,6 +97,81 @@ def test_pieces_are_the_librarys(spark, odd, empty):
     assert all(r.same for r in round_trips(odd, PIECES).collect()) and round_trips(empty, PIECES).count() == 0
 
 
+def stored_model(folder, model) -> str:
+    path = folder / "own.model"
+    path.write_bytes(model.SerializeToString())
+    return str(path)
+
+
+def given_model():
+    from sentencepiece import sentencepiece_model_pb2 as proto
+
+    model = proto.ModelProto()
+    with open(PIECES, "rb") as file:
+        model.ParseFromString(file.read())
+    return proto, model
+
+
+def test_unigram_paths_are_the_librarys_and_the_least(tmp_path):
+    from sentencepiece import SentencePieceProcessor
+
+    proto, model = given_model()
+    draw, kinds = random.Random(3), proto.ModelProto.SentencePiece
+    model.trainer_spec.model_type = proto.TrainerSpec.UNIGRAM
+    kept = [p for p in model.pieces if p.type != kinds.NORMAL or p.piece == "▁" or len(p.piece) <= 4 and (p.piece in "abcdefghijklmnopqrstuvwxyz0123456789" or draw.random() < 0.7)]
+    for p in kept:
+        if p.type == kinds.NORMAL:
+            p.score = -draw.randrange(1 << 16) / 4096  # sums of a few are exact in the library's single precision
+    del model.pieces[:]
+    model.pieces.extend(kept)
+    path = stored_model(tmp_path, model)
+    library, machine = SentencePieceProcessor(model_file=path), Transducer(path)
+    parts = ["the", "ing", "er", " ", "  ", "tion", "1", "20", "▁", "ß", "を", "漢", "\U0001F600", "\n", "é", "a", "b", "st"]
+    texts = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 12))) for _ in range(1000)]
+    ids = machine.encode(texts)
+    assert sum(x.tolist() == library.encode(t) for x, t in zip(ids, texts, strict=True)) == len(texts)
+    assert all(machine.decode(x) == library.decode(x.tolist()) for x in ids)
+
+    def least(word: str) -> float:
+        """The least weight of all ways to cut a word, one by one."""
+        if not word:
+            return 0.0
+        ways = [machine.weight[machine.number[word[:k]]] + least(word[k:]) for k in range(1, len(word) + 1) if word[:k] in machine.number]
+        return min(ways)
+
+    for word in ("stations", "theater", "1920s", "resting", "bitterness"):
+        ids = machine.encode([word])[0].tolist()
+        assert not set(ids) & set(machine.byte.values()) and sum(machine.weight[i] for i in ids) == least("▁" + word)
+
+
+def test_merged_neighbours_leave_one_path():
+    machine, draw = Transducer(PIECES), random.Random(4)
+    words = ["▁" + "".join(draw.choice("aeinrst") for _ in range(draw.randint(1, 9))) for _ in range(300)]
+
+    def paths(word: str, last: int) -> int:
+        fits = [machine.number[word[:k]] for k in range(1, len(word) + 1) if word[:k] in machine.number]
+        return sum(paths(word[len(machine.piece[i]):], i) for i in fits if machine.may_follow(last, i)) if word else 1
+
+    assert all(paths(w, -1) == 1 for w in words)
+
+
+def test_other_models_are_refused(tmp_path):
+    import pytest
+
+    for change in ("words", "squeezed", "no bytes", "lone"):
+        proto, model = given_model()
+        if change == "words":
+            model.trainer_spec.model_type = proto.TrainerSpec.WORD
+        elif change == "squeezed":
+            model.normalizer_spec.remove_extra_whitespaces = True
+        elif change == "no bytes":
+            model.trainer_spec.byte_fallback = False
+        else:
+            model.pieces.add(piece="\u2603\u2604", score=-99999.0)
+        with pytest.raises(ValueError, match="supported"):
+            Transducer(stored_model(tmp_path, model))
+
+
 def test_edited_texts_follow_the_order_of_ids(spark, many_ranges):
     draw = random.Random(9)
     rows = [(i * 7 % 1000, " ".join(draw.choice(["the", "of", "é", f"w{draw.randrange(99)}"]) for _ in range(draw.randint(0, 80)))) for i in range(300)]
