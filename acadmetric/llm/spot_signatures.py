@@ -12,6 +12,7 @@ order, and the comparison of two sets is pruned by their lengths.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,15 +37,30 @@ ANCHORS = (
 )
 _ANCHORS = np.unique(Words.of([ANCHORS.encode()], LETTERS).hash)
 _CLASSES = 4  # one in so many of the other words is an anchor as well
+# First and last characters of scripts written without blanks (Thai and Lao, Myanmar, Khmer, kana, Han), and the bytes that
+# such characters begin with.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]+")
+_LEAD = re.compile(b"[\xe0\xe1\xe3-\xe9\xef\xf0]")
 _STEP = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93]
 
 
+def _pairs(run: re.Match) -> str:
+    own = run.group()
+    return f" {' '.join(own[i:i + 2] for i in range(max(1, len(own) - 1)))} "
+
+
+def spaced(text: bytes) -> bytes:
+    """The text with every run of characters of a script without blanks cut into overlapping pairs, which serve as words."""
+    return _UNSPACED.sub(_pairs, text.decode()).encode() if _LEAD.search(text) else text
+
+
 def signatures(texts: list[bytes], chain: int = 2, distance: int = 1) -> list[np.ndarray]:
     """The sorted set of 32-bit signatures of each text.
 
+    Words are runs of letters and digits; in scripts without blanks, neighbouring characters two by two.
     A text without any complete chain but with words has one signature, of its whole word sequence; a text without words has none.
     """
-    w = Words.of(texts, LETTERS)
+    w = Words.of(list(map(spaced, texts)), LETTERS)
     n = len(w.hash)
     if not n:
         return [np.empty(0, np.uint32) for _ in texts]
@@ -143,7 +159,7 @@ def compared_with_edits(docs: DataFrame) -> DataFrame:
 
     The edited text has its last floor(n_chars / 4) code points replaced by the first as many (or all) of the next document in
     ascending doc_id; after the last comes the first. Rows without doc_id come first; rows that repeat a doc_id follow in
-    the order of their packed texts. A single row is its own next one; an empty table gives no row.
+    the order of their compressed texts, a fixed one though not that of the letters. A single row is its own next one; an empty table gives no row.
 
     Rows are dealt by ranges of doc_id, texts compressed; the rows that begin a range are sent to the range before as well, so
     that every range finds its last row's successor in place.

@@ -8,7 +8,7 @@ import numpy as np
 
 from acadmetric.llm.common import mix
 
-_LIMIT = 256  # bytes of a word whose order the hash keeps apart
+_LIMIT = 256  # places of a word with a weight of their own; those beyond derive theirs from these
 _draw = np.random.default_rng(20240229)
 _BYTE = _draw.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _PLACE = _draw.integers(1, 1 << 63, _LIMIT, dtype=np.uint64) | np.uint64(1)
@@ -38,7 +38,11 @@ class Words:
         size = end - start
         first = np.cumsum(size) - size
         place = np.arange(int(size.sum())) - np.repeat(first, size)
-        each = _BYTE[text[inside]] * _PLACE[np.minimum(place, _LIMIT - 1)]
+        each = _BYTE[text[inside]] * _PLACE[place % _LIMIT]
+        beyond = np.flatnonzero(place >= _LIMIT)
+        if len(beyond):
+            turn = (place[beyond] // _LIMIT).astype(np.uint64)
+            each[beyond] = _BYTE[text[inside][beyond]] * (mix(_PLACE[place[beyond] % _LIMIT] + turn) | np.uint64(1))
         hashes = mix(np.add.reduceat(each, first)) if len(start) else np.empty(0, np.uint64)
         return Words(text, doc_at, start, end, np.searchsorted(doc_at, start, "right") - 1, hashes, len(texts))
 

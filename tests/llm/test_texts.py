@@ -9,7 +9,8 @@ from tests_llm import ODD_TEXTS, documents
 from acadmetric.llm.common import vocabulary_file
 from acadmetric.llm.extraction import Page, extract_pages, host_paths
 from acadmetric.llm.piece_transducer import Transducer, decode, encode, round_trips
-from acadmetric.llm.spot_signatures import alike, compared_with_edits, fingerprints, likeness, signatures
+from acadmetric.llm.spot_signatures import alike, compared_with_edits, fingerprints, likeness, signatures, spaced
+from acadmetric.llm.tokens import LETTERS, Words
 
 PIECES = vocabulary_file("piece_bpe_32k.model")
 
@@ -205,6 +206,22 @@ def test_signatures_depend_on_nearby_words_only():
         assert set(own.tolist()) <= set(whole.tolist())
 
 
+def test_scripts_without_blanks_have_many_signatures(spark):
+    draw = random.Random(13)
+    for first, last in ((0x4E00, 0x5FFF), (0x0E01, 0x0E2E), (0x3041, 0x3096), (0x20000, 0x20400)):
+        texts = ["".join(chr(draw.randint(first, last)) for _ in range(400)) for _ in range(2)]
+        got = compared_with_edits(documents(spark, list(enumerate(texts)))).collect()
+        assert all(r.near_edited > 0.4 and r.near_next < 0.2 for r in got)
+    assert spaced("ab漢 漢字仮 é".encode()).decode().split() == ["ab", "漢", "漢字", "字仮", "é"] and spaced(b"plain") == b"plain"
+
+
+def test_long_words_differ_by_the_order_of_their_bytes():
+    base = "a" * 300 + "b" * 300
+    words = [base, base[:-2] + "ab", base[:-2] + "ba", "b" * 300 + "a" * 300, "a" * 299 + "ba" + "b" * 299, base[:256] + "b" + base[257:513] + "a" + base[514:]]
+    assert len(set(Words.of([" ".join(words).encode()], LETTERS).hash.tolist())) == len(words)
+    assert Words.of([base.encode()], LETTERS).hash[0] == Words.of([f"x {base}".encode()], LETTERS).hash[1]
+
+
 def test_fingerprints_of_odd_rows(odd, empty):
     got = [(r.doc_id, r.fingerprint) for r in fingerprints(odd).collect()]
     assert dict(got)[1] == dict(got)[3] == "" and dict(got)[10] and len({f for i, f in got if i in (5, 6, 7)}) == 1
