@@ -19,7 +19,7 @@ from acadmetric.llm.near_dedup import near_duplicate_groups
 from acadmetric.llm.piece_transducer import round_trips
 from acadmetric.llm.quality import fit_quality, quality_scores
 from acadmetric.llm.sharding import byte_shards
-from acadmetric.llm.spot_signatures import compared_with_edits
+from acadmetric.llm.spot_signatures import alike_groups, compared_with_edits
 from acadmetric.llm.token_files import read_token_files, write_token_files
 from acadmetric.llm.toxicity import fit_toxicity, toxicity_scores
 from acadmetric.session import new_path
@@ -94,6 +94,11 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return compared_with_edits(table(spark, folder, "documents"))
 
 
+@query("spot_signature_classes")
+def spot_signature_classes(spark: SparkSession, folder: str) -> DataFrame:
+    return alike_groups(table(spark, folder, "documents"), percent=80)
+
+
 @query("op2_consensus_extraction")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return extract_pages(table(spark, folder, "pages"))

@@ -5,8 +5,8 @@ Anchors are the common words and, so that lists, tables and junk have signatures
 class of hashes; whether a word is one does not depend on the rest of the text, so an edit changes only the signatures beside
 it. A document's fingerprint is its sorted set of signatures, written as eight hex digits each; running prose has about
 twice as many of them a word as chrome and word salad. Likeness is the Jaccard similarity of two sets. Sets can only be alike if their
-lengths are: pairs are sought among neighbouring classes of set length only, by the signatures that come first in a fixed
-order, and the comparison of two sets is pruned by their lengths.
+lengths are: links are sought among neighbouring classes of set length only, by the signatures that come first from rare to
+common, and the comparison of two sets is pruned by their lengths.
 """
 
 from __future__ import annotations
@@ -22,7 +22,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acadmetric.llm.common import doc_batches, id_and_text, mix, utf8
+from acadmetric.llm.near_dedup import components
 from acadmetric.llm.tokens import LETTERS, Words
+from acadmetric.session import written
 
 # The anchors, frequent function words of English, German, French and Spanish.
 ANCHORS = (
@@ -115,38 +117,74 @@ def fingerprints(docs: DataFrame, chain: int = 2, distance: int = 1) -> DataFram
     return id_and_text(docs).mapInArrow(run, "doc_id long, fingerprint string")
 
 
-def alike(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """a, b, likeness: pairs of representatives (the smallest doc_id of equal fingerprints) with at least ``percent`` likeness.
+def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """class, item, id, n, place, smaller: where a set (id, fingerprint) is posted.
 
-    Sets fall into classes whose lengths differ by less than the wanted similarity allows, so a pair lies in one class or in
-    two neighbouring ones. A set is posted under its first n - ceil(percent * n / 100) + 1 signatures, rare ones first, in its own class
-    and, as the longer side, in the class below. Empty fingerprints pair with nothing; every member of a group is found by
-    joining its fingerprint.
+    Signatures stand from rare to common; those of one set only are posted nowhere but keep their places. A class holds sets whose
+    lengths differ by less than the wanted similarity allows, so alike sets lie in one class or in two neighbouring ones. As
+    the larger of a pair a set shows its first n - ceil(percent * n / 100) + 1 signatures, in its own class and the one below; as the
+    smaller, in its own, those that leave enough of it for a set of its own size.
     """
-    groups = fingerprints(docs).filter("fingerprint <> '' AND doc_id IS NOT NULL").groupBy("fingerprint").agg(F.min("doc_id").alias("id"))
-    size = F.length("fingerprint") / 8
-    sized = groups.select("id", "fingerprint", size.cast("long").alias("n")).withColumn(
-        "class", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int"))
-    parts = F.transform(F.sequence(F.lit(0), (F.col("n") - 1).cast("int")), lambda i: F.substring("fingerprint", i * 8 + 1, F.lit(8)))
-    single = sized.select("id", "n", "class", F.explode(parts).alias("item"))
-    ranked = single.join(single.groupBy("item").agg(F.count("*").alias("times")).filter("times > 1"), "item").groupBy("id", "n", "class").agg(
-        F.array_sort(F.collect_list(F.struct("times", "item"))).alias("common"))
-    shown = ranked.select("id", "n", "class", "common", F.posexplode("common").alias("at", "entry")).filter(
-        f"at + n - size(common) <= n - (({percent} * n + 99) div 100)").select("id", "n", "class", F.col("entry.item").alias("item"))
-    longer = shown.select(F.col("id").alias("b"), F.col("n").alias("m"), "item", F.explode(F.array(F.col("class"), F.col("class") - 1)).alias("class"))
-    pairs = shown.select(F.col("id").alias("a"), "n", "item", "class").join(longer, ["class", "item"]).filter(
-        f"(n < m OR (n = m AND a < b)) AND 100 * n >= {percent} * m").select("a", "b").distinct()
-    both = pairs.join(sized.select(F.col("id").alias("a"), F.col("fingerprint").alias("x")), "a").join(
-        sized.select(F.col("id").alias("b"), F.col("fingerprint").alias("y")), "b").select("a", "b", "x", "y")
+    n = (F.length("fingerprint") / 8).cast("long")
+    # No length is so near to a class's bound as the small term, which makes up for rounding where one is the bound itself.
+    place_of = F.floor(F.log(n.cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int")
+    parts = F.transform(F.sequence(F.lit(0), (n - 1).cast("int")), lambda i: F.substring("fingerprint", i * 8 + 1, F.lit(8)))
+    single = sets.select("id", n.alias("n"), place_of.alias("class"), F.explode(parts).alias("item"))
+    counted = single.groupBy("item").agg(F.count("*").alias("times")).filter("times > 1")
+    common = single.join(counted, "item").groupBy("id", "n", "class").agg(F.array_sort(F.collect_list(F.struct("times", "item"))).alias("common"))
+    shown = common.select("id", "n", "class", F.size("common").alias("met"), F.posexplode("common").alias("at", "entry")).select(
+        "class", F.col("entry.item").alias("item"), "id", "n", (F.col("at") + F.col("n") - F.col("met")).alias("place"))
+    smaller = shown.filter(f"(n - place) * {100 + percent} >= 2 * {percent} * n").withColumn("smaller", F.lit(True))
+    larger = shown.filter(f"place <= n - (({percent} * n + 99) div 100)").withColumn("smaller", F.lit(False))
+    below = larger.withColumn("class", F.explode(F.array(F.col("class"), F.col("class") - 1)))
+    return smaller.union(below.select(smaller.columns))
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets have the wanted likeness."""
+    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("fingerprint").alias("x")), "a").join(
+        sets.select(F.col("id").alias("b"), F.col("fingerprint").alias("y")), "b").select("a", "b", "x", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            value = [likeness(*(np.frombuffer(bytes.fromhex(t), ">u4").astype(np.uint32) for t in p), percent / 100)
-                     for p in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            found = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(value, pa.float64())], ["a", "b", "likeness"])
-            yield found.filter(pa.array([v > 0 for v in value], pa.bool_()))
+            keep = [likeness(*(np.frombuffer(bytes.fromhex(t), ">u4").astype(np.uint32) for t in p), percent / 100) > 0
+                    for p in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.mapInArrow(run, "a long, b long, likeness double")
+    return both.mapInArrow(run, "a long, b long")
+
+
+def alike_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """doc_id, class_id (the smallest doc_id reachable over links of at least ``percent`` likeness), kept, one row per document.
+
+    Equal fingerprints are one set. Sets that are posted under one signature of one length class are linked with the first of them
+    only, and the links confirmed. Where a posting still holds sets of several groups, those of different groups meet again in
+    it: of a pair's first common signature there must be enough left on both sides. So pairs of one group are
+    not made, and no link between groups is lost. Empty fingerprints are linked with nothing; rows without doc_id belong to the class of
+    their text, which is null where no row of it has an id. Rows that repeat an id are taken one by one.
+    """
+    found = written(fingerprints(docs), "fingerprints")
+    groups = found.filter("fingerprint <> ''").groupBy("fingerprint").agg(F.min("doc_id").alias("label"))
+    groups = written(groups.withColumn("id", F.monotonically_increasing_id()), "sets")
+    posted = written(_prefixes(groups, percent), "posted")
+    key = ["class", "item"]
+    first = posted.groupBy(*key).agg(F.min("id").alias("a"), F.max("id").alias("last")).filter("a < last").drop("last")
+    star = posted.join(first, key).filter("id <> a").select("a", F.col("id").alias("b")).distinct()
+    links = written(_confirmed(star, groups, percent), "confirmed")
+    rooted = posted.join(components(links), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    mixed = rooted.groupBy(*key).agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select(*key)
+    rest = written(rooted.join(mixed, key, "left_semi"), "mixed")
+    p, q = rest.filter("smaller").alias("p"), rest.filter("NOT smaller").alias("q")
+    enough = f"least(p.n - p.place, q.n - q.place) * {100 + percent} >= {percent} * (p.n + q.n)"
+    ordered = f"(p.n < q.n OR p.n = q.n AND p.id < q.id) AND 100 * p.n >= {percent} * q.n"
+    met = p.join(q, F.expr(f"p.class = q.class AND p.item = q.item AND p.root <> q.root AND {ordered} AND {enough}"))
+    more = written(_confirmed(met.select(F.col("p.id").alias("a"), F.col("q.id").alias("b")).distinct(), groups, percent), "confirmed")
+    linked = groups.join(components(links.union(more)), "id", "left").select("fingerprint", "label", F.coalesce("root", "id").alias("root"))
+    labels = linked.groupBy("root").agg(F.min("label").alias("class_id"))
+    placed = linked.join(labels, "root").select("fingerprint", "class_id")
+    alone = F.when(F.col("fingerprint") == "", F.col("doc_id")).otherwise(F.col("class_id"))
+    return found.join(placed, "fingerprint", "left").select("doc_id", alone.alias("class_id")).withColumn(
+        "kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
 
 
 _LOWEST = -(1 << 63)

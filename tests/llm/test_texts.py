@@ -9,7 +9,7 @@ from tests_llm import ODD_TEXTS, documents
 from acadmetric.llm.common import vocabulary_file
 from acadmetric.llm.extraction import Page, extract_pages, host_paths
 from acadmetric.llm.piece_transducer import Transducer, decode, encode, round_trips
-from acadmetric.llm.spot_signatures import alike, compared_with_edits, fingerprints, likeness, signatures, spaced
+from acadmetric.llm.spot_signatures import alike_groups, compared_with_edits, fingerprints, likeness, signatures, spaced
 from acadmetric.llm.tokens import LETTERS, Words
 
 PIECES = vocabulary_file("piece_bpe_32k.model")
@@ -228,22 +228,35 @@ def test_fingerprints_of_odd_rows(odd, empty):
     assert compared_with_edits(odd).count() == len(ODD_TEXTS) and compared_with_edits(empty).count() == 0
     single = compared_with_edits(odd.filter("doc_id = 5")).collect()
     assert len(single) == 1 and single[0].near_next == 1.0
-    assert alike(empty).count() == 0
+    assert alike_groups(empty).count() == 0
+    assert {r.doc_id: r.class_id for r in alike_groups(odd).collect() if r.doc_id}.items() >= {1: 1, 2: 2, 5: 5, 6: 5, 7: 5, 10: 10}.items()
 
 
-def test_alike_pairs_equal_brute_force(spark):
+def test_alike_classes_equal_brute_force(spark, many_ranges):
     draw = random.Random(12)
-    rows, words = [], [draw.choice(["the", "of", "and", f"w{draw.randrange(500)}"]) for _ in range(150)]
-    for i in range(60):
-        rows.append((i, " ".join(words)))
-        words[draw.randrange(150)] = f"v{draw.randrange(10**6)}"
-    sets = dict(zip((i for i, _ in rows), signatures([t.encode() for _, t in rows]), strict=True))
-    first = {}
-    for i, s in sets.items():
-        first.setdefault(s.tobytes(), i)
-    ids = sorted(first.values())
-    want = {(a, b) for a in ids for b in ids if a < b and likeness(sets[a], sets[b]) >= 0.8}
-    assert {(min(r.a, r.b), max(r.a, r.b)) for r in alike(documents(spark, rows)).collect()} == want
+    rows = []
+    for family in range(3):
+        words = [draw.choice(["the", "of", "and", f"w{draw.randrange(500)}"]) for _ in range(150)]
+        for i in range(40):
+            rows.append((family * 100 + i, " ".join(words)))
+            # The second family drifts fast, so that many neighbours lie on either side of the limit; the third grows.
+            for _ in range((1, 5, 2)[family]):
+                words[draw.randrange(len(words))] = f"v{draw.randrange(10**6)}"
+            words += [f"x{draw.randrange(10**6)}"] * (family == 2) * 6
+    rows += [(990, None), (991, ""), (992, "..."), (3, rows[50][1]), (None, rows[0][1]), (None, "some words that no other text has at all")]
+    sets = signatures([(t or "").encode() for _, t in rows])
+    for percent in (50, 80):
+        root = list(range(len(rows)))
+        for a in range(len(rows)):
+            for b in range(a):
+                if len(sets[a]) and len(sets[b]) and likeness(sets[a], sets[b]) >= percent / 100:
+                    low, high = sorted((root[a], root[b]))
+                    root = [low if r == high else r for r in root]
+        label = {r: min((i for (i, _), own in zip(rows, root, strict=True) if own == r and i is not None), default=None) for r in root}
+        want = sorted((str(i), str(label[r])) for (i, _), r in zip(rows, root, strict=True))
+        got = alike_groups(documents(spark, rows).repartition(3), percent).collect()
+        assert sorted((str(r.doc_id), str(r.class_id)) for r in got) == want and len({c for _, c in want}) > 6
+        assert all(r.kept == (r.doc_id == r.class_id) for r in got)
 
 
 def test_likeness_is_pruned_by_length():
