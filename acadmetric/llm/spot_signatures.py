@@ -128,7 +128,8 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
     n = (F.length("fingerprint") / 8).cast("long")
     # No length is so near to a class's bound as the small term, which makes up for rounding where one is the bound itself.
     place_of = F.floor(F.log(n.cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int")
-    parts = F.transform(F.sequence(F.lit(0), (n - 1).cast("int")), lambda i: F.substring("fingerprint", i * 8 + 1, F.lit(8)))
+    # One pass over the text: a substring would count its characters from the beginning for every signature.
+    parts = F.regexp_extract_all("fingerprint", F.lit(".{8}"), F.lit(0))
     single = sets.select("id", n.alias("n"), place_of.alias("class"), F.explode(parts).alias("item"))
     counted = single.groupBy("item").agg(F.count("*").alias("times")).filter("times > 1")
     common = single.join(counted, "item").groupBy("id", "n", "class").agg(F.array_sort(F.collect_list(F.struct("times", "item"))).alias("common"))

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 
 import numpy as np
 from tests_llm import ODD_TEXTS, documents
@@ -9,7 +10,7 @@ from tests_llm import ODD_TEXTS, documents
 from acadmetric.llm.common import vocabulary_file
 from acadmetric.llm.extraction import Page, extract_pages, host_paths
 from acadmetric.llm.piece_transducer import Transducer, decode, encode, round_trips
-from acadmetric.llm.spot_signatures import alike_groups, compared_with_edits, fingerprints, likeness, signatures, spaced
+from acadmetric.llm.spot_signatures import _prefixes, alike_groups, compared_with_edits, fingerprints, likeness, signatures, spaced
 from acadmetric.llm.tokens import LETTERS, Words
 
 PIECES = vocabulary_file("piece_bpe_32k.model")
@@ -262,3 +263,14 @@ def test_alike_classes_equal_brute_force(spark, many_ranges):
 def test_likeness_is_pruned_by_length():
     a, b = np.arange(10, dtype=np.uint32), np.arange(100, dtype=np.uint32)
     assert likeness(a, b, 0.5) == 0.0 and likeness(a, a) == 1.0 and likeness(a[:0], a) == 0.0 and likeness(a[:0], a[:0]) == 1.0
+
+
+def test_long_fingerprints_are_cut_in_one_pass(spark):
+    n = 150_000
+    rows = [(i, "".join(f"{k:08x}" for k in range(i, i + n))) for i in range(2)]
+    sets = spark.createDataFrame(rows, "id long, fingerprint string")
+    began = time.monotonic()
+    found = _prefixes(sets, 80).filter("smaller").groupBy("id", "n").count().collect()
+    assert time.monotonic() - began < 30
+    # n - 1 items are common; as the smaller one a set shows those of places up to n / 9, the first of which is its own item.
+    assert {r.id: (r.n, r["count"]) for r in found} == {0: (n, n // 9), 1: (n, n // 9)}
