@@ -11,6 +11,7 @@ from acadmetric.plans.intermediate import paths_by_area
 from acadmetric.plans.parts import (
     Tables, at_most, known_authorships, outputs_and_authors, outputs_per_program, programs_in_areas,
     programs_with_area_name, rows_per_program)
+from acadmetric.session import dealt
 
 _WIDE = "decimal(38,0)"
 
@@ -314,9 +315,9 @@ def top_faculty_by_area(t: Tables, limit: int | None = 30, per_area: int = 3) ->
 
 def advisors_without_permanent_link(t: Tables, limit: int | None = 25) -> DataFrame:
     """Students whose advisor holds no permanent link to the student's program."""
-    advised = t["tb_discente"].groupBy(
-        "co_seq_programa", F.col("co_seq_docente_orientador").alias("co_seq_docente")
-    ).agg(F.count("co_seq_discente").alias("n"))
+    students = t["tb_discente"].select("co_seq_programa", F.col("co_seq_docente_orientador").alias("co_seq_docente"), "co_seq_discente")
+    advised = dealt(students, "co_seq_programa", "co_seq_docente").groupBy("co_seq_programa", "co_seq_docente").agg(
+        F.count("co_seq_discente").alias("n"))
     permanent = t["rt_programa_docente"].filter(F.col("tp_vinculo") == "PE").select("co_seq_programa", "co_seq_docente")
     # Pairs are counted by ids; names, which are not unique, meet the counts and are summed again.
     return (

@@ -7,7 +7,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g",
@@ -83,3 +83,17 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# Tasks that rows are dealt over by key, at least.
+DEALT = 64
+
+
+def dealt(df: DataFrame, *keys: str | Column) -> DataFrame:
+    """``df`` dealt by the hash of ``keys`` over a fixed number of tasks, which are not put together again.
+
+    For groups that are about as many as the rows: put before the grouping, nothing is gathered by the tasks that read, however few
+    they are (a file of one row group is one task), and each task holds the groups of its share only. Rows are keys and flags, so a
+    quarter of the session's shuffle partitions is enough where that is more.
+    """
+    return df.repartition(max(DEALT, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4), *keys)

@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from acadmetric.session import dealt
 from acadmetric.sources.driver import StarTables
 
 
@@ -87,16 +88,17 @@ def _links(s: StarTables) -> DataFrame:
     # The smallest flag as a number: the minimum of a text would sort the rows of each task.
     flag = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1).otherwise(2)
     kinds = F.when(F.col("flag") == 0, "PE").when(F.col("flag") == 1, "CO").otherwise("VI")
+    pairs = held.select(F.col("l_suppkey").alias("co_seq_programa"), F.col("l_partkey").alias("co_seq_docente"), flag.alias("flag"))
     return (
-        held.groupBy(F.col("l_suppkey").alias("co_seq_programa"), F.col("l_partkey").alias("co_seq_docente"))
-        .agg(F.min(flag).alias("flag"))
+        dealt(pairs, "co_seq_programa", "co_seq_docente").groupBy("co_seq_programa", "co_seq_docente")
+        .agg(F.min("flag").alias("flag"))
         .select("co_seq_programa", "co_seq_docente", kinds.alias("tp_vinculo"))
     )
 
 
 def _authorships(s: StarTables) -> DataFrame:
-    return s.lineitem.select(
-        F.col("l_orderkey").alias("co_seq_producao"), F.col("l_partkey").alias("co_seq_docente")).distinct()
+    pairs = s.lineitem.select(F.col("l_orderkey").alias("co_seq_producao"), F.col("l_partkey").alias("co_seq_docente"))
+    return dealt(pairs, "co_seq_producao", "co_seq_docente").distinct()
 
 
 def _students(s: StarTables) -> DataFrame:
