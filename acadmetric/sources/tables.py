@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acadmetric.schema import TABLES
-from acadmetric.session import remember_table
+from acadmetric.session import dealt, remember_table
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -81,5 +81,6 @@ def lay_out_by_key(df: DataFrame, table: str, path: str, key: Sequence[str], buc
 def store_subset(df: DataFrame, keep: Column, partition_by: str, path: str) -> DataFrame:
     """Store only rows that satisfy ``keep``, one folder per value of a code column."""
     kept = df.filter(keep)
-    kept.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
+    # The writer sorts a task's rows by the code: every code is dealt over many tasks, so that none sorts a code's whole share.
+    dealt(kept, F.xxhash64(*kept.columns)).write.mode("overwrite").partitionBy(partition_by).parquet(path)
     return df.sparkSession.read.schema(kept.schema).parquet(path)
