@@ -97,8 +97,8 @@ def _links(s: StarTables) -> DataFrame:
 
 
 def _authorships(s: StarTables) -> DataFrame:
-    pairs = s.lineitem.select(F.col("l_orderkey").alias("co_seq_producao"), F.col("l_partkey").alias("co_seq_docente"))
-    return dealt(pairs, "co_seq_producao", "co_seq_docente").distinct()
+    return s.lineitem.select(
+        F.col("l_orderkey").alias("co_seq_producao"), F.col("l_partkey").alias("co_seq_docente")).distinct()
 
 
 def _students(s: StarTables) -> DataFrame:
@@ -130,8 +130,8 @@ def _sponsored_projects(s: StarTables) -> DataFrame:
 
 
 def _project_collaborations(s: StarTables) -> DataFrame:
-    return s.lineitem.select(
-        F.col("l_orderkey").alias("co_seq_projeto"), F.col("l_suppkey").alias("co_seq_colaboracao")).distinct()
+    pairs = s.lineitem.select(F.col("l_orderkey").alias("co_seq_projeto"), F.col("l_suppkey").alias("co_seq_colaboracao"))
+    return dealt(pairs, "co_seq_projeto", "co_seq_colaboracao").distinct()
 
 
 def _collaborations(s: StarTables) -> DataFrame:
