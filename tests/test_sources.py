@@ -118,3 +118,25 @@ def test_an_application_can_remove_what_it_wrote(spark):
     assert any(folder.iterdir())
     drop_written(spark)
     assert not folder.exists()
+
+
+def test_pairs_are_dealt_before_they_are_grouped(spark, small):
+    """The tasks that read gather no pairs, so a table of one row group is not one task's memory."""
+    for name in ("qa12_governance_gap", "qa12_governance_gap_all", "qa13_output_quartile", "qi01_outputs_per_program",
+                 "timed_outputs_per_program", "qa01_productivity_above_mean", "timed_productive_programs", "qa06_international_and_funded"):
+        lines = [line.lstrip(" +-:*(0123456789)") for line in plan(QUERIES[name](spark, small)).splitlines()]
+        scans = [i for i, line in enumerate(lines) if line.startswith("FileScan") and "l_orderkey" in line + lines[i - 1] or
+                 line.startswith("FileScan") and "l_partkey" in line]
+        assert scans, name
+        for i in scans:
+            above = next(line for line in reversed(lines[:i]) if line.startswith(("Exchange", "HashAggregate")))
+            assert above.startswith("Exchange") and "REPARTITION_BY_NUM" in above, (name, above)
+
+
+def test_subset_deals_a_code_over_many_tasks(spark, tmp_path):
+    rows = spark.range(64_000, numPartitions=1).selectExpr("id", "'A' AS code")
+    store.store_subset(rows, F.col("id") >= 0, "code", str(tmp_path / "s"))
+    files = list((tmp_path / "s" / "code=A").glob("*.parquet"))
+    sizes = [spark.read.parquet(str(f)).count() for f in files[:8]]
+    assert len(files) >= 64 and max(sizes) < 2_000
+    assert spark.read.parquet(str(tmp_path / "s")).agg(F.count("*"), F.countDistinct("id")).first() == (64_000, 64_000)
