@@ -60,6 +60,13 @@ def doc_batches(batches: Iterator[pa.RecordBatch], limit: int = 8 << 20) -> Iter
                 yield batch.slice(a, b - a)
 
 
+def few_rows(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches into slices of ``rows`` rows, so that only so many are Python objects at a time."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, rows):
+            yield batch.slice(a, rows)
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id is in fold 0."""
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(folds)), F.lit(0)).cast("int")
@@ -102,7 +109,7 @@ def keep_rows(docs: DataFrame, decide: Callable[[list[bytes]], np.ndarray]) -> D
     """The rows whose text ``decide`` keeps, with all their columns, where they lie."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in doc_batches(batches, 1 << 20):
+        for batch in doc_batches(batches, 1 << 19):
             yield batch.filter(pa.array(decide(utf8(batch.column(batch.schema.get_field_index("text")))), pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acadmetric.llm.common import GOLDEN, doc_batches, mix, utf8, word_hashes
+from acadmetric.llm.common import GOLDEN, doc_batches, few_rows, mix, utf8, word_hashes
 from acadmetric.session import written
 
 _POSITION = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
@@ -93,7 +93,7 @@ def features(docs: DataFrame, width: int, bins: int, rows: int) -> DataFrame:
     """doc_id, h1, h2, n_shingles, set_key (16 bytes that name the set; null when empty), bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in doc_batches(batches):
+        for batch in doc_batches(batches, 1 << 20):
             sets = [shingle_set(t, width) for t in utf8(batch.column(3))]
             full = [s for s in sets if len(s)]
             keys = iter(band_keys(one_permutation(full, bins), rows).astype(np.int64, copy=False)) if full else iter(())
@@ -111,7 +111,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """id, items (the sorted set as bytes), repeated: the sets of the rows named in ``wanted`` (id, doc_id, h1, h2, repeated)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in doc_batches(batches, 2 << 20):
+        for batch in doc_batches(batches, 1 << 20):
             sets = [shingle_set(t, width).tobytes() for t in utf8(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary()), batch.column(2)], ["id", "items", "repeated"])
 
@@ -126,7 +126,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         sets.select(F.col("id").alias("b"), F.col("items").alias("y")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches):
             keep = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
@@ -151,7 +151,7 @@ def _prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches):
             for i, root, items in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 own = np.frombuffer(items, np.int64)
                 n = len(own)

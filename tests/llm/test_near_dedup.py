@@ -109,3 +109,33 @@ def test_a_family_that_is_no_copy_is_not_compared_in_pairs(spark):
 
     assert candidates(100) == candidates(400) == 0
     assert (near(100), near(400)) == (50, 200)
+
+
+def test_pairs_are_confirmed_a_few_at_a_time(spark):
+    """What a task takes out of Arrow at once does not grow with the batch that Spark hands it."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from acadmetric.llm import near_dedup
+
+    class Rows:
+        def join(self, *_):
+            return self
+
+        def mapInArrow(self, run, schema):
+            self.run = run
+            return self
+
+        select = distinct = join
+
+    rows = Rows()
+    near_dedup._confirmed(rows, rows, 80)
+    n, items = 5000, [np.arange(i % 7, 500, dtype=np.uint64).tobytes() for i in range(5000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array(range(n, 2 * n)), pa.array(items), pa.array(items[::-1])], ["a", "b", "x", "y"])
+    tracemalloc.start()
+    assert sum(out.num_rows for out in rows.run(iter([batch]))) == n
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8e6, peak
