@@ -12,8 +12,9 @@ text gives just these two; forbidden arcs weigh infinity, and one finite path is
 agree, and merge its whole text: until a first merge crosses a border, merges in the two pieces beside it come in the order that
 they have in the two alone, as the best pair (the leftmost of equals) among all is the best in any part that has it; so that
 merge would cross in the two alone as well, and they would not agree. Hence the sequence is the result of the merges. In the same
-way neighbours in the result agree, and merging has one result, for the text and for each of its beginnings. Arcs of the pair
-machine are worked out when first asked for and remembered.
+way neighbours in the result agree, and merging has one result, for the text and for each of its beginnings. So one finite path
+leads to each place, and the one through the text is sought in depth, the longest piece first: a place from which no arc leads on
+is not entered again, and no place is entered twice. Arcs of the pair machine are worked out when first asked for and remembered.
 
 No piece but runs of the blank sign has it anywhere but at its start, so a text's shortest path is that of its words, one after
 the other; a task remembers the paths of words it has met. The vocabulary is a fixed file; nothing is shuffled.
@@ -26,19 +27,106 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from acadmetric.llm.common import doc_batches, id_and_text
+from acadmetric.llm.common import GOLDEN, doc_batches, id_and_text
 
 BLANK = "▁"
 REMEMBERED = 100_000  # words a task keeps in each of two generations
-_WORD = re.compile(f"[ {BLANK}]*[^ {BLANK}]+|[ {BLANK}]+")
+PAIRS = 150_000  # arcs of the pair machine, likewise
+FEW = 32  # words that are followed one by one
+LONGEST = 64  # characters of a word that is kept
+_WORD = re.compile(" *[^ ]+| +")
 _machines: dict[str, Transducer] = {}
 
 
+@dataclass
+class Arcs:
+    """The arcs of the piece machine as arrays, so that all places of many words are read at once.
+
+    An arc is named by its state times the number of characters, and its character. The names stand in a table by a hash, or in
+    the next place that is free.
+    """
+
+    character: np.ndarray  # number of each code point that any arc reads, else 0
+    names: np.ndarray  # 0: free
+    target: np.ndarray
+    piece: np.ndarray  # by state: the piece that ends there, or -1
+    shift: int
+
+    @staticmethod
+    def of(start: tuple[dict, int]) -> Arcs:
+        number, states = {id(start[0]): 0}, [start]
+        arcs: list[tuple[int, int, int]] = []
+        for at, (own, _) in enumerate(states):
+            for c, state in own.items():
+                # Two characters may lead to the arcs of one state.
+                to = number.setdefault(id(state[0]), len(states))
+                if to == len(states):
+                    states.append(state)
+                arcs.append((at, ord(c), to))
+        source, read, to = np.array(arcs, np.int64).reshape(-1, 3).T
+        character = np.zeros(0x110000, np.int32)
+        used = np.unique(read)
+        character[used] = np.arange(1, len(used) + 1)
+        bits = max(4, (4 * len(arcs)).bit_length())
+        names, target = np.zeros(1 << bits, np.int64), np.full(1 << bits, -1, np.int32)
+        out = Arcs(character, names, target, np.array([piece for _, piece in states], np.int32), 64 - bits)
+        name = out._name(source, character[read])
+        slot = out._slot(name)
+        while len(name):
+            free = np.flatnonzero(names[slot] == 0)
+            names[slot[free]] = name[free]  # of arcs with one slot the last has it
+            target[slot[free]] = np.where(names[slot[free]] == name[free], to[free], target[slot[free]])
+            rest = names[slot] != name
+            name, to, slot = name[rest], to[rest], (slot[rest] + 1) & (len(names) - 1)
+        return out
+
+    def _name(self, state: np.ndarray, character: np.ndarray) -> np.ndarray:
+        return state * np.int64(1 << 21) + character
+
+    def _slot(self, name: np.ndarray) -> np.ndarray:
+        return ((name.view(np.uint64) * GOLDEN) >> np.uint64(self.shift)).astype(np.int64)
+
+    def follow(self, state: np.ndarray, character: np.ndarray) -> np.ndarray:
+        """Where each arc leads, -1 where there is none."""
+        name = self._name(state, character)
+        slot = self._slot(name)
+        met = self.names[slot]
+        to = np.where(met == name, self.target[slot], -1)
+        left = np.flatnonzero((met != name) & (met != 0))
+        while len(left):
+            slot[left] = (slot[left] + 1) & (len(self.names) - 1)
+            met = self.names[slot[left]]
+            hit = met == name[left]
+            to[left[hit]] = self.target[slot[left[hit]]]
+            left = left[~hit & (met != 0)]
+        return to
+
+    def longest(self, text: str, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The code points of a text, and the longest piece that begins at each of its places and at its end (-1: none) and
+        reads none of the places ``ends``."""
+        points = np.frombuffer(text.encode("utf-32-le"), "<u4")
+        read = np.append(self.character[points], 0)
+        best = np.full(len(read), -1, np.int64)
+        read[ends] = 0
+        begin = np.flatnonzero(read)
+        at, state = begin, np.zeros(len(begin), np.int64)
+        while len(at):
+            to = self.follow(state, read[at])
+            on = to >= 0
+            begin, at, state = begin[on], at[on] + 1, to[on].astype(np.int64)
+            piece = self.piece[state]
+            best[begin[piece >= 0]] = piece[piece >= 0]
+            on = read[at] > 0
+            begin, at, state = begin[on], at[on], state[on]
+        return points, best
+
+
 class Transducer:
     def __init__(self, path: str) -> None:
         from sentencepiece import sentencepiece_model_pb2 as proto
@@ -63,6 +151,7 @@ class Transducer:
         self.piece = [p.piece for p in model.pieces]
         self.weight = [-p.score for p in model.pieces]
         self.byte = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == kinds.BYTE}
+        self.byte_ids = np.array([self.byte.get(b, 0) for b in range(256)], np.int64)
         self.single = {p for p in self.number if len(p) == 1}
         if self.merges and any(c not in self.single for p in self.number for c in p):
             raise ValueError("only merge models with a piece for each character of a piece are supported")
@@ -75,11 +164,21 @@ class Transducer:
             for c in p.piece[:-1]:
                 state = state[0].setdefault(c, ({}, -1))
             state[0][p.piece[-1]] = (state[0].get(p.piece[-1], ({}, -1))[0], i)
+        self.cost = {p.piece: -p.score for _, p in normal}
+        # The piece that begins a piece and is the longest of those shorter than it, -1 if there is none.
+        self.shorter = np.full(len(model.pieces), -1, np.int64)
+        for i, p in normal:
+            self.shorter[i] = next((n for n in (self.number.get(p.piece[:k], -1) for k in range(len(p.piece) - 1, 0, -1)) if n >= 0), -1)
+        self.length = np.fromiter(map(len, self.piece), np.int64, len(self.piece))
         self.neighbours = {p[i:i + 2] for p in self.number for i in range(len(p) - 1)}
         self._compose_normaliser({" ": BLANK})
+        if self.merges:
+            self.arcs = Arcs.of(self.start)
+            del self.start  # its arcs are in the arrays
         written = {i: p.piece.replace(BLANK, " ").encode() for i, p in normal} | {i: bytes([b]) for b, i in self.byte.items()}
         self.written = [written.get(i, b"") for i in range(len(model.pieces))]
         self.allowed: dict[int, bool] = {}
+        self.older_allowed: dict[int, bool] = {}
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -103,35 +202,133 @@ class Transducer:
 
     def _merged(self, text: str) -> list[str]:
         """The text's pieces by merging: the pair with the best piece first, the leftmost of equals."""
-        symbols = list(text)
-        while True:
-            best, at = math.inf, -1
-            for i in range(len(symbols) - 1):
-                n = self.number.get(symbols[i] + symbols[i + 1])
-                if n is not None and self.weight[n] < best:
-                    best, at = self.weight[n], i
-            if at < 0:
-                return symbols
+        symbols, cost = list(text), self.cost.get
+        costs = [cost(a + b, math.inf) for a, b in zip(symbols, symbols[1:], strict=False)]
+        while costs:
+            best = min(costs)
+            if best == math.inf:
+                break
+            at = costs.index(best)
             symbols[at:at + 2] = [symbols[at] + symbols[at + 1]]
+            del costs[at]
+            if at < len(costs):
+                costs[at] = cost(symbols[at] + symbols[at + 1], math.inf)
+            if at:
+                costs[at - 1] = cost(symbols[at - 1] + symbols[at], math.inf)
+        return symbols
 
     def may_follow(self, before: int, piece: int) -> bool:
         """Whether the pair machine has an arc; ``before`` is -1 at the start of a word and after bytes."""
         key = before * len(self.piece) + piece
         found = self.allowed.get(key)
         if found is None:
-            if len(self.allowed) > 300_000:
-                self.allowed.clear()
-            own = [self.piece[piece]] if before < 0 else [self.piece[before], self.piece[piece]]
-            found = self.allowed[key] = self._merged("".join(own)) == own
+            if len(self.allowed) > PAIRS:
+                self.allowed, self.older_allowed = {}, self.allowed
+            found = self.older_allowed.get(key)
+            if found is None:
+                own = [self.piece[piece]] if before < 0 else [self.piece[before], self.piece[piece]]
+                found = self._merged("".join(own)) == own
+            self.allowed[key] = found
         return found
 
-    def shortest_paths(self, words: list[str]) -> dict[str, bytes]:
-        """Ids, as little-endian 32-bit integers, along the least path of each word composed with the machines.
+    def shortest_paths(self, words: set[str]) -> dict[str, bytes]:
+        """Ids, as little-endian 32-bit integers, along the least path of each word composed with the machines."""
+        if self.merges:
+            return self._only_paths(list(words))
+        cut = {word: self._segments(word) for word in words}
+        found = self._least_paths({s for own in cut.values() for s in own})
+        return {word: b"".join(map(found.__getitem__, own)) for word, own in cut.items()}
+
+    def _fit(self, before: np.ndarray, piece: np.ndarray) -> np.ndarray:
+        fits = list(map(self.allowed.get, (before * len(self.piece) + piece).tolist()))
+        for i in [i for i, x in enumerate(fits) if x is None] if None in fits else ():
+            fits[i] = self.may_follow(int(before[i]), int(piece[i]))
+        return np.array(fits, bool)
+
+    def _only_paths(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of the one path that the pair machine leaves, for each word.
+
+        Words are followed side by side, an arc of each at a time; the last few, which are long, one by one.
+        """
+        text, length = "\0".join(words), np.fromiter(map(len, words), np.int64, len(words))
+        end = np.cumsum(length + 1) - 1
+        begin = end - length
+        read, first = self.arcs.longest(text, end)
+        # By place: the piece that leads there (-1: bytes or the start), and whether no arc leads on.
+        came, blocked = np.full(len(first), -1, np.int64), np.zeros(len(first), bool)
+        word, at = np.arange(len(words)), begin
+        piece = first[at]
+        while len(word) >= FEW:
+            lost = piece < 0
+            byte = lost & (first[at] < 0)  # no piece begins with the character
+            back = lost & ~byte  # no arc leads on: back to the place before, and from there by a shorter piece
+            blocked[at[back]] = True
+            to = at + np.where(lost, 0, self.length[piece])
+            fits = ~lost & ~blocked[to]
+            fits[fits] = self._fit(came[at[fits]], piece[fits])
+            came[to[fits]] = piece[fits]
+            piece = np.where(back, came[at], piece)
+            at = np.where(fits, to, at + byte - np.where(back, self.length[piece], 0))
+            piece = np.where(fits | byte, first[at], self.shorter[piece])
+            going = at < end[word]
+            word, at, piece = word[going], at[going], piece[going]
+        # The paths, from the end of each word to its beginning.
+        whole = np.ones(len(words), bool)
+        whole[word] = False
+        begin, at, places = begin[whole], end[whole], []
+        while len(at):
+            places.append(at)
+            at = at - np.where(came[at] < 0, 1, self.length[came[at]])
+            begin, at = begin[at > begin], at[at > begin]
+        places = np.sort(np.concatenate(places)) if places else np.empty(0, np.int64)
+        piece = came[places]
+        odd = read[places[piece < 0] - 1]
+        many = np.ones(len(piece), np.int64)
+        many[piece < 0] = 1 + (odd > 0x7F) + (odd > 0x7FF) + (odd > 0xFFFF)
+        ids = np.repeat(piece, many)
+        ids[ids < 0] = self.byte_ids[np.frombuffer(odd.astype("<u4").tobytes().decode("utf-32-le").encode(), np.uint8)]
+        cuts = (4 * np.append(0, np.cumsum(many))[np.append(0, np.searchsorted(places, end, "right"))]).tolist()
+        ids = ids.astype("<u4").tobytes()
+        found = {w: ids[a:b] for w, a, b in zip(words, cuts, cuts[1:], strict=False)}
+        for i in word.tolist():
+            found[words[i]] = self._only_path(words[i], first[end[i] - length[i]:end[i]].tolist())
+        return found
+
+    def _only_path(self, word: str, first: list[int]) -> bytes:
+        """The ids of the word's path; ``first``: the longest piece that begins at each of its places."""
+        size, last = len(self.piece), len(word)
+        ids, path, blocked, at, before = [], [], set(), 0, -1
+        while at < last:
+            piece = first[at]
+            if piece < 0:  # what follows bytes never calls for another way to them
+                ids += path
+                ids += [self.byte[b] for b in word[at].encode()]
+                path, before, at = [], -1, at + 1
+                continue
+            while True:
+                if piece < 0:
+                    blocked.add(at)
+                    piece = path.pop()
+                    at -= int(self.length[piece])
+                    before = path[-1] if path else -1
+                elif at + int(self.length[piece]) not in blocked:
+                    fits = self.allowed.get(before * size + piece)
+                    if fits is None:
+                        fits = self.may_follow(before, piece)
+                    if fits:
+                        break
+                piece = int(self.shorter[piece])
+            path.append(piece)
+            before, at = piece, at + int(self.length[piece])
+        return array("I", ids + path).tobytes()
+
+    def _least_paths(self, words: set[str]) -> dict[str, bytes]:
+        """The ids of the path of the least weight, for each word.
 
         A place in a word is reached with what was read so far only, so words are taken in order and share the places of
         their common beginnings.
         """
-        weight, allowed, size, merges, single = self.weight, self.allowed.get, len(self.piece), self.merges, self.single
+        weight, single = self.weight, self.single
         # By place: distance, last piece (-1: bytes or the start), where it came from, and the pieces being read there as
         # (begin, state), the earliest begin first.
         places: list[tuple[float, int, int, list]] = [(0.0, -1, 0, [(0, self.start)])]
@@ -153,18 +350,8 @@ class Transducer:
                         continue
                     reading.append((begin, state))
                     piece = state[1]
-                    if piece < 0:
-                        continue
-                    came, before, _, _ = places[begin]
-                    if came + weight[piece] >= distance:
-                        continue
-                    if merges:
-                        fits = allowed(before * size + piece)
-                        if fits is None:
-                            fits = self.may_follow(before, piece)
-                        if not fits:
-                            continue
-                    distance, last, back = came + weight[piece], piece, begin
+                    if piece >= 0 and places[begin][0] + weight[piece] < distance:
+                        distance, last, back = places[begin][0] + weight[piece], piece, begin
                 if c not in single and places[at][0] + self.unknown < distance:
                     distance, last, back = places[at][0] + self.unknown, -1, at  # the byte arcs
                 if distance < math.inf:
@@ -187,29 +374,33 @@ class Transducer:
         cuts = [0, *(i for i in range(1, len(word)) if word[i - 1:i + 1] not in self.neighbours), len(word)]
         return [word[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
+    def _words(self, text: str) -> list[str]:
+        """The text's words, each with the blanks before it; the normaliser's arc that reads nothing goes first."""
+        text = (self.prefix + text if text else text).replace(BLANK, " ")
+        if "  " in text or "\0" in text:
+            return _WORD.findall(text)
+        words = text.replace(" ", "\0 ").split("\0")
+        return words if words[0] else words[1:]
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.known) > REMEMBERED:
             # Words that are met again come back from the older generation; the others go with it.
             self.known, self.older = {}, self.known
         words, ends = [], [0]
         for t in texts:
-            own = _WORD.findall(t)
-            if own:
-                own[0] = self.prefix + own[0]  # the normaliser's arc that reads nothing
-            words += own
+            words += self._words(t)
             ends.append(len(words))
-        paths = list(map(self.known.get, words))
-        known, older, new = self.known, self.older, [i for i, x in enumerate(paths) if x is None]
-        fresh = {words[i] for i in new}
-        known |= {word: older[word] for word in fresh & older.keys()}
-        cut = {word: self._segments(word) for word in fresh - older.keys()}
-        segments = {s for own in cut.values() for s in own} - known.keys()
-        known |= {s: older[s] for s in segments & older.keys()} | self.shortest_paths(list(segments - older.keys()))
-        for word, own in cut.items():
-            known[word] = b"".join(map(known.__getitem__, own))
-        for i in new:
-            paths[i] = known[words[i]]
-        return [np.frombuffer(b"".join(paths[a:b]), "<u4") for a, b in zip(ends, ends[1:], strict=False)]
+        known, older = self.known, self.older
+        fresh = set(words).difference(known)
+        again = {word: older[word] for word in fresh if word in older}
+        known |= again
+        fresh.difference_update(again)
+        known |= self.shortest_paths(fresh)
+        ids = [np.frombuffer(b"".join(map(known.__getitem__, words[a:b])), "<u4") for a, b in zip(ends, ends[1:], strict=False)]
+        for word in fresh:
+            if len(word) > LONGEST:
+                del known[word]
+        return ids
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; bytes that make no character become U+FFFD, control pieces nothing."""

@@ -274,3 +274,30 @@ def test_long_fingerprints_are_cut_in_one_pass(spark):
     assert time.monotonic() - began < 30
     # n - 1 items are common; as the smaller one a set shows those of places up to n / 9, the first of which is its own item.
     assert {r.id: (r.n, r["count"]) for r in found} == {0: (n, n // 9), 1: (n, n // 9)}
+
+
+def test_new_words_are_read_side_by_side_and_long_ones_forgotten():
+    import sys
+
+    from sentencepiece import SentencePieceProcessor
+
+    library, machine, draw = SentencePieceProcessor(model_file=PIECES), Transducer(PIECES), random.Random(8)
+    texts = [" ".join("".join(draw.choice("aeinrstlou\n☃漢") for _ in range(draw.randint(1, 12))) for _ in range(300)) for _ in range(10)]
+    texts += ["".join(draw.choice("aeinrst") for _ in range(5000)), "漢" * 3000, "a" * 3000, "x\0y  \0 z ▁"]
+    machine.encode(texts)  # works out the arcs of the pair machine
+    machine.known.clear()
+    machine.older.clear()
+    calls = [0]
+
+    def count(frame, event, arg) -> None:
+        calls[0] += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        ids = machine.encode(texts[:10])
+    finally:
+        sys.setprofile(None)
+    assert calls[0] < sum(map(len, texts[:10]))
+    ids += machine.encode(texts[10:])
+    assert [x.tolist() for x in ids] == [library.encode(t) for t in texts]
+    assert max(map(len, machine.known)) < 100
